@@ -26,6 +26,7 @@ __all__ = [
     "scrub_non_finite",
     "round_doubles",
     "round_half_away",
+    "q",
 ]
 
 # ---- fixed values (must match the reference) ---------------------------------
@@ -154,12 +155,21 @@ def round_half_away(c: str | Column, digits: int) -> Column:
     return F.round(_c(c).cast("double") * F.lit(scale), 0) / F.lit(scale)
 
 
+def q(name: str) -> str:
+    """Back-quote a column name for SQL expression strings."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def round_doubles(df, digits: int = 4):
-    """Round every double column (for cross-engine comparison of float results)."""
-    cols = []
+    """Round every double column (for cross-engine comparison of float results).
+
+    Built as SQL expression strings: one call to the JVM for any width."""
+    scale = f"{float(10**digits)!r}"
+    exprs = []
     for field in df.schema.fields:
+        n = q(field.name)
         if field.dataType.typeName() in ("double", "float"):
-            cols.append(round_half_away(field.name, digits).alias(field.name))
+            exprs.append(f"round(CAST({n} AS DOUBLE) * {scale}, 0) / {scale} AS {n}")
         else:
-            cols.append(F.col(field.name))
-    return df.select(*cols)
+            exprs.append(n)
+    return df.selectExpr(*exprs)

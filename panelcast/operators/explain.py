@@ -18,40 +18,37 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.expressions import concern_label
+from panelcast.functions.expressions import concern_label, q
 
 
 def class_stats(population: DataFrame, features: Sequence[str], label: str = "churned") -> DataFrame:
-    """(feature, safe_avg, safe_std, churned_avg, n_safe, n_churned) in one pass."""
-    y = F.col(label)
-    aggs = [F.count_if(y == 0).alias("_n0"), F.count_if(y == 1).alias("_n1")]
+    """(feature, safe_avg, safe_std, churned_avg, n_safe, n_churned) in one pass.
+
+    One global aggregate with three conditional aggregates per feature (partial
+    aggregation on every task), then ``stack`` to one row per feature.  The
+    expressions are SQL strings so any number of features costs one JVM call.
+    """
+    y = q(label)
+    aggs = [f"count_if({y} = 0) AS _n0", f"count_if({y} = 1) AS _n1"]
     for i, f in enumerate(features):
-        x = F.col(f).cast("double")
+        x = f"CAST({q(f)} AS DOUBLE)"
         aggs += [
-            F.avg(F.when(y == 0, x)).alias(f"_a{i}"),
-            F.stddev_samp(F.when(y == 0, x)).alias(f"_s{i}"),
-            F.avg(F.when(y == 1, x)).alias(f"_c{i}"),
+            f"avg(CASE WHEN {y} = 0 THEN {x} END) AS _a{i}",
+            f"stddev_samp(CASE WHEN {y} = 0 THEN {x} END) AS _s{i}",
+            f"avg(CASE WHEN {y} = 1 THEN {x} END) AS _c{i}",
         ]
-    wide = population.agg(*aggs)
-    items = F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("feature"),
-                F.col(f"_a{i}").alias("safe_avg"),
-                F.col(f"_s{i}").alias("safe_std"),
-                F.col(f"_c{i}").alias("churned_avg"),
-            )
-            for i, f in enumerate(features)
-        ]
-    )
-    return wide.select(F.col("_n0").alias("n_safe"), F.col("_n1").alias("n_churned"), F.explode(items).alias("s")).select(
-        "s.*", "n_safe", "n_churned"
+    wide = population.selectExpr(*aggs)
+    body = ", ".join(f"'{f}', _a{i}, _s{i}, _c{i}" for i, f in enumerate(features))
+    return wide.selectExpr(
+        f"stack({len(features)}, {body}) AS (feature, safe_avg, safe_std, churned_avg)",
+        "_n0 AS n_safe",
+        "_n1 AS n_churned",
     )
 
 
 def unpivot_features(rows: DataFrame, ids: Sequence[str], features: Sequence[str]) -> DataFrame:
     """(ids..., feature, value double) for the given rows."""
-    cast = rows.select(*ids, *[F.col(f).cast("double").alias(f) for f in features])
+    cast = rows.selectExpr(*[q(i) for i in ids], *[f"CAST({q(f)} AS DOUBLE) AS {q(f)}" for f in features])
     return cast.unpivot(list(ids), list(features), "feature", "value")
 
 

@@ -50,7 +50,7 @@ def prefix_counts(
     running sums ``cum_<w>`` in value order, plus group totals ``tot_<w>``."""
     keys = ([group] if group else []) + [value]
     pts = df.groupBy(*keys).agg(*[F.sum(expr).alias(name) for name, expr in weights.items()])
-    pts = pts.where(F.col(value).isNotNull()).persist()
+    pts = pts.where(F.col(value).isNotNull())
     pts = _bucketize(pts, value, n_buckets)
     part = ([group] if group else []) + ["_bucket"]
     order = F.col(value).desc() if descending else F.col(value).asc()
@@ -324,17 +324,33 @@ def metrics_at_thresholds(
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: list[float], group: str | None = None, n_buckets: int = DEFAULT_BUCKETS
+    df: DataFrame,
+    value: str,
+    probs: list[float],
+    group: str | None = None,
+    n_buckets: int = DEFAULT_BUCKETS,
+    method: str = "auto",
 ) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas' default), distributed.
 
-    Uses the ascending prefix counts of the distinct values; the k-th smallest
-    value (0-based) is the value whose running count range covers k.
-    Output: one row per (group, q) with ``q`` and ``value``.
+    ``method="prefix"`` uses the ascending prefix counts of the distinct values:
+    the k-th smallest value (0-based) is the value whose running-count range
+    covers k; nothing is held in one task.  ``method="percentile"`` uses Spark's
+    exact ``percentile`` aggregate, whose (partially aggregated) state is a
+    value -> count map, i.e. bounded by the number of *distinct* values; "auto"
+    picks it for integral columns (counts have small domains) and the prefix
+    method otherwise.  Output: one row per (group, q) with ``q`` and ``value``.
     """
     g = [group] if group else []
-    pc = prefix_counts(df.where(F.col(value).isNotNull()), value, {"n": F.lit(1)}, descending=False, group=group, n_buckets=n_buckets)
     spark = df.sparkSession
+    if method == "auto":
+        integral = df.schema[value].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+        method = "percentile" if integral else "prefix"
+    if method == "percentile":
+        agg = df.groupBy(*g).agg(F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(q)) for q in probs])).alias("_v"))
+        pairs = F.arrays_zip(F.array(*[F.lit(float(q)) for q in probs]).alias("q"), F.col("_v").alias("value"))
+        return agg.select(*g, F.explode(pairs).alias("_p")).select(*g, F.col("_p.q").alias("q"), F.col("_p.value").cast("double").alias("value"))
+    pc = prefix_counts(df.where(F.col(value).isNotNull()), value, {"n": F.lit(1)}, descending=False, group=group, n_buckets=n_buckets)
     qdf = spark.createDataFrame([(float(q),) for q in probs], "q double")
     pos = F.col("q") * (F.col("tot_n") - 1)
     lo, hi = F.floor(pos), F.ceil(pos)

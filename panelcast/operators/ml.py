@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.functions.expressions import risk_tier, scrub_non_finite
+from panelcast.functions.expressions import q, risk_tier
 from panelcast.operators.labels import cv_blocks
 from panelcast.operators.metrics import confusion
 
@@ -60,13 +60,15 @@ def model_matrix(
 ) -> DataFrame:
     """ids + scrubbed double features (NaN/inf/NULL -> 0) + label as double."""
     feats = model_columns(df, drop_cols, label)
-    cols = [F.col(i) for i in ids if i in df.columns]
-    cols += [scrub_non_finite(f).alias(f) for f in feats]
+    exprs = [q(i) for i in ids if i in df.columns]
+    for f in feats:
+        x = f"CAST({q(f)} AS DOUBLE)"
+        exprs.append(f"CASE WHEN {x} IS NULL OR isnan({x}) OR abs({x}) = double('inf') THEN 0.0 ELSE {x} END AS {q(f)}")
     if label in df.columns:
-        cols.append(F.col(label).cast("double").alias(label))
+        exprs.append(f"CAST({q(label)} AS DOUBLE) AS {q(label)}")
     elif require_label:
         raise ValueError(f"label column {label!r} missing")
-    return df.select(*cols)
+    return df.selectExpr(*exprs)
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:

@@ -22,6 +22,7 @@ from panelcast.operators.features import (
     rolling_features,
 )
 from panelcast.operators.ml import model_columns, model_matrix
+from panelcast.session import materialize
 from panelcast.sources.adapters import events_panel, orders_panel
 
 EVAL_LABEL = "churned_next_3mo"
@@ -89,34 +90,57 @@ def model_feature_names() -> list[str]:
     return raw + feature_names()
 
 
-def scored_o(spark, d):
-    """Features + fixed score + prediction at 0.5 + tier + horizon label."""
-    s = scoring.make_predictions(scoring.fixed_score(features_o(spark, d)), threshold=0.5)
-    return labels.horizon_labels(s, horizon=3)
+def labelled_features(spark, d):
+    """Features + 3-period horizon label, written once per query (shared by its branches)."""
+    return materialize(labels.horizon_labels(features_o(spark, d), horizon=3), "labelled-features")
 
 
-def alt_scored_o(spark, d):
-    f = labels.horizon_labels(features_o(spark, d), horizon=3)
-    s = scoring.fixed_score(f, ALT_COEFFICIENTS, ALT_INTERCEPT)
+def score_table(f, coefficients=None, intercept=None):
+    if coefficients is None:
+        s = scoring.fixed_score(f)
+    else:
+        s = scoring.fixed_score(f, coefficients, intercept)
     return scoring.make_predictions(s, threshold=0.5)
 
 
+def scored_o(spark, d):
+    """Features + fixed score + prediction at 0.5 + tier + horizon label (materialized:
+    for queries whose plan reads it in several branches or runs a bucketing job)."""
+    return score_table(labelled_features(spark, d))
+
+
+def scored_lazy(spark, d):
+    """Same table as ``scored_o`` but not materialized (single-branch queries)."""
+    return score_table(labels.horizon_labels(features_o(spark, d), horizon=3))
+
+
 def two_models(spark, d):
+    f = labelled_features(spark, d)
     cols = ["account_id", "month", "churn_risk_score", "prediction", EVAL_LABEL]
-    a = scored_o(spark, d).select(F.lit("linear_a").alias("model_name"), *cols)
-    b = alt_scored_o(spark, d).select(F.lit("linear_b").alias("model_name"), *cols)
+    a = score_table(f).select(F.lit("linear_a").alias("model_name"), *cols)
+    b = score_table(f, ALT_COEFFICIENTS, ALT_INTERCEPT).select(F.lit("linear_b").alias("model_name"), *cols)
     return a.unionByName(b)
 
 
-def data_importance(spark, d):
+def importance_from_stats(stats):
     """Importance from the data: |churned mean - safe mean| / safe std, normalised to sum 1."""
-    stats = explain.class_stats(scored_o(spark, d), model_feature_names(), EVAL_LABEL)
     eff = F.coalesce(
         F.try_divide(F.abs(F.col("churned_avg") - F.col("safe_avg")), F.col("safe_std")), F.lit(0.0)
     )
     raw = stats.select("feature", eff.alias("_e"))
     tot = raw.agg(F.sum("_e").alias("_t"))
-    return raw.crossJoin(tot).select("feature", F.coalesce(F.try_divide(F.col("_e"), F.col("_t")), F.lit(0.0)).alias("importance"))
+    return raw.crossJoin(F.broadcast(tot)).select(
+        "feature", F.coalesce(F.try_divide(F.col("_e"), F.col("_t")), F.lit(0.0)).alias("importance")
+    )
+
+
+def scored_stats(spark, d, scored=None):
+    scored = scored if scored is not None else scored_o(spark, d)
+    return explain.class_stats(scored, model_feature_names(), EVAL_LABEL)
+
+
+def data_importance(spark, d, stats=None):
+    return importance_from_stats(stats if stats is not None else scored_stats(spark, d))
 
 
 # ---- A / adapters ----------------------------------------------------------------
@@ -294,12 +318,12 @@ SCORE_COLS = ["account_id", "month", "churn_risk_score", "prediction", "safe_pro
 
 @query("score_fixed")
 def q_score(spark, d):
-    return scored_o(spark, d).select(*SCORE_COLS)
+    return scored_lazy(spark, d).select(*SCORE_COLS)
 
 
 @query("tier_distribution")
 def q_tiers(spark, d):
-    return scoring.tier_distribution(scored_o(spark, d))
+    return scoring.tier_distribution(scored_lazy(spark, d))
 
 
 @query("score_stats")
@@ -309,22 +333,22 @@ def q_score_stats(spark, d):
 
 @query("predicted_counts")
 def q_pred_counts(spark, d):
-    return scoring.predicted_counts(scored_o(spark, d))
+    return scoring.predicted_counts(scored_lazy(spark, d))
 
 
 @query("high_risk_list")
 def q_high_risk(spark, d):
-    return scoring.high_risk(scored_o(spark, d)).select("account_id", "month", "churn_risk_score", "risk_tier")
+    return scoring.high_risk(scored_lazy(spark, d)).select("account_id", "month", "churn_risk_score", "risk_tier")
 
 
 @query("account_lookup")
 def q_lookup(spark, d):
-    return scoring.account_lookup(scored_o(spark, d), LOOKUP_ACCOUNT).select(*SCORE_COLS)
+    return scoring.account_lookup(scored_lazy(spark, d), LOOKUP_ACCOUNT).select(*SCORE_COLS)
 
 
 @query("top_risk")
 def q_top_risk(spark, d):
-    return scoring.top_risk(scored_o(spark, d), TOP_N_EXPLAIN).select("account_id", "month", "churn_risk_score", "risk_tier")
+    return scoring.top_risk(scored_lazy(spark, d), TOP_N_EXPLAIN).select("account_id", "month", "churn_risk_score", "risk_tier")
 
 
 # ---- metrics --------------------------------------------------------------------
@@ -332,7 +356,7 @@ def q_top_risk(spark, d):
 
 @query("confusion")
 def q_confusion(spark, d):
-    return metrics.confusion(scored_o(spark, d), EVAL_LABEL)
+    return metrics.confusion(scored_lazy(spark, d), EVAL_LABEL)
 
 
 @query("classification_metrics")
@@ -342,7 +366,7 @@ def q_cls_metrics(spark, d):
 
 @query("classification_report")
 def q_cls_report(spark, d):
-    return metrics.classification_report(scored_o(spark, d), EVAL_LABEL)
+    return metrics.classification_report(scored_lazy(spark, d), EVAL_LABEL)
 
 
 @query("roc_points")
@@ -416,8 +440,9 @@ def q_segment_cutoffs(spark, d):
 
 
 def _segments(spark, d):
-    top = drivers.top_features(data_importance(spark, d), TOP_N_FEATURES)
-    return drivers.driver_segments_from_table(scored_o(spark, d), top)
+    s = scored_o(spark, d)
+    top = drivers.top_features(importance_from_stats(scored_stats(spark, d, s)), TOP_N_FEATURES)
+    return drivers.driver_segments_from_table(s, top)
 
 
 @query("driver_segments")
@@ -438,22 +463,21 @@ def q_class_stats(spark, d):
     return explain.class_stats(scored_o(spark, d), model_feature_names(), EVAL_LABEL)
 
 
-def _explained(spark, d, rows, top_n):
-    s = scored_o(spark, d)
-    stats = explain.class_stats(s, model_feature_names(), EVAL_LABEL)
-    return explain.explain_deviation(rows, stats, data_importance(spark, d), model_feature_names(), top_n=top_n)
+def _explained(spark, d, s, rows, top_n):
+    stats = scored_stats(spark, d, s)
+    return explain.explain_deviation(rows, stats, importance_from_stats(stats), model_feature_names(), top_n=top_n)
 
 
 @query("explain_zscore")
 def q_explain(spark, d):
-    top = scoring.top_risk(scored_o(spark, d), TOP_N_EXPLAIN)
-    return _explained(spark, d, top, 10)
+    s = scored_o(spark, d)
+    return _explained(spark, d, s, scoring.top_risk(s, TOP_N_EXPLAIN), 10)
 
 
 @query("top_factors")
 def q_top_factors(spark, d):
-    hr = scoring.high_risk(scored_o(spark, d))
-    return _explained(spark, d, hr, 3)
+    s = scored_o(spark, d)
+    return _explained(spark, d, s, scoring.high_risk(s), 3)
 
 
 @query("linear_attribution")
