@@ -138,7 +138,7 @@ def occlusion_attribution(
     Rows are replicated once per feature (rows x features, for the explained
     rows only) and scored in one batch ``transform``.
     """
-    from panelcast.operators.ml import assemble, probability_of_positive
+    from panelcast.operators.ml import probability_of_positive
 
     means = stats.select("feature", "safe_avg")
     base = rows.select(*ids, *[F.col(f).cast("double").alias(f) for f in features])
@@ -154,7 +154,8 @@ def occlusion_attribution(
             for f in features
         ],
     )
-    score = score_fn or (lambda d: probability_of_positive(model.transform(assemble(d, features))))
+    # ``model`` is a fitted pipeline that assembles its own feature vector
+    score = score_fn or (lambda d: probability_of_positive(model.transform(d)))
     base_scores = score(base).select(*ids, F.col("p1").alias("base_score"))
     occ = score(swapped).select(*ids, "occluded", F.col("p1").alias("occluded_score"))
     return occ.join(base_scores, list(ids)).select(

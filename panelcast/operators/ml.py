@@ -8,6 +8,7 @@ folder before a search so every fit starts from a short lineage.
 from __future__ import annotations
 
 import itertools
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 
 import numpy as np
@@ -156,6 +157,7 @@ def grid_search(
     n_splits: int = 3,
     resample: str = "none",
     seed: int = 42,
+    parallelism: int = 4,
 ) -> tuple[PipelineModel, dict, DataFrame]:
     """Forward-chaining CV by period blocks (train on blocks < f, validate on f),
     positive-class F1, refit of the best map on all rows.
@@ -166,19 +168,26 @@ def grid_search(
     from panelcast.session import cut_lineage
 
     data = cut_lineage(cv_blocks(df, n_splits, period))
-    rows = []
-    for params in param_maps(grid):
-        scores = []
-        for fold in range(1, n_splits + 1):
-            train = data.where(F.col("cv_block") < fold)
-            valid = data.where(F.col("cv_block") == fold)
-            if resample == "smote":
-                train = smote(train, features, label, seed=seed)
-            model = fit(train, features, kind, label, **params)
-            scores.append(positive_f1(model.transform(valid), label))
-        rows.append((str(params), float(np.mean(scores))))
+    maps = param_maps(grid)
+
+    def evaluate(job):
+        i, fold = job
+        train = data.where(F.col("cv_block") < fold)
+        valid = data.where(F.col("cv_block") == fold)
+        if resample == "smote":
+            train = smote(train, features, label, seed=seed)
+        model = fit(train, features, kind, label, **maps[i])
+        return i, positive_f1(model.transform(valid), label)
+
+    # independent fits run as concurrent Spark jobs (like CrossValidator's parallelism)
+    jobs = [(i, fold) for i in range(len(maps)) for fold in range(1, n_splits + 1)]
+    scores: dict[int, list[float]] = {i: [] for i in range(len(maps))}
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for i, f1 in pool.map(evaluate, jobs):
+            scores[i].append(f1)
+    rows = [(str(maps[i]), float(np.mean(scores[i]))) for i in range(len(maps))]
     best_idx = int(np.argmax([r[1] for r in rows]))
-    best = param_maps(grid)[best_idx]
+    best = maps[best_idx]
     full = smote(data, features, label, seed=seed) if resample == "smote" else data
     model = fit(full, features, kind, label, **best)
     table = df.sparkSession.createDataFrame(rows, "params string, mean_f1 double")

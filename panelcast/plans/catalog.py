@@ -114,12 +114,22 @@ def scored_lazy(spark, d):
     return score_table(labels.horizon_labels(features_o(spark, d), horizon=3))
 
 
+NARROW_COLS = ["account_id", "month", "churn_risk_score", "prediction", "risk_tier", EVAL_LABEL]
+
+
+def scored_narrow(spark, d):
+    """Only keys, score, prediction, tier and label, written once per query: what the
+    curve / threshold / metric queries read (two passes: cut points, then curves)."""
+    return materialize(scored_lazy(spark, d).select(*NARROW_COLS), "scored-narrow")
+
+
 def two_models(spark, d):
-    f = labelled_features(spark, d)
+    """Both fixed scorers from one feature pass, long by model_name, written narrow."""
+    f = labels.horizon_labels(features_o(spark, d), horizon=3)
     cols = ["account_id", "month", "churn_risk_score", "prediction", EVAL_LABEL]
     a = score_table(f).select(F.lit("linear_a").alias("model_name"), *cols)
     b = score_table(f, ALT_COEFFICIENTS, ALT_INTERCEPT).select(F.lit("linear_b").alias("model_name"), *cols)
-    return a.unionByName(b)
+    return materialize(a.unionByName(b), "two-models")
 
 
 def importance_from_stats(stats):
@@ -328,7 +338,7 @@ def q_tiers(spark, d):
 
 @query("score_stats")
 def q_score_stats(spark, d):
-    return scoring.score_stats(scored_o(spark, d))
+    return scoring.score_stats(scored_narrow(spark, d))
 
 
 @query("predicted_counts")
@@ -361,7 +371,7 @@ def q_confusion(spark, d):
 
 @query("classification_metrics")
 def q_cls_metrics(spark, d):
-    return metrics.classification_metrics(scored_o(spark, d), EVAL_LABEL)
+    return metrics.classification_metrics(scored_narrow(spark, d), EVAL_LABEL)
 
 
 @query("classification_report")
@@ -371,27 +381,27 @@ def q_cls_report(spark, d):
 
 @query("roc_points")
 def q_roc_points(spark, d):
-    return metrics.roc_points(metrics.curve_counts(scored_o(spark, d), label=EVAL_LABEL))
+    return metrics.roc_points(metrics.curve_counts(scored_narrow(spark, d), label=EVAL_LABEL))
 
 
 @query("roc_auc")
 def q_roc_auc(spark, d):
-    return metrics.roc_auc(metrics.curve_counts(scored_o(spark, d), label=EVAL_LABEL))
+    return metrics.roc_auc(metrics.curve_counts(scored_narrow(spark, d), label=EVAL_LABEL))
 
 
 @query("pr_points")
 def q_pr_points(spark, d):
-    return metrics.pr_points(metrics.curve_counts(scored_o(spark, d), label=EVAL_LABEL))
+    return metrics.pr_points(metrics.curve_counts(scored_narrow(spark, d), label=EVAL_LABEL))
 
 
 @query("pr_auc")
 def q_pr_auc(spark, d):
-    return metrics.pr_auc(metrics.curve_counts(scored_o(spark, d), label=EVAL_LABEL))
+    return metrics.pr_auc(metrics.curve_counts(scored_narrow(spark, d), label=EVAL_LABEL))
 
 
 def _threshold(metric):
     def fn(spark, d):
-        return metrics.optimal_threshold(scored_o(spark, d), label=EVAL_LABEL, metric=metric, min_precision=0.3)
+        return metrics.optimal_threshold(scored_narrow(spark, d), label=EVAL_LABEL, metric=metric, min_precision=0.3)
 
     return fn
 
@@ -402,7 +412,7 @@ for _m in ("f1", "recall", "custom"):
 
 @query("threshold_vs_default")
 def q_thr_vs_default(spark, d):
-    s = scored_o(spark, d)
+    s = scored_narrow(spark, d)
     best = metrics.optimal_threshold(s, label=EVAL_LABEL, metric="f1").select(F.lit("optimal").alias("setting"), "*")
     dflt = metrics.metrics_at_thresholds(s, [0.5], label=EVAL_LABEL).select(
         F.lit("default").alias("setting"), "threshold", "precision", "recall", "f1_score", "predicted_churn_rate"
@@ -460,7 +470,7 @@ def q_segment_summary(spark, d):
 
 @query("class_stats")
 def q_class_stats(spark, d):
-    return explain.class_stats(scored_o(spark, d), model_feature_names(), EVAL_LABEL)
+    return explain.class_stats(scored_lazy(spark, d), model_feature_names(), EVAL_LABEL)
 
 
 def _explained(spark, d, s, rows, top_n):

@@ -1 +1,369 @@
-"""Tier-2 dashboard operations (registered as queries)."""
+"""Tier-2 dashboard operations (the data work behind the planned dashboard pages)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from panelcast.functions.expressions import q
+from panelcast.operators import explain, labels, metrics, scoring
+from panelcast.operators.features import generate_features
+from panelcast.plans.catalog import (
+    EVAL_LABEL,
+    K_THRESHOLDS,
+    TOP_N_EXPLAIN,
+    importance_from_stats,
+    model_feature_names,
+    query,
+    scored_lazy,
+    scored_o,
+    scored_stats,
+    two_models,
+)
+
+# ---- parameters of the dashboard queries ---------------------------------------
+HIST_BINS = 20
+CONTACT_COST = 50.0          # cost per contacted account
+ACCOUNT_VALUE = 1000.0       # value of an account kept
+SAVE_RATE = 0.3              # share of contacted churners kept
+TRAJECTORY_ROWS = 6
+AGE_BUCKET = 6               # months
+ALERT_RISE = 0.2             # relative rise of the score in one period
+HIGH_VALUE_REVENUE = 500000.0
+CUSTOM_SEGMENTS = {
+    "late_payers": "late_payments > 0",
+    "low_self_service": "self_service_percentage < 30",
+    "high_value_at_risk": "current_month_revenue_90d_avg >= 500000 AND churn_risk_score >= 0.4",
+    "dropped_channels": "channels_dropped > 0",
+}
+WHAT_IF = [
+    ("no_late_payments", {"late_payments": "0"}),
+    ("self_service_plus_20", {"self_service_percentage": "least(self_service_percentage + 20, 100)"}),
+    ("channels_restored", {"channels_dropped": "0"}),
+]
+DRIFT_TRAIN_MONTHS = 40
+DRIFT_RECENT_FROM = 53
+DRIFT_RECENT_TO = 68
+N_CLUSTERS = 4
+N_NEIGHBOURS = 10
+AB_GROUPS = 2
+AB_SEED = 7
+# ---------------------------------------------------------------------------------
+
+
+@query("kpi_rollup")
+def q_kpi(spark, d):
+    s = scored_lazy(spark, d)
+    return s.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("account_id").alias("n_accounts"),
+        F.avg("churn_risk_score").alias("mean_risk"),
+        F.count_if(F.col("risk_tier") == "High Risk").alias("n_high"),
+        F.count_if(F.col("risk_tier") == "Medium Risk").alias("n_medium"),
+        F.count_if(F.col("risk_tier") == "Low Risk").alias("n_low"),
+        F.count_if(F.col("risk_tier") == "Very Safe").alias("n_safe"),
+        F.count_if(F.col("churn_risk_score") >= 0.5).alias("predicted_churners"),
+    )
+
+
+@query("risk_histogram")
+def q_hist(spark, d):
+    s = scored_lazy(spark, d)
+    b = F.least(F.floor(F.col("churn_risk_score") * HIST_BINS), F.lit(HIST_BINS - 1)).cast("int")
+    return s.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "bin", (F.col("bin") / HIST_BINS).alias("bin_low"), ((F.col("bin") + 1) / HIST_BINS).alias("bin_high"), "n_rows"
+    )
+
+
+@query("high_risk_top_factor")
+def q_high_risk_top_factor(spark, d):
+    """High-risk rows with score >= 0.5 and their single strongest factor."""
+    s = scored_o(spark, d)
+    stats = scored_stats(spark, d, s)
+    rows = scoring.high_risk(s).where(F.col("churn_risk_score") >= 0.5)
+    top = explain.explain_deviation(rows, stats, importance_from_stats(stats), model_feature_names(), top_n=1)
+    return rows.select("account_id", "month", "churn_risk_score", "risk_tier").join(
+        top.select("account_id", "month", F.col("feature").alias("top_factor"), "z_score"), ["account_id", "month"]
+    )
+
+
+@query("threshold_table")
+def q_threshold_table(spark, d):
+    return metrics.metrics_at_thresholds(scored_lazy(spark, d), K_THRESHOLDS, label=EVAL_LABEL)
+
+
+@query("cost_benefit")
+def q_cost_benefit(spark, d):
+    t = metrics.metrics_at_thresholds(scored_lazy(spark, d), K_THRESHOLDS, label=EVAL_LABEL)
+    saved = F.col("tp") * SAVE_RATE
+    cost = (F.col("tp") + F.col("fp")) * CONTACT_COST
+    benefit = saved * ACCOUNT_VALUE
+    return t.select(
+        "threshold",
+        "tp",
+        "fp",
+        cost.alias("cost"),
+        benefit.alias("benefit"),
+        (benefit - cost).alias("net_value"),
+        F.try_divide(benefit - cost, cost).alias("roi"),
+    )
+
+
+@query("risk_trajectory")
+def q_trajectory(spark, d):
+    """Last TRAJECTORY_ROWS periods per account with the change vs the previous period."""
+    s = scored_lazy(spark, d)
+    w = Window.partitionBy("account_id").orderBy("month")
+    wd = Window.partitionBy("account_id").orderBy(F.col("month").desc())
+    x = s.select(
+        "account_id",
+        "month",
+        "churn_risk_score",
+        (F.col("churn_risk_score") - F.lag("churn_risk_score").over(w)).alias("score_change"),
+        F.row_number().over(wd).alias("periods_back"),
+    )
+    return x.where(F.col("periods_back") <= TRAJECTORY_ROWS)
+
+
+@query("cohort_rollup")
+def q_cohort(spark, d):
+    """Joining quarter x tenure bucket, with ROLLUP subtotals."""
+    s = scored_lazy(spark, d)
+    first = F.min("month").over(Window.partitionBy("account_id"))
+    x = s.select(
+        F.trunc(first, "quarter").alias("cohort_quarter"),
+        (F.floor(F.col("account_age_months") / AGE_BUCKET) * AGE_BUCKET).cast("bigint").alias("age_bucket"),
+        "churn_risk_score",
+        EVAL_LABEL,
+    )
+    return x.rollup("cohort_quarter", "age_bucket").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.avg("churn_risk_score").alias("avg_risk"),
+        F.avg(F.col(EVAL_LABEL).cast("double")).alias("churn_rate"),
+    )
+
+
+@query("portfolio_risk")
+def q_portfolio(spark, d):
+    """Revenue-weighted risk per period and its change (window over the per-period table)."""
+    s = scored_lazy(spark, d)
+    per = s.groupBy("month").agg(
+        F.count(F.lit(1)).alias("n_accounts"),
+        F.sum("current_month_revenue").alias("revenue"),
+        F.try_divide(F.sum(F.col("churn_risk_score") * F.col("current_month_revenue")), F.sum("current_month_revenue")).alias(
+            "weighted_risk"
+        ),
+    )
+    w = Window.orderBy("month")  # one row per period: bounded by the calendar
+    return per.select("*", (F.col("weighted_risk") - F.lag("weighted_risk").over(w)).alias("risk_change"))
+
+
+@query("feature_drift")
+def q_drift(spark, d):
+    """Mean shift (in training std units) and std ratio, recent vs training periods."""
+    s = scored_lazy(spark, d)
+    idx = labels.month_index(s)
+    x = s.join(F.broadcast(idx.select("month", "period_idx")), "month")
+    feats = model_feature_names()
+    tr = f"period_idx <= {DRIFT_TRAIN_MONTHS}"
+    rc = f"period_idx BETWEEN {DRIFT_RECENT_FROM} AND {DRIFT_RECENT_TO}"
+    aggs = []
+    for i, f in enumerate(feats):
+        v = f"CAST({q(f)} AS DOUBLE)"
+        aggs += [
+            f"avg(CASE WHEN {tr} THEN {v} END) AS _mt{i}",
+            f"stddev_samp(CASE WHEN {tr} THEN {v} END) AS _st{i}",
+            f"avg(CASE WHEN {rc} THEN {v} END) AS _mr{i}",
+            f"stddev_samp(CASE WHEN {rc} THEN {v} END) AS _sr{i}",
+        ]
+    wide = x.selectExpr(*aggs)
+    body = ", ".join(f"'{f}', _mt{i}, _st{i}, _mr{i}, _sr{i}" for i, f in enumerate(feats))
+    long = wide.selectExpr(f"stack({len(feats)}, {body}) AS (feature, train_mean, train_std, recent_mean, recent_std)")
+    return long.select(
+        "*",
+        F.try_divide(F.col("recent_mean") - F.col("train_mean"), F.col("train_std")).alias("mean_shift"),
+        F.try_divide(F.col("recent_std"), F.col("train_std")).alias("std_ratio"),
+    )
+
+
+@query("custom_segments")
+def q_custom_segments(spark, d):
+    """Named predicate strings -> members counted in one pass (segments may overlap)."""
+    s = scored_lazy(spark, d)
+    members = [F.when(F.coalesce(F.expr(pred), F.lit(False)), F.lit(name)) for name, pred in CUSTOM_SEGMENTS.items()]
+    x = s.select(F.explode(F.array_compact(F.array(*members))).alias("segment"), "account_id", "churn_risk_score")
+    return x.groupBy("segment").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("account_id").alias("n_accounts"),
+        F.avg("churn_risk_score").alias("avg_risk"),
+    )
+
+
+@query("segment_comparison")
+def q_segment_comparison(spark, d):
+    """Features that differ most between high-risk rows and the rest (effect size)."""
+    s = scored_lazy(spark, d)
+    x = s.select("*", F.col("risk_tier").isin("High Risk", "Medium Risk").cast("int").alias("_in_segment"))
+    st = explain.class_stats(x, model_feature_names(), "_in_segment")
+    eff = F.try_divide(F.col("churned_avg") - F.col("safe_avg"), F.col("safe_std"))
+    ranked = st.select(
+        "feature",
+        F.col("churned_avg").alias("segment_mean"),
+        F.col("safe_avg").alias("rest_mean"),
+        eff.alias("effect_size"),
+    )
+    w = Window.orderBy(F.abs(F.col("effect_size")).desc_nulls_last(), F.col("feature"))  # 107 rows
+    return ranked.select("*", F.row_number().over(w).alias("rank")).where(F.col("rank") <= 10)
+
+
+@query("what_if")
+def q_what_if(spark, d):
+    """Top-risk rows re-scored under fixed scenarios (feature overrides)."""
+    s = scored_o(spark, d)
+    top = scoring.top_risk(s, TOP_N_EXPLAIN)
+    coefs, icpt = scoring.FIXED_COEFFICIENTS, scoring.FIXED_INTERCEPT
+    parts = []
+    for name, overrides in WHAT_IF:
+        z = str(icpt)
+        for f, c in coefs.items():
+            v = overrides.get(f, q(f))
+            z += f" + ({c!r}) * CAST({v} AS DOUBLE)"
+        new = f"round(1.0D / (1.0D + exp(-({z}))) * 10000.0D, 0) / 10000.0D"
+        parts.append(
+            top.selectExpr(
+                "account_id", "month", f"'{name}' AS scenario", "churn_risk_score AS base_score", f"{new} AS new_score"
+            )
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("*", (F.col("new_score") - F.col("base_score")).alias("delta"))
+
+
+@query("risk_alerts")
+def q_alerts(spark, d):
+    """Score up by more than ALERT_RISE vs the previous period, or a high-value account entering High Risk."""
+    s = scored_lazy(spark, d)
+    w = Window.partitionBy("account_id").orderBy("month")
+    x = s.select(
+        "account_id",
+        "month",
+        "churn_risk_score",
+        "risk_tier",
+        "current_month_revenue_90d_avg",
+        F.lag("churn_risk_score").over(w).alias("prev_score"),
+        F.lag("risk_tier").over(w).alias("prev_tier"),
+    )
+    rise = F.col("churn_risk_score") > F.col("prev_score") * (1 + ALERT_RISE)
+    enters = (
+        (F.col("risk_tier") == "High Risk")
+        & (F.col("prev_tier") != "High Risk")
+        & (F.col("current_month_revenue_90d_avg") >= HIGH_VALUE_REVENUE)
+    )
+    alert = F.when(enters, "high_value_enters_high_risk").when(rise, "risk_rising")
+    return x.select("account_id", "month", "prev_score", "churn_risk_score", alert.alias("alert")).where(
+        F.col("alert").isNotNull()
+    )
+
+
+@query("model_comparison")
+def q_model_comparison(spark, d):
+    """Old (linear_a) vs new (linear_b) metrics side by side with deltas, long by metric."""
+    m = metrics.classification_metrics(two_models(spark, d), EVAL_LABEL, group="model_name")
+    names = ["accuracy", "precision", "recall", "f1_score", "roc_auc", "pr_auc"]
+    body = ", ".join(f"'{n}', CAST({n} AS DOUBLE)" for n in names)
+    long = m.selectExpr("model_name", f"stack({len(names)}, {body}) AS (metric, value)")
+    old = long.where(F.col("model_name") == "linear_a").select("metric", F.col("value").alias("old_value"))
+    new = long.where(F.col("model_name") == "linear_b").select("metric", F.col("value").alias("new_value"))
+    return old.join(new, "metric").select("*", (F.col("new_value") - F.col("old_value")).alias("delta"))
+
+
+@query("ab_groups")
+def q_ab(spark, d):
+    """Deterministic A/B assignment per account (seeded hash), with group sizes and mean risk."""
+    s = scored_lazy(spark, d)
+    g = F.pmod(F.xxhash64(F.lit(AB_SEED), F.col("account_id")), F.lit(AB_GROUPS)).cast("int")
+    return s.select(g.alias("ab_group"), "account_id", "churn_risk_score").groupBy("ab_group").agg(
+        F.countDistinct("account_id").alias("n_accounts"), F.avg("churn_risk_score").alias("avg_risk")
+    )
+
+
+@query("dq_report")
+def q_dq_report(spark, d):
+    """Missing values, IQR outliers (exact quartiles), range and freshness per raw metric."""
+    from panelcast.operators.metrics import exact_quantiles
+
+    s = scored_lazy(spark, d)
+    cols = ["current_month_transactions", "total_tickets", "escalated_tickets", "late_payments"]
+    parts = []
+    for c in cols:
+        qs = exact_quantiles(s, c, [0.25, 0.75])
+        q1 = qs.where(F.col("q") == 0.25).select(F.col("value").alias("q1"))
+        q3 = qs.where(F.col("q") == 0.75).select(F.col("value").alias("q3"))
+        base = s.agg(
+            F.count_if(F.col(c).isNull()).alias("n_missing"),
+            F.min(c).cast("double").alias("min_value"),
+            F.max(c).cast("double").alias("max_value"),
+            F.max("month").alias("latest_period"),
+        )
+        iqr = q1.crossJoin(q3)
+        lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
+        hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
+        outl = s.select(c).crossJoin(F.broadcast(iqr)).agg(
+            F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias("n_outliers")
+        )
+        parts.append(base.crossJoin(iqr).crossJoin(outl).select(F.lit(c).alias("column"), "*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("segment_clusters")
+def q_clusters(spark, d):
+    """K-means segments on standardised raw metrics: size and mean risk per cluster."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+
+    s = scored_lazy(spark, d)
+    cols = model_feature_names()[:7]
+    pipe = Pipeline(
+        stages=[
+            VectorAssembler(inputCols=cols, outputCol="_raw"),
+            StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
+            KMeans(k=N_CLUSTERS, seed=1, featuresCol="features", predictionCol="cluster"),
+        ]
+    )
+    data = s.select("account_id", "churn_risk_score", *cols)
+    model = pipe.fit(data)
+    return model.transform(data).groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.avg("churn_risk_score").alias("avg_risk")
+    )
+
+
+@query("similar_accounts")
+def q_similar(spark, d):
+    """Nearest rows (LSH on standardised raw metrics) to the riskiest row, excluding its own account."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import BucketedRandomProjectionLSH, StandardScaler, VectorAssembler
+
+    s = scored_lazy(spark, d)
+    cols = model_feature_names()[:7]
+    pipe = Pipeline(
+        stages=[
+            VectorAssembler(inputCols=cols, outputCol="_raw"),
+            StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
+            BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=2.0, numHashTables=3, seed=1),
+        ]
+    )
+    data = s.select("account_id", "month", "churn_risk_score", *cols)
+    model = pipe.fit(data)
+    vec = model.transform(data)
+    target = vec.orderBy(F.col("churn_risk_score").desc(), "account_id", "month").first()
+    lsh = model.stages[-1]
+    others = vec.where(F.col("account_id") != target["account_id"])
+    nn = lsh.approxNearestNeighbors(others, target["features"], N_NEIGHBOURS, distCol="distance")
+    return nn.select(
+        F.lit(target["account_id"]).alias("target_account"), "account_id", "month", "churn_risk_score", "distance"
+    )

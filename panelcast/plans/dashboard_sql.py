@@ -1,5 +1,177 @@
 """DuckDB oracle SQL for the dashboard queries."""
 
+from __future__ import annotations
+
 
 def dashboard_sql() -> dict[str, str]:
-    return {}
+    from panelcast.plans import dashboard as D
+    from panelcast.plans.oracle import (
+        EVAL,
+        SCORED_O,
+        W,
+        _explain_sql,
+        _two_models,
+        _curve,
+        model_feature_names,
+        r4,
+    )
+    from panelcast.plans.catalog import K_THRESHOLDS
+    from panelcast.operators.scoring import FIXED_COEFFICIENTS, FIXED_INTERCEPT
+
+    q: dict[str, str] = {}
+    S = SCORED_O.rstrip("\n")
+    q["kpi_rollup"] = SCORED_O + f"""SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT account_id) AS BIGINT) AS n_accounts,
+  {r4('avg(churn_risk_score)')} AS mean_risk,
+  CAST(count(*) FILTER (WHERE risk_tier = 'High Risk') AS BIGINT) AS n_high,
+  CAST(count(*) FILTER (WHERE risk_tier = 'Medium Risk') AS BIGINT) AS n_medium,
+  CAST(count(*) FILTER (WHERE risk_tier = 'Low Risk') AS BIGINT) AS n_low,
+  CAST(count(*) FILTER (WHERE risk_tier = 'Very Safe') AS BIGINT) AS n_safe,
+  CAST(count(*) FILTER (WHERE churn_risk_score >= 0.5) AS BIGINT) AS predicted_churners FROM scored"""
+    nb = D.HIST_BINS
+    q["risk_histogram"] = SCORED_O + f"""SELECT bin, {r4(f'bin / {nb}')} AS bin_low, {r4(f'(bin + 1) / {nb}')} AS bin_high, CAST(count(*) AS BIGINT) AS n_rows
+FROM (SELECT CAST(least(floor(churn_risk_score * {nb}), {nb - 1}) AS INTEGER) AS bin FROM scored) GROUP BY bin"""
+
+    ex = _explain_sql(
+        "xrows AS (SELECT * FROM scored WHERE risk_tier IN ('High Risk', 'Medium Risk') AND churn_risk_score >= 0.5)", 1
+    )
+    head, tail = ex.rsplit("\nSELECT account_id, month, CAST(rank AS INTEGER)", 1)
+    q["high_risk_top_factor"] = head + f"""
+SELECT r.account_id, r.month, {r4('r.churn_risk_score')} AS churn_risk_score, r.risk_tier, k.feature AS top_factor, {r4('k.z_score')} AS z_score
+FROM xrows r JOIN xk k ON r.account_id = k.account_id AND r.month = k.month WHERE k.rank = 1"""
+
+    tvals = ", ".join(f"({t!r})" for t in K_THRESHOLDS)
+    thr_cte = f""",
+th AS (SELECT CAST(t AS DOUBLE) AS threshold FROM (VALUES {tvals}) v(t)),
+cm AS (SELECT threshold,
+  CAST(count(*) FILTER (WHERE churn_risk_score >= threshold AND {EVAL} = 1) AS BIGINT) AS tp,
+  CAST(count(*) FILTER (WHERE churn_risk_score >= threshold AND {EVAL} = 0) AS BIGINT) AS fp,
+  CAST(count(*) FILTER (WHERE churn_risk_score < threshold AND {EVAL} = 1) AS BIGINT) AS fn,
+  CAST(count(*) FILTER (WHERE churn_risk_score < threshold AND {EVAL} = 0) AS BIGINT) AS tn
+  FROM scored CROSS JOIN th GROUP BY threshold)"""
+    q["threshold_table"] = S + thr_cte + f"""
+SELECT {r4('threshold')} AS threshold, {r4('CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END')} AS precision,
+  {r4('CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END')} AS recall,
+  {r4('CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END')} AS f1_score,
+  {r4('CASE WHEN tp + fp + fn + tn > 0 THEN (tp + fp) / (tp + fp + fn + tn) ELSE 0.0 END')} AS predicted_churn_rate,
+  tp, fp, fn, tn FROM cm"""
+    cost = f"((tp + fp) * {D.CONTACT_COST!r}::DOUBLE)"
+    benefit = f"(tp * {D.SAVE_RATE!r}::DOUBLE * {D.ACCOUNT_VALUE!r}::DOUBLE)"
+    q["cost_benefit"] = S + thr_cte + f"""
+SELECT {r4('threshold')} AS threshold, tp, fp, {r4(cost)} AS cost, {r4(benefit)} AS benefit,
+  {r4(f'{benefit} - {cost}')} AS net_value, {r4(f'({benefit} - {cost}) / NULLIF({cost}, 0)')} AS roi FROM cm"""
+
+    q["risk_trajectory"] = SCORED_O + f"""SELECT * FROM (
+  SELECT account_id, month, {r4('churn_risk_score')} AS churn_risk_score,
+         {r4(f'churn_risk_score - lag(churn_risk_score) OVER ({W})')} AS score_change,
+         CAST(row_number() OVER (PARTITION BY account_id ORDER BY month DESC) AS INTEGER) AS periods_back
+  FROM scored) WHERE periods_back <= {D.TRAJECTORY_ROWS}"""
+
+    ab = D.AGE_BUCKET
+    q["cohort_rollup"] = S + f""",
+cx AS (SELECT CAST(date_trunc('quarter', min(month) OVER (PARTITION BY account_id)) AS DATE) AS cohort_quarter,
+              CAST(floor(account_age_months / {ab}) * {ab} AS BIGINT) AS age_bucket, churn_risk_score, {EVAL} FROM scored)
+SELECT cohort_quarter, age_bucket, CAST(count(*) AS BIGINT) AS n_rows, {r4('avg(churn_risk_score)')} AS avg_risk,
+       {r4(f'avg(CAST({EVAL} AS DOUBLE))')} AS churn_rate
+FROM cx GROUP BY ROLLUP (cohort_quarter, age_bucket)"""
+
+    q["portfolio_risk"] = S + f""",
+per AS (SELECT month, CAST(count(*) AS BIGINT) AS n_accounts, sum(current_month_revenue) AS revenue,
+               sum(churn_risk_score * current_month_revenue) / NULLIF(sum(current_month_revenue), 0) AS weighted_risk
+        FROM scored GROUP BY month)
+SELECT month, n_accounts, {r4('revenue')} AS revenue, {r4('weighted_risk')} AS weighted_risk,
+       {r4('weighted_risk - lag(weighted_risk) OVER (ORDER BY month)')} AS risk_change FROM per"""
+
+    feats = model_feature_names()
+    casts = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in feats)
+    q["feature_drift"] = S + f""",
+mi AS (SELECT month, row_number() OVER (ORDER BY month) AS idx FROM (SELECT DISTINCT month FROM scored)),
+dd AS (SELECT mi.idx, {casts} FROM scored JOIN mi USING (month)),
+dl AS (UNPIVOT dd ON {", ".join(feats)} INTO NAME feature VALUE value),
+ds AS (SELECT feature,
+  avg(value) FILTER (WHERE idx <= {D.DRIFT_TRAIN_MONTHS}) AS train_mean,
+  stddev_samp(value) FILTER (WHERE idx <= {D.DRIFT_TRAIN_MONTHS}) AS train_std,
+  avg(value) FILTER (WHERE idx BETWEEN {D.DRIFT_RECENT_FROM} AND {D.DRIFT_RECENT_TO}) AS recent_mean,
+  stddev_samp(value) FILTER (WHERE idx BETWEEN {D.DRIFT_RECENT_FROM} AND {D.DRIFT_RECENT_TO}) AS recent_std
+  FROM dl GROUP BY feature)
+SELECT feature, {r4('train_mean')} AS train_mean, {r4('train_std')} AS train_std, {r4('recent_mean')} AS recent_mean,
+  {r4('recent_std')} AS recent_std, {r4('(recent_mean - train_mean) / NULLIF(train_std, 0)')} AS mean_shift,
+  {r4('recent_std / NULLIF(train_std, 0)')} AS std_ratio FROM ds"""
+
+    seg_union = "\n  UNION ALL\n  ".join(
+        f"SELECT '{name}' AS segment, account_id, churn_risk_score FROM scored WHERE coalesce({pred}, false)"
+        for name, pred in D.CUSTOM_SEGMENTS.items()
+    )
+    q["custom_segments"] = S + f""",
+cs AS ({seg_union})
+SELECT segment, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT account_id) AS BIGINT) AS n_accounts,
+       {r4('avg(churn_risk_score)')} AS avg_risk FROM cs GROUP BY segment"""
+
+    q["segment_comparison"] = S + f""",
+popd AS (SELECT CAST(risk_tier IN ('High Risk', 'Medium Risk') AS INTEGER) AS y, {casts} FROM scored),
+pl AS (UNPIVOT popd ON {", ".join(feats)} INTO NAME feature VALUE value),
+st AS (SELECT feature, avg(value) FILTER (WHERE y = 1) AS segment_mean, avg(value) FILTER (WHERE y = 0) AS rest_mean,
+              stddev_samp(value) FILTER (WHERE y = 0) AS rest_std FROM pl GROUP BY feature),
+rk AS (SELECT *, (segment_mean - rest_mean) / NULLIF(rest_std, 0) AS effect_size FROM st),
+rn AS (SELECT *, row_number() OVER (ORDER BY abs(effect_size) DESC NULLS LAST, feature) AS rank FROM rk)
+SELECT feature, {r4('segment_mean')} AS segment_mean, {r4('rest_mean')} AS rest_mean, {r4('effect_size')} AS effect_size,
+       CAST(rank AS INTEGER) AS rank FROM rn WHERE rank <= 10"""
+
+    wi = []
+    for name, overrides in D.WHAT_IF:
+        z = f"{FIXED_INTERCEPT}"
+        for f, c in FIXED_COEFFICIENTS.items():
+            v = overrides.get(f, f)
+            z += f" + ({c!r}) * CAST({v} AS DOUBLE)"
+        wi.append(
+            f"SELECT account_id, month, '{name}' AS scenario, churn_risk_score AS base_score, "
+            f"round(1.0 / (1.0 + exp(-({z}))), 4) AS new_score FROM top"
+        )
+    q["what_if"] = S + f""",
+top AS (SELECT * FROM scored ORDER BY churn_risk_score DESC, account_id, month LIMIT {D.TOP_N_EXPLAIN}),
+wi AS ({" UNION ALL ".join(wi)})
+SELECT account_id, month, scenario, {r4('base_score')} AS base_score, {r4('new_score')} AS new_score,
+       {r4('new_score - base_score')} AS delta FROM wi"""
+
+    q["risk_alerts"] = S + f""",
+al AS (SELECT account_id, month, churn_risk_score, risk_tier, current_month_revenue_90d_avg,
+              lag(churn_risk_score) OVER ({W}) AS prev_score, lag(risk_tier) OVER ({W}) AS prev_tier FROM scored),
+a2 AS (SELECT *, CASE WHEN risk_tier = 'High Risk' AND prev_tier <> 'High Risk' AND current_month_revenue_90d_avg >= {D.HIGH_VALUE_REVENUE!r}
+                      THEN 'high_value_enters_high_risk'
+                      WHEN churn_risk_score > prev_score * (1 + {D.ALERT_RISE!r}::DOUBLE) THEN 'risk_rising' END AS alert FROM al)
+SELECT account_id, month, {r4('prev_score')} AS prev_score, {r4('churn_risk_score')} AS churn_risk_score, alert
+FROM a2 WHERE alert IS NOT NULL"""
+
+    from panelcast.plans.oracle import oracle_sql as _base  # noqa: F401  (same module family)
+
+    roc = "CASE WHEN max(n_pos) > 0 AND max(n_neg) > 0 THEN sum(pos * ((n_neg - fp) + 0.5 * neg)) / (max(n_pos) * max(n_neg)) END"
+    pr = """CASE WHEN max(n_pos) > 0 AND max(n_neg) > 0 THEN sum(
+        ((CAST(tp AS DOUBLE) / n_pos) - (CAST(tp - pos AS DOUBLE) / n_pos))
+        * ((CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END)
+           + (CASE WHEN (tp - pos) + (fp - neg) > 0 THEN CAST(tp - pos AS DOUBLE) / ((tp - pos) + (fp - neg)) ELSE 1.0 END)) / 2) END"""
+    q["model_comparison"] = _two_models().rstrip("\n") + "," + _curve("two", "model_name") + f""",
+cmx AS (SELECT model_name,
+  count(*) FILTER (WHERE {EVAL} = 0 AND prediction = 0) AS tn, count(*) FILTER (WHERE {EVAL} = 0 AND prediction = 1) AS fp,
+  count(*) FILTER (WHERE {EVAL} = 1 AND prediction = 0) AS fn, count(*) FILTER (WHERE {EVAL} = 1 AND prediction = 1) AS tp
+  FROM two GROUP BY model_name),
+auc AS (SELECT model_name, {roc} AS roc_auc, {pr} AS pr_auc FROM curve GROUP BY model_name),
+mt AS (SELECT model_name,
+  CAST(CASE WHEN tn + fp + fn + tp > 0 THEN (tp + tn) / (tn + fp + fn + tp) ELSE 0.0 END AS DOUBLE) AS accuracy,
+  CAST(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS DOUBLE) AS precision,
+  CAST(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS DOUBLE) AS recall,
+  CAST(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS DOUBLE) AS f1_score,
+  CAST(roc_auc AS DOUBLE) AS roc_auc, CAST(pr_auc AS DOUBLE) AS pr_auc
+  FROM cmx JOIN auc USING (model_name)),
+ml AS (UNPIVOT mt ON accuracy, precision, recall, f1_score, roc_auc, pr_auc INTO NAME metric VALUE value)
+SELECT o.metric, {r4('o.value')} AS old_value, {r4('n.value')} AS new_value, {r4('n.value - o.value')} AS delta
+FROM (SELECT * FROM ml WHERE model_name = 'linear_a') o JOIN (SELECT * FROM ml WHERE model_name = 'linear_b') n USING (metric)"""
+
+    dq_parts = []
+    for c in ["current_month_transactions", "total_tickets", "escalated_tickets", "late_payments"]:
+        dq_parts.append(f"""SELECT '{c}' AS "column", CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_missing,
+  {r4(f'min({c})')} AS min_value, {r4(f'max({c})')} AS max_value, max(month) AS latest_period,
+  {r4(f'quantile_cont({c}, 0.25)')} AS q1, {r4(f'quantile_cont({c}, 0.75)')} AS q3,
+  CAST(count(*) FILTER (WHERE {c} < (SELECT quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) FROM scored)
+                          OR {c} > (SELECT quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) FROM scored)) AS BIGINT) AS n_outliers
+FROM scored""")
+    q["dq_report"] = SCORED_O + "\nUNION ALL\n".join(dq_parts)
+    return q

@@ -1 +1,190 @@
-"""Model training / evaluation queries (rows-only checks)."""
+"""Model training, evaluation, persistence and I/O queries.
+
+Fitted models are not reproducible across engines, so most of these are
+rows-only checks; the I/O round trips and the segment export have oracles.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from panelcast.functions.expressions import feature_category, round_half_away
+from panelcast.operators import drivers, explain, labels, metrics, ml, scoring
+from panelcast.plans.catalog import (
+    EVAL_LABEL,
+    TOP_N_EXPLAIN,
+    TOP_N_FEATURES,
+    _segments,
+    features_o,
+    panel_o,
+    query,
+)
+from panelcast.session import checkpoint_dir, materialize
+from panelcast.sources import io
+
+# ---- parameters of the registered training queries -----------------------------
+TRAIN_MONTHS = 40
+TEST_HORIZON = 12  # periods kept back at the end (churn is observable 12 months late)
+LR_PARAMS = {"maxIter": 100, "regParam": 0.01}
+RF_PARAMS = {"numTrees": 50, "maxDepth": 10}
+GBT_PARAMS = {"maxIter": 30, "maxDepth": 5, "stepSize": 0.1}
+LR_SEARCH_GRID = {"regParam": [1.0, 0.1, 0.01, 0.001], "maxIter": [100]}
+# ---------------------------------------------------------------------------------
+
+
+def train_test(spark, d):
+    """Horizon label as target (helper dropped), chronological split, model matrix;
+    written once so every fit and scoring pass starts from a short lineage."""
+    f = labels.swap_label(labels.horizon_labels(features_o(spark, d), horizon=3), EVAL_LABEL, "churned")
+    s = labels.time_split_horizon(f, TRAIN_MONTHS, horizon=TEST_HORIZON, check=False)
+    mm = ml.model_matrix(s, label="churned", ids=("account_id", "month", "split"))
+    return materialize(mm, "train-test")
+
+
+def _features(mm):
+    return [c for c in mm.columns if c not in ("account_id", "month", "split", "churned")]
+
+
+def _fit_and_score(spark, d, kind, params):
+    mm = train_test(spark, d)
+    feats = _features(mm)
+    model = ml.fit(mm.where(F.col("split") == "train"), feats, kind, "churned", **params)
+    return ml.score_model(model, mm.where(F.col("split") == "test"), threshold=None, keep=["churned"])
+
+
+@query("train_lr")
+def q_train_lr(spark, d):
+    return _fit_and_score(spark, d, "lr", LR_PARAMS)
+
+
+@query("train_rf")
+def q_train_rf(spark, d):
+    return _fit_and_score(spark, d, "rf", RF_PARAMS)
+
+
+@query("train_gbt")
+def q_train_gbt(spark, d):
+    return _fit_and_score(spark, d, "gbt", GBT_PARAMS)
+
+
+@query("train_lr_weighted")
+def q_train_lr_weighted(spark, d):
+    """Class weights n / (2 n_class) instead of resampling."""
+    mm = labels.class_weights(train_test(spark, d), "churned")
+    feats = [c for c in _features(mm) if c != "class_weight"]
+    model = ml.fit(mm.where(F.col("split") == "train"), feats, "lr", "churned", weight_col="class_weight", **LR_PARAMS)
+    return ml.score_model(model, mm.where(F.col("split") == "test"), threshold=None, keep=["churned"])
+
+
+@query("evaluate_fitted")
+def q_evaluate_fitted(spark, d):
+    """Fit LR / RF / GBT on the train months, metrics on the test months."""
+    mm = train_test(spark, d)
+    feats = _features(mm)
+    _, pred = ml.train_and_compare(
+        mm.where(F.col("split") == "train"),
+        mm.where(F.col("split") == "test"),
+        feats,
+        kinds=("lr", "rf", "gbt"),
+        label="churned",
+        params={"lr": LR_PARAMS, "rf": RF_PARAMS, "gbt": GBT_PARAMS},
+    )
+    return metrics.classification_metrics(materialize(pred, "fitted-predictions"), "churned", group="model_name")
+
+
+@query("grid_search_lr")
+def q_grid_search(spark, d):
+    """Forward-chaining CV over period blocks of the train months, positive-class F1."""
+    mm = train_test(spark, d)
+    train = mm.where(F.col("split") == "train")
+    _, _, table = ml.grid_search(train, _features(mm), "lr", LR_SEARCH_GRID, label="churned", n_splits=3)
+    return table
+
+
+@query("smote_train")
+def q_smote(spark, d):
+    mm = train_test(spark, d)
+    return ml.smote(mm.where(F.col("split") == "train"), _features(mm), "churned", k=5, seed=42)
+
+
+@query("stratified_split")
+def q_stratified(spark, d):
+    lab = labels.horizon_labels(panel_o(spark, d), horizon=3)
+    return labels.stratified_split(lab, ["account_id", "month"], EVAL_LABEL, 0.8, seed=42).select(
+        "account_id", "month", EVAL_LABEL, "split"
+    )
+
+
+@query("importance_topn")
+def q_importance_topn(spark, d):
+    """Top features of a fitted random forest, with their category."""
+    mm = train_test(spark, d)
+    feats = _features(mm)
+    model = ml.fit(mm.where(F.col("split") == "train"), feats, "rf", "churned", **RF_PARAMS)
+    imp = drivers.importance_frame(spark, *zip(*ml.feature_importance(model, feats)))
+    return drivers.top_features(imp, TOP_N_FEATURES)
+
+
+@query("occlusion_attribution")
+def q_occlusion(spark, d):
+    """Score change of a fitted LR when each feature is set to the safe mean, top-risk test rows."""
+    mm = train_test(spark, d)
+    feats = _features(mm)
+    model = ml.fit(mm.where(F.col("split") == "train"), feats, "lr", "churned", **LR_PARAMS)
+    test = mm.where(F.col("split") == "test")
+    scored = ml.score_model(model, test, threshold=None, keep=feats)
+    top = scoring.top_risk(scored, TOP_N_EXPLAIN)
+    stats = explain.class_stats(test, feats, "churned")
+    return explain.occlusion_attribution(model, top, stats, feats)
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, d):
+    """Save the fitted pipeline to shared storage, load it back, score with the loaded copy."""
+    mm = train_test(spark, d)
+    feats = _features(mm)
+    model = ml.fit(mm.where(F.col("split") == "train"), feats, "lr", "churned", **LR_PARAMS)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/lr-{uuid.uuid4().hex}"
+    io.save_model(model, path)
+    loaded = io.load_model(path)
+    return ml.score_model(loaded, mm.where(F.col("split") == "test"), threshold=None, keep=["churned"])
+
+
+@query("io_roundtrip")
+def q_io_roundtrip(spark, d):
+    """Panel written as csv / json / parquet and read back; per-format profile."""
+    p = panel_o(spark, d)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/io/{uuid.uuid4().hex}"
+    parts = []
+    for fmt in ("csv", "json", "parquet"):
+        path = f"{base}/panel.{fmt}"
+        io.save_table(p, path)
+        back = io.load_panel(spark, path)
+        parts.append(
+            back.agg(
+                F.count(F.lit(1)).alias("n_rows"),
+                F.countDistinct("account_id").alias("n_accounts"),
+                F.sum("current_month_transactions").alias("transactions"),
+                round_half_away(F.sum("current_month_revenue"), 2).alias("revenue"),
+                F.sum("churned").cast("bigint").alias("churned"),
+                F.max("last_touchbase_date").alias("last_touch"),
+            ).select(F.lit(fmt).alias("format"), "*")
+        )
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+@query("segment_export")
+def q_segment_export(spark, d):
+    """Driver segments exported one folder per segment, read back and counted."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/segments/{uuid.uuid4().hex}"
+    io.export_segments(_segments(spark, d), path)
+    back = spark.read.option("header", True).csv(path)
+    return back.groupBy("segment_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+__all__ = ["train_test", "feature_category"]

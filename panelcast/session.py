@@ -76,10 +76,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "lineage-cut") -> DataFrame:
+    """Cut the lineage through a table written in the shared checkpoint folder
+    (one computation; survives executor loss).  See ``materialize``."""
+    return materialize(df, name)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
