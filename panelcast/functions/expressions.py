@@ -163,13 +163,18 @@ def q(name: str) -> str:
 def round_doubles(df, digits: int = 4):
     """Round every double column (for cross-engine comparison of float results).
 
+    Two steps, first to 10 decimals: values that sit on a half at ``digits``
+    (averages of rounded scores do) but differ in the last bit between
+    engines are snapped to the exact half first, so both round the same way.
     Built as SQL expression strings: one call to the JVM for any width."""
-    scale = f"{float(10**digits)!r}"
+    scale = f"{float(10**digits)!r}D"
+    fine = "10000000000.0D"
     exprs = []
     for field in df.schema.fields:
         n = q(field.name)
         if field.dataType.typeName() in ("double", "float"):
-            exprs.append(f"round(CAST({n} AS DOUBLE) * {scale}, 0) / {scale} AS {n}")
+            snapped = f"(round(CAST({n} AS DOUBLE) * {fine}, 0) / {fine})"
+            exprs.append(f"round({snapped} * {scale}, 0) / {scale} AS {n}")
         else:
             exprs.append(n)
     return df.selectExpr(*exprs)

@@ -33,7 +33,10 @@ def _div0(num, den):
 def _bucketize(pts: DataFrame, value: str, n_buckets: int) -> DataFrame:
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = pts.approxQuantile(value, probs, 1.0 / (4 * n_buckets)) if n_buckets > 1 else []
-    splits = [float("-inf")] + sorted({c for c in cuts if c == c}) + [float("inf")]
+    inner = sorted({c for c in cuts if c == c and abs(c) != float("inf")})
+    if not inner:  # one bucket
+        return pts.select("*", F.lit(0.0).alias("_bucket"))
+    splits = [float("-inf")] + inner + [float("inf")]
     b = Bucketizer(splits=splits, inputCol=value, outputCol="_bucket", handleInvalid="keep")
     return b.transform(pts)
 

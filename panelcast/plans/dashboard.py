@@ -367,3 +367,18 @@ def q_similar(spark, d):
     return nn.select(
         F.lit(target["account_id"]).alias("target_account"), "account_id", "month", "churn_risk_score", "distance"
     )
+
+
+@query("stream_scoring")
+def q_stream_scoring(spark, d):
+    """Feature rows land as files; a streaming query scores each micro-batch into a sink."""
+    import uuid
+
+    from panelcast.plans.catalog import features_o
+    from panelcast.session import checkpoint_dir
+    from panelcast.streaming.scoring import run_file_stream
+
+    src = f"{checkpoint_dir(spark).rstrip('/')}/stream-src/{uuid.uuid4().hex}"
+    features_o(spark, d).repartition(8, "account_id").write.parquet(src)
+    sink = run_file_stream(spark, src, max_files_per_trigger=2)
+    return spark.read.parquet(sink)

@@ -174,4 +174,6 @@ FROM (SELECT * FROM ml WHERE model_name = 'linear_a') o JOIN (SELECT * FROM ml W
                           OR {c} > (SELECT quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) FROM scored)) AS BIGINT) AS n_outliers
 FROM scored""")
     q["dq_report"] = SCORED_O + "\nUNION ALL\n".join(dq_parts)
+    q["stream_scoring"] = SCORED_O + f"""SELECT account_id, month, {r4('churn_risk_score')} AS churn_risk_score, prediction,
+  {r4('safe_probability')} AS safe_probability, risk_tier FROM scored"""
     return q

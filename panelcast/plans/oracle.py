@@ -27,7 +27,8 @@ MODEL_RAW = [
 
 
 def r4(expr: str) -> str:
-    return f"(round(CAST({expr} AS DOUBLE), 4) + 0.0)"
+    """Two-step rounding (10 then 4 decimals), the same arithmetic as the Spark side."""
+    return f"(round(round(CAST({expr} AS DOUBLE), 10), 4) + 0.0)"
 
 
 def feature_double_names() -> set[str]:
