@@ -60,41 +60,53 @@ def explain_deviation(
     ids: Sequence[str] = ("account_id", "month"),
     top_n: int = 10,
 ) -> DataFrame:
-    """Top ``top_n`` factors per row by |z| * importance (ties by feature name)."""
-    long = unpivot_features(rows, ids, features)
-    z = F.when(F.col("safe_std") > 0, (F.col("value") - F.col("safe_avg")) / F.col("safe_std")).otherwise(F.lit(0.0))
-    closer = F.coalesce(
-        F.abs(F.col("value") - F.col("churned_avg")) < F.abs(F.col("value") - F.col("safe_avg")), F.lit(False)
+    """Top ``top_n`` factors per row by |z| * importance (ties by feature name).
+
+    Shuffle-free: the per-feature statistics and importances are packed into
+    one array (one row, bounded by the number of features) and broadcast;
+    each row puts its feature values in an array, computes every factor with
+    ``transform``, sorts the array and keeps the first ``top_n`` -- no
+    rows x features explode before the cut and no shuffle.
+    """
+    feats = list(features)
+    names = F.array(*[F.lit(f) for f in feats])
+    st = stats.select("feature", "safe_avg", "safe_std", "churned_avg").join(
+        importance.select("feature", "importance"), "feature", "left"
     )
-    scored = (
-        long.join(F.broadcast(stats.select("feature", "safe_avg", "safe_std", "churned_avg")), "feature")
-        .join(F.broadcast(importance.select("feature", "importance")), "feature", "left")
-        .select(
-            *ids,
-            "feature",
-            "value",
-            "safe_avg",
-            "churned_avg",
-            z.alias("z_score"),
-            F.coalesce(F.col("importance"), F.lit(0.0)).alias("importance"),
-            closer.alias("closer_to_churned"),
-        )
-        .select("*", (F.abs(F.col("z_score")) * F.col("importance")).alias("risk_score"))
+    packed = st.select(
+        F.struct(
+            F.array_position(names, F.col("feature")).cast("int").alias("p"),
+            F.col("feature"),
+            F.col("safe_avg").alias("a"),
+            F.col("safe_std").alias("s"),
+            F.col("churned_avg").alias("c"),
+            F.coalesce(F.col("importance"), F.lit(0.0)).alias("w"),
+        ).alias("st")
+    ).where(F.col("st.p") > 0)
+    one = packed.agg(F.collect_list("st").alias("_stats"))  # <= len(features) entries
+    values = "array(" + ", ".join(f"CAST({q(f)} AS DOUBLE)" for f in feats) + ")"
+    x = rows.selectExpr(*[q(i) for i in ids], f"{values} AS _values").crossJoin(F.broadcast(one))
+    v = "element_at(_values, t.p)"
+    z = f"CASE WHEN t.s > 0 THEN ({v} - t.a) / t.s ELSE 0.0D END"
+    factor = (
+        f"named_struct('neg_risk', -(abs({z}) * t.w), 'feature', t.feature, 'value', {v}, 'safe_avg', t.a,"
+        f" 'churned_avg', t.c, 'z_score', {z}, 'importance', t.w,"
+        f" 'closer_to_churned', coalesce(abs({v} - t.c) < abs({v} - t.a), false))"
     )
-    w = Window.partitionBy(*ids).orderBy(F.col("risk_score").desc(), F.col("feature"))
-    ranked = scored.select("*", F.row_number().over(w).alias("rank")).where(F.col("rank") <= top_n)
+    top = f"slice(array_sort(transform(_stats, t -> {factor})), 1, {int(top_n)})"
+    ranked = x.selectExpr(*[q(i) for i in ids], f"posexplode({top}) AS (pos, f)")
     return ranked.select(
         *ids,
-        "rank",
-        "feature",
-        "value",
-        "safe_avg",
-        "churned_avg",
-        "z_score",
-        "importance",
-        "risk_score",
-        "closer_to_churned",
-        concern_label("z_score").alias("concern"),
+        (F.col("pos") + 1).alias("rank"),
+        F.col("f.feature").alias("feature"),
+        F.col("f.value").alias("value"),
+        F.col("f.safe_avg").alias("safe_avg"),
+        F.col("f.churned_avg").alias("churned_avg"),
+        F.col("f.z_score").alias("z_score"),
+        F.col("f.importance").alias("importance"),
+        (F.lit(0.0) - F.col("f.neg_risk")).alias("risk_score"),
+        F.col("f.closer_to_churned").alias("closer_to_churned"),
+        concern_label(F.col("f.z_score")).alias("concern"),
     )
 
 

@@ -233,17 +233,19 @@ def smote(
     def neighbours(batches):
         x = bc.value
         sq = (x * x).sum(axis=1)
+        chunk = max(1, int(2e7 // max(1, len(x))))  # ~160 MB of distances per step
         for pdf in batches:
-            ids = pdf["i"].to_numpy()
-            d = sq[ids][:, None] + sq[None, :] - 2.0 * x[ids] @ x.T
-            d[np.arange(len(ids)), ids] = np.inf
-            nn = np.argpartition(d, k - 1, axis=1)[:, :k] if k < len(x) - 1 else np.argsort(d, axis=1)[:, :k]
-            # order the k neighbours by distance, ties by index
-            rows = []
-            for r, cand in enumerate(nn):
-                order = sorted(cand.tolist(), key=lambda j: (d[r, j], j))
-                rows.append(order)
-            yield pd.DataFrame({"i": ids, "nn": rows})
+            ids_all = pdf["i"].to_numpy()
+            out = []
+            for s in range(0, len(ids_all), chunk):
+                ids = ids_all[s : s + chunk]
+                d = sq[ids][:, None] + sq[None, :] - 2.0 * x[ids] @ x.T
+                d[np.arange(len(ids)), ids] = np.inf
+                nn = np.argpartition(d, k - 1, axis=1)[:, :k] if k < len(x) - 1 else np.argsort(d, axis=1)[:, :k]
+                # order the k neighbours by distance, ties by index
+                for r, cand in enumerate(nn):
+                    out.append(sorted(cand.tolist(), key=lambda j, r=r: (d[r, j], j)))
+            yield pd.DataFrame({"i": ids_all, "nn": out})
 
     knn = idx.mapInPandas(neighbours, "i long, nn array<long>")
     knn_arr = np.array([r["nn"] for r in knn.orderBy("i").collect()], dtype=np.int64)
