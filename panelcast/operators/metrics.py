@@ -158,6 +158,12 @@ def pr_auc(counts: DataFrame, group: str | None = None) -> DataFrame:
     return agg.select(*g, F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_a")).cast("double").alias("pr_auc"))
 
 
+def pr_baseline(df: DataFrame, label: str = "churned", group: str | None = None) -> DataFrame:
+    """The PR curve's no-skill line: the share of positives."""
+    g = [group] if group else []
+    return df.groupBy(*g).agg(F.avg(F.col(label).cast("double")).alias("pr_baseline"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def confusion(df: DataFrame, label: str = "churned", prediction: str = "prediction", group: str | None = None) -> DataFrame:
     """tn/fp/fn/tp as sums (0 for a missing class, unlike a 2x2 matrix index)."""
     y, p = F.col(label).cast("int"), F.col(prediction).cast("int")

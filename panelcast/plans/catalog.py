@@ -399,6 +399,11 @@ def q_pr_auc(spark, d):
     return metrics.pr_auc(metrics.curve_counts(scored_narrow(spark, d), label=EVAL_LABEL))
 
 
+@query("pr_baseline")
+def q_pr_baseline(spark, d):
+    return metrics.pr_baseline(scored_lazy(spark, d), EVAL_LABEL)
+
+
 def _threshold(metric):
     def fn(spark, d):
         return metrics.optimal_threshold(scored_narrow(spark, d), label=EVAL_LABEL, metric=metric, min_precision=0.3)

@@ -603,6 +603,7 @@ FROM scored ORDER BY churn_risk_score DESC, account_id, month LIMIT 20"""
         ((CAST(tp AS DOUBLE) / n_pos) - (CAST(tp - pos AS DOUBLE) / n_pos))
         * ((CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END)
            + (CASE WHEN (tp - pos) + (fp - neg) > 0 THEN CAST(tp - pos AS DOUBLE) / ((tp - pos) + (fp - neg)) ELSE 1.0 END)) / 2) END"""
+    q["pr_baseline"] = SCORED_O + f"SELECT {r4(f'avg(CAST({EVAL} AS DOUBLE))')} AS pr_baseline, CAST(count(*) AS BIGINT) AS n_rows FROM scored"
     q["roc_auc"] = SCORED_O.rstrip("\n") + "," + _curve("scored") + f"\nSELECT {r4(roc_auc_sel)} AS roc_auc FROM curve"
     q["pr_auc"] = SCORED_O.rstrip("\n") + "," + _curve("scored") + f"\nSELECT {r4(pr_auc_sel)} AS pr_auc FROM curve"
     q["roc_points"] = SCORED_O.rstrip("\n") + "," + _curve("scored") + f"""

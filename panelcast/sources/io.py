@@ -103,6 +103,12 @@ def save_metrics(metrics: DataFrame, path: str) -> str:
     return path
 
 
+def save_thresholds(thresholds: DataFrame, path: str) -> str:
+    """Optimal threshold per model (model, threshold, precision, recall, f1_score, rate) -> JSON lines."""
+    thresholds.coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
 def save_predictions(pred: DataFrame, path: str, original: DataFrame | None = None, fmt: str = "csv") -> str:
     """ids + predictions, or every original column + predictions (keyed join, never positional)."""
     out = pred
