@@ -133,15 +133,18 @@ def two_models(spark, d):
 
 
 def importance_from_stats(stats):
-    """Importance from the data: |churned mean - safe mean| / safe std, normalised to sum 1."""
+    """Importance from the data: |churned mean - safe mean| / safe std, normalised to sum 1.
+
+    The normalising sum is a window over the per-feature table (one row per
+    feature, so bounded), keeping the stats aggregate to a single branch."""
+    from pyspark.sql import Window
+
     eff = F.coalesce(
         F.try_divide(F.abs(F.col("churned_avg") - F.col("safe_avg")), F.col("safe_std")), F.lit(0.0)
     )
     raw = stats.select("feature", eff.alias("_e"))
-    tot = raw.agg(F.sum("_e").alias("_t"))
-    return raw.crossJoin(F.broadcast(tot)).select(
-        "feature", F.coalesce(F.try_divide(F.col("_e"), F.col("_t")), F.lit(0.0)).alias("importance")
-    )
+    total = F.sum("_e").over(Window.partitionBy())
+    return raw.select("feature", F.coalesce(F.try_divide(F.col("_e"), total), F.lit(0.0)).alias("importance"))
 
 
 def scored_stats(spark, d, scored=None):

@@ -98,5 +98,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    # scratch copy: fast codec, no dictionary pages (values are mostly distinct doubles)
+    df.write.mode("overwrite").option("compression", "lz4").option("parquet.enable.dictionary", "false").parquet(path)
     return spark.read.parquet(path)

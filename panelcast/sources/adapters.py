@@ -32,6 +32,19 @@ PANEL_COLUMNS = [
 PRIORITY_CHANNEL = {"1": "web", "2": "card", "3": "agent", "4": "ivr", "5": "apple_pay"}
 
 
+def _channel_string(flag_prefix: str = "_ch_"):
+    """Sorted distinct channels joined by '|' from per-channel presence flags.
+
+    Five boolean ``max`` aggregates instead of ``collect_set`` keep the group-by
+    on the code-generated hash aggregate; sorting is fixed by the name order."""
+    parts = [F.when(F.col(f"{flag_prefix}{c}"), F.lit(c)) for c in sorted(CHANNELS)]
+    return F.concat_ws("|", *parts)
+
+
+def _channel_flags(channel_col: str = "channel", flag_prefix: str = "_ch_"):
+    return [F.max(F.col(channel_col) == c).alias(f"{flag_prefix}{c}") for c in CHANNELS]
+
+
 def _keyed(prefix: str, key: str, width: int = 6):
     return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), width, "0"))
 
@@ -49,6 +62,7 @@ def _finish_panel(monthly: DataFrame, last_period: DataFrame, churn_gap, *, mont
         monthly.crossJoin(F.broadcast(last_period))  # one row: proven size bound
         .select(
             "*",
+            _channel_string().alias("enabled_channels"),
             F.coalesce(F.lag("_last_ts").over(w), F.col("month").cast("timestamp_ntz")).alias("last_touchbase_date"),
             F.when(is_last & observable, F.lit(1)).otherwise(F.lit(0)).cast("int").alias("churned"),
         )
@@ -92,8 +106,7 @@ def orders_panel(orders: DataFrame, lineitem: DataFrame, churn_gap_months: int =
         F.coalesce(F.sum("n_returned"), F.lit(0)).cast("bigint").alias("total_tickets"),
         F.coalesce(F.sum("n_escalated"), F.lit(0)).cast("bigint").alias("escalated_tickets"),
         F.sum(F.when(F.col("o_orderstatus") == "P", 1).otherwise(0)).cast("bigint").alias("late_payments"),
-        # at most five distinct values per group, so the set stays tiny under skew
-        F.array_join(F.array_sort(F.collect_set("channel")), "|").alias("enabled_channels"),
+        *_channel_flags(),
         F.coalesce(F.sum("n_final") * 100.0 / F.sum("n_lines"), F.lit(0.0)).alias("self_service_percentage"),
         F.coalesce(F.sum("qty") / F.sum("n_lines"), F.lit(0.0)).alias("average_resolution_time_hours"),
         F.max("o_orderdate").alias("_last_ts"),
@@ -131,7 +144,7 @@ def events_panel(events: DataFrame, churn_gap_days: int = 7) -> DataFrame:
         F.count_if(is_error).alias("total_tickets"),
         F.count_if(is_error & (F.col("value") > 40)).alias("escalated_tickets"),
         F.count_if(F.col("event_type") == "signup").alias("late_payments"),
-        F.array_join(F.array_sort(F.collect_set("channel")), "|").alias("enabled_channels"),
+        *_channel_flags(),
         (F.avg(F.col("event_type").isin("view", "click").cast("double")) * 100.0).alias("self_service_percentage"),
         F.coalesce(F.avg(F.when(is_error, F.col("value"))), F.lit(0.0)).alias("average_resolution_time_hours"),
         F.max("ts").alias("_last_ts"),
