@@ -21,29 +21,45 @@ from pyspark.sql import functions as F
 from panelcast.functions.expressions import concern_label, q
 
 
+# Features per aggregate: smaller generated methods stay under the JIT's
+# size limit, and every chunk scans only its own columns.
+STATS_CHUNK = 27
+
+
 def class_stats(population: DataFrame, features: Sequence[str], label: str = "churned") -> DataFrame:
-    """(feature, safe_avg, safe_std, churned_avg, n_safe, n_churned) in one pass.
+    """(feature, safe_avg, safe_std, churned_avg, n_safe, n_churned), one row per feature.
 
-    One global aggregate with three conditional aggregates per feature (partial
-    aggregation on every task), then ``stack`` to one row per feature.  The
-    expressions are SQL strings so any number of features costs one JVM call.
+    Global aggregates with three conditional aggregates per feature (partial
+    aggregation on every task), in chunks of ``STATS_CHUNK`` features, each
+    stacked to one row per feature.  Expressions are SQL strings, so any
+    number of features costs one JVM call per chunk.
     """
     y = q(label)
-    aggs = [f"count_if({y} = 0) AS _n0", f"count_if({y} = 1) AS _n1"]
-    for i, f in enumerate(features):
-        x = f"CAST({q(f)} AS DOUBLE)"
-        aggs += [
-            f"avg(CASE WHEN {y} = 0 THEN {x} END) AS _a{i}",
-            f"stddev_samp(CASE WHEN {y} = 0 THEN {x} END) AS _s{i}",
-            f"avg(CASE WHEN {y} = 1 THEN {x} END) AS _c{i}",
-        ]
-    wide = population.selectExpr(*aggs)
-    body = ", ".join(f"'{f}', _a{i}, _s{i}, _c{i}" for i, f in enumerate(features))
-    return wide.selectExpr(
-        f"stack({len(features)}, {body}) AS (feature, safe_avg, safe_std, churned_avg)",
-        "_n0 AS n_safe",
-        "_n1 AS n_churned",
-    )
+    feats = list(features)
+    parts = []
+    for start in range(0, len(feats), STATS_CHUNK):
+        chunk = feats[start : start + STATS_CHUNK]
+        aggs = [f"count_if({y} = 0) AS _n0", f"count_if({y} = 1) AS _n1"]
+        for i, f in enumerate(chunk):
+            x = f"CAST({q(f)} AS DOUBLE)"
+            aggs += [
+                f"avg(CASE WHEN {y} = 0 THEN {x} END) AS _a{i}",
+                f"stddev_samp(CASE WHEN {y} = 0 THEN {x} END) AS _s{i}",
+                f"avg(CASE WHEN {y} = 1 THEN {x} END) AS _c{i}",
+            ]
+        wide = population.selectExpr(*aggs)
+        body = ", ".join(f"'{f}', _a{i}, _s{i}, _c{i}" for i, f in enumerate(chunk))
+        parts.append(
+            wide.selectExpr(
+                f"stack({len(chunk)}, {body}) AS (feature, safe_avg, safe_std, churned_avg)",
+                "_n0 AS n_safe",
+                "_n1 AS n_churned",
+            )
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def unpivot_features(rows: DataFrame, ids: Sequence[str], features: Sequence[str]) -> DataFrame:
@@ -55,7 +71,7 @@ def unpivot_features(rows: DataFrame, ids: Sequence[str], features: Sequence[str
 def explain_deviation(
     rows: DataFrame,
     stats: DataFrame,
-    importance: DataFrame,
+    importance: DataFrame | None,
     features: Sequence[str],
     ids: Sequence[str] = ("account_id", "month"),
     top_n: int = 10,
@@ -70,9 +86,12 @@ def explain_deviation(
     """
     feats = list(features)
     names = F.array(*[F.lit(f) for f in feats])
-    st = stats.select("feature", "safe_avg", "safe_std", "churned_avg").join(
-        importance.select("feature", "importance"), "feature", "left"
-    )
+    if importance is None:  # importance already a column of ``stats`` (one branch)
+        st = stats.select("feature", "safe_avg", "safe_std", "churned_avg", "importance")
+    else:
+        st = stats.select("feature", "safe_avg", "safe_std", "churned_avg").join(
+            importance.select("feature", "importance"), "feature", "left"
+        )
     packed = st.select(
         F.struct(
             F.array_position(names, F.col("feature")).cast("int").alias("p"),

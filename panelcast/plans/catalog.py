@@ -132,19 +132,24 @@ def two_models(spark, d):
     return materialize(a.unionByName(b), "two-models")
 
 
-def importance_from_stats(stats):
-    """Importance from the data: |churned mean - safe mean| / safe std, normalised to sum 1.
-
-    The normalising sum is a window over the per-feature table (one row per
+def stats_with_importance(stats):
+    """Adds the data importance: |churned mean - safe mean| / safe std, normalised to
+    sum 1.  The normalising sum is a window over the per-feature table (one row per
     feature, so bounded), keeping the stats aggregate to a single branch."""
     from pyspark.sql import Window
 
     eff = F.coalesce(
         F.try_divide(F.abs(F.col("churned_avg") - F.col("safe_avg")), F.col("safe_std")), F.lit(0.0)
     )
-    raw = stats.select("feature", eff.alias("_e"))
+    raw = stats.select("*", eff.alias("_e"))
     total = F.sum("_e").over(Window.partitionBy())
-    return raw.select("feature", F.coalesce(F.try_divide(F.col("_e"), total), F.lit(0.0)).alias("importance"))
+    return raw.select(
+        *stats.columns, F.coalesce(F.try_divide(F.col("_e"), total), F.lit(0.0)).alias("importance")
+    )
+
+
+def importance_from_stats(stats):
+    return stats_with_importance(stats).select("feature", "importance")
 
 
 def scored_stats(spark, d, scored=None):
@@ -478,12 +483,12 @@ def q_segment_summary(spark, d):
 
 @query("class_stats")
 def q_class_stats(spark, d):
-    return explain.class_stats(scored_lazy(spark, d), model_feature_names(), EVAL_LABEL)
+    return explain.class_stats(scored_o(spark, d), model_feature_names(), EVAL_LABEL)
 
 
 def _explained(spark, d, s, rows, top_n):
-    stats = scored_stats(spark, d, s)
-    return explain.explain_deviation(rows, stats, importance_from_stats(stats), model_feature_names(), top_n=top_n)
+    stats = stats_with_importance(scored_stats(spark, d, s))
+    return explain.explain_deviation(rows, stats, None, model_feature_names(), top_n=top_n)
 
 
 @query("explain_zscore")

@@ -18,6 +18,7 @@ from panelcast.plans.catalog import (
     scored_lazy,
     scored_o,
     scored_stats,
+    stats_with_importance,
     two_models,
 )
 
@@ -79,9 +80,9 @@ def q_hist(spark, d):
 def q_high_risk_top_factor(spark, d):
     """High-risk rows with score >= 0.5 and their single strongest factor."""
     s = scored_o(spark, d)
-    stats = scored_stats(spark, d, s)
+    stats = stats_with_importance(scored_stats(spark, d, s))
     rows = scoring.high_risk(s).where(F.col("churn_risk_score") >= 0.5)
-    top = explain.explain_deviation(rows, stats, importance_from_stats(stats), model_feature_names(), top_n=1)
+    top = explain.explain_deviation(rows, stats, None, model_feature_names(), top_n=1)
     return rows.select("account_id", "month", "churn_risk_score", "risk_tier").join(
         top.select("account_id", "month", F.col("feature").alias("top_factor"), "z_score"), ["account_id", "month"]
     )
@@ -161,24 +162,33 @@ def q_portfolio(spark, d):
 @query("feature_drift")
 def q_drift(spark, d):
     """Mean shift (in training std units) and std ratio, recent vs training periods."""
-    s = scored_lazy(spark, d)
+    s = scored_o(spark, d)
     idx = labels.month_index(s)
     x = s.join(F.broadcast(idx.select("month", "period_idx")), "month")
     feats = model_feature_names()
     tr = f"period_idx <= {DRIFT_TRAIN_MONTHS}"
     rc = f"period_idx BETWEEN {DRIFT_RECENT_FROM} AND {DRIFT_RECENT_TO}"
-    aggs = []
-    for i, f in enumerate(feats):
-        v = f"CAST({q(f)} AS DOUBLE)"
-        aggs += [
-            f"avg(CASE WHEN {tr} THEN {v} END) AS _mt{i}",
-            f"stddev_samp(CASE WHEN {tr} THEN {v} END) AS _st{i}",
-            f"avg(CASE WHEN {rc} THEN {v} END) AS _mr{i}",
-            f"stddev_samp(CASE WHEN {rc} THEN {v} END) AS _sr{i}",
-        ]
-    wide = x.selectExpr(*aggs)
-    body = ", ".join(f"'{f}', _mt{i}, _st{i}, _mr{i}, _sr{i}" for i, f in enumerate(feats))
-    long = wide.selectExpr(f"stack({len(feats)}, {body}) AS (feature, train_mean, train_std, recent_mean, recent_std)")
+    parts = []
+    for start in range(0, len(feats), explain.STATS_CHUNK):
+        chunk = feats[start : start + explain.STATS_CHUNK]
+        aggs = []
+        for i, f in enumerate(chunk):
+            v = f"CAST({q(f)} AS DOUBLE)"
+            aggs += [
+                f"avg(CASE WHEN {tr} THEN {v} END) AS _mt{i}",
+                f"stddev_samp(CASE WHEN {tr} THEN {v} END) AS _st{i}",
+                f"avg(CASE WHEN {rc} THEN {v} END) AS _mr{i}",
+                f"stddev_samp(CASE WHEN {rc} THEN {v} END) AS _sr{i}",
+            ]
+        body = ", ".join(f"'{f}', _mt{i}, _st{i}, _mr{i}, _sr{i}" for i, f in enumerate(chunk))
+        parts.append(
+            x.selectExpr(*aggs).selectExpr(
+                f"stack({len(chunk)}, {body}) AS (feature, train_mean, train_std, recent_mean, recent_std)"
+            )
+        )
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
     return long.select(
         "*",
         F.try_divide(F.col("recent_mean") - F.col("train_mean"), F.col("train_std")).alias("mean_shift"),
@@ -202,7 +212,7 @@ def q_custom_segments(spark, d):
 @query("segment_comparison")
 def q_segment_comparison(spark, d):
     """Features that differ most between high-risk rows and the rest (effect size)."""
-    s = scored_lazy(spark, d)
+    s = scored_o(spark, d)
     x = s.select("*", F.col("risk_tier").isin("High Risk", "Medium Risk").cast("int").alias("_in_segment"))
     st = explain.class_stats(x, model_feature_names(), "_in_segment")
     eff = F.try_divide(F.col("churned_avg") - F.col("safe_avg"), F.col("safe_std"))
