@@ -94,6 +94,22 @@ def q_evaluate_fitted(spark, d):
     return metrics.classification_metrics(materialize(pred, "fitted-predictions"), "churned", group="model_name")
 
 
+@query("threshold_fitted")
+def q_threshold_fitted(spark, d):
+    """Best-F1 threshold per fitted model (LR / RF / GBT) in one grouped job."""
+    mm = train_test(spark, d)
+    feats = _features(mm)
+    _, pred = ml.train_and_compare(
+        mm.where(F.col("split") == "train"),
+        mm.where(F.col("split") == "test"),
+        feats,
+        kinds=("lr", "rf", "gbt"),
+        label="churned",
+        params={"lr": LR_PARAMS, "rf": RF_PARAMS, "gbt": GBT_PARAMS},
+    )
+    return metrics.optimal_threshold(materialize(pred, "fitted-predictions"), label="churned", metric="f1", group="model_name")
+
+
 @query("grid_search_lr")
 def q_grid_search(spark, d):
     """Forward-chaining CV over period blocks of the train months, positive-class F1."""

@@ -50,3 +50,12 @@ def test_panel_profile_and_quality(spark):
     assert (prof.n_rows, prof.n_accounts, prof.n_churned_accounts) == (1411, 150, 38)
     dq = {r.rule: r.n_violations for r in quality.dq_expectations(features_o(spark, SF0001)).collect()}
     assert len(dq) >= 15 and all(v == 0 for v in dq.values()), dq
+
+
+def test_account_lookup_reports_samples(spark):
+    from panelcast.operators import scoring
+
+    p = panel_o(spark, SF0001)
+    assert scoring.account_lookup(p, "ACC-000010").count() > 0
+    with pytest.raises(ValueError, match="Sample ids"):
+        scoring.account_lookup(p, "ACC-NOPE", check=True)
