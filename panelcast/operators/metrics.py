@@ -305,18 +305,26 @@ def optimal_threshold(
 def metrics_at_thresholds(
     scored: DataFrame, thresholds: list[float], score: str = "churn_risk_score", label: str = "churned", group: str | None = None
 ) -> DataFrame:
-    """precision/recall/F1/predicted rate at a short, explicit list of thresholds."""
-    spark = scored.sparkSession
-    tdf = spark.createDataFrame([(float(t),) for t in thresholds], "threshold double")
+    """precision/recall/F1/predicted rate at a short, explicit list of thresholds.
+
+    One pass: four conditional counts per threshold (partial aggregation),
+    stacked to one row per threshold -- rows are never multiplied."""
+    from panelcast.functions.expressions import q
+
     g = [group] if group else []
-    y = F.col(label).cast("int")
-    hit = (F.col(score) >= F.col("threshold")).cast("int")
-    cm = scored.select(*g, score, label).crossJoin(F.broadcast(tdf)).groupBy(*g, "threshold").agg(
-        F.sum((hit * y).cast("bigint")).alias("tp"),
-        F.sum((hit * (1 - y)).cast("bigint")).alias("fp"),
-        F.sum(((1 - hit) * y).cast("bigint")).alias("fn"),
-        F.sum(((1 - hit) * (1 - y)).cast("bigint")).alias("tn"),
-    )
+    s, y = q(score), q(label)
+    aggs = []
+    for i, t in enumerate(thresholds):
+        hit = f"{s} >= CAST({float(t)!r} AS DOUBLE)"
+        aggs += [
+            f"count_if({hit} AND {y} = 1) AS _tp{i}",
+            f"count_if({hit} AND {y} = 0) AS _fp{i}",
+            f"count_if(NOT ({hit}) AND {y} = 1) AS _fn{i}",
+            f"count_if(NOT ({hit}) AND {y} = 0) AS _tn{i}",
+        ]
+    wide = scored.groupBy(*g).agg(*[F.expr(a) for a in aggs])
+    body = ", ".join(f"CAST({float(t)!r} AS DOUBLE), _tp{i}, _fp{i}, _fn{i}, _tn{i}" for i, t in enumerate(thresholds))
+    cm = wide.selectExpr(*[q(c) for c in g], f"stack({len(thresholds)}, {body}) AS (threshold, tp, fp, fn, tn)")
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return cm.select(
         *g,
@@ -351,7 +359,6 @@ def exact_quantiles(
     method otherwise.  Output: one row per (group, q) with ``q`` and ``value``.
     """
     g = [group] if group else []
-    spark = df.sparkSession
     if method == "auto":
         integral = df.schema[value].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
         method = "percentile" if integral else "prefix"
@@ -360,22 +367,20 @@ def exact_quantiles(
         pairs = F.arrays_zip(F.array(*[F.lit(float(q)) for q in probs]).alias("q"), F.col("_v").alias("value"))
         return agg.select(*g, F.explode(pairs).alias("_p")).select(*g, F.col("_p.q").alias("q"), F.col("_p.value").cast("double").alias("value"))
     pc = prefix_counts(df.where(F.col(value).isNotNull()), value, {"n": F.lit(1)}, descending=False, group=group, n_buckets=n_buckets)
-    qdf = spark.createDataFrame([(float(q),) for q in probs], "q double")
-    pos = F.col("q") * (F.col("tot_n") - 1)
-    lo, hi = F.floor(pos), F.ceil(pos)
-    start = F.col("cum_n") - F.col("n")  # 0-based rank of the first copy
+    start = F.col("cum_n") - F.col("n")  # 0-based rank of the first copy of this value
     covers = lambda k: (start <= k) & (k < F.col("cum_n"))
-    marked = pc.crossJoin(F.broadcast(qdf)).select(
-        *g,
-        "q",
-        pos.alias("_pos"),
-        F.when(covers(lo), F.col(value)).alias("_vlo"),
-        F.when(covers(hi), F.col(value)).alias("_vhi"),
-    )
-    agg = marked.groupBy(*g, "q").agg(
-        F.first("_pos").alias("_pos"), F.max("_vlo").alias("_vlo"), F.max("_vhi").alias("_vhi")
-    )
+    aggs = []
+    for i, qv in enumerate(probs):
+        pos = F.lit(float(qv)) * (F.col("tot_n") - 1)
+        aggs += [
+            F.first(pos).alias(f"_pos{i}"),
+            F.max(F.when(covers(F.floor(pos)), F.col(value))).alias(f"_lo{i}"),
+            F.max(F.when(covers(F.ceil(pos)), F.col(value))).alias(f"_hi{i}"),
+        ]
+    agg = pc.groupBy(*g).agg(*aggs)  # one pass, no rows x quantiles product
+    body = ", ".join(f"CAST({float(qv)!r} AS DOUBLE), _pos{i}, _lo{i}, _hi{i}" for i, qv in enumerate(probs))
+    long = agg.selectExpr(*g, f"stack({len(probs)}, {body}) AS (q, _pos, _vlo, _vhi)")
     frac = F.col("_pos") - F.floor(F.col("_pos"))
-    return agg.select(
+    return long.select(
         *g, "q", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).cast("double").alias("value")
     )
