@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from panelcast.functions.expressions import feature_category, round_half_away
+from panelcast.functions.expressions import round_half_away
 from panelcast.operators import drivers, explain, labels, metrics, ml, scoring
 from panelcast.plans.catalog import (
     EVAL_LABEL,
@@ -202,5 +202,3 @@ def q_segment_export(spark, d):
     back = spark.read.option("header", True).csv(path)
     return back.groupBy("segment_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
-
-__all__ = ["train_test", "feature_category"]
