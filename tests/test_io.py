@@ -38,3 +38,27 @@ def test_pretty_printed_json_array(spark, tmp_path):
     path.write_text('[\n  {"account_id": "ACC-1", "churned": 0},\n  {"account_id": "ACC-2", "churned": 1}\n]\n')
     df = io.load_table(spark, str(path))
     assert df.count() == 2 and df.agg(F.sum("churned")).first()[0] == 1
+
+
+def test_prediction_and_metric_sinks(spark, tmp_path):
+    from panelcast.operators import metrics, scoring
+    from panelcast.plans.catalog import features_o
+
+    f = features_o(spark, SF0001)
+    pred = scoring.make_predictions(scoring.fixed_score(f), threshold=0.5).select(
+        "account_id", "month", "churn_risk_score", "prediction", "safe_probability", "risk_tier"
+    )
+    ids_only = str(tmp_path / "pred.csv")
+    io.save_predictions(pred, ids_only)
+    back = spark.read.option("header", True).csv(ids_only)
+    assert back.count() == f.count() and set(back.columns) == set(pred.columns)
+    full = str(tmp_path / "pred_full.parquet")
+    io.save_predictions(pred, full, original=f, fmt="parquet")
+    wide = spark.read.parquet(full)
+    assert wide.count() == f.count() and len(wide.columns) == len(f.columns) + 4
+    m = metrics.classification_metrics(scoring.make_predictions(scoring.fixed_score(f)), "churned")
+    io.save_metrics(m, str(tmp_path / "metrics.json"))
+    assert spark.read.json(str(tmp_path / "metrics.json")).count() == 1
+    t = metrics.optimal_threshold(scoring.fixed_score(f), label="churned")
+    io.save_thresholds(t, str(tmp_path / "thr.json"))
+    assert spark.read.json(str(tmp_path / "thr.json")).first()["threshold"] is not None
