@@ -392,3 +392,32 @@ def q_stream_scoring(spark, d):
     features_o(spark, d).repartition(8, "account_id").write.parquet(src)
     sink = run_file_stream(spark, src, max_files_per_trigger=2)
     return spark.read.parquet(sink)
+
+
+CONTACT_WITHIN_DAYS = 31
+IMPACT_PERIODS = 3
+
+
+@query("intervention_impact")
+def q_intervention_impact(spark, d):
+    """Average risk over the periods before vs after a contact, by tier at contact time.
+
+    The data has no campaign table, so a contact is a period whose last touch
+    lies within CONTACT_WITHIN_DAYS before the period start."""
+    s = scored_lazy(spark, d)
+    w = Window.partitionBy("account_id").orderBy("month")
+    n = IMPACT_PERIODS
+    before = F.avg("churn_risk_score").over(w.rowsBetween(-n, -1))
+    after = F.avg("churn_risk_score").over(w.rowsBetween(1, n))
+    x = s.select(
+        "risk_tier",
+        (F.col("days_since_last_contact") <= CONTACT_WITHIN_DAYS).alias("_contact"),
+        before.alias("risk_before"),
+        after.alias("risk_after"),
+    ).where(F.col("_contact") & F.col("risk_before").isNotNull() & F.col("risk_after").isNotNull())
+    return x.groupBy("risk_tier").agg(
+        F.count(F.lit(1)).alias("n_contacts"),
+        F.avg("risk_before").alias("avg_risk_before"),
+        F.avg("risk_after").alias("avg_risk_after"),
+        F.avg(F.col("risk_after") - F.col("risk_before")).alias("avg_change"),
+    )

@@ -174,6 +174,14 @@ FROM (SELECT * FROM ml WHERE model_name = 'linear_a') o JOIN (SELECT * FROM ml W
                           OR {c} > (SELECT quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) FROM scored)) AS BIGINT) AS n_outliers
 FROM scored""")
     q["dq_report"] = SCORED_O + "\nUNION ALL\n".join(dq_parts)
+    n = D.IMPACT_PERIODS
+    q["intervention_impact"] = S + f""",
+iv AS (SELECT risk_tier, days_since_last_contact <= {D.CONTACT_WITHIN_DAYS} AS contact,
+              avg(churn_risk_score) OVER ({W} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS risk_before,
+              avg(churn_risk_score) OVER ({W} ROWS BETWEEN 1 FOLLOWING AND {n} FOLLOWING) AS risk_after FROM scored)
+SELECT risk_tier, CAST(count(*) AS BIGINT) AS n_contacts, {r4('avg(risk_before)')} AS avg_risk_before,
+       {r4('avg(risk_after)')} AS avg_risk_after, {r4('avg(risk_after - risk_before)')} AS avg_change
+FROM iv WHERE contact AND risk_before IS NOT NULL AND risk_after IS NOT NULL GROUP BY risk_tier"""
     q["stream_scoring"] = SCORED_O + f"""SELECT account_id, month, {r4('churn_risk_score')} AS churn_risk_score, prediction,
   {r4('safe_probability')} AS safe_probability, risk_tier FROM scored"""
     return q
