@@ -421,3 +421,52 @@ def q_intervention_impact(spark, d):
         F.avg("risk_after").alias("avg_risk_after"),
         F.avg(F.col("risk_after") - F.col("risk_before")).alias("avg_change"),
     )
+
+
+PSI_COLUMNS = ["current_month_transactions", "total_tickets", "escalated_tickets", "late_payments"]
+PSI_EPS = 1e-4
+PSI_DECILES = [i / 10 for i in range(1, 10)]
+
+
+def _above(column: str):
+    """Lambda for ``filter``: edges strictly below the row's value (one argument)."""
+    return lambda e: F.col(column) > e
+
+
+@query("feature_psi")
+def q_feature_psi(spark, d):
+    """Population stability index, recent vs training periods, over training-decile bins.
+
+    Edges: exact deciles of the training rows (one row of arrays, broadcast);
+    bin = number of edges below the value; PSI = sum (r - t) * ln((r + eps) / (t + eps))."""
+    s = scored_lazy(spark, d)
+    idx = labels.month_index(s)
+    x = s.join(F.broadcast(idx.select("month", "period_idx")), "month").select(
+        "period_idx", *[F.col(c).cast("double").alias(c) for c in PSI_COLUMNS]
+    )
+    is_train = F.col("period_idx") <= DRIFT_TRAIN_MONTHS
+    is_recent = F.col("period_idx").between(DRIFT_RECENT_FROM, DRIFT_RECENT_TO)
+    probs = F.array(*[F.lit(p) for p in PSI_DECILES])
+    edges = x.where(is_train).agg(*[F.percentile(F.col(c), probs).alias(f"_e_{c}") for c in PSI_COLUMNS])
+    xe = x.where(is_train | is_recent).crossJoin(F.broadcast(edges))  # one row of arrays
+    long = xe.select(
+        F.when(is_train, "train").otherwise("recent").alias("_part"),
+        F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("feature"), F.size(F.filter(F.col(f"_e_{c}"), _above(c))).alias("bin"))
+                    for c in PSI_COLUMNS
+                ]
+            )
+        ).alias("_f"),
+    ).select("_part", "_f.feature", "_f.bin")
+    counts = long.groupBy("feature", "bin").agg(
+        F.count_if(F.col("_part") == "train").alias("n_train"), F.count_if(F.col("_part") == "recent").alias("n_recent")
+    )
+    wf = Window.partitionBy("feature")  # at most 10 bins per feature
+    pt = F.col("n_train") / F.sum("n_train").over(wf)
+    pr = F.col("n_recent") / F.sum("n_recent").over(wf)
+    term = (pr - pt) * F.log((pr + PSI_EPS) / (pt + PSI_EPS))
+    return counts.select("feature", term.alias("_t")).groupBy("feature").agg(
+        F.sum("_t").alias("psi"), F.count(F.lit(1)).alias("n_bins")
+    )

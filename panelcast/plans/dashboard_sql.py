@@ -182,6 +182,26 @@ iv AS (SELECT risk_tier, days_since_last_contact <= {D.CONTACT_WITHIN_DAYS} AS c
 SELECT risk_tier, CAST(count(*) AS BIGINT) AS n_contacts, {r4('avg(risk_before)')} AS avg_risk_before,
        {r4('avg(risk_after)')} AS avg_risk_after, {r4('avg(risk_after - risk_before)')} AS avg_change
 FROM iv WHERE contact AND risk_before IS NOT NULL AND risk_after IS NOT NULL GROUP BY risk_tier"""
+    cols = D.PSI_COLUMNS
+    deciles = "[" + ", ".join(repr(p) for p in D.PSI_DECILES) + "]"
+    edges = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), {deciles}) FILTER (WHERE idx <= {D.DRIFT_TRAIN_MONTHS}) AS e_{c}" for c in cols)
+    bins = "\n  UNION ALL\n  ".join(
+        f"SELECT part, '{c}' AS feature, len(list_filter(e_{c}, lambda e: CAST({c} AS DOUBLE) > e)) AS bin FROM px"
+        for c in cols
+    )
+    q["feature_psi"] = S + f""",
+mi AS (SELECT month, row_number() OVER (ORDER BY month) AS idx FROM (SELECT DISTINCT month FROM scored)),
+sx AS (SELECT mi.idx, scored.* FROM scored JOIN mi USING (month)),
+ed AS (SELECT {edges} FROM sx),
+px AS (SELECT CASE WHEN idx <= {D.DRIFT_TRAIN_MONTHS} THEN 'train' ELSE 'recent' END AS part, sx.*, ed.*
+       FROM sx CROSS JOIN ed WHERE idx <= {D.DRIFT_TRAIN_MONTHS} OR idx BETWEEN {D.DRIFT_RECENT_FROM} AND {D.DRIFT_RECENT_TO}),
+lb AS ({bins}),
+ct AS (SELECT feature, bin, count(*) FILTER (WHERE part = 'train') AS n_train, count(*) FILTER (WHERE part = 'recent') AS n_recent
+       FROM lb GROUP BY feature, bin),
+tm AS (SELECT feature, (CAST(n_recent AS DOUBLE) / sum(n_recent) OVER (PARTITION BY feature)) AS pr,
+              (CAST(n_train AS DOUBLE) / sum(n_train) OVER (PARTITION BY feature)) AS pt FROM ct)
+SELECT feature, {r4(f'sum((pr - pt) * ln((pr + {D.PSI_EPS!r}) / (pt + {D.PSI_EPS!r})))')} AS psi, CAST(count(*) AS BIGINT) AS n_bins
+FROM tm GROUP BY feature"""
     q["stream_scoring"] = SCORED_O + f"""SELECT account_id, month, {r4('churn_risk_score')} AS churn_risk_score, prediction,
   {r4('safe_probability')} AS safe_probability, risk_tier FROM scored"""
     return q
