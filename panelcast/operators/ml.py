@@ -28,11 +28,15 @@ from panelcast.operators.metrics import confusion
 DEFAULT_DROP = ["account_id", "month", "last_touchbase_date", "churned", "enabled_channels"]
 
 # ---- fixed values: model settings and search grids -------------------------------
-LR_DEFAULTS = {"maxIter": 1000, "regParam": 0.0}
+# Logistic regression takes C (inverse L2 strength, per-sample loss summed) and is
+# mapped to Spark's regParam = 1 / (C * n_rows) (mean loss), the same optimum.
+LR_DEFAULTS = {"maxIter": 1000, "C": 1.0}
 RF_DEFAULTS = {"numTrees": 100, "maxDepth": 20, "minInstancesPerNode": 1}
 GBT_DEFAULTS = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1}
-LR_GRID = {"regParam": [1.0, 0.1, 0.01, 0.001]}
-RF_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 4], "subsamplingRate": [1.0, 0.8]}
+LR_GRID = {"C": [0.01, 0.1, 1.0, 10.0]}
+# unlimited depth -> Spark's maximum of 30; the minimum-samples-to-split knob has
+# no Spark analogue, so the forest grid has 12 maps instead of 24
+RF_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2]}
 GBT_GRID = {"maxIter": [100, 200], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.1, 0.3], "subsamplingRate": [0.8, 1.0]}
 # -----------------------------------------------------------------------------------
 
@@ -76,13 +80,21 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
 
 
-def make_estimator(kind: str, label: str = "churned", weight_col: str | None = None, seed: int = 42, **params):
+def make_estimator(
+    kind: str, label: str = "churned", weight_col: str | None = None, seed: int = 42, n_rows: int | None = None, **params
+):
     kind = kind.lower()
     common = {"featuresCol": "features", "labelCol": label}
     if weight_col:
         common["weightCol"] = weight_col
     if kind in ("lr", "logistic"):
-        est = LogisticRegression(elasticNetParam=0.0, standardization=False, **common, **{**LR_DEFAULTS, **params})
+        p = {**LR_DEFAULTS, **params}
+        c = p.pop("C", None)
+        if "regParam" not in params and c is not None:
+            if not n_rows:
+                raise ValueError("C needs the number of training rows (n_rows)")
+            p["regParam"] = 1.0 / (float(c) * n_rows)
+        est = LogisticRegression(elasticNetParam=0.0, standardization=False, **common, **p)
     elif kind in ("rf", "random_forest"):
         p = {**RF_DEFAULTS, **params}
         p["maxDepth"] = min(int(p["maxDepth"]), 30)
@@ -96,7 +108,10 @@ def make_estimator(kind: str, label: str = "churned", weight_col: str | None = N
 
 def fit(df: DataFrame, features: Sequence[str], kind: str, label: str = "churned", weight_col=None, **params) -> PipelineModel:
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
-    est = make_estimator(kind, label=label, weight_col=weight_col, **params)
+    n_rows = None
+    if kind.lower() in ("lr", "logistic") and "regParam" not in params:
+        n_rows = df.count()  # for regParam = 1 / (C * n)
+    est = make_estimator(kind, label=label, weight_col=weight_col, n_rows=n_rows, **params)
     return Pipeline(stages=[assembler, est]).fit(df)
 
 

@@ -30,7 +30,7 @@ TEST_HORIZON = 12  # periods kept back at the end (churn is observable 12 months
 LR_PARAMS = {"maxIter": 100, "regParam": 0.01}
 RF_PARAMS = {"numTrees": 50, "maxDepth": 10}
 GBT_PARAMS = {"maxIter": 30, "maxDepth": 5, "stepSize": 0.1}
-LR_SEARCH_GRID = {"regParam": [1.0, 0.1, 0.01, 0.001], "maxIter": [100]}
+LR_SEARCH_GRID = {"C": [0.01, 0.1, 1.0, 10.0], "maxIter": [100]}
 # ---------------------------------------------------------------------------------
 
 

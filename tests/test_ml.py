@@ -60,3 +60,14 @@ def test_tree_importance(spark, matrix):
     lr = ml.fit(matrix.where("split = 'train'"), feats, "lr", "churned", maxIter=10)
     with pytest.raises(ValueError):
         ml.feature_importance(lr, feats)
+
+
+def test_lr_c_maps_to_reg_param():
+    from panelcast.operators.ml import make_estimator
+
+    est = make_estimator("lr", n_rows=200, C=0.5)
+    assert est.getRegParam() == pytest.approx(1.0 / (0.5 * 200))
+    assert make_estimator("lr", regParam=0.3).getRegParam() == pytest.approx(0.3)
+    with pytest.raises(ValueError):
+        make_estimator("lr", C=1.0)
+    assert ml.param_maps(ml.RF_GRID).__len__() == 12 and len(ml.param_maps(ml.GBT_GRID)) == 36
