@@ -21,7 +21,7 @@ from panelcast.operators.features import (
     recent_vs_historical,
     rolling_features,
 )
-from panelcast.operators.ml import model_columns, model_matrix
+from panelcast.operators.ml import model_matrix
 from panelcast.session import materialize
 from panelcast.sources.adapters import events_panel, orders_panel
 

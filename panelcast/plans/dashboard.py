@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.expressions import q
 from panelcast.operators import explain, labels, metrics, scoring
-from panelcast.operators.features import generate_features
 from panelcast.plans.catalog import (
     EVAL_LABEL,
     K_THRESHOLDS,
     TOP_N_EXPLAIN,
-    importance_from_stats,
     model_feature_names,
     query,
     scored_lazy,

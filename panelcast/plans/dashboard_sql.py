@@ -141,8 +141,6 @@ a2 AS (SELECT *, CASE WHEN risk_tier = 'High Risk' AND prev_tier <> 'High Risk'
 SELECT account_id, month, {r4('prev_score')} AS prev_score, {r4('churn_risk_score')} AS churn_risk_score, alert
 FROM a2 WHERE alert IS NOT NULL"""
 
-    from panelcast.plans.oracle import oracle_sql as _base  # noqa: F401  (same module family)
-
     roc = "CASE WHEN max(n_pos) > 0 AND max(n_neg) > 0 THEN sum(pos * ((n_neg - fp) + 0.5 * neg)) / (max(n_pos) * max(n_neg)) END"
     pr = """CASE WHEN max(n_pos) > 0 AND max(n_neg) > 0 THEN sum(
         ((CAST(tp AS DOUBLE) / n_pos) - (CAST(tp - pos AS DOUBLE) / n_pos))
