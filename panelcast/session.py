@@ -64,9 +64,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS) on a cluster"
         )
     # Local mode only (tests): a private folder is as durable as the JVM itself.
+    # spark.checkpoint.dir is a static setting, so record it on the context instead.
     folder = tempfile.mkdtemp(prefix="panelcast-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir() or folder
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -88,7 +89,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.getpid()}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Used where several branches of one plan need the same expensive
@@ -97,7 +98,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     loss, and the read-back keeps column pruning and filter pushdown.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    root = (base or checkpoint_dir(spark)).rstrip("/")
+    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
     # scratch copy: fast codec, no dictionary pages (values are mostly distinct doubles)
     df.write.mode("overwrite").option("compression", "lz4").option("parquet.enable.dictionary", "false").parquet(path)
     return spark.read.parquet(path)
+
+
+SCRATCH_SUBDIRS = ("tables", "stream-src", "streams", "io", "segments", "models")
+
+
+def drop_scratch(spark: SparkSession, subdirs=SCRATCH_SUBDIRS, base: str | None = None) -> list[str]:
+    """Delete the library's written intermediates under the checkpoint folder.
+
+    Call at the end of a job, once no DataFrame that reads them is still in use
+    (they back the lazy results of ``materialize``).  Uses the Hadoop FileSystem
+    of the folder, so it works for HDFS / object stores as well as local paths.
+    """
+    base = (base or checkpoint_dir(spark)).rstrip("/")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = []
+    for sub in subdirs:
+        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{sub}")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            fs.delete(path, True)
+            removed.append(str(path))
+    return removed

@@ -62,3 +62,15 @@ def test_prediction_and_metric_sinks(spark, tmp_path):
     t = metrics.optimal_threshold(scoring.fixed_score(f), label="churned")
     io.save_thresholds(t, str(tmp_path / "thr.json"))
     assert spark.read.json(str(tmp_path / "thr.json")).first()["threshold"] is not None
+
+
+def test_drop_scratch_only_touches_library_folders(spark, tmp_path):
+    from panelcast import session
+
+    base = str(tmp_path)
+    t = session.materialize(spark.range(5), "probe", base=base)
+    assert t.count() == 5
+    (tmp_path / "keep").mkdir()
+    removed = session.drop_scratch(spark, base=base)
+    assert any(r.endswith("/tables") for r in removed)
+    assert (tmp_path / "keep").exists() and not (tmp_path / "tables").exists()
