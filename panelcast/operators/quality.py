@@ -33,8 +33,9 @@ def _row_rules() -> list[tuple[str, F.Column]]:
 def dq_expectations(df: DataFrame, key: str = "account_id", period: str = "month") -> DataFrame:
     """(rule, n_violations) for row rules and per-account rules, one scan + one window.
 
-    Account rules: at most one churn event, no row after the churn event,
-    tenure non-decreasing (when ``account_age_months`` is present).
+    Account rules: one row per (account, period) -- the row-framed windows rely
+    on it --, at most one churn event, no row after the churn event, tenure
+    non-decreasing (when ``account_age_months`` is present).
     """
     w = Window.partitionBy(key).orderBy(period)
     w_before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -42,7 +43,9 @@ def dq_expectations(df: DataFrame, key: str = "account_id", period: str = "month
     n_churn = F.sum(F.col("churned")).over(w_acct)
     first_row = F.row_number().over(w) == 1
     flagged = [(name, cond) for name, cond in _row_rules()]
+    per_key = F.count(F.lit(1)).over(Window.partitionBy(key, period))  # same account shuffle
     flagged += [
+        ("unique_account_period", per_key > 1),
         ("one_churn_per_account", first_row & (n_churn > 1)),
         ("no_row_after_churn", F.coalesce(F.max(F.col("churned")).over(w_before), F.lit(0)) > 0),
     ]

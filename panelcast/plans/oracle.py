@@ -409,6 +409,7 @@ def oracle_sql() -> dict[str, str]:
         ("self_service_in_0_100", "self_service_percentage < 0 OR self_service_percentage > 100"),
         ("escalated_le_total", "escalated_tickets > total_tickets"),
         ("channels_in_valid_set", "len(list_filter(string_split(coalesce(enabled_channels, ''), '|'), lambda x: x <> '' AND x NOT IN ('web', 'card', 'agent', 'ivr', 'apple_pay'))) > 0"),
+        ("unique_account_period", "n_key > 1"),
         ("one_churn_per_account", "rn = 1 AND n_churn > 1"),
         ("no_row_after_churn", "coalesce(churn_before, 0) > 0"),
         ("tenure_non_decreasing", "account_age_months < prev_age"),
@@ -419,6 +420,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["dq_expectations"] = FEATS_O.rstrip("\n") + f""",
 dqb AS (SELECT *, row_number() OVER ({W}) AS rn, sum(churned) OVER (PARTITION BY account_id) AS n_churn,
+               count(*) OVER (PARTITION BY account_id, month) AS n_key,
                max(churned) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS churn_before,
                lag(account_age_months) OVER ({W}) AS prev_age FROM feats)
 {dq_union}"""

@@ -69,6 +69,8 @@ def test_dq_expectations_flag_violations(spark):
         {"account_id": "A", "month": dt.date(2024, 2, 1), "churned": 1, "escalated_tickets": 3, "total_tickets": 1},
         {"account_id": "B", "month": dt.date(2024, 1, 1), "self_service_percentage": 120.0, "enabled_channels": "web|fax"},
         {"account_id": "C", "month": dt.date(2024, 1, 1), "late_payments": -1},
+        {"account_id": "D", "month": dt.date(2024, 1, 1)},
+        {"account_id": "D", "month": dt.date(2024, 1, 1)},
     ]
     dq = {r.rule: r.n_violations for r in quality.dq_expectations(panel_rows(spark, rows)).collect()}
     assert dq["one_churn_per_account"] == 1
@@ -78,3 +80,4 @@ def test_dq_expectations_flag_violations(spark):
     assert dq["channels_in_valid_set"] == 1
     assert dq["late_payments_non_negative"] == 1
     assert dq["churned_binary"] == 0
+    assert dq["unique_account_period"] == 2
