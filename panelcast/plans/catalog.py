@@ -364,6 +364,14 @@ def q_lookup(spark, d):
     return scoring.account_lookup(scored_lazy(spark, d), LOOKUP_ACCOUNT).select(*SCORE_COLS)
 
 
+@query("tier_extract")
+def q_tier_extract(spark, d):
+    """All High Risk rows, highest score first (a range-partitioned sort, not a single task)."""
+    return scoring.tier_extract(scored_lazy(spark, d), "High Risk").select(
+        "account_id", "month", "churn_risk_score", "risk_tier"
+    )
+
+
 @query("top_risk")
 def q_top_risk(spark, d):
     return scoring.top_risk(scored_lazy(spark, d), TOP_N_EXPLAIN).select("account_id", "month", "churn_risk_score", "risk_tier")

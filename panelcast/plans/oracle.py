@@ -589,6 +589,8 @@ FROM tiers t LEFT JOIN cnt c USING (risk_tier) CROSS JOIN tot"""
     q["high_risk_list"] = SCORED_O + f"""SELECT account_id, month, {r4('churn_risk_score')} AS churn_risk_score, risk_tier
 FROM scored WHERE risk_tier IN ('High Risk', 'Medium Risk')"""
     q["account_lookup"] = SCORED_O + select_rounded(score_cols, sd, "scored") + " WHERE account_id = 'ACC-000010'"
+    q["tier_extract"] = SCORED_O + f"""SELECT account_id, month, {r4('churn_risk_score')} AS churn_risk_score, risk_tier
+FROM scored WHERE risk_tier = 'High Risk' ORDER BY churn_risk_score DESC, account_id, month"""
     q["top_risk"] = SCORED_O + f"""SELECT account_id, month, {r4('churn_risk_score')} AS churn_risk_score, risk_tier
 FROM scored ORDER BY churn_risk_score DESC, account_id, month LIMIT 20"""
 
