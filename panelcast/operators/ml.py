@@ -180,9 +180,9 @@ def grid_search(
     Resampling (SMOTE) is applied inside each training fold only, so synthetic
     rows never reach a validation fold.  Returns (model, best params, scores).
     """
-    from panelcast.session import cut_lineage
+    from panelcast.session import materialize
 
-    data = cut_lineage(cv_blocks(df, n_splits, period))
+    data = materialize(cv_blocks(df, n_splits, period), "cv-blocks")
     maps = param_maps(grid)
 
     def evaluate(job):
@@ -300,11 +300,11 @@ def train_and_compare(
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit each model kind, score the test rows, return models and the long
     predictions table (model_name, ids, score, prediction, label)."""
-    from panelcast.session import cut_lineage
+    from panelcast.session import materialize
 
     params = params or {}
     tr = smote(train, features, label) if resample == "smote" else train
-    tr = cut_lineage(tr)
+    tr = materialize(tr, "smote-train")
     models, parts = {}, []
     for kind in kinds:
         m = fit(tr, features, kind, label, **params.get(kind, {}))

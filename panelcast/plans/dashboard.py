@@ -383,10 +383,10 @@ def q_stream_scoring(spark, d):
     import uuid
 
     from panelcast.plans.catalog import features_o
-    from panelcast.session import checkpoint_dir
+    from panelcast.session import scratch_root
     from panelcast.streaming.scoring import run_file_stream
 
-    src = f"{checkpoint_dir(spark).rstrip('/')}/stream-src/{uuid.uuid4().hex}"
+    src = f"{scratch_root(spark)}/stream-src/{uuid.uuid4().hex}"
     features_o(spark, d).repartition(8, "account_id").write.parquet(src)
     sink = run_file_stream(spark, src, max_files_per_trigger=2)
     return spark.read.parquet(sink)

@@ -21,7 +21,7 @@ from panelcast.plans.catalog import (
     panel_o,
     query,
 )
-from panelcast.session import checkpoint_dir, materialize
+from panelcast.session import checkpoint_dir, materialize, scratch_root
 from panelcast.sources import io
 
 # ---- parameters of the registered training queries -----------------------------
@@ -172,7 +172,7 @@ def q_model_roundtrip(spark, d):
 def q_io_roundtrip(spark, d):
     """Panel written as csv / json / parquet and read back; per-format profile."""
     p = panel_o(spark, d)
-    base = f"{checkpoint_dir(spark).rstrip('/')}/io/{uuid.uuid4().hex}"
+    base = f"{scratch_root(spark)}/io/{uuid.uuid4().hex}"
     parts = []
     for fmt in ("csv", "json", "parquet"):
         path = f"{base}/panel.{fmt}"
@@ -197,7 +197,7 @@ def q_io_roundtrip(spark, d):
 @query("segment_export")
 def q_segment_export(spark, d):
     """Driver segments exported one folder per segment, read back and counted."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/segments/{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/segments/{uuid.uuid4().hex}"
     io.export_segments(_segments(spark, d), path)
     back = spark.read.option("header", True).csv(path)
     return back.groupBy("segment_name").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -9,7 +9,7 @@ survive the loss of an executor.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -51,7 +51,10 @@ def get_spark(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session."""
+    """The shared checkpoint folder named by the session.
+
+    A private folder is created only for a single-JVM ``local[...]`` master (tests,
+    laptops); ``local-cluster`` and real clusters must name a shared folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
@@ -59,11 +62,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     master = spark.sparkContext.master or ""
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS) on a cluster"
         )
-    # Local mode only (tests): a private folder is as durable as the JVM itself.
+    # Single JVM only: a private folder is as durable as the JVM itself.
     # spark.checkpoint.dir is a static setting, so record it on the context instead.
     folder = tempfile.mkdtemp(prefix="panelcast-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
@@ -77,16 +80,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame, name: str = "lineage-cut") -> DataFrame:
-    """Cut the lineage through a table written in the shared checkpoint folder
-    (one computation; survives executor loss).  See ``materialize``."""
-    return materialize(df, name)
+def scratch_root(spark: SparkSession, base: str | None = None) -> str:
+    """This application's own folder under the shared checkpoint folder.  Everything
+    the library writes as an intermediate lies below it, so clearing one job's
+    scratch cannot touch another job's tables."""
+    root = (base or checkpoint_dir(spark)).rstrip("/")
+    return f"{root}/{spark.sparkContext.applicationId}"
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}"
+def scratch_path(spark: SparkSession, name: str, base: str | None = None) -> str:
+    """A fresh path for one written table in this application's scratch folder."""
+    return f"{scratch_root(spark, base)}/tables/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
@@ -95,34 +99,33 @@ def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     Used where several branches of one plan need the same expensive
     intermediate (Catalyst prunes each branch differently, so their exchanges
     are not reused).  One computation, a durable copy that survives executor
-    loss, and the read-back keeps column pruning and filter pushdown.
+    loss, and the read-back keeps column pruning and filter pushdown.  It runs a
+    job at the moment it is called, over the whole lineage of ``df``.
     """
     spark = df.sparkSession
-    root = (base or checkpoint_dir(spark)).rstrip("/")
-    path = f"{root}/tables/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name, base)
     # scratch copy: fast codec, no dictionary pages (values are mostly distinct doubles)
     df.write.mode("overwrite").option("compression", "lz4").option("parquet.enable.dictionary", "false").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete one folder through the Hadoop file system that owns it."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(jvm_path) and fs.delete(jvm_path, True))
 
 
-SCRATCH_SUBDIRS = ("tables", "stream-src", "streams", "io", "segments", "models")
+SCRATCH_SUBDIRS = ("tables", "stream-src", "streams", "io", "segments")
 
 
 def drop_scratch(spark: SparkSession, subdirs=SCRATCH_SUBDIRS, base: str | None = None) -> list[str]:
-    """Delete the library's written intermediates under the checkpoint folder.
+    """Delete this application's written intermediates (never saved models, never
+    another application's folder).
 
     Call at the end of a job, once no DataFrame that reads them is still in use
     (they back the lazy results of ``materialize``).  Uses the Hadoop FileSystem
     of the folder, so it works for HDFS / object stores as well as local paths.
     """
-    base = (base or checkpoint_dir(spark)).rstrip("/")
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    removed = []
-    for sub in subdirs:
-        path = jvm.org.apache.hadoop.fs.Path(f"{base}/{sub}")
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            fs.delete(path, True)
-            removed.append(str(path))
-    return removed
+    root = scratch_root(spark, base)
+    return [path for sub in subdirs if delete_path(spark, path := f"{root}/{sub}")]

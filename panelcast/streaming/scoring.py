@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.operators import scoring
-from panelcast.session import checkpoint_dir
+from panelcast.session import scratch_root
 
 
 def score_stream(stream: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -38,7 +38,7 @@ def run_file_stream(
     returns the sink folder.  For a long-running service use a processing-time
     trigger instead; the code path is the same.
     """
-    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{uuid.uuid4().hex}"
+    base = f"{scratch_root(spark)}/streams/{uuid.uuid4().hex}"
     sink_dir = sink_dir or f"{base}/sink"
     if schema is None:
         schema = spark.read.parquet(source_dir).schema

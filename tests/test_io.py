@@ -64,13 +64,16 @@ def test_prediction_and_metric_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "thr.json")).first()["threshold"] is not None
 
 
-def test_drop_scratch_only_touches_library_folders(spark, tmp_path):
+def test_drop_scratch_only_touches_own_application(spark, tmp_path):
     from panelcast import session
 
     base = str(tmp_path)
     t = session.materialize(spark.range(5), "probe", base=base)
     assert t.count() == 5
+    other = tmp_path / "app-of-another-job" / "tables"
+    other.mkdir(parents=True)
     (tmp_path / "keep").mkdir()
     removed = session.drop_scratch(spark, base=base)
-    assert any(r.endswith("/tables") for r in removed)
-    assert (tmp_path / "keep").exists() and not (tmp_path / "tables").exists()
+    own = tmp_path / spark.sparkContext.applicationId / "tables"
+    assert any(r.endswith("/tables") for r in removed) and not own.exists()
+    assert (tmp_path / "keep").exists() and other.exists()
