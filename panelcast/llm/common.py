@@ -75,3 +75,58 @@ def pack_scratch(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 def crc_remainder(id_col: str, mod: int):
     """crc32 of the id as text, modulo ``mod`` (a null id: as the empty text)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % mod
+
+
+def looked_up(rows: DataFrame, lookup: DataFrame, key: str, weight: str, how: str = "left") -> DataFrame:
+    """``rows`` joined with a one-row-per-key ``lookup`` without a hot key in one task.
+
+    ``weight`` is the column of ``lookup`` with the number of ``rows`` of each key.  A
+    key with over a thousandth of all rows is hot; there can be at most a thousand of
+    those, so they are broadcast.  All other keys go through an ordinary join, in which
+    no key has more than a thousandth of the rows.  ``weight`` is dropped.
+    """
+    total = lookup.agg(F.sum(weight)).first()[0] or 0
+    hot = lookup.where(F.col(weight) > total / 1000).drop(weight)
+    rest = lookup.where(F.col(weight) <= total / 1000).drop(weight)
+    hot_keys = F.broadcast(hot.select(key))
+    return rows.join(F.broadcast(hot), key, "inner").unionByName(
+        rows.join(hot_keys, key, "left_anti").join(rest, key, how)
+    )
+
+
+def connected_components(edges: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:
+    """Smallest node reachable from every node of an undirected edge list (long nodes).
+
+    Alternating large-star and small-star rounds: every round reads the edges written by
+    the one before (shared scratch folder, so no lineage grows and a lost executor costs
+    one round), aggregates with map-side combining and stops when the edges stay the same.
+    Returns ``node, root`` for all nodes of proper edges.
+    """
+    spark = edges.sparkSession
+    e = edges.where(F.col(a) != F.col(b)).select(
+        F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
+    path = scratch_path(spark, name)
+    e.write.parquet(path)
+    state = None
+    while True:
+        e = spark.read.schema("u bigint, v bigint").parquet(path)
+        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == state or now[0] == 0:
+            return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+                e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        state = now
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("m", "u"))
+        large = looked_up(both, low, "u", "n", "inner").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        mid = scratch_path(spark, name)
+        large.write.parquet(mid)
+        large = spark.read.schema("u bigint, v bigint").parquet(mid)
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = looked_up(large, low, "u", "n", "inner").select(
+            F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
+        ).select("e.*").where("u != v").distinct()
+        new = scratch_path(spark, name)
+        small.write.parquet(new)
+        delete_path(spark, mid)
+        delete_path(spark, path)
+        path = new

@@ -32,6 +32,13 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: 3-word shingles, at most 2 differing bits."""
+    from panelcast.llm.simhash import simhash_groups
+
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, most=2)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 4096 ids; the digest of every piece."""
     from panelcast.llm.packing import pack
@@ -43,6 +50,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
     "op4_license_scan": op4_license_scan,
+    "op7_simhash": op7_simhash,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
