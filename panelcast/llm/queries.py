@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import table
+from panelcast.llm.common import crc_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,16 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by centroids learned outside the held-out quarter."""
+    from panelcast.llm import language_id as L
+
+    docs = table(spark, sf_dir, "documents")
+    held = crc_remainder("doc_id", 4) == 2
+    model = L.fit(docs.where(~held))
+    return L.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, at most 2 differing bits."""
     from panelcast.llm.simhash import simhash_groups
@@ -50,6 +60,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
     "op4_license_scan": op4_license_scan,
+    "op5_language_id": op5_language_id,
     "op7_simhash": op7_simhash,
     "op10_packing": op10_packing,
 }
