@@ -130,3 +130,59 @@ def connected_components(edges: DataFrame, a: str, b: str, name: str = "componen
         delete_path(spark, mid)
         delete_path(spark, path)
         path = new
+
+
+class Memo(dict):
+    """Values of keys seen, in two generations: once ``limit`` keys are in, they become the old
+    generation and the one before goes; a key that is used again moves to the new one.  Frequent
+    keys stay, and at most about twice ``limit`` keys of at most ``chars`` characters are held."""
+
+    def __init__(self, limit: int, chars: int = 48):
+        super().__init__()
+        self.limit, self.chars, self.old = limit, chars, {}
+
+    def __missing__(self, key):
+        value = self[key] = self.old[key]
+        return value
+
+    def unseen(self, keys: set) -> list:
+        """The keys without a value; call before a step's lookups, it also ages the table."""
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        return [k for k in keys - self.keys() if k not in self.old]
+
+    def forget_long(self, keys: list) -> None:
+        for k in keys:
+            if len(k) > self.chars:
+                self.pop(k, None)
+
+
+def in_steps(batches: Iterable[pa.RecordBatch], column: int, size: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+    """The batches joined to steps of about ``size`` bytes of a text column (larger only by one batch)."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.column(column).nbytes
+        if n >= size:
+            yield from _joined(held)
+            held, n = [], 0
+    if held:
+        yield from _joined(held)
+
+
+def _joined(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if len(held) == 1:
+        yield held[0]
+    else:
+        yield pa.concat_batches(held)
+
+
+def split_words(texts: pa.Array):
+    """Texts cut at every single space: (code of each part, the distinct parts, first part of each text and the end)."""
+    import pyarrow.compute as pc
+
+    parts = pc.split_pattern(texts, " ")
+    flat = parts.flatten().dictionary_encode()
+    offsets = parts.offsets.to_numpy()
+    return flat.indices.to_numpy(), flat.dictionary.to_pylist(), offsets - offsets[0]

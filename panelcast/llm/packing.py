@@ -14,21 +14,24 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import bounded_batches, map_batches, pack_scratch, text_pieces
+from panelcast.llm.common import Memo, bounded_batches, in_steps, map_batches, pack_scratch, split_words
 
-#: Word parts kept in a worker's table and the longest part kept (a bound on memory only).
-KEPT, KEPT_CHARS = 600_000, 48
+#: Word parts kept in a generation of a worker's table (a bound on memory only).
+KEPT = 500_000
 
 
 class WordEncoder:
-    """Ids of whole texts from a ``tokenizers`` file whose pre-tokenizer drops white space.
+    """Ids of whole texts from a ``tokenizers`` file that drops white space, lower-cases and
+    splits punctuation from letters.
 
-    Such a tokenizer treats the parts between white space independently, so each
-    distinct part is encoded once and its ids are looked up afterwards.  Only the
-    ASCII space, tab and line breaks cut here; all other white space is left to the library.
+    Such a tokenizer treats the parts between white space independently, so each distinct
+    part is encoded once and its ids are looked up afterwards.  Only the ASCII space, tab
+    and line breaks cut here, and ASCII punctuation between a letter and a space is a part
+    of its own; all other white space and punctuation is left to the library.
     """
 
     def __init__(self, path: str):
@@ -36,30 +39,46 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        for part, whole in (("a b", ("a", "b")), ("it's\nx", ("it's", "x"))):
+        same = (("a b", ("a", "b")), ("it's\nx", ("it's", "x")), ("é, a.", ("é", ",", "a", ".")), ("THE Cat", ("the", "cat")), ("a*$. b", ("a", "*$.", "b")))
+        for part, whole in same:
             if self.ids([part])[0] != [i for w in whole for i in self.ids([w])[0]]:
-                raise ValueError("the tokenizer does not drop white space between words")
+                raise ValueError("the tokenizer does not treat words independently")
         self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
-        self.seen: dict[str, bytes] = {"": b""}
+        self.seen = Memo(KEPT)
 
     def ids(self, parts: list[str]) -> list[list[int]]:
         encode = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
         return [e.ids for e in encode(parts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.seen) > KEPT:
-            self.seen = {"": b""}
+    def parts(self, texts: pa.Array) -> pa.Array:
+        for blank in "\n\t\r":
+            texts = pc.replace_substring(texts, blank, " ")
+        special = pc.match_substring(texts, "<|")  # special strings are found before letters are lower-cased
+        cut = pc.replace_substring_regex(pc.ascii_lower(texts), r"(\pL)([!-/:-@\[-`{-~]+) ", r"\1 \2 ")
+        return pc.if_else(special, texts, cut)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (no nulls), one after another, and how many each text has."""
+        code, words, first = split_words(self.parts(texts))
         seen = self.seen
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        fresh = list({w for words in split for w in words if w not in seen})
+        fresh = seen.unseen(set(words))
         for i in range(0, len(fresh), 4096):
             part = fresh[i : i + 4096]
             seen.update(zip(part, (np.array(x, self.kind).tobytes() for x in self.ids(part))))
-        out = [b"".join(map(seen.__getitem__, words)) for words in split]
-        for w in fresh:
-            if len(w) > KEPT_CHARS:
-                del seen[w]
-        return out
+        found = [seen[w] for w in words]
+        seen.forget_long(fresh)
+        width = np.dtype(self.kind).itemsize
+        size = np.array([len(b) // width for b in found], np.int64)
+        ids = np.frombuffer(b"".join(found), self.kind)
+        return _ragged(ids, np.cumsum(size) - size, size, code, first)
+
+
+def _ragged(ids, start, size, code, first):
+    """The id runs of a sequence of words, and the ids of each text."""
+    n = size[code]
+    total = np.r_[0, np.cumsum(n)]
+    flat = np.repeat(start[code] - total[:-1], n) + np.arange(total[-1])
+    return ids[flat], total[first[1:]] - total[first[:-1]]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -88,19 +107,19 @@ def encoded(df: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: s
     def run(batches):
         part, before = TaskContext.get().partitionId(), 0
         enc = encoder(tokenizer)
-        end, width = np.array([end_id], enc.kind).tobytes(), np.dtype(enc.kind).itemsize
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for i, j in text_pieces(texts):
-                ids = [b + end for b in enc(texts[i:j])]
-                n = np.array([len(b) // width for b in ids], np.int64)
-                place = before + np.cumsum(n) - n
-                before += int(n.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array([part] * len(ids), pa.int32()), pa.array(place),
-                     pa.array(n), pa.array(ids, pa.binary())],
-                    names=[id_col, "part", "before", "n_ids", "ids"],
-                )
+        width = np.dtype(enc.kind).itemsize
+        for batch in in_steps(batches, 1):
+            ids, n = enc(pc.fill_null(batch.column(1), ""))
+            at = np.cumsum(n)
+            blob = np.insert(ids, at, end_id).astype(enc.kind, copy=False).tobytes()
+            n = n + 1
+            stop = np.cumsum(n)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.full(len(n), part, np.int32)), pa.array(before + stop - n), pa.array(n),
+                 pa.array([blob[i * width : j * width] for i, j in zip((stop - n).tolist(), stop.tolist())], pa.binary())],
+                names=[id_col, "part", "before", "n_ids", "ids"],
+            )
+            before += int(n.sum())
 
     return pack_scratch(df.select(id_col, text_col).mapInArrow(run, schema), "packing-ids")
 

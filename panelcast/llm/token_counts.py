@@ -17,12 +17,12 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame
 
-from panelcast.llm.common import map_batches, text_pieces
+from panelcast.llm.common import Memo, map_batches, text_pieces
 
 SPACE = "▁"
 NONE = np.int64(1) << 60
-#: Parts kept in a worker's table, and the longest part kept (a bound on memory only).
-KEPT, KEPT_CHARS = 1_000_000, 48
+#: Parts kept in a generation of a worker's table (a bound on memory only).
+KEPT = 700_000
 _RUNS = re.compile(r" +[^ ]*")
 
 
@@ -147,7 +147,7 @@ class Counter:
         inner = [p for p in self.table.symbol if SPACE in p.lstrip(SPACE) or ("\n" in p and len(p) > 1)]
         if inner:
             raise ValueError(f"{len(inner)} pieces cross a cut, such as {inner[0]!r}")
-        self.seen: dict[str, int] = {}
+        self.seen = Memo(KEPT)
 
     @staticmethod
     def keys(text: str) -> list[str]:
@@ -161,17 +161,13 @@ class Counter:
         out = [0] * len(texts)
         for i, j in text_pieces(texts):
             split = [self.keys(t) if t else [] for t in texts[i:j]]
-            if len(self.seen) > KEPT:
-                self.seen.clear()
             seen = self.seen
-            fresh = list({k for keys in split for k in keys if k not in seen})
+            fresh = seen.unseen(set().union(*split))
             counts = self.table.count([escaped(k) for k in fresh]).tolist()
             seen.update(zip(fresh, counts))
             for d, keys in enumerate(split):
                 out[i + d] = sum(map(seen.__getitem__, keys))
-            for k in fresh:
-                if len(k) > KEPT_CHARS:
-                    del seen[k]
+            seen.forget_long(fresh)
         return out
 
 
