@@ -42,6 +42,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fifth."""
+    from panelcast.llm import toxicity as T
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = T.fit(docs, labels.where(crc_remainder("doc_id", 5) != 0))
+    return T.predict(docs, machine).select("doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, at most 2 differing bits."""
     from panelcast.llm.simhash import simhash_groups
@@ -61,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
     "op4_license_scan": op4_license_scan,
     "op5_language_id": op5_language_id,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op10_packing": op10_packing,
 }

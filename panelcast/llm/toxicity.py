@@ -12,49 +12,73 @@ word's margin costs one lookup for each of its subsequences.
 
 Texts are labelled, words are not: the machine learns from words that occur almost only
 in texts marked toxic against words of clean texts, then again with the clean words that
-it scored worst.  A text's margin is that of its worst word, and a logistic curve fitted
-on labelled texts turns it into the score.
+it scored worst.  A text's evidence is the margin of its worst word and the number and
+sum of the positive margins of its distinct words, seen against its length; a logistic curve fitted on labelled texts
+turns that into the score.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import bounded_batches, map_batches, pack_scratch
+from panelcast.llm.common import Memo, bounded_batches, map_batches, pack_scratch, split_words
 from panelcast.llm.language_id import sample_labelled
 
 SPAN, DECAY, BINS = 7, 0.7, 1 << 20
 #: Bounds of the training sample: labelled texts of each class, words of each class, landmarks.
 TEXTS, WORDS, LANDMARKS = 4000, 20_000, 160
 #: A word of toxic texts is an example if it is in so many of them and so many times likelier there.
-MIN_TEXTS, MIN_RATIO = 3, 12.0
-KEPT, KEPT_CHARS = 800_000, 48
+MIN_TEXTS, MIN_RATIO = 4, 12.0
+KEPT, KEPT_CHARS = 500_000, 48
 NO_WORD = -9.0
 
-_SPELLED = re.compile(r"(?:(?<=\s)|^)(?:\S\s){2,}\S(?=\s|$)")
 _MUL = np.array([2654435761, 2246822519, 3266489917], np.uint32)
 _STEPS = [(j, k) for j in range(1, SPAN - 1) for k in range(j + 1, SPAN)]
 
 
-def words_of(text: str) -> list[str]:
-    """Distinct words of a text: lower-cased runs between white space without anything but letters
-    and digits, and runs of single characters ("i d i o t") joined to one word."""
-    low = text.lower()
-    raw = set(low.split())
-    out = {w if w.isalnum() else "".join(filter(str.isalnum, w)) for w in raw}
-    if sum(len(w) == 1 for w in raw) > 1:
-        out.update("".join(filter(str.isalnum, m)) for m in _SPELLED.findall(low))
-    out.discard("")
-    return list(out)
+def cleaned(word: str) -> str:
+    """A word's letters and digits."""
+    return word if word.isalnum() else "".join(filter(str.isalnum, word))
+
+
+def tokens(texts: list[str | None]):
+    """Lower-cased parts of the texts between white space: (code of each part, distinct parts cleaned
+    to letters and digits, first part of each text and the end, words spelled out in single characters
+    ("i d i o t") as (text, word))."""
+    low = pa.array([(t or "").lower() for t in texts], pa.large_string())
+    for blank in "\n\t\r\x0b\x0c":
+        low = pc.replace_substring(low, blank, " ")
+    code, raw, first = split_words(low)
+    words = [cleaned(w) for w in raw]
+    spelled = []
+    single = np.fromiter((len(w) == 1 for w in raw), bool, len(raw))[code] if len(code) else np.zeros(0, bool)
+    at = np.flatnonzero(single)
+    if len(at) > 2:
+        owner = np.searchsorted(first, at, side="right") - 1
+        new = np.r_[True, (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])]
+        start = np.flatnonzero(new)
+        size = np.diff(np.r_[start, len(at)])
+        for s, n in zip(start[size > 2].tolist(), size[size > 2].tolist()):
+            spelled.append((int(owner[s]), "".join(words[c] for c in code[at[s] : at[s] + n])))
+    return code, words, first, spelled
+
+
+def words_of(text: str | None) -> list[str]:
+    """Distinct cleaned words of one text."""
+    _, words, _, spelled = tokens([text])
+    return list({*words, *(w for _, w in spelled)} - {""})
 
 
 def subsequences(words: list[str]):
-    """Gapped three-character subsequences: (bin, weight, word) of each, in flat arrays."""
+    """Gapped three-character subsequences of the words between two end marks: (bin, weight, word)
+    of each, in flat arrays."""
+    words = [f"\x02{w}\x03" if w else "" for w in words]
     n = np.array([len(w) for w in words], np.int64)
     c = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
     left = np.repeat(np.cumsum(n), n) - np.arange(len(c))  # characters from here to the word's end
@@ -83,8 +107,7 @@ def lengths(weights, own, n: int) -> np.ndarray:
 class Machine:
     weight: np.ndarray  # by subsequence bin
     bias: float
-    slope: float = 1.0
-    shift: float = 0.0
+    curve: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0, 0.0)  # slopes of the evidence, then the shift
 
     def margins(self, words: list[str]) -> np.ndarray:
         bins, weights, own = subsequences(words)
@@ -94,29 +117,44 @@ class Machine:
         some = np.bincount(own, minlength=len(words)) > 0
         return np.where(some, total / lengths(weights, own, len(words)) + self.bias, NO_WORD)
 
-    def score(self, margin: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * margin + self.shift, -40, 40)))
+    def score(self, evidence: np.ndarray) -> np.ndarray:
+        z = evidence @ np.array(self.curve[:-1]) + self.curve[-1]
+        return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
 class Scorer:
     """Margins of whole texts, remembering the words seen (bounded)."""
 
     def __init__(self, machine: Machine):
-        self.machine, self.seen = machine, {}
+        self.machine, self.seen = machine, Memo(KEPT)
+
+    def of_words(self, words: list[str]) -> np.ndarray:
+        fresh = self.seen.unseen(set(words))
+        for a in range(0, len(fresh), 50_000):
+            part = fresh[a : a + 50_000]
+            self.seen.update(zip(part, self.machine.margins(part).tolist()))
+        out = np.array([self.seen[w] for w in words])
+        self.seen.forget_long(fresh)
+        return out
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        if len(self.seen) > KEPT:
-            self.seen.clear()
-        out = np.full(len(texts), NO_WORD)
-        for i, t in enumerate(texts):
-            words = words_of(t or "")
-            fresh = [w for w in words if w not in self.seen]
-            for a in range(0, len(fresh), 50_000):
-                part = fresh[a : a + 50_000]
-                m = self.machine.margins(part).tolist()
-                out[i] = max(out[i], max(m))
-                self.seen.update((w, v) for w, v in zip(part, m) if len(w) <= KEPT_CHARS)
-            out[i] = max(out[i], max((self.seen.get(w, NO_WORD) for w in words), default=NO_WORD))
+        """The evidence of each text: (largest margin, log of 1 + positive words, root of their sum, log of 1 + words)."""
+        out = np.zeros((len(texts), 4))
+        if not len(texts):
+            return out
+        code, words, first, spelled = tokens(texts)
+        m = np.r_[self.of_words(words), self.of_words([w for _, w in spelled])]
+        owner = np.repeat(np.arange(len(texts)), np.diff(first))
+        code = np.r_[code, len(words) + np.arange(len(spelled))].astype(np.int64)
+        owner = np.r_[owner, [i for i, _ in spelled]].astype(np.int64)
+        most = np.full(len(texts), -np.inf)
+        np.maximum.at(most, owner, m[code])
+        out[:, 0] = np.clip(most, -3, 3)
+        hit = np.flatnonzero(m[code] > 0)
+        pair = np.unique(owner[hit] * len(m) + code[hit])
+        out[:, 1] = np.log1p(np.bincount(pair // len(m), minlength=len(texts)))
+        out[:, 2] = np.sqrt(np.bincount(pair // len(m), m[pair % len(m)], minlength=len(texts)))
+        out[:, 3] = np.log1p(np.diff(first))
         return out
 
 
@@ -138,6 +176,17 @@ def kernel(a: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
+def witnesses(texts: list[list[int]], n: int, least: float = 1.0) -> np.ndarray:
+    """Which of ``n`` candidate words explain the toxic texts: each text shares one vote among the
+    candidates in it, and a word needs ``least`` votes.  Insults get many votes; the words of a text
+    with many copies stand beside dozens of other such candidates and get next to none."""
+    votes = np.zeros(n)
+    for words in texts:
+        if words:
+            votes[words] += 1 / len(words)
+    return np.where(votes >= least, votes, 0.0)
+
+
 def spread_out(words: list[str], most: int, weight: np.ndarray | None = None) -> list[str]:
     """Landmarks: farthest-first words under the kernel, the weightiest word first."""
     if len(words) <= most:
@@ -167,7 +216,17 @@ def linear_svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 40)
     return w[:-1], float(w[-1])
 
 
-def train_words(bad: list[str], bad_weight: np.ndarray, good: list[str], landmarks: int = LANDMARKS, c: float = 20.0) -> Machine:
+def inserted(bad: list[str], good: list[str], rng, each: int = 4) -> list[str]:
+    """Copies of the longer toxic words with one character put in, as examples; the characters are those of clean words."""
+    chars = sorted({ch for w in good for ch in w})
+    out = []
+    for w in bad:
+        for at in rng.permutation(np.arange(1, len(w)))[:each] if len(w) > 4 else ():
+            out.append(w[:at] + chars[rng.integers(len(chars))] + w[at:])
+    return out
+
+
+def train_words(bad: list[str], bad_weight: np.ndarray, good: list[str], landmarks: int = LANDMARKS, c: float = 200.0) -> Machine:
     """A machine from toxic example words and clean words (two rounds: the second adds the clean words
     that the first put on the wrong side or near it)."""
     rng = np.random.default_rng(3)
@@ -178,6 +237,7 @@ def train_words(bad: list[str], bad_weight: np.ndarray, good: list[str], landmar
     value, vec = np.linalg.eigh((k + k.T) / 2)
     keep = value > 1e-6 * value[-1]
     turn = vec[:, keep] / np.sqrt(value[keep])
+    bad = bad + inserted(bad, good, rng)
     kb, kg = kernel(bad, marks) @ turn, kernel(good, marks) @ turn
     hard = np.zeros(len(good), bool)
     hard[rng.permutation(len(good))[:4000]] = True
@@ -193,18 +253,18 @@ def train_words(bad: list[str], bad_weight: np.ndarray, good: list[str], landmar
     return Machine(weight.astype(np.float32), b)
 
 
-def logistic(margin: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and shift of the logistic curve (Newton; the classes' weights as they are, a light ridge)."""
-    z, w = np.c_[margin, np.ones(len(margin))], np.zeros(2)
+def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, ...]:
+    """Slopes and shift of the logistic curve (Newton; the classes' weights as they are, a light ridge)."""
+    z, w = np.c_[x, np.ones(len(x))], np.zeros(x.shape[1] + 1)
     target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((y == 0).sum() + 2))
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
-        h = (z * (p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(2)
+        h = (z * (p * (1 - p))[:, None]).T @ z + 1e-3 * np.eye(len(w))
         step = np.linalg.solve(h, z.T @ (target - p) - 1e-3 * w)
         w += step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0]), float(w[1])
+    return tuple(w.tolist())
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -219,7 +279,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = pack_scratch(sample_labelled(lab, "id", "label", texts), "toxicity-ids")  # at most 2 x texts ids
     sample = pack_scratch(
         docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .join(F.broadcast(chosen), "id"), "toxicity-sample")
+        .join(F.broadcast(chosen), "id").dropDuplicates(["text", "label"]), "toxicity-sample")
 
     def split(batch):
         for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -230,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         map_batches(sample.select("text", "label"), split, "word string, label int").where(F.length("word") <= KEPT_CHARS)
         .groupBy("word").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good")), "toxicity-words")
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    none = Machine(np.zeros(BINS, np.float32), -1.0, 0.0, -40.0)
+    none = Machine(np.zeros(BINS, np.float32), -1.0, (0.0, 0.0, 0.0, 0.0, -40.0))
     if not n.get(0) or not n.get(1):
         return none
     ratio = ((F.col("bad") + 0.5) / n[1]) / ((F.col("good") + 0.5) / n[0])
@@ -239,9 +299,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     good = by_word.where((F.col("good") > 0) & (ratio <= 2)).orderBy(F.xxhash64("word"), "word").limit(words).collect()
     if not bad or not good:
         return none
-    machine = train_words([r["word"] for r in bad], np.array([r["bad"] for r in bad], float), [r["word"] for r in good])
-    m = margins(sample.select("id", "text", "label"), machine, "text").select("margin", "label").toPandas()
-    machine.slope, machine.shift = logistic(m["margin"].to_numpy(), m["label"].to_numpy())
+    place = {r["word"]: i for i, r in enumerate(bad)}
+
+    def held(batch):
+        yield {"w": [sorted(place[w] for w in words_of(t) if w in place) for t in batch.column(0).to_pylist()]}
+
+    toxic = map_batches(sample.where("label = 1").select("text"), held, "w array<int>").orderBy("w").collect()
+    picked = witnesses([r["w"] for r in toxic], len(bad), max(1.0, 0.0015 * n[1]))
+    chosen_bad = [r["word"] for r, k in zip(bad, picked) if k]
+    if not chosen_bad:
+        return none
+    machine = train_words(chosen_bad, picked[picked > 0], [r["word"] for r in good])
+    m = evidence(sample.select("text", "label"), machine).collect()
+    machine.curve = logistic(np.array([r["evidence"] for r in m]), np.array([r["label"] for r in m]))
     return machine
 
 
@@ -254,22 +324,14 @@ def _scorer(shared, _of={}):
     return _of[key]
 
 
-def margins(df: DataFrame, machine: Machine, text_col: str = "text") -> DataFrame:
-    """The rows with the ``margin`` of their worst word appended."""
-    import pyarrow as pa
-    from pyspark.sql.types import DoubleType, StructType
-
+def evidence(df: DataFrame, machine: Machine) -> DataFrame:
+    """The evidence of the texts of a labelled sample (``text, label``)."""
     shared = df.sparkSession.sparkContext.broadcast(machine)
-    at = df.columns.index(text_col)
-    bounded_batches(df.sparkSession)
-    schema = StructType(df.schema.fields).add("margin", DoubleType())
 
-    def run(batches):
-        score = _scorer(shared)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(score(b.column(at).to_pylist()))], names=[*b.schema.names, "margin"])
+    def run(batch):
+        yield {"label": batch.column(1), "evidence": _scorer(shared)(batch.column(0).to_pylist()).tolist()}
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df.select("text", "label"), run, "label int, evidence array<double>")
 
 
 def predict(df: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -291,8 +353,6 @@ def predict(df: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
 def keep_clean(df: DataFrame, machine: Machine, text_col: str = "text", most: float = 0.5) -> DataFrame:
     """The rows (all columns) whose text scores under ``most``."""
-    import pyarrow as pa
-
     shared = df.sparkSession.sparkContext.broadcast(machine)
     at = df.columns.index(text_col)
     bounded_batches(df.sparkSession)
