@@ -58,6 +58,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, most=2)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items inside documents, at most a fifth of an item's words edited."""
+    from panelcast.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), similarity=0.8)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 4096 ids; the digest of every piece."""
     from panelcast.llm.packing import pack
@@ -72,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op5_language_id": op5_language_id,
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
+    "op8_decontaminate": op8_decontaminate,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
