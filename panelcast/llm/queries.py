@@ -25,6 +25,26 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), limit=4096)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written and read back."""
+    from panelcast.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+OP3_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+), g AS (
+  SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest) END AS keeper FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN keeper IS NOT NULL AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper IS NOT NULL AND page_id <> keeper THEN keeper END AS refers_to
+FROM g
+"""
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases, identifier tags and expressions of every document."""
     from panelcast.llm.license_scan import license_scan
@@ -75,6 +95,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_token_counts": op2_token_counts,
+    "op3_warc": op3_warc,
     "op4_license_scan": op4_license_scan,
     "op5_language_id": op5_language_id,
     "op6_toxicity": op6_toxicity,
@@ -82,7 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL}
 
 
 def queries() -> dict[str, Query]:
