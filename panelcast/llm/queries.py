@@ -85,6 +85,13 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), similarity=0.8)
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from panelcast.llm.html_text import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 4096 ids; the digest of every piece."""
     from panelcast.llm.packing import pack
@@ -101,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op6_toxicity": op6_toxicity,
     "op7_simhash": op7_simhash,
     "op8_decontaminate": op8_decontaminate,
+    "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL}
