@@ -18,6 +18,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest embeddings of every hundredth one."""
+    from panelcast.llm.ann import neighbours
+
+    return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document by the 32k sentencepiece model."""
     from panelcast.llm.token_counts import token_counts
@@ -101,6 +108,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_neighbours": op1_neighbours,
     "op2_token_counts": op2_token_counts,
     "op3_warc": op3_warc,
     "op4_license_scan": op4_license_scan,
