@@ -186,3 +186,10 @@ def split_words(texts: pa.Array):
     flat = parts.flatten().dictionary_encode()
     offsets = parts.offsets.to_numpy()
     return flat.indices.to_numpy(), flat.dictionary.to_pylist(), offsets - offsets[0]
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -110,7 +110,7 @@ class Model:
             sim = x @ self.centroids.T if len(self.centroids) else np.zeros((len(x), 0), np.float32)
             for row, letters in zip(sim, n.tolist()):
                 if not letters or not len(row):
-                    langs.append(UNKNOWN), scores.append(0.0), rejected.append(True)
+                    langs.append(UNKNOWN), scores.append(0.0), rejected.append(not letters)
                     continue
                 best = int(np.argmax(row))
                 score = float(min(1.0, max(0.0, row[best])))
@@ -134,7 +134,8 @@ def sample_labelled(df: DataFrame, id_col: str, label_col: str, most: int) -> Da
 def fit(train: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id",
         per_language: int = PER_LANGUAGE, k: int = CENTROIDS, bins: int = BINS) -> Model:
     """Learn from a bounded sample (``per_language`` texts of each label).  Null texts, null labels and
-    texts without a letter are left out; no labelled text at all gives a model that rejects everything."""
+    texts without a letter are left out; without any labelled text every text is ``und``, and only those
+    without a letter are rejected."""
     labelled = train.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
     sample = pack_scratch(sample_labelled(labelled, "id", "label", per_language), "language-sample")

@@ -7,17 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import crc_remainder, table
+import corpus_pipeline
+from panelcast.llm.common import crc_remainder, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest embeddings of every hundredth one."""
     from panelcast.llm.ann import neighbours
@@ -107,6 +102,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_token_counts": op2_token_counts,
@@ -118,10 +118,15 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
+    "pipeline": pipeline,
 }
 ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL}
 
 
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
