@@ -21,8 +21,9 @@ from panelcast.llm.common import bounded_batches, map_batches, pack_scratch, tex
 
 #: Vector size; labelled texts a language is learned from at most; centroids of a language.
 BINS, PER_LANGUAGE, CENTROIDS = 1 << 13, 600, 5
-#: A text is rejected under this part of the smallest usual cosine (quantile) for its length.
-REJECT_PART, REJECT_QUANTILE = 0.5, 0.005
+#: A text is rejected under this part of the smallest usual cosine (quantile) for its length; lengths with
+#: fewer examples take the next shorter length's.
+REJECT_PART, REJECT_QUANTILE, REJECT_FROM = 0.4, 0.005, 200
 UNKNOWN = "und"
 
 _MUL = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
@@ -116,7 +117,7 @@ class Model:
                 score = float(min(1.0, max(0.0, row[best])))
                 langs.append(self.languages[self.owner[best]])
                 scores.append(score)
-                rejected.append(score < self.floor[min(len(self.floor) - 1, letters.bit_length())])
+                rejected.append(bool(score < self.floor[min(len(self.floor) - 1, letters.bit_length())]))
         return langs, scores, rejected
 
 
@@ -182,10 +183,10 @@ def _floors(sample: DataFrame, model: Model) -> np.ndarray:
     floor = np.zeros(32)
     if len(model.centroids):
         got = map_batches(sample.select("text"), cosines, "bits int, cos double").groupBy("bits").agg(
-            F.percentile_approx("cos", REJECT_QUANTILE, 10000).alias("q"))
+            F.percentile_approx("cos", REJECT_QUANTILE, 10000).alias("q"), F.count(F.lit(1)).alias("n"))
         for r in got.collect():
-            floor[r["bits"]] = REJECT_PART * r["q"]
-        for b in range(1, 32):  # lengths that the sample lacks: as the next shorter
+            floor[r["bits"]] = REJECT_PART * r["q"] * (r["n"] >= REJECT_FROM)
+        for b in range(1, 32):
             floor[b] = floor[b] or floor[b - 1]
     return floor
 
