@@ -45,22 +45,24 @@ def grams(text: str, bins: int = BINS, step: int = 1 << 20) -> tuple[np.ndarray,
     counts, letters = np.zeros(bins, np.int64), 0
     shift = np.uint32(32 - int(np.log2(bins)))
     low = text.lower()
+    held = np.array([32], np.uint32)  # a text starts behind a blank; later the last two characters of the step before
     for i in range(0, len(low), step):
-        # two characters of overlap, so that no n-gram across a cut is lost
-        c = np.frombuffer((" " + low if i == 0 else low[i - 2 : i + step] if i else low)[: step + 2].encode("utf-32-le", "surrogatepass"), np.uint32)
-        c = np.append(letter_table()[c], np.uint32(32)) if i + step >= len(low) else letter_table()[c]
-        letters += int((c[0 if i == 0 else 2 :] != 32).sum())
-        c = c[np.r_[True, (c[1:] != 32) | (c[:-1] != 32)]]
+        c = letter_table()[np.frombuffer(low[i : i + step].encode("utf-32-le", "surrogatepass"), np.uint32)]
+        letters += int((c != 32).sum())
+        if i + step >= len(low):
+            c = np.append(c, np.uint32(32))
+        c = np.concatenate([held, c])
+        keep = (c[1:] != 32) | (c[:-1] != 32)  # one blank for a run of blanks
+        keep[: len(held) - 1] = True
+        c = c[np.r_[True, keep]]
+        new = len(held)
         h = c * _MUL[0]
-        parts = [h[c != 32] >> shift]
-        if len(c) > 1:
-            h2 = (h[:-1] ^ (h[:-1] >> np.uint32(15))) * _MUL[1] + c[1:] * _MUL[0]
-            parts.append((h2 * _MUL[2]) >> shift)
-            if len(c) > 2:
-                h3 = (h2[:-1] ^ (h2[:-1] >> np.uint32(13))) * _MUL[2] + c[2:] * _MUL[1]
-                parts.append((h3 * _MUL[0]) >> shift)
-        for p in parts:
-            counts += np.bincount(p, minlength=bins)
+        h2 = (h[:-1] ^ (h[:-1] >> np.uint32(15))) * _MUL[1] + h[1:]
+        h3 = (h2[:-1] ^ (h2[:-1] >> np.uint32(13))) * _MUL[2] + c[2:] * _MUL[1]
+        single = np.flatnonzero(c[new:] != 32) + new
+        for hashes in (h[single], h2[new - 1 :] * _MUL[2], h3[max(0, new - 2) :] * _MUL[0]):
+            counts += np.bincount(hashes >> shift, minlength=bins)
+        held = c[-2:]
     return counts, letters
 
 
