@@ -124,14 +124,26 @@ class Model:
 
 
 def sample_labelled(df: DataFrame, id_col: str, label_col: str, most: int) -> DataFrame:
-    """At most ``most`` rows of each label, the same rows at every run: a hash of the id thins each
-    label to a small multiple of ``most`` (no sort of a large group), then the exact number is cut."""
+    """At most ``most`` rows of each label (more only if ids repeat), the same rows at every run.
+
+    Rows are picked by a hash of their id.  Only ids and labels are counted and ranked, in a sample
+    thinned to a small multiple of ``most`` rows a label; the limits, one number for each label, then
+    filter the table where it lies, so no text is shuffled."""
     h = F.pmod(F.xxhash64(F.lit(17), id_col), F.lit(1 << 30))
-    counts = df.groupBy(label_col).count()
-    rate = counts.select(F.col(label_col).alias("_label"), F.least(F.lit(1.0), F.lit(3.0 * most) / F.col("count")).alias("_rate"))
-    w = Window.partitionBy("_label").orderBy("_h", id_col)
-    near = df.withColumn("_h", h).join(rate, F.col(label_col) == F.col("_label"), "inner").where(F.col("_h") < F.col("_rate") * (1 << 30))
-    return near.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= most).drop("_h", "_rate", "_nth", "_label")
+    narrow = df.select(F.col(label_col).alias("label"), h.alias("h"))
+    counts = narrow.groupBy("label").count().collect()
+    if not counts:
+        return df.limit(0)
+
+    def limit(values: dict):
+        pairs = [F.lit(x) for kv in values.items() for x in kv]
+        return F.element_at(F.create_map(*pairs), F.col(label_col))
+
+    rate = {r["label"]: int(min(1.0, 3.0 * most / r["count"]) * (1 << 30)) for r in counts}
+    nth = F.row_number().over(Window.partitionBy("label").orderBy("h"))
+    near = narrow.withColumn(label_col, F.col("label")).where(F.col("h") < limit(rate)).withColumn("nth", nth).where(F.col("nth") <= most)
+    last = {r["label"]: r["last"] for r in near.groupBy("label").agg(F.max("h").alias("last")).collect()}
+    return df.where(h <= limit(last))
 
 
 def fit(train: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id",
@@ -141,7 +153,7 @@ def fit(train: DataFrame, text_col: str = "text", label_col: str = "lang", id_co
     without a letter are rejected."""
     labelled = train.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
-    sample = pack_scratch(sample_labelled(labelled, "id", "label", per_language), "language-sample")
+    sample = pack_scratch(sample_labelled(labelled, "id", "label", per_language).dropDuplicates(["text", "label"]), "language-sample")
 
     def frequencies(batch):
         seen, n = np.zeros(bins, np.int64), 0
