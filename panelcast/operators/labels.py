@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from panelcast.operators.guards import require_periods
 
-# Largest period table we broadcast without looking (periods are calendar
-# months/days, so this is decades of daily data).
-MAX_BROADCAST_PERIODS = 1_000_000
+# Most periods that a period table may have (calendar months or days: more than
+# this is not a calendar); checked before it is broadcast.
+MAX_PERIODS = 1_000_000
 
 
 def horizon_labels(
@@ -50,13 +50,19 @@ def month_index(df: DataFrame, period: str = "month") -> DataFrame:
 
 
 def _with_index(df: DataFrame, period: str, n_needed: int | None = None) -> DataFrame:
-    idx = month_index(df, period)
+    idx, n = period_table(df, period)
     if n_needed is not None:
-        n = idx.count()  # tiny table; also tells us the broadcast is safe
         require_periods(n, n_needed)
-        if n <= MAX_BROADCAST_PERIODS:
-            idx = F.broadcast(idx)
-    return df.join(idx, on=period, how="inner")
+    return df.join(F.broadcast(idx), on=period, how="inner")
+
+
+def period_table(df: DataFrame, period: str = "month") -> tuple[DataFrame, int]:
+    """``month_index`` and its number of periods, checked to be a calendar's (so it can be broadcast)."""
+    idx = month_index(df, period)
+    n = idx.count()
+    if n > MAX_PERIODS:
+        raise ValueError(f"{n} distinct values of {period!r}: not a period column")
+    return idx, n
 
 
 def time_split(
@@ -99,7 +105,7 @@ def cv_blocks(df: DataFrame, n_splits: int = 3, period: str = "month") -> DataFr
     ``size`` periods are the validation blocks 1..n_splits; block 0 is the
     training-only prefix.  Fold f trains on blocks < f and validates on f.
     """
-    idx = month_index(df, period)
+    idx, _ = period_table(df, period)
     size = F.floor(F.col("n_periods") / (n_splits + 1))
     first_val = F.col("n_periods") - size * n_splits
     block = F.when(F.col("period_idx") <= first_val, F.lit(0)).otherwise(
@@ -109,23 +115,17 @@ def cv_blocks(df: DataFrame, n_splits: int = 3, period: str = "month") -> DataFr
     return df.join(F.broadcast(idx), on=period, how="inner")
 
 
-def fold_frames(df_with_blocks: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
-    b = F.col("cv_block")
-    return df_with_blocks.where(b < fold), df_with_blocks.where(b == fold)
-
-
 def class_distribution(df: DataFrame, label: str = "churned") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def class_weights(df: DataFrame, label: str = "churned", out: str = "class_weight") -> DataFrame:
-    """Balanced weights n / (2 * n_class), joined back by broadcast (two-row table)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_class"))
-    total = counts.agg(F.sum("_n_class").alias("_n"))
-    n_classes = counts.agg(F.count(F.lit(1)).alias("_k"))
-    weights = counts.crossJoin(total).crossJoin(n_classes).select(
-        label, (F.col("_n") / (F.col("_k") * F.col("_n_class"))).alias(out)
-    )
+    """Balanced weights n / (2 * n_class), joined back by broadcast (a row for each class).
+
+    Weights for training must come from training rows only: pass those."""
+    w = Window.partitionBy()  # over the class table only
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    weights = counts.select(label, (F.sum("_n").over(w) / (F.count(F.lit(1)).over(w) * F.col("_n"))).alias(out))
     return df.join(F.broadcast(weights), on=label, how="left")
 
 
@@ -140,15 +140,27 @@ def split_rates(df: DataFrame, labels: list[str], split: str = "split") -> DataF
     return out
 
 
+def account_hash(key: str, seed: int):
+    """A number of 52 bits from a seeded md5 of the key: the same in any engine, exact as a double."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 13), 16, 10).cast("bigint")
+
+
 def stratified_split(
-    df: DataFrame, keys: list[str], label: str = "churned", train_fraction: float = 0.8, seed: int = 42
+    df: DataFrame, label: str = "churned", train_fraction: float = 0.8, seed: int = 42, key: str = "account_id", period: str = "month"
 ) -> DataFrame:
-    """Deterministic per-row split by a seeded hash of the keys -> adds ``split``.
+    """Exact stratified split of the accounts' last records -> adds ``split``.
 
-    The hash is independent of the label, so each class is split in the same
-    proportion in expectation, with no window over a whole class (that would
-    put a third of the data in one task).
+    In each class the accounts are ordered by a seeded hash of their key, and the first
+    floor(fraction x class size) of them are train, so no account is on both sides and both
+    sides have the class shares.  The cut comes from two-level prefix counts of the hash
+    values: no class is sorted in one task.
     """
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys], F.col(label)), F.lit(1_000_000))
-    split = F.when(bucket < int(train_fraction * 1_000_000), "train").otherwise("test")
-    return df.select("*", split.alias("split"))
+    from panelcast.operators.metrics import prefix_counts
+    from panelcast.operators.spine import last_record
+
+    last = last_record(df, key, period).withColumn("_h", account_hash(key, seed).cast("double"))
+    places = prefix_counts(last, "_h", {"n": F.lit(1)}, descending=False, group=label).select(
+        label, "_h", (F.col("cum_n") <= F.floor(F.col("tot_n") * F.lit(train_fraction))).alias("_train")
+    )
+    split = F.when(F.col("_train"), "train").otherwise("test")
+    return last.join(places, [label, "_h"]).select(*df.columns, split.alias("split"))

@@ -22,6 +22,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Least number of buckets; a session with more shuffle partitions gets four for each of them.
 DEFAULT_BUCKETS = 512
 
 
@@ -31,6 +32,7 @@ def _div0(num, den):
 
 
 def _bucketize(pts: DataFrame, value: str, n_buckets: int) -> DataFrame:
+    n_buckets = max(n_buckets, 4 * int(pts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = pts.approxQuantile(value, probs, 1.0 / (4 * n_buckets)) if n_buckets > 1 else []
     inner = sorted({c for c in cuts if c == c and abs(c) != float("inf")})
@@ -71,7 +73,7 @@ def prefix_counts(
         *[F.coalesce(F.sum(f"_b_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in weights],
         *[F.sum(f"_b_{n}").over(whole).alias(f"tot_{n}") for n in weights],
     )
-    joined = local.join(F.broadcast(offsets), on=part, how="inner")
+    joined = local.join(offsets, on=part, how="inner")  # both sides lie by bucket
     return joined.select(
         *keys,
         *weights.keys(),
@@ -346,27 +348,23 @@ def exact_quantiles(
     probs: list[float],
     group: str | None = None,
     n_buckets: int = DEFAULT_BUCKETS,
-    method: str = "auto",
 ) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas' default), distributed.
 
-    ``method="prefix"`` uses the ascending prefix counts of the distinct values:
-    the k-th smallest value (0-based) is the value whose running-count range
-    covers k; nothing is held in one task.  ``method="percentile"`` uses Spark's
-    exact ``percentile`` aggregate, whose (partially aggregated) state is a
-    value -> count map, i.e. bounded by the number of *distinct* values; "auto"
-    picks it for integral columns (counts have small domains) and the prefix
-    method otherwise.  Output: one row per (group, q) with ``q`` and ``value``.
+    Ascending prefix counts of the distinct values: the k-th smallest value (0-based) is
+    the value whose running-count range covers k; nothing is held in one task.  Output:
+    one row per (group, q) with ``q`` and ``value``.
     """
     g = [group] if group else []
-    if method == "auto":
-        integral = df.schema[value].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
-        method = "percentile" if integral else "prefix"
-    if method == "percentile":
-        agg = df.groupBy(*g).agg(F.percentile(F.col(value).cast("double"), F.array(*[F.lit(float(q)) for q in probs])).alias("_v"))
-        pairs = F.arrays_zip(F.array(*[F.lit(float(q)) for q in probs]).alias("q"), F.col("_v").alias("value"))
-        return agg.select(*g, F.explode(pairs).alias("_p")).select(*g, F.col("_p.q").alias("q"), F.col("_p.value").cast("double").alias("value"))
-    pc = prefix_counts(df.where(F.col(value).isNotNull()), value, {"n": F.lit(1)}, descending=False, group=group, n_buckets=n_buckets)
+    return weighted_quantiles(df.select(*g, value, F.lit(1).alias("_one")), value, "_one", probs, group, n_buckets)
+
+
+def weighted_quantiles(
+    df: DataFrame, value: str, weight: str, probs: list[float], group: str | None = None, n_buckets: int = DEFAULT_BUCKETS
+) -> DataFrame:
+    """``exact_quantiles`` of a table in which each row stands for ``weight`` (an integer column) equal values."""
+    g = [group] if group else []
+    pc = prefix_counts(df.where(F.col(value).isNotNull()), value, {"n": F.col(weight)}, descending=False, group=group, n_buckets=n_buckets)
     start = F.col("cum_n") - F.col("n")  # 0-based rank of the first copy of this value
     covers = lambda k: (start <= k) & (k < F.col("cum_n"))
     aggs = []

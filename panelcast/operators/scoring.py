@@ -35,8 +35,9 @@ def fixed_score(
     coefficients: dict[str, float] = FIXED_COEFFICIENTS,
     intercept: float = FIXED_INTERCEPT,
     out: str = "churn_risk_score",
-    digits: int | None = 4,
+    digits: int | None = None,
 ) -> DataFrame:
+    """Logistic score; ``digits`` rounds it (comparison across engines), the default does not."""
     z = linear_logit(coefficients, intercept)
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
     if digits is not None:

@@ -1,12 +1,10 @@
-"""Period spine, last record per account and the pre-churn scenario overlay."""
+"""Period spine and last record per account."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.expressions import calendar_months_between, floor_days_between, round_half_away
-
 METRIC_COLUMNS = [
     "current_month_transactions",
     "current_month_revenue",
@@ -17,37 +15,32 @@ METRIC_COLUMNS = [
     "average_resolution_time_hours",
 ]
 
-# ---- fixed values: pre-churn decline patterns (3..0 periods before the event) ----
-GRADUAL_DECLINE_RATE = 0.15       # transactions and revenue x (1 - rate * (3 - m))
-GRADUAL_TICKET_DECLINE = 0.2      # tickets x (1 - rate * (3 - m)), truncated, >= 0
-GRADUAL_CONTACT_DELAY = 10        # days added to days-since-contact per step
-SERVICE_TICKET_MULTIPLIER = 3
-SERVICE_RESOLUTION_MULTIPLIER = 1.5
-SERVICE_CONTACT_DELAY = 20
-SERVICE_MAX_CONTACT_DELAY = 90
-PRICE_MIN_FACTOR = 0.7            # revenue x (min + rate * m)
-PRICE_DECLINE_RATE = 0.1
-EARLY_TICKET_MULTIPLIER = 2
-EARLY_SELF_SERVICE_FACTOR = 0.5
-EARLY_MIN_SELF_SERVICE = 10.0
-PATTERNS = ["gradual", "service", "price", "early"]
-PRE_EVENT_PERIODS = 3
-# ---------------------------------------------------------------------------------
 
+def month_spine(df: DataFrame, key: str = "account_id", period: str = "month", step: str = "month", event: str = "churned") -> DataFrame:
+    """One row per account per period from its first to its last row, missing metrics 0 and
+    ``observed`` = 0.  The event row (churn) is the last one: later rows are cut.
 
-def month_spine(df: DataFrame, key: str = "account_id", period: str = "month", step: str = "month") -> DataFrame:
-    """One row per account per period from its first to its last row (the churn row
-    is the last one), facts left-joined, missing metrics 0 and ``observed`` = 0."""
+    One window over the account and an explode of the gap up to the next row; no join."""
     interval = F.expr("INTERVAL 1 MONTH") if step == "month" else F.expr("INTERVAL 1 DAY")
-    bounds = df.groupBy(key).agg(F.min(period).alias("_start"), F.max(period).alias("_end"))
-    spine = bounds.select(key, F.explode(F.sequence("_start", "_end", interval)).alias(period))
-    facts = df.select("*", F.lit(1).alias("observed"))
-    joined = spine.join(facts, on=[key, period], how="left")
-    fills = {c: 0 for c in METRIC_COLUMNS + ["churned", "observed"] if c in joined.columns}
-    out = joined.na.fill(fills)
-    if "enabled_channels" in out.columns:
-        out = out.na.fill({"enabled_channels": ""})
-    return out.select(*df.columns, "observed")
+    w = Window.partitionBy(key).orderBy(period)
+    gone = F.coalesce(F.max(event).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) == 1
+    rows = df.select("*", F.lead(period).over(w).alias("_next"), gone.alias("_gone")).where(~F.col("_gone"))
+    last = F.col("_next").isNull() | (F.col(event) == 1)
+    until = F.when(last, F.col(period)).otherwise((F.col("_next") - interval).cast(df.schema[period].dataType))
+    filled = rows.select("*", F.explode(F.sequence(F.col(period), F.greatest(until, F.col(period)), interval)).alias("_at"))
+    seen = F.col("_at") == F.col(period)
+    zero = set(METRIC_COLUMNS + [event])
+
+    def value(c: str):
+        if c == key:
+            return F.col(c)
+        if c == period:
+            return F.col("_at").alias(c)
+        missing = F.lit(0).cast(df.schema[c].dataType) if c in zero else F.lit("") if c == "enabled_channels" else F.lit(None)
+        here = F.coalesce(F.col(c), missing) if c in zero or c == "enabled_channels" else F.col(c)
+        return F.when(seen, here).otherwise(missing).alias(c)
+
+    return filled.select(*[value(c) for c in df.columns], seen.cast("int").alias("observed"))
 
 
 def last_record(df: DataFrame, key: str = "account_id", period: str = "month") -> DataFrame:
@@ -65,71 +58,3 @@ def last_record(df: DataFrame, key: str = "account_id", period: str = "month") -
             order = F.when(F.col(c).isNotNull(), F.col(period))
             aggs.append(F.max_by(F.col(c), order).alias(c))
     return df.groupBy(key).agg(*aggs).select(*df.columns)
-
-
-def scenario_overlay(
-    df: DataFrame,
-    pattern: str | None = None,
-    pattern_col: str | None = None,
-    key: str = "account_id",
-    period: str = "month",
-) -> DataFrame:
-    """Apply a pre-churn decline pattern to the churn row and the 3 periods before it.
-
-    ``pattern`` fixes one of gradual/service/price/early for every churned
-    account; ``pattern_col`` names a column holding the pattern per row.
-    Escalated tickets are capped at the new ticket count.
-    """
-    if pattern is None and pattern_col is None:
-        raise ValueError("give pattern or pattern_col")
-    p = F.lit(pattern) if pattern_col is None else F.col(pattern_col)
-    w_acct = Window.partitionBy(key)
-    event = F.max(F.when(F.col("churned") == 1, F.col(period))).over(w_acct)
-    base = df.select("*", event.alias("_event"))
-    m = calendar_months_between(F.col("_event"), F.col(period))
-    base = base.select("*", m.alias("_m"))
-    in_win = F.col("_event").isNotNull() & (F.col("_m") >= 0) & (F.col("_m") <= PRE_EVENT_PERIODS)
-    steps = F.lit(PRE_EVENT_PERIODS) - F.col("_m")
-    gradual, service = in_win & (p == "gradual"), in_win & (p == "service")
-    price, early = in_win & (p == "price"), in_win & (p == "early")
-
-    decline = F.lit(1.0) - F.lit(GRADUAL_DECLINE_RATE) * steps
-    tx = F.col("current_month_transactions")
-    rev = F.col("current_month_revenue")
-    tk = F.col("total_tickets")
-    new_tx = F.when(gradual, F.floor(tx * decline)).otherwise(tx).cast("bigint")
-    new_rev = (
-        F.when(gradual, round_half_away(rev * decline, 2))
-        .when(price, round_half_away(rev * (F.lit(PRICE_MIN_FACTOR) + F.lit(PRICE_DECLINE_RATE) * F.col("_m")), 2))
-        .otherwise(rev)
-    )
-    new_tk = (
-        F.when(gradual, F.greatest(F.lit(0), F.floor(tk * (F.lit(1.0) - F.lit(GRADUAL_TICKET_DECLINE) * steps))))
-        .when(service, tk * SERVICE_TICKET_MULTIPLIER)
-        .when(early, tk * EARLY_TICKET_MULTIPLIER)
-        .otherwise(tk)
-        .cast("bigint")
-    )
-    new_res = F.when(service, F.col("average_resolution_time_hours") * SERVICE_RESOLUTION_MULTIPLIER).otherwise(
-        F.col("average_resolution_time_hours")
-    )
-    new_ss = F.when(
-        early, F.greatest(F.lit(EARLY_MIN_SELF_SERVICE), F.col("self_service_percentage") * EARLY_SELF_SERVICE_FACTOR)
-    ).otherwise(F.col("self_service_percentage"))
-    days0 = floor_days_between(F.col(period), F.col("last_touchbase_date"))
-    new_days = (
-        F.when(gradual, days0 + F.lit(GRADUAL_CONTACT_DELAY) * steps)
-        .when(service, F.least(F.lit(SERVICE_MAX_CONTACT_DELAY), days0 + F.lit(SERVICE_CONTACT_DELAY) * steps))
-        .otherwise(days0)
-    )
-    new_touch = F.timestamp_add("DAY", days0 - new_days, F.col("last_touchbase_date"))
-    replaced = {
-        "current_month_transactions": new_tx,
-        "current_month_revenue": new_rev,
-        "total_tickets": new_tk,
-        "escalated_tickets": F.least(F.col("escalated_tickets"), new_tk),
-        "average_resolution_time_hours": new_res,
-        "self_service_percentage": new_ss,
-        "last_touchbase_date": new_touch,
-    }
-    return base.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns])

@@ -95,12 +95,11 @@ def labelled_features(spark, d):
     return materialize(labels.horizon_labels(features_o(spark, d), horizon=3), "labelled-features")
 
 
-def score_table(f, coefficients=None, intercept=None):
-    if coefficients is None:
-        s = scoring.fixed_score(f)
-    else:
-        s = scoring.fixed_score(f, coefficients, intercept)
-    return scoring.make_predictions(s, threshold=0.5)
+SCORE_DIGITS = 4  # of the registered queries' scores: cuts and ties must fall alike in both engines
+
+
+def score_table(f, coefficients=scoring.FIXED_COEFFICIENTS, intercept=scoring.FIXED_INTERCEPT, digits=SCORE_DIGITS):
+    return scoring.make_predictions(scoring.fixed_score(f, coefficients, intercept, digits=digits), threshold=0.5)
 
 
 def scored_o(spark, d):
@@ -109,9 +108,9 @@ def scored_o(spark, d):
     return score_table(labelled_features(spark, d))
 
 
-def scored_lazy(spark, d):
+def scored_lazy(spark, d, digits=SCORE_DIGITS):
     """Same table as ``scored_o`` but not materialized (single-branch queries)."""
-    return score_table(labels.horizon_labels(features_o(spark, d), horizon=3))
+    return score_table(labels.horizon_labels(features_o(spark, d), horizon=3), digits=digits)
 
 
 NARROW_COLS = ["account_id", "month", "churn_risk_score", "prediction", "risk_tier", EVAL_LABEL]
@@ -196,18 +195,6 @@ def q_last_record(spark, d):
     return spine.last_record(panel_o(spark, d))
 
 
-@query("scenario_overlay")
-def q_scenario(spark, d):
-    p = panel_o(spark, d)
-    # pattern per account: row count of the account modulo 4
-    from pyspark.sql import Window
-
-    n = F.count(F.lit(1)).over(Window.partitionBy("account_id"))
-    pats = F.element_at(F.array(*[F.lit(x) for x in spine.PATTERNS]), (F.pmod(n, F.lit(4)) + 1).cast("int"))
-    p = p.select("*", pats.alias("pattern"))
-    return spine.scenario_overlay(p, pattern_col="pattern")
-
-
 # ---- B / C features -------------------------------------------------------------
 
 
@@ -294,26 +281,26 @@ def q_uplift(spark, d):
 
 @query("split_time")
 def q_split_time(spark, d):
-    s = labels.time_split(panel_o(spark, d), 40, 12, 16, check=False)
+    s = labels.time_split(panel_o(spark, d), 40, 12, 16)
     return s.select("account_id", "month", "churned", "split")
 
 
 @query("split_horizon")
 def q_split_horizon(spark, d):
-    s = labels.time_split_horizon(panel_o(spark, d), 40, horizon=12, check=False)
+    s = labels.time_split_horizon(panel_o(spark, d), 40, horizon=12)
     return s.select("account_id", "month", "churned", "split")
 
 
 @query("split_rates")
 def q_split_rates(spark, d):
     lab = labels.horizon_labels(panel_o(spark, d), horizon=3)
-    s = labels.time_split(lab, 40, 12, 16, check=False)
+    s = labels.time_split(lab, 40, 12, 16)
     return labels.split_rates(s, ["churned", EVAL_LABEL])
 
 
 @query("cv_folds")
 def q_cv(spark, d):
-    s = labels.time_split(panel_o(spark, d), 40, 12, 16, check=False).where(F.col("split") == "train")
+    s = labels.time_split(panel_o(spark, d), 40, 12, 16).where(F.col("split") == "train")
     return labels.cv_blocks(s.drop("split"), 3).select("account_id", "month", "cv_block")
 
 
@@ -415,6 +402,14 @@ def q_pr_auc(spark, d):
     return metrics.pr_auc(metrics.curve_counts(scored_narrow(spark, d), label=EVAL_LABEL))
 
 
+@query("curve_areas_unrounded")
+def q_areas_unrounded(spark, d):
+    """ROC and PR areas over unrounded scores (nearly as many distinct scores as rows)."""
+    s = materialize(scored_lazy(spark, d, digits=None).select(*NARROW_COLS), "scored-unrounded")
+    counts = metrics.curve_counts(s, label=EVAL_LABEL)
+    return metrics.roc_auc(counts).crossJoin(metrics.pr_auc(counts))
+
+
 @query("pr_baseline")
 def q_pr_baseline(spark, d):
     return metrics.pr_baseline(scored_lazy(spark, d), EVAL_LABEL)

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.expressions import q
 from panelcast.operators import explain, labels, metrics, scoring
+from panelcast.session import materialize
 from panelcast.plans.catalog import (
     EVAL_LABEL,
     K_THRESHOLDS,
+    LOOKUP_ACCOUNT,
     TOP_N_EXPLAIN,
     model_feature_names,
     query,
     scored_lazy,
     scored_o,
+    SCORE_DIGITS,
     scored_stats,
     stats_with_importance,
     two_models,
@@ -47,6 +50,11 @@ N_CLUSTERS = 4
 N_NEIGHBOURS = 10
 AB_GROUPS = 2
 AB_SEED = 7
+STREAM_FILES = 64  # files of a micro-batch
+CLUSTER_FEATURES = [
+    "current_month_transactions", "current_month_revenue", "total_tickets", "escalated_tickets", "late_payments",
+    "self_service_percentage", "average_resolution_time_hours",
+]
 # ---------------------------------------------------------------------------------
 
 
@@ -105,7 +113,7 @@ def q_cost_benefit(spark, d):
         benefit.alias("benefit"),
         (benefit - cost).alias("net_value"),
         F.try_divide(benefit - cost, cost).alias("roi"),
-    )
+    ).select("*", (F.row_number().over(Window.orderBy(F.desc_nulls_last("roi"), "threshold")) == 1).alias("best_roi"))  # a row for each threshold
 
 
 @query("risk_trajectory")
@@ -161,7 +169,7 @@ def q_portfolio(spark, d):
 def q_drift(spark, d):
     """Mean shift (in training std units) and std ratio, recent vs training periods."""
     s = scored_o(spark, d)
-    idx = labels.month_index(s)
+    idx, _ = labels.period_table(s)
     x = s.join(F.broadcast(idx.select("month", "period_idx")), "month")
     feats = model_feature_names()
     tr = f"period_idx <= {DRIFT_TRAIN_MONTHS}"
@@ -288,43 +296,58 @@ def q_model_comparison(spark, d):
 
 @query("ab_groups")
 def q_ab(spark, d):
-    """Deterministic A/B assignment per account (seeded hash), with group sizes and mean risk."""
+    """Deterministic A/B assignment per account (seeded md5), with group sizes and mean risk."""
     s = scored_lazy(spark, d)
-    g = F.pmod(F.xxhash64(F.lit(AB_SEED), F.col("account_id")), F.lit(AB_GROUPS)).cast("int")
+    g = F.pmod(labels.account_hash("account_id", AB_SEED), F.lit(AB_GROUPS)).cast("int")
     return s.select(g.alias("ab_group"), "account_id", "churn_risk_score").groupBy("ab_group").agg(
         F.countDistinct("account_id").alias("n_accounts"), F.avg("churn_risk_score").alias("avg_risk")
     )
 
 
+def _long(df, cols, keep=()):
+    """(keep..., column, value double) of the given columns."""
+    body = ", ".join(f"'{c}', CAST({q(c)} AS DOUBLE)" for c in cols)
+    return df.selectExpr(*keep, f"stack({len(cols)}, {body}) AS (`column`, value)")
+
+
 @query("dq_report")
 def q_dq_report(spark, d):
-    """Missing values, IQR outliers (exact quartiles), range and freshness per raw metric."""
-    from panelcast.operators.metrics import exact_quantiles
+    """Missing values, IQR outliers (exact quartiles), range and freshness of every raw metric.
+
+    The raw columns are written once; one aggregate gives counts and ranges, one long prefix count
+    all quartiles, one pass the outliers."""
+    from panelcast.plans.catalog import panel_o
+
+    raw = materialize(panel_o(spark, d).select("month", *CLUSTER_FEATURES), "dq-raw")
+    long = _long(raw, CLUSTER_FEATURES, ["month"])
+    base = long.groupBy("column").agg(
+        F.count_if(F.col("value").isNull()).alias("n_missing"),
+        F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"),
+        F.max("month").alias("latest_period"),
+    )
+    qs = metrics.exact_quantiles(long.select("column", "value"), "value", [0.25, 0.75], group="column")
+    quart = materialize(qs.groupBy("column").agg(  # a row for each metric
+        F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("q1"), F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q3")
+    ), "dq-quartiles")
+    spread = 1.5 * (F.col("q3") - F.col("q1"))
+    outl = long.join(F.broadcast(quart), "column").groupBy("column").agg(
+        F.count_if((F.col("value") < F.col("q1") - spread) | (F.col("value") > F.col("q3") + spread)).alias("n_outliers")
+    )
+    return base.join(quart, "column").join(outl, "column")
 
-    s = scored_lazy(spark, d)
-    cols = ["current_month_transactions", "total_tickets", "escalated_tickets", "late_payments"]
-    parts = []
-    for c in cols:
-        qs = exact_quantiles(s, c, [0.25, 0.75])
-        q1 = qs.where(F.col("q") == 0.25).select(F.col("value").alias("q1"))
-        q3 = qs.where(F.col("q") == 0.75).select(F.col("value").alias("q3"))
-        base = s.agg(
-            F.count_if(F.col(c).isNull()).alias("n_missing"),
-            F.min(c).cast("double").alias("min_value"),
-            F.max(c).cast("double").alias("max_value"),
-            F.max("month").alias("latest_period"),
-        )
-        iqr = q1.crossJoin(q3)
-        lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
-        hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-        outl = s.select(c).crossJoin(F.broadcast(iqr)).agg(
-            F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias("n_outliers")
-        )
-        parts.append(base.crossJoin(iqr).crossJoin(outl).select(F.lit(c).alias("column"), "*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+@query("dq_correlations")
+def q_dq_correlations(spark, d):
+    """Pearson correlation of every pair of raw metrics, in one aggregate."""
+    from itertools import combinations
+
+    from panelcast.plans.catalog import panel_o
+
+    pairs = list(combinations(CLUSTER_FEATURES, 2))
+    wide = panel_o(spark, d).agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
+    body = ", ".join(f"'{a}', '{b}', _c{i}" for i, (a, b) in enumerate(pairs))
+    return wide.selectExpr(f"stack({len(pairs)}, {body}) AS (metric_a, metric_b, correlation)")
 
 
 @query("segment_clusters")
@@ -335,7 +358,7 @@ def q_clusters(spark, d):
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
     s = scored_lazy(spark, d)
-    cols = model_feature_names()[:7]
+    cols = CLUSTER_FEATURES
     pipe = Pipeline(
         stages=[
             VectorAssembler(inputCols=cols, outputCol="_raw"),
@@ -343,38 +366,34 @@ def q_clusters(spark, d):
             KMeans(k=N_CLUSTERS, seed=1, featuresCol="features", predictionCol="cluster"),
         ]
     )
-    data = s.select("account_id", "churn_risk_score", *cols)
+    data = materialize(s.select("account_id", "churn_risk_score", *cols), "cluster-features")
     model = pipe.fit(data)
     return model.transform(data).groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg("churn_risk_score").alias("avg_risk")
     )
 
 
+def similar_accounts(s, account: str, features=CLUSTER_FEATURES, n: int = N_NEIGHBOURS, segment: str = "risk_tier"):
+    """The ``n`` rows nearest to an account's last row among the last rows of other accounts in its segment.
+
+    Exact: Euclidean distance on metrics standardised over all last rows; one pass over the
+    segment, a heap of ``n`` rows in each task."""
+    from panelcast.operators.spine import last_record
+
+    last = last_record(s.select("account_id", "month", "churn_risk_score", segment, *features))
+    stats = last.agg(*[F.avg(c).alias(f"_m_{c}") for c in features], *[F.stddev_samp(c).alias(f"_s_{c}") for c in features])
+    one = last.where(F.col("account_id") == account).select(
+        F.col("account_id").alias("target_account"), F.col(segment).alias("_segment"), *[F.col(c).alias(f"_t_{c}") for c in features])
+    x = last.crossJoin(F.broadcast(stats)).join(F.broadcast(one), (F.col(segment) == F.col("_segment")) & (F.col("account_id") != F.col("target_account")))
+    z = sum((F.coalesce(F.try_divide(F.col(c) - F.col(f"_t_{c}"), F.col(f"_s_{c}")), F.lit(0.0)) ** 2 for c in features), F.lit(0.0))
+    return x.select("target_account", "account_id", "month", "churn_risk_score", F.round(F.sqrt(z), 4).alias("distance")).orderBy(
+        "distance", "account_id").limit(n)
+
+
 @query("similar_accounts")
 def q_similar(spark, d):
-    """Nearest rows (LSH on standardised raw metrics) to the riskiest row, excluding its own account."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import BucketedRandomProjectionLSH, StandardScaler, VectorAssembler
-
-    s = scored_lazy(spark, d)
-    cols = model_feature_names()[:7]
-    pipe = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=cols, outputCol="_raw"),
-            StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True),
-            BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=2.0, numHashTables=3, seed=1),
-        ]
-    )
-    data = s.select("account_id", "month", "churn_risk_score", *cols)
-    model = pipe.fit(data)
-    vec = model.transform(data)
-    target = vec.orderBy(F.col("churn_risk_score").desc(), "account_id", "month").first()
-    lsh = model.stages[-1]
-    others = vec.where(F.col("account_id") != target["account_id"])
-    nn = lsh.approxNearestNeighbors(others, target["features"], N_NEIGHBOURS, distCol="distance")
-    return nn.select(
-        F.lit(target["account_id"]).alias("target_account"), "account_id", "month", "churn_risk_score", "distance"
-    )
+    s = materialize(scored_lazy(spark, d).select("account_id", "month", "churn_risk_score", "risk_tier", *CLUSTER_FEATURES), "similar-rows")
+    return similar_accounts(s, LOOKUP_ACCOUNT)
 
 
 @query("stream_scoring")
@@ -387,8 +406,8 @@ def q_stream_scoring(spark, d):
     from panelcast.streaming.scoring import run_file_stream
 
     src = f"{scratch_root(spark)}/stream-src/{uuid.uuid4().hex}"
-    features_o(spark, d).repartition(8, "account_id").write.parquet(src)
-    sink = run_file_stream(spark, src, max_files_per_trigger=2)
+    features_o(spark, d).write.parquet(src)
+    sink = run_file_stream(spark, src, max_files_per_trigger=STREAM_FILES, digits=SCORE_DIGITS)
     return spark.read.parquet(sink)
 
 
@@ -421,50 +440,38 @@ def q_intervention_impact(spark, d):
     )
 
 
-PSI_COLUMNS = ["current_month_transactions", "total_tickets", "escalated_tickets", "late_payments"]
 PSI_EPS = 1e-4
+PSI_DIGITS = 6  # feature values are rounded so that equal values are equal in both engines
 PSI_DECILES = [i / 10 for i in range(1, 10)]
 
 
-def _above(column: str):
-    """Lambda for ``filter``: edges strictly below the row's value (one argument)."""
-    return lambda e: F.col(column) > e
-
-
 @query("feature_psi")
 def q_feature_psi(spark, d):
-    """Population stability index, recent vs training periods, over training-decile bins.
+    """Population stability index of every model feature, recent vs training periods, over training-decile bins.
 
-    Edges: exact deciles of the training rows (one row of arrays, broadcast);
+    Edges: exact deciles of the training rows (a row of nine numbers for each feature, broadcast);
     bin = number of edges below the value; PSI = sum (r - t) * ln((r + eps) / (t + eps))."""
     s = scored_lazy(spark, d)
-    idx = labels.month_index(s)
-    x = s.join(F.broadcast(idx.select("month", "period_idx")), "month").select(
-        "period_idx", *[F.col(c).cast("double").alias(c) for c in PSI_COLUMNS]
-    )
+    idx, _ = labels.period_table(s.select("month"))
+    feats = model_feature_names()
+    x = s.join(F.broadcast(idx.select("month", "period_idx")), "month")
     is_train = F.col("period_idx") <= DRIFT_TRAIN_MONTHS
     is_recent = F.col("period_idx").between(DRIFT_RECENT_FROM, DRIFT_RECENT_TO)
-    probs = F.array(*[F.lit(p) for p in PSI_DECILES])
-    edges = x.where(is_train).agg(*[F.percentile(F.col(c), probs).alias(f"_e_{c}") for c in PSI_COLUMNS])
-    xe = x.where(is_train | is_recent).crossJoin(F.broadcast(edges))  # one row of arrays
-    long = xe.select(
-        F.when(is_train, "train").otherwise("recent").alias("_part"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("feature"), F.size(F.filter(F.col(f"_e_{c}"), _above(c))).alias("bin"))
-                    for c in PSI_COLUMNS
-                ]
-            )
-        ).alias("_f"),
-    ).select("_part", "_f.feature", "_f.bin")
-    counts = long.groupBy("feature", "bin").agg(
-        F.count_if(F.col("_part") == "train").alias("n_train"), F.count_if(F.col("_part") == "recent").alias("n_recent")
-    )
+    part = F.when(is_train, "train").when(is_recent, "recent").alias("part")
+    long = _long(x.select(part, *feats).where(F.col("part").isNotNull()), feats, ["part"]).select(
+        "part", F.col("column").alias("feature"), F.round(F.round("value", 10), PSI_DIGITS).alias("value"))
+    # rows are combined to counts of distinct values before anything is written or joined
+    counts = materialize(long.groupBy("feature", "value").agg(
+        F.count_if(F.col("part") == "train").alias("n_train"), F.count_if(F.col("part") == "recent").alias("n_recent")), "psi-values")
+    edges = materialize(metrics.weighted_quantiles(counts.where("n_train > 0"), "value", "n_train", PSI_DECILES, group="feature")
+                        .groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("edges")), "psi-edges")
+    binned = counts.join(F.broadcast(edges), "feature").groupBy(
+        "feature", F.expr("size(filter(edges, e -> value > e))").alias("bin")).agg(
+        F.sum("n_train").alias("n_train"), F.sum("n_recent").alias("n_recent"))
     wf = Window.partitionBy("feature")  # at most 10 bins per feature
     pt = F.col("n_train") / F.sum("n_train").over(wf)
     pr = F.col("n_recent") / F.sum("n_recent").over(wf)
     term = (pr - pt) * F.log((pr + PSI_EPS) / (pt + PSI_EPS))
-    return counts.select("feature", term.alias("_t")).groupBy("feature").agg(
+    return binned.select("feature", term.alias("_t")).groupBy("feature").agg(
         F.sum("_t").alias("psi"), F.count(F.lit(1)).alias("n_bins")
     )

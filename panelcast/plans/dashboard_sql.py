@@ -6,6 +6,7 @@ from __future__ import annotations
 def dashboard_sql() -> dict[str, str]:
     from panelcast.plans import dashboard as D
     from panelcast.plans.oracle import (
+        BASE_O,
         EVAL,
         SCORED_O,
         W,
@@ -58,7 +59,8 @@ SELECT {r4('threshold')} AS threshold, {r4('CASE WHEN tp + fp > 0 THEN tp / (tp
     benefit = f"(tp * {D.SAVE_RATE!r}::DOUBLE * {D.ACCOUNT_VALUE!r}::DOUBLE)"
     q["cost_benefit"] = S + thr_cte + f"""
 SELECT {r4('threshold')} AS threshold, tp, fp, {r4(cost)} AS cost, {r4(benefit)} AS benefit,
-  {r4(f'{benefit} - {cost}')} AS net_value, {r4(f'({benefit} - {cost}) / NULLIF({cost}, 0)')} AS roi FROM cm"""
+  {r4(f'{benefit} - {cost}')} AS net_value, {r4(f'({benefit} - {cost}) / NULLIF({cost}, 0)')} AS roi,
+  row_number() OVER (ORDER BY ({benefit} - {cost}) / NULLIF({cost}, 0) DESC NULLS LAST, threshold) = 1 AS best_roi FROM cm"""
 
     q["risk_trajectory"] = SCORED_O + f"""SELECT * FROM (
   SELECT account_id, month, {r4('churn_risk_score')} AS churn_risk_score,
@@ -163,15 +165,35 @@ ml AS (UNPIVOT mt ON accuracy, precision, recall, f1_score, roc_auc, pr_auc INTO
 SELECT o.metric, {r4('o.value')} AS old_value, {r4('n.value')} AS new_value, {r4('n.value - o.value')} AS delta
 FROM (SELECT * FROM ml WHERE model_name = 'linear_a') o JOIN (SELECT * FROM ml WHERE model_name = 'linear_b') n USING (metric)"""
 
+    raw7 = ["current_month_transactions", "current_month_revenue", "total_tickets", "escalated_tickets", "late_payments",
+            "self_service_percentage", "average_resolution_time_hours"]
     dq_parts = []
-    for c in ["current_month_transactions", "total_tickets", "escalated_tickets", "late_payments"]:
+    for c in raw7:
+        lo, hi = f"quantile_cont(CAST({c} AS DOUBLE), 0.25)", f"quantile_cont(CAST({c} AS DOUBLE), 0.75)"
         dq_parts.append(f"""SELECT '{c}' AS "column", CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_missing,
   {r4(f'min({c})')} AS min_value, {r4(f'max({c})')} AS max_value, max(month) AS latest_period,
-  {r4(f'quantile_cont({c}, 0.25)')} AS q1, {r4(f'quantile_cont({c}, 0.75)')} AS q3,
-  CAST(count(*) FILTER (WHERE {c} < (SELECT quantile_cont({c}, 0.25) - 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) FROM scored)
-                          OR {c} > (SELECT quantile_cont({c}, 0.75) + 1.5 * (quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)) FROM scored)) AS BIGINT) AS n_outliers
-FROM scored""")
-    q["dq_report"] = SCORED_O + "\nUNION ALL\n".join(dq_parts)
+  {r4(lo)} AS q1, {r4(hi)} AS q3,
+  CAST(count(*) FILTER (WHERE {c} < (SELECT {lo} - 1.5 * ({hi} - {lo}) FROM panel)
+                          OR {c} > (SELECT {hi} + 1.5 * ({hi} - {lo}) FROM panel)) AS BIGINT) AS n_outliers
+FROM panel""")
+    q["dq_report"] = BASE_O + "\nUNION ALL\n".join(dq_parts)
+    q["dq_correlations"] = BASE_O + "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS metric_a, '{b}' AS metric_b, {r4(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS correlation FROM panel"
+        for i, a in enumerate(raw7) for b in raw7[i + 1:])
+    hash52 = "CAST('0x' || substr(md5('{seed}:' || account_id), 1, 13) AS BIGINT)"
+    q["ab_groups"] = SCORED_O + f"""SELECT CAST({hash52.format(seed=7)} % 2 AS INTEGER) AS ab_group,
+  CAST(count(DISTINCT account_id) AS BIGINT) AS n_accounts, {r4('avg(churn_risk_score)')} AS avg_risk FROM scored GROUP BY 1"""
+    # every metric is filled on every row, so the last row holds each column's last non-null value
+    sd = ", ".join(f"stddev_samp({c}) AS s_{c}" for c in raw7)
+    dist = " + ".join(f"coalesce(((l.{c} - t.{c}) / NULLIF(s_{c}, 0)) ** 2, 0)" for c in raw7)
+    q["similar_accounts"] = S + f""",
+la AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY month DESC) = 1),
+sd AS (SELECT {sd} FROM la),
+tg AS (SELECT * FROM la WHERE account_id = 'ACC-000010'),
+ds AS (SELECT t.account_id AS target_account, l.account_id, l.month, l.churn_risk_score, round(sqrt({dist}), 4) AS distance
+       FROM la l JOIN tg t ON l.risk_tier = t.risk_tier AND l.account_id <> t.account_id CROSS JOIN sd)
+SELECT target_account, account_id, month, {r4('churn_risk_score')} AS churn_risk_score, {r4('distance')} AS distance
+FROM ds ORDER BY ds.distance, account_id LIMIT 10"""
     n = D.IMPACT_PERIODS
     q["intervention_impact"] = S + f""",
 iv AS (SELECT risk_tier, days_since_last_contact <= {D.CONTACT_WITHIN_DAYS} AS contact,
@@ -180,20 +202,15 @@ iv AS (SELECT risk_tier, days_since_last_contact <= {D.CONTACT_WITHIN_DAYS} AS c
 SELECT risk_tier, CAST(count(*) AS BIGINT) AS n_contacts, {r4('avg(risk_before)')} AS avg_risk_before,
        {r4('avg(risk_after)')} AS avg_risk_after, {r4('avg(risk_after - risk_before)')} AS avg_change
 FROM iv WHERE contact AND risk_before IS NOT NULL AND risk_after IS NOT NULL GROUP BY risk_tier"""
-    cols = D.PSI_COLUMNS
-    deciles = "[" + ", ".join(repr(p) for p in D.PSI_DECILES) + "]"
-    edges = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), {deciles}) FILTER (WHERE idx <= {D.DRIFT_TRAIN_MONTHS}) AS e_{c}" for c in cols)
-    bins = "\n  UNION ALL\n  ".join(
-        f"SELECT part, '{c}' AS feature, len(list_filter(e_{c}, lambda e: CAST({c} AS DOUBLE) > e)) AS bin FROM px"
-        for c in cols
-    )
+    deciles = "[" + ", ".join(repr(p / 10) for p in range(1, 10)) + "]"
+    rounded = ", ".join(f"round(round(CAST({f} AS DOUBLE), 10), 6) AS {f}" for f in feats)
     q["feature_psi"] = S + f""",
 mi AS (SELECT month, row_number() OVER (ORDER BY month) AS idx FROM (SELECT DISTINCT month FROM scored)),
-sx AS (SELECT mi.idx, scored.* FROM scored JOIN mi USING (month)),
-ed AS (SELECT {edges} FROM sx),
-px AS (SELECT CASE WHEN idx <= {D.DRIFT_TRAIN_MONTHS} THEN 'train' ELSE 'recent' END AS part, sx.*, ed.*
-       FROM sx CROSS JOIN ed WHERE idx <= {D.DRIFT_TRAIN_MONTHS} OR idx BETWEEN {D.DRIFT_RECENT_FROM} AND {D.DRIFT_RECENT_TO}),
-lb AS ({bins}),
+sx AS (SELECT CASE WHEN idx <= {D.DRIFT_TRAIN_MONTHS} THEN 'train' ELSE 'recent' END AS part, {rounded} FROM scored JOIN mi USING (month)
+       WHERE idx <= {D.DRIFT_TRAIN_MONTHS} OR idx BETWEEN {D.DRIFT_RECENT_FROM} AND {D.DRIFT_RECENT_TO}),
+lb0 AS (UNPIVOT sx ON {", ".join(feats)} INTO NAME feature VALUE value),
+ed AS (SELECT feature, quantile_cont(value, {deciles}) FILTER (WHERE part = 'train') AS edges FROM lb0 GROUP BY feature),
+lb AS (SELECT part, feature, len(list_filter(edges, lambda e: value > e)) AS bin FROM lb0 JOIN ed USING (feature)),
 ct AS (SELECT feature, bin, count(*) FILTER (WHERE part = 'train') AS n_train, count(*) FILTER (WHERE part = 'recent') AS n_recent
        FROM lb GROUP BY feature, bin),
 tm AS (SELECT feature, (CAST(n_recent AS DOUBLE) / sum(n_recent) OVER (PARTITION BY feature)) AS pr,

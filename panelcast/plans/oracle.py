@@ -58,7 +58,7 @@ per_order AS (
          sum(l_quantity) AS qty
   FROM lineitem GROUP BY l_orderkey),
 o_m AS (
-  SELECT o.o_orderkey, 'ACC-' || lpad(CAST(o.o_custkey AS VARCHAR), 6, '0') AS account_id,
+  SELECT o.o_orderkey, 'ACC-' || repeat('0', greatest(0, 6 - length(CAST(o.o_custkey AS VARCHAR)))) || CAST(o.o_custkey AS VARCHAR) AS account_id,
          CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
          o.o_orderstatus, o.o_totalprice, o.o_orderdate,
          CASE substr(o.o_orderpriority, 1, 1) WHEN '1' THEN 'web' WHEN '2' THEN 'card' WHEN '3' THEN 'agent'
@@ -89,7 +89,7 @@ panel AS (
 
 PANEL_E = """
 ev AS (
-  SELECT 'USR-' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS account_id, CAST(ts AS DATE) AS month, ts, event_type, value,
+  SELECT 'USR-' || repeat('0', greatest(0, 6 - length(CAST(user_id AS VARCHAR)))) || CAST(user_id AS VARCHAR) AS account_id, CAST(ts AS DATE) AS month, ts, event_type, value,
          (['web', 'card', 'agent', 'ivr', 'apple_pay'])[CAST(((CAST(json_extract_string(props, '$.k') AS BIGINT) % 5) + 5) % 5 AS INTEGER) + 1] AS channel
   FROM events),
 daily AS (
@@ -181,12 +181,13 @@ f4 AS (SELECT *, {acc} FROM f3),
 feats AS (SELECT {", ".join(filled)} FROM f4)"""
 
 
-def fixed_score_sql(coefs=FIXED_COEFFICIENTS, intercept=FIXED_INTERCEPT) -> str:
+def fixed_score_sql(coefs=FIXED_COEFFICIENTS, intercept=FIXED_INTERCEPT, digits=True) -> str:
     z = f"({intercept}"
     for k, v in coefs.items():
         z += f" + ({v}) * CAST({k} AS DOUBLE)"
     z += ")"
-    return f"round(1.0 / (1.0 + exp(-{z})), 4)"
+    score = f"1.0 / (1.0 + exp(-{z}))"
+    return f"round({score}, 4)" if digits else score
 
 
 TIER_SQL = (
@@ -195,9 +196,9 @@ TIER_SQL = (
 )
 
 
-def scored_ctes(coefs=FIXED_COEFFICIENTS, intercept=FIXED_INTERCEPT, name="scored") -> str:
+def scored_ctes(coefs=FIXED_COEFFICIENTS, intercept=FIXED_INTERCEPT, name="scored", digits=True) -> str:
     return f"""
-{name}_s0 AS (SELECT *, {fixed_score_sql(coefs, intercept)} AS churn_risk_score FROM feats),
+{name}_s0 AS (SELECT *, {fixed_score_sql(coefs, intercept, digits)} AS churn_risk_score FROM feats),
 {name} AS (
   SELECT *, CAST(churn_risk_score >= 0.5 AS INTEGER) AS prediction, 1.0 - churn_risk_score AS safe_probability,
          {TIER_SQL} AS risk_tier,
@@ -438,7 +439,7 @@ dqb AS (SELECT *, row_number() OVER ({W}) AS rn, sum(churned) OVER (PARTITION BY
         else:
             spine_sel.append(f"p.{c}")
     q["month_spine"] = BASE_O.rstrip("\n") + f""",
-bounds AS (SELECT account_id, min(month) AS s0, max(month) AS s1 FROM panel GROUP BY account_id),
+bounds AS (SELECT account_id, min(month) AS s0, coalesce(min(CASE WHEN churned = 1 THEN month END), max(month)) AS s1 FROM panel GROUP BY account_id),
 sp AS (SELECT account_id, CAST(unnest(generate_series(CAST(s0 AS TIMESTAMP), CAST(s1 AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month FROM bounds)
 SELECT {", ".join(spine_sel)}, CAST(CASE WHEN p.account_id IS NULL THEN 0 ELSE 1 END AS INTEGER) AS observed
 FROM sp s LEFT JOIN panel p ON s.account_id = p.account_id AND s.month = p.month"""
@@ -454,35 +455,6 @@ FROM sp s LEFT JOIN panel p ON s.account_id = p.account_id AND s.month = p.month
             lr.append(f"{r4(e)} AS {c}" if c in PANEL_DOUBLES else f"{e} AS {c}")
     q["last_record"] = BASE_O + f"SELECT {', '.join(lr)} FROM panel GROUP BY account_id"
 
-    q["scenario_overlay"] = BASE_O.rstrip("\n") + """,
-pp AS (SELECT *, (['gradual', 'service', 'price', 'early'])[CAST((count(*) OVER (PARTITION BY account_id)) % 4 AS INTEGER) + 1] AS pattern,
-              max(CASE WHEN churned = 1 THEN month END) OVER (PARTITION BY account_id) AS ev FROM panel),
-pm AS (SELECT *, (year(ev) - year(month)) * 12 + (month(ev) - month(month)) AS m,
-              CAST(floor(CAST(date_diff('microsecond', last_touchbase_date, CAST(month AS TIMESTAMP)) AS DOUBLE) / 86400000000.0) AS BIGINT) AS d0
-       FROM pp),
-pw AS (SELECT *, ev IS NOT NULL AND m >= 0 AND m <= 3 AS inw, 3 - m AS st FROM pm),
-px AS (SELECT *,
-  CASE WHEN inw AND pattern = 'gradual' THEN CAST(floor(current_month_transactions * (1.0::DOUBLE - 0.15::DOUBLE * st)) AS BIGINT)
-       ELSE current_month_transactions END AS ntx,
-  CASE WHEN inw AND pattern = 'gradual' THEN round(current_month_revenue * (1.0::DOUBLE - 0.15::DOUBLE * st), 2)
-       WHEN inw AND pattern = 'price' THEN round(current_month_revenue * (0.7::DOUBLE + 0.1::DOUBLE * m), 2)
-       ELSE current_month_revenue END AS nrev,
-  CAST(CASE WHEN inw AND pattern = 'gradual' THEN greatest(0, floor(total_tickets * (1.0::DOUBLE - 0.2::DOUBLE * st)))
-       WHEN inw AND pattern = 'service' THEN total_tickets * 3
-       WHEN inw AND pattern = 'early' THEN total_tickets * 2
-       ELSE total_tickets END AS BIGINT) AS ntk,
-  CASE WHEN inw AND pattern = 'service' THEN average_resolution_time_hours * 1.5::DOUBLE ELSE average_resolution_time_hours END AS nres,
-  CASE WHEN inw AND pattern = 'early' THEN greatest(10.0, self_service_percentage * 0.5::DOUBLE) ELSE self_service_percentage END AS nss,
-  CASE WHEN inw AND pattern = 'gradual' THEN d0 + 10 * st
-       WHEN inw AND pattern = 'service' THEN least(90, d0 + 20 * st) ELSE d0 END AS nd
-  FROM pw)
-SELECT account_id, month, ntx AS current_month_transactions, """ + r4("nrev") + """ AS current_month_revenue,
-       ntk AS total_tickets, least(escalated_tickets, ntk) AS escalated_tickets, late_payments, enabled_channels,
-       """ + r4("nss") + """ AS self_service_percentage,
-       last_touchbase_date + to_days(CAST(d0 - nd AS INTEGER)) AS last_touchbase_date,
-       """ + r4("nres") + """ AS average_resolution_time_hours, churned, pattern
-FROM px"""
-
     chan_cols = ["account_id", "month", "enabled_channels"] + [f"has_{c}" for c in CHANNELS] + [
         "number_of_channels", "number_of_channels_avg_90d", "channel_trend", "max_channels_ever", "channels_dropped"]
     q["channel_features"] = FEATS_O + select_rounded(chan_cols, DOUBLES, "feats")
@@ -680,6 +652,15 @@ SELECT model_name, {r4('CASE WHEN tn + fp + fn + tp > 0 THEN (tp + tn) / (tn + f
        tn, fp, fn, tp, {r4('roc_auc')} AS roc_auc, {r4('pr_auc')} AS pr_auc
 FROM cmx JOIN auc USING (model_name)"""
 
+    fine = with_(PANEL_O, features_ctes(), scored_ctes(digits=False)).rstrip("\n")
+    q["curve_areas_unrounded"] = fine + "," + _curve("scored") + f"""
+SELECT {r4(roc_auc_sel)} AS roc_auc, {r4(pr_auc_sel)} AS pr_auc FROM curve"""
+    q["stratified_split"] = BASE_O.rstrip("\n") + f""",
+hl AS (SELECT *, CAST(coalesce(max(churned) OVER ({W} ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING), 0) > 0 AS INTEGER) AS {EVAL} FROM panel),
+la AS (SELECT account_id, month, {EVAL} FROM hl QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY month DESC) = 1),
+od AS (SELECT *, row_number() OVER (PARTITION BY {EVAL} ORDER BY CAST('0x' || substr(md5('42:' || account_id), 1, 13) AS BIGINT)) AS rn,
+              count(*) OVER (PARTITION BY {EVAL}) AS n FROM la)
+SELECT account_id, month, {EVAL}, CASE WHEN rn <= floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split FROM od"""
     # ---- drivers and explanations
     stats_base = SCORED_O.rstrip("\n") + "," + _stats_ctes()
     q["class_stats"] = stats_base + f"""
@@ -722,7 +703,7 @@ FROM xa"""
     prof = f"""SELECT '{{fmt}}' AS format, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT account_id) AS BIGINT) AS n_accounts,
   CAST(sum(current_month_transactions) AS BIGINT) AS transactions, {r4('round(sum(current_month_revenue), 2)')} AS revenue,
   CAST(sum(churned) AS BIGINT) AS churned, max(last_touchbase_date) AS last_touch FROM panel"""
-    q["io_roundtrip"] = BASE_O + "\nUNION ALL\n".join(prof.replace("{fmt}", f) for f in ("csv", "json", "parquet"))
+    q["io_roundtrip"] = BASE_O + "\nUNION ALL\n".join(prof.replace("{fmt}", f) for f in ("csv", "json", "parquet", "json_array"))
     q["segment_export"] = _segments_sql() + """
 SELECT replace(lower(segment), ' ', '_') AS segment_name, CAST(count(*) AS BIGINT) AS n_rows FROM segs GROUP BY 1"""
     from panelcast.plans.dashboard_sql import dashboard_sql

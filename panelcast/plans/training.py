@@ -38,7 +38,7 @@ def train_test(spark, d):
     """Horizon label as target (helper dropped), chronological split, model matrix;
     written once so every fit and scoring pass starts from a short lineage."""
     f = labels.swap_label(labels.horizon_labels(features_o(spark, d), horizon=3), EVAL_LABEL, "churned")
-    s = labels.time_split_horizon(f, TRAIN_MONTHS, horizon=TEST_HORIZON, check=False)
+    s = labels.time_split_horizon(f, TRAIN_MONTHS, horizon=TEST_HORIZON)
     mm = ml.model_matrix(s, label="churned", ids=("account_id", "month", "split"))
     return materialize(mm, "train-test")
 
@@ -72,9 +72,10 @@ def q_train_gbt(spark, d):
 @query("train_lr_weighted")
 def q_train_lr_weighted(spark, d):
     """Class weights n / (2 n_class) instead of resampling."""
-    mm = labels.class_weights(train_test(spark, d), "churned")
-    feats = [c for c in _features(mm) if c != "class_weight"]
-    model = ml.fit(mm.where(F.col("split") == "train"), feats, "lr", "churned", weight_col="class_weight", **LR_PARAMS)
+    mm = train_test(spark, d)
+    feats = _features(mm)
+    train = labels.class_weights(mm.where(F.col("split") == "train"), "churned")  # from the training rows only
+    model = ml.fit(train, feats, "lr", "churned", weight_col="class_weight", **LR_PARAMS)
     return ml.score_model(model, mm.where(F.col("split") == "test"), threshold=None, keep=["churned"])
 
 
@@ -128,9 +129,7 @@ def q_smote(spark, d):
 @query("stratified_split")
 def q_stratified(spark, d):
     lab = labels.horizon_labels(panel_o(spark, d), horizon=3)
-    return labels.stratified_split(lab, ["account_id", "month"], EVAL_LABEL, 0.8, seed=42).select(
-        "account_id", "month", EVAL_LABEL, "split"
-    )
+    return labels.stratified_split(lab.select("account_id", "month", EVAL_LABEL), EVAL_LABEL, 0.8, seed=42)
 
 
 @query("importance_topn")
@@ -170,13 +169,17 @@ def q_model_roundtrip(spark, d):
 
 @query("io_roundtrip")
 def q_io_roundtrip(spark, d):
-    """Panel written as csv / json / parquet and read back; per-format profile."""
+    """Panel written as csv / json lines / parquet / json arrays and read back; per-format profile."""
     p = panel_o(spark, d)
     base = f"{scratch_root(spark)}/io/{uuid.uuid4().hex}"
     parts = []
-    for fmt in ("csv", "json", "parquet"):
-        path = f"{base}/panel.{fmt}"
-        io.save_table(p, path)
+    for name in ("csv", "json", "parquet", "json_array"):
+        fmt = name.split("_")[0]
+        path = f"{base}/{name}/panel.{fmt}"
+        if name == "json_array":
+            io.save_json_array(p, path)
+        else:
+            io.save_table(p, path)
         back = io.load_panel(spark, path)
         parts.append(
             back.agg(
@@ -186,7 +189,7 @@ def q_io_roundtrip(spark, d):
                 round_half_away(F.sum("current_month_revenue"), 2).alias("revenue"),
                 F.sum("churned").cast("bigint").alias("churned"),
                 F.max("last_touchbase_date").alias("last_touch"),
-            ).select(F.lit(fmt).alias("format"), "*")
+            ).select(F.lit(name).alias("format"), "*")
         )
     out = parts[0]
     for x in parts[1:]:

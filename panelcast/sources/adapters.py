@@ -46,7 +46,9 @@ def _channel_flags(channel_col: str = "channel", flag_prefix: str = "_ch_"):
 
 
 def _keyed(prefix: str, key: str, width: int = 6):
-    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), width, "0"))
+    """Prefix + key, short keys padded with zeros to ``width``; longer keys stay whole."""
+    text = F.col(key).cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0")))
 
 
 def _finish_panel(monthly: DataFrame, last_period: DataFrame, churn_gap, *, months: bool) -> DataFrame:

@@ -1,7 +1,7 @@
 """Table readers / writers and result sinks.
 
 Reads pick the format from the extension (csv / json / parquet, any case);
-JSON accepts both JSON Lines and one pretty-printed array (``multiLine``).
+JSON accepts both JSON Lines and one pretty-printed array (with or without a schema).
 Writes produce a directory of part files (the Spark way); an explicit format
 wins over the extension.  Model and metric sinks write into shared storage.
 """
@@ -41,8 +41,23 @@ def _format_of(path: str) -> str:
     return ext
 
 
-def load_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str | None = None) -> DataFrame:
-    """Read csv (header) / json / parquet chosen by extension; missing path -> FileNotFoundError."""
+def _is_json_array(spark: SparkSession, path: str) -> bool:
+    """Whether the first non-blank line of a JSON file opens an array (JSON Lines open an object)."""
+    first = spark.read.text(path).where(F.trim("value") != "").first()
+    return first is not None and first[0].lstrip().startswith("[")
+
+
+def load_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    fmt: str | None = None,
+    json_layout: str = "auto",
+) -> DataFrame:
+    """Read csv (header) / json / parquet chosen by extension; missing path -> FileNotFoundError.
+
+    JSON is ``json_layout`` "lines" (splittable) or "array" (one array in a file, which Spark
+    reads in one task); "auto" looks at the first non-blank character.  Malformed JSON raises."""
     fmt = (fmt or _format_of(path)).lower()
     if fmt not in FORMATS:
         raise ValueError(f"Unsupported file format: {fmt}")
@@ -56,10 +71,10 @@ def load_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     if fmt == "csv":
         return reader.option("header", True).option("inferSchema", schema is None).csv(path)
     if fmt == "json":
-        first = reader.option("multiLine", False).json(path)
-        if "_corrupt_record" in first.columns:  # one pretty-printed array
-            return reader.option("multiLine", True).json(path)
-        return first
+        if json_layout not in ("auto", "lines", "array"):
+            raise ValueError(f"unknown JSON layout {json_layout!r}")
+        array = json_layout == "array" or json_layout == "auto" and _is_json_array(spark, path)
+        return reader.option("mode", "FAILFAST").option("multiLine", array).json(path)
     return reader.parquet(path)
 
 
@@ -78,6 +93,26 @@ def save_table(df: DataFrame, path: str, output_format: str | None = None, mode:
     return path
 
 
+def save_json_array(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Write every part file as one JSON array, a row on each line (streamed: no partition is held)."""
+    import pyarrow as pa
+
+    def lines(batches):
+        before = "["
+        for b in batches:
+            out = []
+            for row in b.column(0).to_pylist():
+                out.append(before if before == "[" else before + ",")
+                before = row
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        if before != "[":
+            yield pa.RecordBatch.from_arrays([pa.array([before, "]"], pa.string())], names=["value"])
+
+    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    rows.mapInArrow(lines, "value string").write.mode(mode).text(path)
+    return path
+
+
 def load_panel(spark: SparkSession, path: str) -> DataFrame:
     """Canonical panel with the explicit schema (no inference)."""
     fmt = _format_of(path)
@@ -103,10 +138,7 @@ def save_metrics(metrics: DataFrame, path: str) -> str:
     return path
 
 
-def save_thresholds(thresholds: DataFrame, path: str) -> str:
-    """Optimal threshold per model (model, threshold, precision, recall, f1_score, rate) -> JSON lines."""
-    thresholds.coalesce(1).write.mode("overwrite").json(path)
-    return path
+save_thresholds = save_metrics  # optimal threshold per model: the same sink
 
 
 def save_predictions(pred: DataFrame, path: str, original: DataFrame | None = None, fmt: str = "csv") -> str:

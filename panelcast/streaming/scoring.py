@@ -12,15 +12,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelcast.operators import scoring
 from panelcast.session import scratch_root
 
 
-def score_stream(stream: DataFrame, threshold: float = 0.5) -> DataFrame:
+def score_stream(stream: DataFrame, threshold: float = 0.5, digits: int | None = None) -> DataFrame:
     """Streaming DataFrame of feature rows -> keys, score, prediction, tier."""
-    s = scoring.make_predictions(scoring.fixed_score(stream), threshold=threshold)
+    s = scoring.make_predictions(scoring.fixed_score(stream, digits=digits), threshold=threshold)
     return s.select("account_id", "month", "churn_risk_score", "prediction", "safe_probability", "risk_tier")
 
 
@@ -31,6 +30,7 @@ def run_file_stream(
     schema=None,
     max_files_per_trigger: int = 1,
     threshold: float = 0.5,
+    digits: int | None = None,
 ) -> str:
     """Score every parquet file in ``source_dir`` (as it arrives) into ``sink_dir``.
 
@@ -44,7 +44,7 @@ def run_file_stream(
         schema = spark.read.parquet(source_dir).schema
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
     q = (
-        score_stream(src, threshold)
+        score_stream(src, threshold, digits)
         .writeStream.format("parquet")
         .option("path", sink_dir)
         .option("checkpointLocation", f"{base}/checkpoint")
@@ -55,9 +55,3 @@ def run_file_stream(
     q.awaitTermination()
     return sink_dir
 
-
-def stream_batches_summary(spark: SparkSession, sink_dir: str) -> DataFrame:
-    """Rows and mean score per risk tier in the sink."""
-    return spark.read.parquet(sink_dir).groupBy("risk_tier").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.avg("churn_risk_score").alias("mean_score")
-    )

@@ -10,7 +10,7 @@ from conftest import SF0001
 
 NAMES = [
     "panel_orders", "panel_events", "full_features", "features_events", "dq_expectations", "month_spine",
-    "last_record", "scenario_overlay", "split_rates", "cv_folds", "tier_distribution", "roc_auc", "pr_points",
+    "last_record", "stratified_split", "ab_groups", "similar_accounts", "dq_report", "feature_psi", "split_rates", "cv_folds", "tier_distribution", "roc_auc", "pr_points",
     "threshold_custom", "compare_models", "segment_summary", "explain_zscore", "cohort_rollup", "what_if",
     "stream_scoring", "io_roundtrip", "threshold_table", "feature_drift",
 ]
@@ -27,7 +27,7 @@ def con():
 def test_every_query_has_a_callable():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert len(qs) >= 85
+    assert len(qs) >= 95
 
 
 @pytest.mark.parametrize("name", NAMES)

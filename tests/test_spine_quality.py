@@ -1,7 +1,5 @@
 import datetime as dt
 
-import pytest
-
 from conftest import panel_rows
 from panelcast.operators import quality, spine
 
@@ -19,6 +17,12 @@ def test_month_spine_fills_gaps(spark):
     assert [r.churned for r in s] == [0, 0, 0, 1]
 
 
+def test_month_spine_ends_with_the_churn_row(spark):
+    rows = [{"month": dt.date(2024, m, 1), "churned": int(m == 3)} for m in (1, 3, 4, 6)]
+    s = spine.month_spine(panel_rows(spark, rows)).orderBy("month").collect()
+    assert [(r.month.month, r.churned, r.observed) for r in s] == [(1, 0, 1), (2, 0, 0), (3, 1, 1)]
+
+
 def test_last_record_takes_last_non_null_per_column(spark):
     rows = [
         {"month": dt.date(2024, 1, 1), "enabled_channels": "web", "current_month_revenue": 5.0},
@@ -29,40 +33,6 @@ def test_last_record_takes_last_non_null_per_column(spark):
     assert r.enabled_channels == "web" and r.current_month_revenue == 7.0
 
 
-@pytest.mark.parametrize(
-    "pattern,expect_tx,expect_rev,expect_tk",
-    [
-        # months until churn 3,2,1,0 -> steps 0,1,2,3
-        # float arithmetic as in the original: 10 * (1 - 0.2 * 3) = 3.999... truncates to 3
-        ("gradual", [10, 8, 7, 5], [100.0, 85.0, 70.0, 55.0], [10, 8, 6, 3]),
-        ("price", [10, 10, 10, 10], [100.0, 90.0, 80.0, 70.0], [10, 10, 10, 10]),
-        ("service", [10, 10, 10, 10], [100.0] * 4, [30, 30, 30, 30]),
-        ("early", [10, 10, 10, 10], [100.0] * 4, [20, 20, 20, 20]),
-    ],
-)
-def test_scenario_overlay_patterns(spark, pattern, expect_tx, expect_rev, expect_tk):
-    rows = [
-        {"month": dt.date(2024, m, 1), "current_month_transactions": 10, "current_month_revenue": 100.0,
-         "total_tickets": 10, "churned": int(m == 5), "last_touchbase_date": dt.datetime(2024, m, 1) - dt.timedelta(days=5)}
-        for m in (1, 2, 3, 4, 5)
-    ]
-    out = spine.scenario_overlay(panel_rows(spark, rows), pattern=pattern).orderBy("month").collect()[1:]
-    assert [r.current_month_transactions for r in out] == expect_tx
-    assert [r.current_month_revenue for r in out] == pytest.approx(expect_rev)
-    assert [r.total_tickets for r in out] == expect_tk
-    assert all(r.escalated_tickets <= r.total_tickets for r in out)
-
-
-def test_service_pattern_delays_contact_with_cap(spark):
-    rows = [
-        {"month": dt.date(2024, m, 1), "churned": int(m == 4), "last_touchbase_date": dt.datetime(2024, m, 1) - dt.timedelta(days=80)}
-        for m in (1, 2, 3, 4)
-    ]
-    out = spine.scenario_overlay(panel_rows(spark, rows), pattern="service").orderBy("month").collect()
-    days = [(dt.datetime.combine(r.month, dt.time()) - r.last_touchbase_date).days for r in out]
-    assert days == [80, 90, 90, 90]
-
-
 def test_dq_expectations_flag_violations(spark):
     rows = [
         {"account_id": "A", "month": dt.date(2024, 1, 1), "churned": 1},
