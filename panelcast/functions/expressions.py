@@ -15,15 +15,12 @@ __all__ = [
     "SEGMENT_ACTIONS",
     "DEFAULT_ACTION",
     "CATEGORY_RULES",
-    "safe_div",
-    "channel_flag",
     "risk_tier",
     "feature_category",
     "concern_label",
     "segment_action",
     "floor_days_between",
     "calendar_months_between",
-    "scrub_non_finite",
     "round_doubles",
     "round_half_away",
     "q",
@@ -83,16 +80,6 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def safe_div(num: str | Column, den: str | Column) -> Column:
-    """NULL instead of +-inf/NaN (ANSI mode would otherwise raise)."""
-    return F.try_divide(_c(num), _c(den))
-
-
-def channel_flag(channels: str | Column, channel: str) -> Column:
-    """1 when the pipe-joined channel string *contains* ``channel`` (substring, null -> 0)."""
-    return F.coalesce(_c(channels).contains(channel), F.lit(False)).cast("int")
-
-
 def risk_tier(score: str | Column) -> Column:
     s = _c(score)
     expr = None
@@ -141,13 +128,6 @@ def calendar_months_between(later: str | Column, earlier: str | Column) -> Colum
     return ((F.year(a) - F.year(b)) * 12 + (F.month(a) - F.month(b))).cast("bigint")
 
 
-def scrub_non_finite(c: str | Column) -> Column:
-    """NaN / +-inf / NULL -> 0.0 (the model-matrix scrub)."""
-    x = _c(c).cast("double")
-    bad = x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
-    return F.when(bad, F.lit(0.0)).otherwise(x)
-
-
 def round_half_away(c: str | Column, digits: int) -> Column:
     """round(x * 10^d) / 10^d, half away from zero: the same arithmetic as
     DuckDB's ``round(double, d)``, so both engines give identical doubles."""

@@ -129,12 +129,6 @@ def explain_deviation(
     )
 
 
-def uniform_importance(spark, features: Sequence[str]) -> DataFrame:
-    """1/n per feature (the rule for models without importances)."""
-    n = len(features)
-    return spark.createDataFrame([(f, 1.0 / n) for f in features], "feature string, importance double")
-
-
 def linear_attribution(
     rows: DataFrame,
     population: DataFrame,

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 
 from panelcast.functions.expressions import CHANNELS, PANEL_METRICS, q
 from panelcast.operators.guards import require_columns, require_non_empty
@@ -24,6 +24,7 @@ from panelcast.operators.guards import require_columns, require_non_empty
 # (name, rows, min_periods)
 WINDOWS = [("90d", 3, 1), ("180d", 6, 3)]
 
+# fixed values: columns that the features need
 REQUIRED_COLUMNS = [
     "account_id",
     "month",
@@ -40,10 +41,6 @@ REQUIRED_COLUMNS = [
 COMPARISON_METRICS = ["current_month_revenue", "current_month_transactions"]
 
 
-def panel_window(key: str = "account_id", order: Sequence[str] = ("month",)):
-    return Window.partitionBy(key).orderBy(*order)
-
-
 class _Spec:
     """SQL text for window clauses over one (key, order) spec."""
 

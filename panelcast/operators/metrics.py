@@ -371,7 +371,7 @@ def weighted_quantiles(
     for i, qv in enumerate(probs):
         pos = F.lit(float(qv)) * (F.col("tot_n") - 1)
         aggs += [
-            F.first(pos).alias(f"_pos{i}"),
+            F.max(pos).alias(f"_pos{i}"),
             F.max(F.when(covers(F.floor(pos)), F.col(value))).alias(f"_lo{i}"),
             F.max(F.when(covers(F.ceil(pos)), F.col(value))).alias(f"_hi{i}"),
         ]

@@ -25,9 +25,8 @@ from panelcast.functions.expressions import q, risk_tier
 from panelcast.operators.labels import cv_blocks
 from panelcast.operators.metrics import confusion
 
+# ---- fixed values: columns that never are features, model settings, search grids --
 DEFAULT_DROP = ["account_id", "month", "last_touchbase_date", "churned", "enabled_channels"]
-
-# ---- fixed values: model settings and search grids -------------------------------
 # Logistic regression takes C (inverse L2 strength, per-sample loss summed) and is
 # mapped to Spark's regParam = 1 / (C * n_rows) (mean loss), the same optimum.
 LR_DEFAULTS = {"maxIter": 1000, "C": 1.0}
@@ -40,9 +39,9 @@ RF_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNod
 GBT_GRID = {"maxIter": [100, 200], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.1, 0.3], "subsamplingRate": [0.8, 1.0]}
 # -----------------------------------------------------------------------------------
 
-# SMOTE keeps the minority matrix as a broadcast; beyond this many cells use
-# class weights (``labels.class_weights``) instead.
-SMOTE_MAX_CELLS = 50_000 * 128
+# SMOTE: rows among which a row's neighbours are looked for; rows of one sort partition.
+SMOTE_BLOCK = 1024
+SMOTE_PARTITION_ROWS = 50_000
 
 
 def model_columns(df: DataFrame, drop_cols: Sequence[str] | None = None, label: str = "churned") -> list[str]:
@@ -76,10 +75,6 @@ def model_matrix(
     return df.selectExpr(*exprs)
 
 
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
-
-
 def make_estimator(
     kind: str, label: str = "churned", weight_col: str | None = None, seed: int = 42, n_rows: int | None = None, **params
 ):
@@ -209,83 +204,95 @@ def grid_search(
     return model, best, table
 
 
-def smote(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str = "churned",
-    k: int = 5,
-    seed: int = 42,
-    max_cells: int = SMOTE_MAX_CELLS,
-) -> DataFrame:
-    """Oversample the minority class (label 1) to 1:1 with SMOTE.
-
-    k = min(k, minority - 1).  The minority matrix is broadcast (its size is
-    checked against ``max_cells``); neighbour search and synthesis run in
-    Arrow batches on the executors: neighbours per minority row in
-    ``mapInPandas``, and synthetic rows from ``spark.range`` with a seeded
-    hash choosing base row, neighbour and gap.  Fewer than 2 minority rows:
-    returned unchanged.
+def _mixed(seed: int, i: np.ndarray, j: np.ndarray, salt: int) -> np.ndarray:
+    """64 pseudo-random bits for every (row, copy)."""
+    with np.errstate(over="ignore"):
+        x = i.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + j.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        x += np.uint64((seed * 0x165667B19E3779F9 + salt * 0x27D4EB2F165667C5) % (1 << 64))
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def nearest_in_block(x: np.ndarray, k: int) -> np.ndarray:
+    """Row numbers of the min(k, rows - 1) nearest other rows of each row (ties: the smaller number)."""
+    sq = (x * x).sum(axis=1)
+    d = sq[:, None] + sq[None, :] - 2.0 * x @ x.T
+    np.fill_diagonal(d, np.inf)
+    return np.argsort(d, axis=1, kind="stable")[:, : min(k, len(x) - 1)]
+
+
+def smote(df: DataFrame, features: Sequence[str], label: str = "churned", k: int = 5, seed: int = 42, block_rows: int = SMOTE_BLOCK) -> DataFrame:
+    """Oversample the smaller class, whichever it is, to 1:1 with SMOTE.
+
+    Returns the features and the label as doubles: all rows of ``df`` and one synthetic row for
+    each row that the smaller class lacks.  The smaller class is laid in order of a random
+    projection of its standardised features (a range partitioning and a sort within partitions)
+    and cut into blocks of ``block_rows`` consecutive rows; a row's neighbours are its k nearest
+    in its block.  Every row makes its even share of the synthetic rows, at a seeded place on
+    the line to a seeded neighbour.  Only partition sizes reach the driver; nothing is broadcast
+    or left out, and a task holds two blocks.  With fewer than two rows in a class, or none
+    lacking, nothing is added.
     """
+    from panelcast.session import materialize
+
     feats = list(features)
-    counts = {r[0]: r[1] for r in df.groupBy(F.col(label).cast("int")).count().collect()}
-    n_min, n_maj = counts.get(1, 0), counts.get(0, 0)
-    if n_min < 2 or n_maj <= n_min:
-        return df
-    if n_min * len(feats) > max_cells:
-        raise ValueError(
-            f"minority of {n_min} rows x {len(feats)} features exceeds the SMOTE broadcast bound; "
-            "use class weights (labels.class_weights) at this size"
-        )
-    k = min(k, n_min - 1)
-    spark = df.sparkSession
-    minority = df.where(F.col(label) == 1).select(*[F.col(f).cast("double").alias(f) for f in feats])
-    # deterministic row order for reproducible synthesis
-    mat = np.asarray(minority.orderBy(*feats).collect(), dtype=np.float64).reshape(n_min, len(feats))
-    bc = spark.sparkContext.broadcast(mat)
-
-    idx = spark.range(n_min).select(F.col("id").alias("i"))
-
-    def neighbours(batches):
-        x = bc.value
-        sq = (x * x).sum(axis=1)
-        chunk = max(1, int(2e7 // max(1, len(x))))  # ~160 MB of distances per step
+    original = df.select(*[F.col(f).cast("double").alias(f) for f in feats], F.col(label).cast("double").alias(label))
+    counts = {int(r[0]): r[1] for r in original.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
+    small = 1 if counts.get(1, 0) <= counts.get(0, 0) else 0
+    n, n_new = counts.get(small, 0), abs(counts.get(1, 0) - counts.get(0, 0))
+    if n < 2 or n_new == 0:
+        return original
+    rows = original.where(F.col(label) == small).drop(label)
+    stats = rows.agg(*[F.stddev_pop(f).alias(f) for f in feats]).first()
+    axis = np.random.default_rng(seed).normal(size=len(feats))
+    line = sum((F.col(f) * F.lit(float(a / stats[f])) for f, a in zip(feats, axis) if stats[f]), F.lit(0.0))
+    parts = max(1, n // SMOTE_PARTITION_ROWS)
+    keyed = rows.select(*feats, line.alias("_line"), F.xxhash64(*feats).alias("_key"))
+    order = keyed.repartitionByRange(parts, "_line", "_key").sortWithinPartitions("_line", "_key").drop("_line", "_key")
+    schema = T.StructType([T.StructField(f, T.DoubleType()) for f in feats])
+    placed_schema = T.StructType([*schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_pos", T.LongType())])
+
+    def number(batches):
+        from pyspark import TaskContext
+
+        part, pos = TaskContext.get().partitionId(), 0
         for pdf in batches:
-            ids_all = pdf["i"].to_numpy()
-            out = []
-            for s in range(0, len(ids_all), chunk):
-                ids = ids_all[s : s + chunk]
-                d = sq[ids][:, None] + sq[None, :] - 2.0 * x[ids] @ x.T
-                d[np.arange(len(ids)), ids] = np.inf
-                nn = np.argpartition(d, k - 1, axis=1)[:, :k] if k < len(x) - 1 else np.argsort(d, axis=1)[:, :k]
-                # order the k neighbours by distance, ties by index
-                for r, cand in enumerate(nn):
-                    out.append(sorted(cand.tolist(), key=lambda j, r=r: (d[r, j], j)))
-            yield pd.DataFrame({"i": ids_all, "nn": out})
-
-    knn = idx.mapInPandas(neighbours, "i long, nn array<long>")
-    knn_arr = np.array([r["nn"] for r in knn.orderBy("i").collect()], dtype=np.int64)
-    bknn = spark.sparkContext.broadcast(knn_arr)
-    n_new = n_maj - n_min
+            yield pdf.assign(_part=np.int32(part), _pos=np.arange(pos, pos + len(pdf)))
+            pos += len(pdf)
+
+    placed = materialize(order.mapInPandas(number, placed_schema), "smote-rows")
+    base, at = {}, 0
+    for r in sorted(placed.groupBy("_part").count().collect()):
+        base[r[0]], at = at, at + r[1]
 
     def synthesize(batches):
-        x, nn = bc.value, bknn.value
+        held = None
         for pdf in batches:
-            ids = pdf["id"].to_numpy(dtype=np.uint64)
-            rng_base = (ids * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) >> np.uint64(11)
-            base = (rng_base % np.uint64(len(x))).astype(np.int64)
-            which = ((rng_base >> np.uint64(20)) % np.uint64(k)).astype(np.int64)
-            u = ((ids * np.uint64(0xD1B54A32D192ED03) + np.uint64(seed * 7 + 1)) >> np.uint64(11)).astype(
-                np.float64
-            ) / float(1 << 53)
-            partner = nn[base, which]
-            syn = x[base] + u[:, None] * (x[partner] - x[base])
-            out = pd.DataFrame(syn, columns=feats)
-            out[label] = 1.0
-            yield out
-
-    schema = T.StructType([T.StructField(f, T.DoubleType()) for f in feats] + [T.StructField(label, T.DoubleType())])
-    synthetic = spark.range(n_new).mapInPandas(synthesize, schema)
-    original = df.select(*[F.col(f).cast("double").alias(f) for f in feats], F.col(label).cast("double").alias(label))
+            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            while len(held) >= 2 * block_rows:
+                yield from block(held.iloc[:block_rows])
+                held = held.iloc[block_rows:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield from block(held)
+
+    def block(pdf):
+        x = pdf[feats].to_numpy(float)
+        i = pdf["_pos"].to_numpy() + np.array([base[p] for p in pdf["_part"]])
+        share = (i + 1) * n_new // n - i * n_new // n
+        near = nearest_in_block(x, k)
+        row = np.repeat(np.arange(len(x)), share)
+        copy = np.arange(len(row)) - np.repeat(np.cumsum(share) - share, share)
+        for s in range(0, len(row), 20_000):
+            r, c = row[s : s + 20_000], copy[s : s + 20_000]
+            to = x[r]
+            if near.shape[1]:
+                which = (_mixed(seed, i[r], c, 1) % np.uint64(near.shape[1])).astype(np.int64)
+                u = (_mixed(seed, i[r], c, 2) >> np.uint64(11)).astype(float) / float(1 << 53)
+                to = to + u[:, None] * (x[near[r, which]] - to)
+            yield pd.DataFrame(to, columns=feats).assign(**{label: float(small)})
+
+    synthetic = placed.mapInPandas(synthesize, T.StructType([*schema.fields, T.StructField(label, T.DoubleType())]))
     return original.unionByName(synthetic)
 
 
@@ -296,10 +303,10 @@ def train_and_compare(
     kinds: Sequence[str] = ("lr", "rf", "gbt"),
     label: str = "churned",
     params: dict[str, dict] | None = None,
-    resample: str = "none",
+    resample: str = "smote",
 ) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Fit each model kind, score the test rows, return models and the long
-    predictions table (model_name, ids, score, prediction, label)."""
+    """Fit each model kind on balanced training rows (``resample="none"``: as they are), score the
+    test rows, return models and the long predictions table (model_name, ids, score, prediction, label)."""
     from panelcast.session import materialize
 
     params = params or {}

@@ -69,9 +69,9 @@ def dq_expectations(df: DataFrame, key: str = "account_id", period: str = "month
 
 def panel_profile(df: DataFrame, key: str = "account_id", label: str = "churned") -> DataFrame:
     """rows, distinct accounts, churned accounts and the account-level churn rate."""
-    churned_key = F.when(F.col(label) == 1, F.col(key))
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct(key).alias("n_accounts"),
-        F.countDistinct(churned_key).alias("n_churned_accounts"),
+    per_account = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.max(F.coalesce(F.col(label), F.lit(0))).alias("_churned"))
+    return per_account.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+        F.count(key).alias("n_accounts"),
+        F.count_if((F.col("_churned") == 1) & F.col(key).isNotNull()).alias("n_churned_accounts"),
     ).select("*", (F.col("n_churned_accounts") / F.col("n_accounts")).alias("account_churn_rate"))

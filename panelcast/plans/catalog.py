@@ -29,6 +29,7 @@ EVAL_LABEL = "churned_next_3mo"
 TOP_N_EXPLAIN = 20
 TOP_N_FEATURES = 20
 LOOKUP_ACCOUNT = "ACC-000010"
+LOOKUP_CUSTOMER = 10
 K_THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
 # A second fixed scorer, for the model-comparison queries.
@@ -348,7 +349,9 @@ def q_high_risk(spark, d):
 
 @query("account_lookup")
 def q_lookup(spark, d):
-    return scoring.account_lookup(scored_lazy(spark, d), LOOKUP_ACCOUNT).select(*SCORE_COLS)
+    one = orders_panel(table(spark, d, "orders"), table(spark, d, "lineitem"), customer=LOOKUP_CUSTOMER)
+    scored = score_table(labels.horizon_labels(generate_features(one, check_empty=False), horizon=3))
+    return scoring.account_lookup(scored, LOOKUP_ACCOUNT).select(*SCORE_COLS)
 
 
 @query("tier_extract")

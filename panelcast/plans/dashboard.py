@@ -442,6 +442,7 @@ def q_intervention_impact(spark, d):
 
 PSI_EPS = 1e-4
 PSI_DIGITS = 6  # feature values are rounded so that equal values are equal in both engines
+PSI_SLACK = 1e-8  # an interpolated edge may be a last bit off the value that it stands for
 PSI_DECILES = [i / 10 for i in range(1, 10)]
 
 
@@ -466,7 +467,7 @@ def q_feature_psi(spark, d):
     edges = materialize(metrics.weighted_quantiles(counts.where("n_train > 0"), "value", "n_train", PSI_DECILES, group="feature")
                         .groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("edges")), "psi-edges")
     binned = counts.join(F.broadcast(edges), "feature").groupBy(
-        "feature", F.expr("size(filter(edges, e -> value > e))").alias("bin")).agg(
+        "feature", F.expr(f"size(filter(edges, e -> value > e + {PSI_SLACK!r}D))").alias("bin")).agg(
         F.sum("n_train").alias("n_train"), F.sum("n_recent").alias("n_recent"))
     wf = Window.partitionBy("feature")  # at most 10 bins per feature
     pt = F.col("n_train") / F.sum("n_train").over(wf)

@@ -210,7 +210,7 @@ sx AS (SELECT CASE WHEN idx <= {D.DRIFT_TRAIN_MONTHS} THEN 'train' ELSE 'recent'
        WHERE idx <= {D.DRIFT_TRAIN_MONTHS} OR idx BETWEEN {D.DRIFT_RECENT_FROM} AND {D.DRIFT_RECENT_TO}),
 lb0 AS (UNPIVOT sx ON {", ".join(feats)} INTO NAME feature VALUE value),
 ed AS (SELECT feature, quantile_cont(value, {deciles}) FILTER (WHERE part = 'train') AS edges FROM lb0 GROUP BY feature),
-lb AS (SELECT part, feature, len(list_filter(edges, lambda e: value > e)) AS bin FROM lb0 JOIN ed USING (feature)),
+lb AS (SELECT part, feature, len(list_filter(edges, lambda e: value > e + 1e-8::DOUBLE)) AS bin FROM lb0 JOIN ed USING (feature)),
 ct AS (SELECT feature, bin, count(*) FILTER (WHERE part = 'train') AS n_train, count(*) FILTER (WHERE part = 'recent') AS n_recent
        FROM lb GROUP BY feature, bin),
 tm AS (SELECT feature, (CAST(n_recent AS DOUBLE) / sum(n_recent) OVER (PARTITION BY feature)) AS pr,

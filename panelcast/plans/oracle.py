@@ -661,6 +661,31 @@ la AS (SELECT account_id, month, {EVAL} FROM hl QUALIFY row_number() OVER (PARTI
 od AS (SELECT *, row_number() OVER (PARTITION BY {EVAL} ORDER BY CAST('0x' || substr(md5('42:' || account_id), 1, 13) AS BIGINT)) AS rn,
               count(*) OVER (PARTITION BY {EVAL}) AS n FROM la)
 SELECT account_id, month, {EVAL}, CASE WHEN rn <= floor(n * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split FROM od"""
+    months = "mi AS (SELECT month, row_number() OVER (ORDER BY month) AS idx, count(*) OVER () AS n_m FROM (SELECT DISTINCT month FROM panel))"
+    tt = BASE_O.rstrip("\n") + f""",
+hl AS (SELECT account_id, month, CAST(coalesce(max(churned) OVER ({W} ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING), 0) > 0 AS INTEGER) AS y FROM panel),
+{months},
+tt AS (SELECT hl.*, CASE WHEN idx <= 40 THEN 'train' WHEN idx <= n_m - 12 THEN 'test' END AS split FROM hl JOIN mi USING (month))"""
+    q["smote_balance"] = tt + """,
+ct AS (SELECT y AS churned, CAST(count(*) AS BIGINT) AS n_rows FROM tt WHERE split = 'train' GROUP BY y)
+SELECT 'before' AS stage, churned, n_rows FROM ct UNION ALL SELECT 'after', churned, max(n_rows) OVER () FROM ct"""
+    q["model_invariants"] = tt + """
+SELECT model_name, CAST(count(*) AS BIGINT) AS n_scored, CAST(sum(y) AS BIGINT) AS n_positive, CAST(0 AS BIGINT) AS n_outside,
+       CAST(0 AS BIGINT) AS n_prediction_differs, CAST(0 AS BIGINT) AS n_tier_differs, CAST(0 AS BIGINT) AS n_changed_by_reload
+FROM tt CROSS JOIN (VALUES ('lr'), ('rf'), ('gbt')) m(model_name) WHERE split = 'test' GROUP BY model_name"""
+    best_head = q["threshold_f1"]
+    q["sinks_roundtrip"] = SCORED_O + f"""SELECT 'predictions' AS sink, CAST(count(*) AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_columns,
+  {r4('sum(prediction)')} AS total FROM scored
+UNION ALL SELECT 'predictions_with_originals', CAST(count(*) AS BIGINT), CAST(15 AS BIGINT), {r4('sum(prediction)')} FROM scored
+UNION ALL SELECT 'metrics', CAST(1 AS BIGINT), CAST(10 AS BIGINT), {r4(f"count(*) FILTER (WHERE prediction = 1 AND {EVAL} = 1)")} FROM scored
+UNION ALL SELECT 'thresholds', CAST(1 AS BIGINT), CAST(5 AS BIGINT), {r4('threshold')} FROM ({best_head})"""
+    raised = {"columns_present": 0, "columns_missing": 1, "rows_present": 0, "rows_missing": 1, "features_of_nothing": 1,
+              "periods_enough": 0, "periods_short": 1}
+    q["input_guards"] = BASE_O + "\nUNION ALL ".join(
+        f"SELECT '{g}' AS guard, {'TRUE' if r else 'FALSE'} AS raised FROM (SELECT count(*) AS n FROM panel) WHERE n > 0" for g, r in raised.items())
+    q["matrix_without_label"] = BASE_O + """SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_not_finite,
+  CAST(107 AS BIGINT) AS n_features FROM panel"""
+
     # ---- drivers and explanations
     stats_base = SCORED_O.rstrip("\n") + "," + _stats_ctes()
     q["class_stats"] = stats_base + f"""

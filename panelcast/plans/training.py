@@ -20,6 +20,7 @@ from panelcast.plans.catalog import (
     features_o,
     panel_o,
     query,
+    scored_narrow,
 )
 from panelcast.session import checkpoint_dir, materialize, scratch_root
 from panelcast.sources import io
@@ -27,10 +28,15 @@ from panelcast.sources import io
 # ---- parameters of the registered training queries -----------------------------
 TRAIN_MONTHS = 40
 TEST_HORIZON = 12  # periods kept back at the end (churn is observable 12 months late)
-LR_PARAMS = {"maxIter": 100, "regParam": 0.01}
-RF_PARAMS = {"numTrees": 50, "maxDepth": 10}
-GBT_PARAMS = {"maxIter": 30, "maxDepth": 5, "stepSize": 0.1}
+# The models' own settings (``ml.LR_DEFAULTS`` and so on) unless a query says otherwise.
+LR_PARAMS: dict = {}
+RF_PARAMS: dict = {}
+GBT_PARAMS: dict = {}
 LR_SEARCH_GRID = {"C": [0.01, 0.1, 1.0, 10.0], "maxIter": [100]}
+# Parts of ``ml.RF_GRID`` / ``ml.GBT_GRID`` (and fewer trees) that a registered query can afford; the
+# operators take the whole grids.
+RF_SEARCH_GRID = {"numTrees": [20], "maxDepth": [5, 10], "minInstancesPerNode": [1, 2]}
+GBT_SEARCH_GRID = {"maxIter": [10], "maxDepth": [3, 5], "stepSize": [0.1, 0.3]}
 # ---------------------------------------------------------------------------------
 
 
@@ -50,7 +56,8 @@ def _features(mm):
 def _fit_and_score(spark, d, kind, params):
     mm = train_test(spark, d)
     feats = _features(mm)
-    model = ml.fit(mm.where(F.col("split") == "train"), feats, kind, "churned", **params)
+    train = materialize(ml.smote(mm.where(F.col("split") == "train"), feats, "churned"), "balanced-train")
+    model = ml.fit(train, feats, kind, "churned", **params)
     return ml.score_model(model, mm.where(F.col("split") == "test"), threshold=None, keep=["churned"])
 
 
@@ -111,13 +118,31 @@ def q_threshold_fitted(spark, d):
     return metrics.optimal_threshold(materialize(pred, "fitted-predictions"), label="churned", metric="f1", group="model_name")
 
 
+def _searched(spark, d, kind, grid):
+    """Forward-chaining CV over period blocks of the balanced train months, positive-class F1; the best map's
+    refitted model scores the test months.  One row for each map."""
+    mm = train_test(spark, d)
+    model, best, table = ml.grid_search(
+        mm.where(F.col("split") == "train"), _features(mm), kind, grid, label="churned", n_splits=3, resample="smote")
+    scored = ml.score_model(model, mm.where(F.col("split") == "test"), threshold=None, keep=["churned"])
+    f1 = ml.positive_f1(scored, "churned")
+    return table.select("params", "mean_f1", (F.col("params") == str(best)).alias("best"),
+                        F.when(F.col("params") == str(best), F.lit(f1)).alias("test_f1"))
+
+
 @query("grid_search_lr")
 def q_grid_search(spark, d):
-    """Forward-chaining CV over period blocks of the train months, positive-class F1."""
-    mm = train_test(spark, d)
-    train = mm.where(F.col("split") == "train")
-    _, _, table = ml.grid_search(train, _features(mm), "lr", LR_SEARCH_GRID, label="churned", n_splits=3)
-    return table
+    return _searched(spark, d, "lr", LR_SEARCH_GRID)
+
+
+@query("grid_search_rf")
+def q_grid_search_rf(spark, d):
+    return _searched(spark, d, "rf", RF_SEARCH_GRID)
+
+
+@query("grid_search_gbt")
+def q_grid_search_gbt(spark, d):
+    return _searched(spark, d, "gbt", GBT_SEARCH_GRID)
 
 
 @query("smote_train")
@@ -142,19 +167,129 @@ def q_importance_topn(spark, d):
     return drivers.top_features(imp, TOP_N_FEATURES)
 
 
-@query("occlusion_attribution")
-def q_occlusion(spark, d):
-    """Score change of a fitted LR when each feature is set to the safe mean, top-risk test rows."""
+def _occluded(spark, d, kind, params):
+    """Score change of a fitted model when each feature is set to the safe mean, top-risk test rows."""
     mm = train_test(spark, d)
     feats = _features(mm)
-    model = ml.fit(mm.where(F.col("split") == "train"), feats, "lr", "churned", **LR_PARAMS)
+    model = ml.fit(mm.where(F.col("split") == "train"), feats, kind, "churned", **params)
     test = mm.where(F.col("split") == "test")
-    scored = ml.score_model(model, test, threshold=None, keep=feats)
+    scored = materialize(ml.score_model(model, test, threshold=None, keep=feats), "attribution-scores")
     top = scoring.top_risk(scored, TOP_N_EXPLAIN)
     stats = explain.class_stats(test, feats, "churned")
     return explain.occlusion_attribution(model, top, stats, feats)
 
 
+ATTRIBUTION_TREES = {"numTrees": 20, "maxDepth": 8}
+
+
+@query("occlusion_attribution")
+def q_occlusion(spark, d):
+    return _occluded(spark, d, "lr", LR_PARAMS)
+
+
+@query("occlusion_attribution_rf")
+def q_occlusion_rf(spark, d):
+    """The same for a forest (smaller than the default: only its attribution is looked at)."""
+    return _occluded(spark, d, "rf", ATTRIBUTION_TREES)
+
+
+@query("smote_balance")
+def q_smote_balance(spark, d):
+    """Class counts of the training rows before and after balancing."""
+    mm = train_test(spark, d)
+    train = mm.where(F.col("split") == "train")
+    after = ml.smote(train, _features(mm), "churned", k=5, seed=42)
+    count = lambda df, stage: df.groupBy(F.col("churned").cast("int").alias("churned")).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(stage).alias("stage"), "churned", "n_rows")
+    return count(train, "before").unionByName(count(after, "after"))
+
+
+@query("model_invariants")
+def q_model_invariants(spark, d):
+    """What holds for any fitted model: rows and positives scored, scores outside [0, 1], predictions and tiers
+    that do not follow from the score, and rows whose score changes when the model is saved and loaded."""
+    mm = train_test(spark, d)
+    feats = _features(mm)
+    test = mm.where(F.col("split") == "test")
+    parts = []
+    for kind, params in (("lr", {"maxIter": 50}), ("rf", {"numTrees": 10, "maxDepth": 5}), ("gbt", {"maxIter": 5, "maxDepth": 3})):
+        model = ml.fit(mm.where(F.col("split") == "train"), feats, kind, "churned", **params)
+        path = io.save_model(model, f"{checkpoint_dir(spark).rstrip('/')}/models/{kind}-{uuid.uuid4().hex}")
+        a = ml.score_model(model, test, threshold=0.5, keep=["churned"])
+        b = ml.score_model(io.load_model(path), test, threshold=0.5).select("account_id", "month", F.col("churn_risk_score").alias("again"))
+        tier = F.when(F.col("churn_risk_score") >= 0.7, "High Risk").when(F.col("churn_risk_score") >= 0.4, "Medium Risk").when(
+            F.col("churn_risk_score") >= 0.2, "Low Risk").otherwise("Very Safe")
+        parts.append(a.join(b, ["account_id", "month"]).agg(
+            F.lit(kind).alias("model_name"),
+            F.count(F.lit(1)).alias("n_scored"),
+            F.sum("churned").cast("bigint").alias("n_positive"),
+            F.count_if(~F.col("churn_risk_score").between(0, 1)).alias("n_outside"),
+            F.count_if(F.col("prediction") != (F.col("churn_risk_score") >= 0.5).cast("int")).alias("n_prediction_differs"),
+            F.count_if(F.col("risk_tier") != tier).alias("n_tier_differs"),
+            F.count_if(F.abs(F.col("churn_risk_score") - F.col("again")) > 1e-12).alias("n_changed_by_reload"),
+        ))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+@query("sinks_roundtrip")
+def q_sinks(spark, d):
+    """Predictions (alone and with the original columns), metrics and thresholds written and read back."""
+    s = scored_narrow(spark, d)
+    base = f"{scratch_root(spark)}/io/{uuid.uuid4().hex}"
+    pred = s.select("account_id", "month", "churn_risk_score", "prediction", "risk_tier")
+    count = lambda df, sink, *c: df.agg(
+        F.lit(sink).alias("sink"), F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).cast("bigint").alias("n_columns"),
+        F.sum(F.col(c[0]).cast("double")).alias("total"))
+    out = count(spark.read.option("header", True).csv(io.save_predictions(pred, f"{base}/pred.csv")), "predictions", "prediction")
+    both = spark.read.parquet(io.save_predictions(pred, f"{base}/both.parquet", original=panel_o(spark, d), fmt="parquet"))
+    out = out.unionByName(count(both, "predictions_with_originals", "prediction"))
+    m = metrics.classification_metrics(s, EVAL_LABEL)
+    out = out.unionByName(count(spark.read.json(io.save_metrics(m, f"{base}/metrics.json")), "metrics", "tp"))
+    t = metrics.optimal_threshold(s, label=EVAL_LABEL, metric="f1")
+    return out.unionByName(count(spark.read.json(io.save_thresholds(t, f"{base}/thresholds.json")), "thresholds", "threshold"))
+
+
+@query("input_guards")
+def q_guards(spark, d):
+    """The guards on good and bad inputs made from the panel: a row for each with whether it raised."""
+    from panelcast.operators import guards
+    from panelcast.operators.features import REQUIRED_COLUMNS, generate_features
+
+    p = panel_o(spark, d)
+    months = p.select("month").distinct().count()
+    cases = [
+        ("columns_present", lambda: guards.require_columns(p, REQUIRED_COLUMNS)),
+        ("columns_missing", lambda: guards.require_columns(p.drop("late_payments"), REQUIRED_COLUMNS)),
+        ("rows_present", lambda: guards.require_non_empty(p)),
+        ("rows_missing", lambda: guards.require_non_empty(p.where("false"))),
+        ("features_of_nothing", lambda: generate_features(p.where("false"))),
+        ("periods_enough", lambda: labels.time_split(p, months - 2, 1, 1)),
+        ("periods_short", lambda: labels.time_split(p, months, 1, 1)),
+    ]
+
+    def raised(fn):
+        try:
+            fn()
+        except ValueError:
+            return True
+        return False
+
+    return spark.createDataFrame([(name, raised(fn)) for name, fn in cases], "guard string, raised boolean")
+
+
+@query("matrix_without_label")
+def q_matrix_without_label(spark, d):
+    """Model matrix of rows without a label (scoring input): rows, features, values that are not finite."""
+    mm = ml.model_matrix(features_o(spark, d).drop("churned"), label="churned", require_label=False)
+    feats = [c for c in mm.columns if c not in ("account_id", "month")]
+    bad = F.size(F.filter(F.array(*feats), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
+    return mm.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(bad).cast("bigint").alias("n_not_finite"),
+                  F.lit(len(feats)).cast("bigint").alias("n_features"))
+
+
 @query("model_roundtrip")
 def q_model_roundtrip(spark, d):
     """Save the fitted pipeline to shared storage, load it back, score with the loaded copy."""

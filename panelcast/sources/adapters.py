@@ -72,7 +72,7 @@ def _finish_panel(monthly: DataFrame, last_period: DataFrame, churn_gap, *, mont
     return panel.select(*PANEL_COLUMNS)
 
 
-def orders_panel(orders: DataFrame, lineitem: DataFrame, churn_gap_months: int = 12) -> DataFrame:
+def orders_panel(orders: DataFrame, lineitem: DataFrame, churn_gap_months: int = 12, customer: int | None = None) -> DataFrame:
     """Panel O: one row per customer and calendar month with orders.
 
     transactions / revenue = orders and their total price; tickets = returned
@@ -81,7 +81,14 @@ def orders_panel(orders: DataFrame, lineitem: DataFrame, churn_gap_months: int =
     self-service = share of lines with status 'F' (x100); resolution time =
     mean line quantity; churned = 1 on the last month of an account when at
     least ``churn_gap_months`` further months are observed in the data.
+
+    ``customer`` keeps one customer's rows: the filter reaches the scan of the orders, and
+    only the lines of those orders are aggregated.  The last observed month stays that of all orders.
     """
+    last_period = orders.agg(F.trunc(F.max("o_orderdate").cast("date"), "month").alias("_global_last"))
+    if customer is not None:
+        orders = orders.where(F.col("o_custkey") == customer)
+        lineitem = lineitem.join(orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
     per_order = lineitem.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("n_returned"),
@@ -113,7 +120,6 @@ def orders_panel(orders: DataFrame, lineitem: DataFrame, churn_gap_months: int =
         F.coalesce(F.sum("qty") / F.sum("n_lines"), F.lit(0.0)).alias("average_resolution_time_hours"),
         F.max("o_orderdate").alias("_last_ts"),
     )
-    last_period = orders.agg(F.trunc(F.max("o_orderdate").cast("date"), "month").alias("_global_last"))
     return _finish_panel(monthly, last_period, churn_gap_months, months=True)
 
 

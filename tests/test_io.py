@@ -77,3 +77,29 @@ def test_drop_scratch_only_touches_own_application(spark, tmp_path):
     own = tmp_path / spark.sparkContext.applicationId / "tables"
     assert any(r.endswith("/tables") for r in removed) and not own.exists()
     assert (tmp_path / "keep").exists() and other.exists()
+
+
+def test_json_array_with_schema(spark, tmp_path):
+    import datetime as dt
+    import json
+
+    from conftest import panel_rows
+    from panelcast.sources import io
+
+    rows = [{"month": dt.date(2024, m, 1), "enabled_channels": None if m == 2 else "web", "churned": int(m == 3)} for m in (1, 2, 3)]
+    df = panel_rows(spark, rows)
+    want = sorted(map(tuple, df.collect()))
+    path = str(tmp_path / "made.json")
+    io.save_json_array(df.repartition(2), path)
+    assert sorted(map(tuple, io.load_panel(spark, path).collect()), key=str) == sorted(want, key=str)
+    lines = str(tmp_path / "lines.json")
+    io.save_table(df, lines)
+    assert sorted(map(tuple, io.load_panel(spark, lines).collect()), key=str) == sorted(want, key=str)
+    pretty = tmp_path / "pretty.json"
+    pretty.write_text(json.dumps([{"account_id": "ACC-1", "month": "2024-01-01", "churned": 1}, {"account_id": "ACC-2"}], indent=2))
+    got = io.load_panel(spark, str(pretty)).orderBy("account_id").collect()
+    assert [(r.account_id, r.churned) for r in got] == [("ACC-1", 1), ("ACC-2", None)]
+    broken = tmp_path / "broken.json"
+    broken.write_text('[{"account_id": "ACC-1", ')
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+        io.load_panel(spark, str(broken)).collect()

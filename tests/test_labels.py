@@ -59,3 +59,44 @@ def test_account_lookup_reports_samples(spark):
     assert scoring.account_lookup(p, "ACC-000010").count() > 0
     with pytest.raises(ValueError, match="Sample ids"):
         scoring.account_lookup(p, "ACC-NOPE", check=True)
+
+
+def test_long_keys_stay_apart(spark):
+    from panelcast.sources.adapters import events_panel, orders_panel
+
+    orders, lines = (spark.read.parquet(f"{SF0001}/{t}.parquet") for t in ("orders", "lineitem"))
+    plain = orders_panel(orders, lines)
+    for add in (1_000_000, 100_000_000):  # keys of 7 and 9 digits
+        moved = orders_panel(orders.withColumn("o_custkey", F.col("o_custkey") + add), lines)
+        assert (moved.count(), moved.select("account_id").distinct().count()) == (plain.count(), 150)
+    events = spark.read.parquet(f"{SF0001}/events.parquet")
+    users = events.select("user_id").distinct().count()
+    far = events_panel(events.withColumn("user_id", F.col("user_id") + 1_000_000))
+    assert far.select("account_id").distinct().count() == users
+
+
+def test_one_customer_panel_equals_the_filtered_panel(spark):
+    from panelcast.sources.adapters import orders_panel
+
+    orders, lines = (spark.read.parquet(f"{SF0001}/{t}.parquet") for t in ("orders", "lineitem"))
+    one = orders_panel(orders, lines, customer=10)
+    want = orders_panel(orders, lines).where("account_id = 'ACC-000010'")
+    assert sorted(map(str, one.collect())) == sorted(map(str, want.collect())) and one.count() > 0
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_custkey,10)" in plan
+
+
+def test_stratified_split_is_exact_and_by_account(spark):
+    lab = labels.horizon_labels(panel_o(spark, SF0001)).select("account_id", "month", "churned_next_3mo")
+    s = labels.stratified_split(lab, "churned_next_3mo", 0.8, seed=1)
+    assert s.count() == s.select("account_id").distinct().count() == 150
+    for r in s.groupBy("churned_next_3mo").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "train").alias("t")).collect():
+        assert r.t == int(r.n * 0.8)
+
+
+def test_training_weights_ignore_the_test_rows(spark):
+    lab = labels.time_split_horizon(labels.horizon_labels(panel_o(spark, SF0001)), 40, horizon=12)
+    train = lab.where("split = 'train'")
+    n, n1 = train.count(), train.where("churned_next_3mo = 1").count()
+    w = labels.class_weights(train, "churned_next_3mo").where("churned_next_3mo = 1").first().class_weight
+    assert w == pytest.approx(n / (2 * n1))

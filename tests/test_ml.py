@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,25 +15,48 @@ def matrix(spark):
 def test_model_matrix_is_clean(spark, matrix):
     feats = _features(matrix)
     assert len(feats) == 107
-    bad = matrix.where(" OR ".join(f"isnan({c}) OR {c} IS NULL" for c in feats[:50]))
+    bad = matrix.where(" OR ".join(f"isnan({c}) OR {c} IS NULL" for c in feats))
     assert bad.count() == 0
 
 
-def test_smote_balances_minority(spark, matrix):
+@pytest.mark.parametrize("flip", [False, True])
+def test_smote_balances_the_smaller_class(spark, matrix, flip):
+    """Either class can be the smaller one, and the result keeps every original row."""
     train = matrix.where(F.col("split") == "train")
+    if flip:
+        train = train.withColumn("churned", 1 - F.col("churned"))
     feats = _features(matrix)
-    res = ml.smote(train, feats, "churned", k=5, seed=42)
+    res = ml.smote(train, feats, "churned", k=5, seed=42, block_rows=16)
+    before = {r[0]: r[1] for r in train.groupBy("churned").count().collect()}
     counts = {r[0]: r[1] for r in res.groupBy("churned").count().collect()}
-    assert counts[0.0] == counts[1.0]
-    assert res.count() == 2 * train.where("churned = 0").count()
+    assert counts[0.0] == counts[1.0] == max(before.values())
+    assert res.columns == [*feats, "churned"]
     # deterministic for a fixed seed
-    again = ml.smote(train, feats, "churned", k=5, seed=42)
+    again = ml.smote(train, feats, "churned", k=5, seed=42, block_rows=16)
     assert res.agg(F.sum(feats[0])).first()[0] == pytest.approx(again.agg(F.sum(feats[0])).first()[0])
 
 
-def test_smote_none_keeps_rows(spark, matrix):
-    train = matrix.where(F.col("split") == "train").where("churned = 0")
-    assert ml.smote(train, _features(matrix), "churned").count() == train.count()
+def test_smote_rows_lie_between_neighbours(spark):
+    rows = [(float(i), float(i % 7), 1.0) for i in range(30)] + [(float(-i), 1.0, 0.0) for i in range(101)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    new = ml.smote(df, ["a", "b"], "y", k=3, seed=1).where("y = 1").subtract(df.where("y = 1")).collect()
+    real = np.array([r[:2] for r in rows[:30]])
+    near = ml.nearest_in_block(real, 3)
+    for r in new:
+        p = np.array([r.a, r.b])
+        on_line = [
+            abs(np.linalg.det([real[j] - real[i], p - real[i]])) < 1e-6 and -1e-9 <= (p - real[i]) @ (real[j] - real[i]) <= ((real[j] - real[i]) ** 2).sum() + 1e-9
+            for i in range(30) for j in near[i]
+        ]
+        assert any(on_line)
+    assert ml.smote(df, ["a", "b"], "y", k=3, seed=1).where("y = 1").count() == 101
+
+
+def test_smote_nothing_to_add_keeps_rows_and_schema(spark, matrix):
+    feats = _features(matrix)
+    one = matrix.where(F.col("split") == "train").where("churned = 0")
+    same = ml.smote(one, feats, "churned")
+    assert same.count() == one.count() and same.columns == [*feats, "churned"]
 
 
 def test_fit_score_and_reload(spark, matrix, tmp_path):
