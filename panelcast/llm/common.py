@@ -193,3 +193,15 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+_WORKER_STATE: dict = {}
+
+
+def worker_state(key, make: Callable):
+    """``make()``, kept for a Python worker's later tasks.  Only the latest key is kept: a worker serves many
+    jobs, and the tables of one operator must not stay in memory while the next one fills its own."""
+    if key not in _WORKER_STATE:
+        _WORKER_STATE.clear()
+        _WORKER_STATE[key] = make()
+    return _WORKER_STATE[key]

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import Memo, bounded_batches, in_steps, map_batches, pack_scratch, split_words
+from panelcast.llm.common import Memo, bounded_batches, in_steps, map_batches, pack_scratch, split_words, worker_state
 
 #: Word parts kept in a generation of a worker's table (a bound on memory only).
 KEPT = 500_000
@@ -81,13 +81,8 @@ def _ragged(ids, start, size, code, first):
     return ids[flat], total[first[1:]] - total[first[:-1]]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return worker_state(("packing", path), lambda: WordEncoder(path))
 
 
 def id_width(tokenizer: str) -> str:

@@ -17,7 +17,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame
 
-from panelcast.llm.common import Memo, map_batches, text_pieces
+from panelcast.llm.common import Memo, map_batches, text_pieces, worker_state
 
 SPACE = "▁"
 NONE = np.int64(1) << 60
@@ -171,14 +171,9 @@ class Counter:
         return out
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def counter(model_file: str) -> Counter:
     """One counter for each model and Python worker."""
-    if model_file not in _COUNTERS:
-        _COUNTERS[model_file] = Counter(model_file)
-    return _COUNTERS[model_file]
+    return worker_state(("tokens", model_file), lambda: Counter(model_file))
 
 
 def token_counts(df: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",

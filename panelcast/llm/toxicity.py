@@ -19,6 +19,7 @@ turns that into the score.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import Memo, bounded_batches, map_batches, pack_scratch, split_words
+from panelcast.llm.common import Memo, bounded_batches, map_batches, pack_scratch, split_words, worker_state
 from panelcast.llm.language_id import sample_labelled
 
 SPAN, DECAY, BINS = 7, 0.7, 1 << 20
@@ -107,6 +108,7 @@ def lengths(weights, own, n: int) -> np.ndarray:
 class Machine:
     weight: np.ndarray  # by subsequence bin
     bias: float
+    tag: str = ""  # tells machines apart in a worker
     curve: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0, 0.0)  # slopes of the evidence, then the shift
 
     def margins(self, words: list[str]) -> np.ndarray:
@@ -250,7 +252,8 @@ def train_words(bad: list[str], bad_weight: np.ndarray, good: list[str], landmar
     lb, lw, lo = subsequences(marks)
     weight = np.zeros(BINS)
     np.add.at(weight, lb, lw * (turn @ w)[lo] / lengths(lw, lo, len(marks))[lo])
-    return Machine(weight.astype(np.float32), b)
+    weight = weight.astype(np.float32)
+    return Machine(weight, b, hashlib.md5(weight.tobytes()).hexdigest())
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, ...]:
@@ -290,7 +293,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         map_batches(sample.select("text", "label"), split, "word string, label int").where(F.length("word") <= KEPT_CHARS)
         .groupBy("word").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good")), "toxicity-words")
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    none = Machine(np.zeros(BINS, np.float32), -1.0, (0.0, 0.0, 0.0, 0.0, -40.0))
+    none = Machine(np.zeros(BINS, np.float32), -1.0, "none", (0.0, 0.0, 0.0, 0.0, -40.0))
     if not n.get(0) or not n.get(1):
         return none
     ratio = ((F.col("bad") + 0.5) / n[1]) / ((F.col("good") + 0.5) / n[0])
@@ -315,13 +318,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return machine
 
 
-def _scorer(shared, _of={}):
-    """One scorer for each broadcast machine and Python worker, so that its words are kept between tasks."""
-    key = shared._jbroadcast_id if hasattr(shared, "_jbroadcast_id") else id(shared.value)
-    if key not in _of:
-        _of.clear()
-        _of[key] = Scorer(shared.value)
-    return _of[key]
+def _scorer(shared) -> Scorer:
+    """One scorer for each machine and Python worker, so that its words are kept between tasks."""
+    machine = shared.value
+    return worker_state(("toxicity", machine.tag), lambda: Scorer(machine))
 
 
 def evidence(df: DataFrame, machine: Machine) -> DataFrame:
