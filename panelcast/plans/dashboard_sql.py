@@ -4,10 +4,36 @@ from __future__ import annotations
 
 
 def dashboard_sql() -> dict[str, str]:
-    from panelcast.plans import dashboard as D
+    # parameters of the registered queries, written out
+    class D:
+        HIST_BINS = 20
+        CONTACT_COST, ACCOUNT_VALUE, SAVE_RATE = 50.0, 1000.0, 0.3
+        TRAJECTORY_ROWS = 6
+        AGE_BUCKET = 6
+        ALERT_RISE = 0.2
+        HIGH_VALUE_REVENUE = 500000.0
+        CUSTOM_SEGMENTS = {
+            "late_payers": "late_payments > 0",
+            "low_self_service": "self_service_percentage < 30",
+            "high_value_at_risk": "current_month_revenue_90d_avg >= 500000 AND churn_risk_score >= 0.4",
+            "dropped_channels": "channels_dropped > 0",
+        }
+        WHAT_IF = [
+            ("no_late_payments", {"late_payments": "0"}),
+            ("self_service_plus_20", {"self_service_percentage": "least(self_service_percentage + 20, 100)"}),
+            ("channels_restored", {"channels_dropped": "0"}),
+        ]
+        TOP_N_EXPLAIN = 20
+        DRIFT_TRAIN_MONTHS, DRIFT_RECENT_FROM, DRIFT_RECENT_TO = 40, 53, 68
+        CONTACT_WITHIN_DAYS, IMPACT_PERIODS = 31, 3
+        PSI_EPS = 1e-4
+
+    K_THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
     from panelcast.plans.oracle import (
         BASE_O,
         EVAL,
+        FIXED_COEFFICIENTS,
+        FIXED_INTERCEPT,
         SCORED_O,
         W,
         _explain_sql,
@@ -16,8 +42,6 @@ def dashboard_sql() -> dict[str, str]:
         model_feature_names,
         r4,
     )
-    from panelcast.plans.catalog import K_THRESHOLDS
-    from panelcast.operators.scoring import FIXED_COEFFICIENTS, FIXED_INTERCEPT
 
     q: dict[str, str] = {}
     S = SCORED_O.rstrip("\n")

@@ -8,9 +8,35 @@ columns are rounded to 4 decimals exactly like the Spark side
 
 from __future__ import annotations
 
-from panelcast.functions.expressions import CHANNELS, PANEL_METRICS
-from panelcast.operators.features import COMPARISON_METRICS, WINDOWS, feature_names
-from panelcast.operators.scoring import FIXED_COEFFICIENTS, FIXED_INTERCEPT
+# ---- fixed values, written out here so that a wrong one in the package shows ------
+CHANNELS = ["web", "card", "agent", "ivr", "apple_pay"]
+# metric and the offset in its trend's denominator
+PANEL_METRICS = [
+    ("current_month_revenue", 1.0), ("current_month_transactions", 1.0), ("late_payments", 0.1),
+    ("escalated_tickets", 0.1), ("self_service_percentage", 1.0), ("average_resolution_time_hours", 1.0),
+]
+COMPARISON_METRICS = ["current_month_revenue", "current_month_transactions"]
+# window name, rows, least number of rows
+WINDOWS = [("90d", 3, 1), ("180d", 6, 3)]
+FIXED_INTERCEPT = -2.0
+FIXED_COEFFICIENTS = {
+    "late_payments": 0.9, "escalated_tickets": 0.35, "days_since_last_contact": 0.004, "self_service_percentage": -0.012,
+    "current_month_transactions_trend_90d": -0.6, "channels_dropped": 0.25, "current_month_revenue_percent_change": -0.3,
+}
+# ------------------------------------------------------------------------------------
+
+
+def feature_names() -> list[str]:
+    """The derived columns in table order."""
+    out = ["has_" + c for c in CHANNELS] + ["number_of_channels", "days_since_last_contact", "account_age_months"]
+    for m, _ in PANEL_METRICS:
+        for w in ("90d", "180d"):
+            out += [f"{m}_{w}_sum", f"{m}_{w}_avg", f"{m}_{w}_max", f"{m}_{w}_min", f"{m}_trend_{w}", f"{m}_volatility_{w}"]
+        out += [f"{m}_percent_change", f"{m}_acceleration"]
+        if m in COMPARISON_METRICS:
+            out += [f"{m}_30d", f"{m}_recent_vs_historical"]
+    return out + ["number_of_channels_avg_90d", "channel_trend", "max_channels_ever", "channels_dropped"]
+
 
 W = "PARTITION BY account_id ORDER BY month"
 EVAL = "churned_next_3mo"
