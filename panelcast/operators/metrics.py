@@ -112,16 +112,41 @@ def roc_points(counts: DataFrame, group: str | None = None) -> DataFrame:
     )
 
 
-def roc_auc(counts: DataFrame, group: str | None = None) -> DataFrame:
-    """Rank statistic with ties at 1/2 (= trapezoid ROC AUC); NULL for one class."""
+def _roc_area():
+    """The ROC area's sum over the points."""
+    return F.sum(F.col("pos") * (F.col("n_neg") - F.col("fp") + F.lit(0.5) * F.col("neg")))
+
+
+def _pr_area():
+    """The PR area's sum over the points (see ``pr_auc``)."""
+    tp, fp = F.col("tp"), F.col("fp")
+    tp_prev, fp_prev = tp - F.col("pos"), fp - F.col("neg")
+    p_now = _div0(tp, tp + fp)
+    p_prev = F.when(tp_prev + fp_prev > 0, tp_prev / (tp_prev + fp_prev)).otherwise(F.lit(1.0))
+    r_now = F.when(F.col("n_pos") > 0, tp / F.col("n_pos")).otherwise(F.lit(1.0))
+    r_prev = F.when(F.col("n_pos") > 0, tp_prev / F.col("n_pos")).otherwise(
+        F.when(tp_prev + fp_prev > 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    )
+    return F.sum((r_now - r_prev) * (p_now + p_prev) / 2)
+
+
+def curve_areas(counts: DataFrame, group: str | None = None) -> DataFrame:
+    """``roc_auc`` and ``pr_auc`` from one aggregate over the points; NULL for one class."""
     g = [group] if group else []
-    neg_below = F.col("n_neg") - F.col("fp")
-    term = F.col("pos") * (neg_below + F.lit(0.5) * F.col("neg"))
     agg = counts.groupBy(*g).agg(
-        F.sum(term).alias("_s"), F.first("n_pos").alias("_p"), F.first("n_neg").alias("_n")
+        _roc_area().alias("_s"), _pr_area().alias("_a"), F.max("n_pos").alias("_p"), F.max("n_neg").alias("_n")
     )
-    auc = F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_s") / (F.col("_p") * F.col("_n")))
-    return agg.select(*g, auc.cast("double").alias("roc_auc"))
+    both = (F.col("_p") > 0) & (F.col("_n") > 0)
+    return agg.select(
+        *g,
+        F.when(both, F.col("_s") / (F.col("_p") * F.col("_n"))).cast("double").alias("roc_auc"),
+        F.when(both, F.col("_a")).cast("double").alias("pr_auc"),
+    )
+
+
+def roc_auc(counts: DataFrame, group: str | None = None) -> DataFrame:
+    """Rank statistic with ties at 1/2 (= trapezoid ROC AUC); NULL for one class."""
+    return curve_areas(counts, group).drop("pr_auc")
 
 
 def pr_points(counts: DataFrame, group: str | None = None, end_point: bool = True) -> DataFrame:
@@ -146,18 +171,7 @@ def pr_auc(counts: DataFrame, group: str | None = None) -> DataFrame:
     counts are the cumulative counts minus s's own counts (no lag needed);
     for the highest score it is the end point (precision 1, recall 0).
     """
-    g = [group] if group else []
-    tp, fp = F.col("tp"), F.col("fp")
-    tp_prev, fp_prev = tp - F.col("pos"), fp - F.col("neg")
-    p_now = _div0(tp, tp + fp)
-    p_prev = F.when(tp_prev + fp_prev > 0, tp_prev / (tp_prev + fp_prev)).otherwise(F.lit(1.0))
-    r_now = F.when(F.col("n_pos") > 0, tp / F.col("n_pos")).otherwise(F.lit(1.0))
-    r_prev = F.when(F.col("n_pos") > 0, tp_prev / F.col("n_pos")).otherwise(
-        F.when(tp_prev + fp_prev > 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    )
-    term = (r_now - r_prev) * (p_now + p_prev) / 2
-    agg = counts.groupBy(*g).agg(F.sum(term).alias("_a"), F.first("n_pos").alias("_p"), F.first("n_neg").alias("_n"))
-    return agg.select(*g, F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_a")).cast("double").alias("pr_auc"))
+    return curve_areas(counts, group).drop("roc_auc")
 
 
 def pr_baseline(df: DataFrame, label: str = "churned", group: str | None = None) -> DataFrame:
@@ -208,9 +222,7 @@ def classification_metrics(
     out = _ratios(confusion(df, label, prediction, group), g)
     if score:
         counts = curve_counts(df, score, label, group, n_buckets)
-        aucs = roc_auc(counts, group).join(pr_auc(counts, group), on=g, how="inner") if g else roc_auc(
-            counts
-        ).crossJoin(pr_auc(counts))
+        aucs = curve_areas(counts, group)
         out = out.join(aucs, on=g, how="left") if g else out.crossJoin(aucs)
     return out
 

@@ -409,8 +409,7 @@ def q_pr_auc(spark, d):
 def q_areas_unrounded(spark, d):
     """ROC and PR areas over unrounded scores (nearly as many distinct scores as rows)."""
     s = materialize(scored_lazy(spark, d, digits=None).select(*NARROW_COLS), "scored-unrounded")
-    counts = metrics.curve_counts(s, label=EVAL_LABEL)
-    return metrics.roc_auc(counts).crossJoin(metrics.pr_auc(counts))
+    return metrics.curve_areas(metrics.curve_counts(s, label=EVAL_LABEL))
 
 
 @query("pr_baseline")
