@@ -1,7 +1,8 @@
 """Physical-plan shape of the headline queries (exchanges, window nodes, scans).
 
 Usage: python plan_report.py [sf_dir]   -- prints a markdown table.
-Counts come from the executed adaptive plan, so reused stages show up as such.
+Counts come from the initial adaptive plan, before run-time changes such as joins turned to
+broadcasts or exchanges reused.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ def main() -> None:
     print("| --- | --- | --- | --- | --- | --- | --- |")
     for name in HEADLINE:
         df = qs[name](spark, d)
-        df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         shuffles = len(re.findall(r"\bShuffleQueryStage|\bExchange hashpartitioning|\bExchange rangepartitioning|\bExchange SinglePartition", plan))
         bcast = plan.count("BroadcastExchange")
