@@ -150,7 +150,7 @@ class Memo(dict):
         if len(self) > self.limit:
             self.old = dict(self)
             self.clear()
-        return [k for k in keys - self.keys() if k not in self.old]
+        return [k for k in keys if k not in self and k not in self.old]
 
     def forget_long(self, keys: list) -> None:
         for k in keys:

@@ -15,9 +15,11 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from panelcast.llm.common import Memo, map_batches, text_pieces, worker_state
+from panelcast.llm.common import Memo, bounded_batches, in_steps, split_words, worker_state
 
 SPACE = "▁"
 NONE = np.int64(1) << 60
@@ -149,25 +151,32 @@ class Counter:
             raise ValueError(f"{len(inner)} pieces cross a cut, such as {inner[0]!r}")
         self.seen = Memo(KEPT)
 
-    @staticmethod
-    def keys(text: str) -> list[str]:
-        """The text as keys, in order; the text is not empty."""
-        t = text.replace(SPACE, " ").replace("\n", " \n")
-        if "  " in t or t[0] == " " or t[-1] == " ":
-            return [k[1:] for k in _RUNS.findall(" " + t)]
-        return t.split(" ")
-
-    def __call__(self, texts: list[str]) -> list[int]:
-        out = [0] * len(texts)
-        for i, j in text_pieces(texts):
-            split = [self.keys(t) if t else [] for t in texts[i:j]]
-            seen = self.seen
-            fresh = seen.unseen(set().union(*split))
-            counts = self.table.count([escaped(k) for k in fresh]).tolist()
-            seen.update(zip(fresh, counts))
-            for d, keys in enumerate(split):
-                out[i + d] = sum(map(seen.__getitem__, keys))
-            seen.forget_long(fresh)
+    def of_keys(self, keys: list[str]) -> np.ndarray:
+        """Tokens of distinct keys."""
+        seen = self.seen
+        fresh = seen.unseen(set(keys))
+        for i in range(0, len(fresh), 1 << 17):
+            part = fresh[i : i + (1 << 17)]
+            seen.update(zip(part, self.table.count([escaped(k) for k in part]).tolist()))
+        out = np.fromiter((seen[k] for k in keys), np.int64, len(keys))
+        seen.forget_long(fresh)
+        return out
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text (no nulls).
+
+        A key of the table is a part behind one space; where a text has runs of spaces, or begins or
+        ends with one, a key is the further spaces of its run and the word behind them."""
+        t = pc.replace_substring(pc.replace_substring(texts, SPACE, " "), "\n", " \n")
+        runs = pc.or_(pc.match_substring(t, "  "), pc.or_(pc.starts_with(t, " "), pc.ends_with(t, " "))).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(runs), pa.scalar("", t.type), t)
+        code, words, first = split_words(plain)
+        out = np.add.reduceat(self.of_keys(words)[code], first[:-1]) if len(t) else np.zeros(0, np.int64)
+        out[pc.equal(plain, "").to_numpy(zero_copy_only=False)] = 0
+        for i in np.flatnonzero(runs).tolist():
+            keys = [k[1:] for k in _RUNS.findall(" " + t[i].as_py())]
+            distinct = list(set(keys))
+            out[i] = sum(map(dict(zip(distinct, self.of_keys(distinct).tolist())).__getitem__, keys))
         return out
 
 
@@ -186,12 +195,15 @@ def token_counts(df: DataFrame, model_file: str, id_col: str = "doc_id", text_co
     empty result.  ``model_file`` must exist on the executors (a sentencepiece BPE model).
     """
 
-    def run(batch):
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        tokens = counter(model_file)(texts)
-        yield {id_col: batch.column(0), "n_bytes": [len(t.encode()) for t in texts], "n_tokens": tokens,
-               "over_limit": [n > limit for n in tokens]}
+    def run(batches):
+        count = counter(model_file)
+        for batch in in_steps(batches, 1):
+            texts = pc.fill_null(batch.column(1), "")
+            tokens = count(texts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pc.binary_length(texts).cast(pa.int64()), pa.array(tokens), pa.array(tokens > limit)],
+                names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
+    bounded_batches(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
-    return map_batches(df.select(id_col, text_col), run,
-                       f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelcast.llm import packing as P
@@ -64,7 +65,7 @@ def test_counter_forgets_but_counts_the_same(piece_model, monkeypatch):
     c.seen.limit = 5
     texts = [t for t in awkward() if t]
     for _ in range(2):
-        assert c(texts) == [len(x) for x in piece_model.encode(texts)]
+        assert c(pa.array(texts)).tolist() == [len(x) for x in piece_model.encode(texts)]
     assert T.KEPT > 5
 
 
