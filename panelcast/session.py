@@ -9,6 +9,7 @@ survive the loss of an executor.
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
@@ -50,6 +51,16 @@ def get_spark(
     return spark
 
 
+def importable_on_workers(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package from where the driver has it
+    (on a cluster without a shared folder ship it with ``--py-files`` as usual)."""
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
@@ -103,6 +114,7 @@ def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     job at the moment it is called, over the whole lineage of ``df``.
     """
     spark = df.sparkSession
+    importable_on_workers(spark)
     path = scratch_path(spark, name, base)
     # scratch copy: fast codec, no dictionary pages (values are mostly distinct doubles)
     df.write.mode("overwrite").option("compression", "lz4").option("parquet.enable.dictionary", "false").parquet(path)
