@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import bounded_batches, looked_up, map_batches, pack_scratch
 
 #: Curves, projected dimensions, bits a dimension; share of all vectors before and behind a query; rows of a block.
-CURVES, DIMS, BITS, WINDOW, BLOCK = 16, 12, 4, 0.035, 2048
+CURVES, DIMS, BITS, WINDOW, BLOCK = 20, 12, 4, 0.04, 2048
+#: Places before and behind a query that are always looked at.
+LEAST = 64
 #: Vectors that the projections' ranges are fitted on.
 SAMPLE = 4096
 
@@ -126,7 +128,7 @@ def neighbours(df: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
     sample = np.array([r[0] for r in points.orderBy("vk").limit(SAMPLE).select("vec").collect()])
     model = spark.sparkContext.broadcast(fit_curves(sample, curves, dims, bits))
     placed, base = _places(points, model, curves)
-    reach = int(np.ceil(window * n)) + k
+    reach = max(LEAST, int(np.ceil(window * n)) + k)
     found = _windows(placed, base, min(block, reach), reach, k)
     nearest = F.row_number().over(Window.partitionBy("vk").orderBy("score", "id"))
     best = (found.groupBy("vk", "id").agg(F.min("score").alias("score")).withColumn("_nth", nearest).where(F.col("_nth") <= k + 1)

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from panelcast.session import delete_path, materialize, scratch_path, scratch_root
+from panelcast.session import delete_path, importable_on_workers, materialize, scratch_path, scratch_root
 
 __all__ = [
-    "bounded_batches", "delete_path", "map_batches", "materialize", "pack_scratch", "scratch_path",
+    "bounded_batches", "delete_path", "importable_on_workers", "map_batches", "materialize", "pack_scratch", "scratch_path",
     "scratch_root", "table", "text_pieces",
 ]
 
@@ -28,7 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
-    """Lower the session's Arrow batch size where it is larger (bounded worker memory)."""
+    """Prepare the session for Arrow functions of this package: a lower batch size where it is larger
+    (bounded worker memory), and workers that can import the package."""
+    importable_on_workers(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:

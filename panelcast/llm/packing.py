@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import Memo, bounded_batches, in_steps, map_batches, pack_scratch, split_words, worker_state
 
 #: Word parts kept in a generation of a worker's table (a bound on memory only).
-KEPT = 500_000
+KEPT = 300_000
 
 
 class WordEncoder:

@@ -24,7 +24,7 @@ from panelcast.llm.common import Memo, bounded_batches, in_steps, split_words, w
 SPACE = "▁"
 NONE = np.int64(1) << 60
 #: Parts kept in a generation of a worker's table (a bound on memory only).
-KEPT = 700_000
+KEPT = 400_000
 _RUNS = re.compile(r" +[^ ]*")
 
 

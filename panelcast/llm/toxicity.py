@@ -36,7 +36,7 @@ SPAN, DECAY, BINS = 7, 0.7, 1 << 20
 TEXTS, WORDS, LANDMARKS = 4000, 20_000, 160
 #: A word of toxic texts is an example if it is in so many of them and so many times likelier there.
 MIN_TEXTS, MIN_RATIO = 4, 12.0
-KEPT, KEPT_CHARS = 500_000, 48
+KEPT, KEPT_CHARS = 300_000, 48
 NO_WORD = -9.0
 
 _MUL = np.array([2654435761, 2246822519, 3266489917], np.uint32)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 from pyspark.sql.types import StructType
 
-from panelcast.llm.common import looked_up, pack_scratch, scratch_path
+from panelcast.llm.common import importable_on_workers, looked_up, pack_scratch, scratch_path
 
 # Names of the record format.
 SEPARATOR = "\r\n\r\n"
@@ -238,6 +238,7 @@ def unwrapped(column: str, value: str | None) -> str | None:
 
 def read_warc(spark: SparkSession, path: str, columns: str = SCHEMA, verify: bool = False) -> DataFrame:
     """The records below ``path`` with the given columns (a part of ``SCHEMA``)."""
+    importable_on_workers(spark)
     spark.dataSource.register(WarcSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("warc").schema(columns).option("verify", json.dumps(verify)).load(path)
