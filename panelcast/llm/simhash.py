@@ -177,7 +177,7 @@ def _search_nodes(rows: DataFrame, most: int) -> DataFrame:
         index = node = None
         held: list[np.ndarray] = []
 
-        def emit(queries, homes, index):
+        def emit(queries, index):
             q, p = index.search(queries, most)
             a, b = queries[q], index.fps[p]
             keep = a != b
@@ -193,7 +193,7 @@ def _search_nodes(rows: DataFrame, most: int) -> DataFrame:
                 if nodes[s] != node:
                     if held and index is None and sum(map(len, held)) > 1:
                         h = np.concatenate(held)
-                        yield emit(h, True, GrayIndex(h))
+                        yield emit(h, GrayIndex(h))
                     node, index, held = nodes[s], None, []
                 if home[s]:
                     held.append(fp[s:t])
@@ -202,11 +202,11 @@ def _search_nodes(rows: DataFrame, most: int) -> DataFrame:
                         h = np.concatenate(held)
                         index = GrayIndex(h)
                         if len(h) > 1:
-                            yield emit(h, True, index)
-                    yield emit(fp[s:t], False, index)
+                            yield emit(h, index)
+                    yield emit(fp[s:t], index)
         if held and index is None and sum(map(len, held)) > 1:
             h = np.concatenate(held)
-            yield emit(h, True, GrayIndex(h))
+            yield emit(h, GrayIndex(h))
 
     spread = rows.select("fp", "home", "node").repartition(F.col("node")).sortWithinPartitions("node", F.desc("home"))
     return spread.mapInArrow(run, schema)
