@@ -123,3 +123,28 @@ def test_an_item_holds_its_window_at_every_shift():
         w, stride = D.window_of(n)
         assert w + stride - 1 <= n and w & (w - 1) == 0 and 2 * w > (n + 1) / 1.5
     assert D.hashed_words(pa.array(["", None, " a  b ", "!"]))[1].tolist() == [0, 0, 0, 2, 2]
+
+
+def test_edits_in_the_first_half_and_truncated_items():
+    """20 % of the words edited, all of them in the first half, or the first 20 % cut off."""
+    rng = np.random.default_rng(3)
+    vocabulary = np.array([f"w{i}" for i in range(3000)])
+    items = [rng.choice(vocabulary, n).tolist() for n in rng.integers(12, 100, 400)]
+    match = D.Matcher(D.build_index(list(range(len(items))), [" ".join(x) for x in items]), 0.8)
+
+    def recall(plant):
+        docs = []
+        for item in items:
+            before, behind = (rng.choice(vocabulary, rng.integers(0, 90)).tolist() for _ in range(2))
+            docs.append(" ".join(plant(list(item), before) + behind))
+        found = {(d, i) for d, i, _, _ in match(pa.array(docs))}
+        return sum((i, i) in found for i in range(len(items))) / len(items)
+
+    def first_half(item, before):
+        for p in rng.choice(len(item) // 2, int(len(item) * 0.2), replace=False):
+            item[p] = f"x{p}"
+        return before + item
+
+    assert recall(first_half) >= 0.95
+    assert recall(lambda item, before: before + item[int(len(item) * 0.2 + 1e-9):]) >= 0.99
+    assert recall(lambda item, before: item[int(len(item) * 0.2 + 1e-9):]) == 1
