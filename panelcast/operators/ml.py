@@ -39,9 +39,9 @@ RF_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNod
 GBT_GRID = {"maxIter": [100, 200], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.1, 0.3], "subsamplingRate": [0.8, 1.0]}
 # -----------------------------------------------------------------------------------
 
-# SMOTE: rows among which a row's neighbours are looked for; rows of one sort partition.
-SMOTE_BLOCK = 1024
-SMOTE_PARTITION_ROWS = 50_000
+# SMOTE: rows of the smaller class that are broadcast at a time; rows of one partition of it.
+SMOTE_BLOCK = 20_000
+SMOTE_PARTITION_ROWS = 2_000
 
 
 def model_columns(df: DataFrame, drop_cols: Sequence[str] | None = None, label: str = "churned") -> list[str]:
@@ -222,17 +222,56 @@ def nearest_in_block(x: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(d, axis=1, kind="stable")[:, : min(k, len(x) - 1)]
 
 
+def nearest_of(x: np.ndarray, i: np.ndarray, others: np.ndarray, j: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number in ``i``, number in ``j``, distance) of the at most k rows of ``others`` nearest to each row of ``x``, but itself."""
+    middle = others.mean(axis=0)
+    y = others - middle
+    sq, most = (y * y).sum(axis=1), min(k + 1, len(y))  # one more, for the row itself
+    out = []
+    for s in range(0, len(x), 256):
+        q, n = x[s : s + 256] - middle, i[s : s + 256]
+        near = np.argpartition(sq - 2.0 * q @ y.T, most - 1, axis=1)[:, :most]
+        d = ((q[:, None, :] - y[near]) ** 2).sum(axis=2)
+        d[j[near] == n[:, None]] = np.inf
+        order = np.lexsort((j[near], d), axis=1)[:, :k]
+        near, d = np.take_along_axis(near, order, 1), np.take_along_axis(d, order, 1)
+        ok = np.isfinite(d)
+        out.append((np.repeat(n, ok.sum(axis=1)), j[near][ok], d[ok]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def smote_neighbours(placed: DataFrame, feats: Sequence[str], k: int, block_rows: int) -> DataFrame:
+    """``_i, _near``: the numbers of the k nearest other rows of every row, nearest first.  Exact: every row is
+    compared with all rows, of which about ``block_rows`` at a time go to the driver and are broadcast."""
+    from panelcast.session import scratch_path
+
+    spark, path, feats = placed.sparkSession, scratch_path(placed.sparkSession, "smote-near"), list(feats)
+    schema, n = "_i bigint, _j bigint, _d double", placed.count()
+    for at in range(0, n, block_rows):
+        held = placed.where(F.col("_i").between(at, at + block_rows - 1)).toPandas()
+        shared = spark.sparkContext.broadcast((held[feats].to_numpy(float), held["_i"].to_numpy()))
+
+        def compare(batches, shared=shared):
+            for pdf in batches:
+                if len(pdf):
+                    i, j, d = nearest_of(pdf[feats].to_numpy(float), pdf["_i"].to_numpy(), *shared.value, k)
+                    yield pd.DataFrame({"_i": i, "_j": j, "_d": d})
+
+        placed.mapInPandas(compare, schema).write.mode("append").parquet(path)
+        shared.unpersist()
+    near = F.slice(F.array_sort(F.collect_list(F.struct("_d", "_j"))), 1, k)
+    return spark.read.schema(schema).parquet(path).groupBy("_i").agg(near.getField("_j").alias("_near"))
+
+
 def smote(df: DataFrame, features: Sequence[str], label: str = "churned", k: int = 5, seed: int = 42, block_rows: int = SMOTE_BLOCK) -> DataFrame:
     """Oversample the smaller class, whichever it is, to 1:1 with SMOTE.
 
     Returns the features and the label as doubles: all rows of ``df`` and one synthetic row for
-    each row that the smaller class lacks.  The smaller class is laid in order of a random
-    projection of its standardised features (a range partitioning and a sort within partitions)
-    and cut into blocks of ``block_rows`` consecutive rows; a row's neighbours are its k nearest
-    in its block.  Every row makes its even share of the synthetic rows, at a seeded place on
-    the line to a seeded neighbour.  Only partition sizes reach the driver; nothing is broadcast
-    or left out, and a task holds two blocks.  With fewer than two rows in a class, or none
-    lacking, nothing is added.
+    each row that the smaller class lacks.  A row's neighbours are its k nearest of all rows of
+    the smaller class, exactly; the comparisons grow with the square of that class.  Every row
+    makes its even share of the synthetic rows, at a seeded place on the line to a seeded
+    neighbour.  About ``block_rows`` rows at a time are broadcast.  With fewer than two rows in
+    a class, or none lacking, nothing is added.
     """
     from panelcast.session import materialize
 
@@ -244,12 +283,8 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "churned", k: int
     if n < 2 or n_new == 0:
         return original
     rows = original.where(F.col(label) == small).drop(label)
-    stats = rows.agg(*[F.stddev_pop(f).alias(f) for f in feats]).first()
-    axis = np.random.default_rng(seed).normal(size=len(feats))
-    line = sum((F.col(f) * F.lit(float(a / stats[f])) for f, a in zip(feats, axis) if stats[f]), F.lit(0.0))
-    parts = max(1, n // SMOTE_PARTITION_ROWS)
-    keyed = rows.select(*feats, line.alias("_line"), F.xxhash64(*feats).alias("_key"))
-    order = keyed.repartitionByRange(parts, "_line", "_key").sortWithinPartitions("_line", "_key").drop("_line", "_key")
+    parts = -(-n // SMOTE_PARTITION_ROWS)
+    order = rows.select(*feats, F.xxhash64(*feats).alias("_key")).repartitionByRange(parts, "_key").sortWithinPartitions("_key").drop("_key")
     schema = T.StructType([T.StructField(f, T.DoubleType()) for f in feats])
     placed_schema = T.StructType([*schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_pos", T.LongType())])
 
@@ -261,38 +296,30 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "churned", k: int
             yield pdf.assign(_part=np.int32(part), _pos=np.arange(pos, pos + len(pdf)))
             pos += len(pdf)
 
-    placed = materialize(order.mapInPandas(number, placed_schema), "smote-rows")
-    base, at = {}, 0
-    for r in sorted(placed.groupBy("_part").count().collect()):
-        base[r[0]], at = at, at + r[1]
+    numbered = materialize(order.mapInPandas(number, placed_schema), "smote-rows")
+    base, at = [], 0
+    for r in sorted(numbered.groupBy("_part").count().collect()):
+        base.append((r[0], at))
+        at += r[1]
+    first = F.broadcast(df.sparkSession.createDataFrame(base, "_part int, _first bigint"))
+    placed = numbered.join(first, "_part").select(*feats, (F.col("_pos") + F.col("_first")).alias("_i"))
 
-    def synthesize(batches):
-        held = None
+    def drawn(batches):
         for pdf in batches:
-            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            while len(held) >= 2 * block_rows:
-                yield from block(held.iloc[:block_rows])
-                held = held.iloc[block_rows:].reset_index(drop=True)
-        if held is not None and len(held):
-            yield from block(held)
-
-    def block(pdf):
-        x = pdf[feats].to_numpy(float)
-        i = pdf["_pos"].to_numpy() + np.array([base[p] for p in pdf["_part"]])
-        share = (i + 1) * n_new // n - i * n_new // n
-        near = nearest_in_block(x, k)
-        row = np.repeat(np.arange(len(x)), share)
-        copy = np.arange(len(row)) - np.repeat(np.cumsum(share) - share, share)
-        for s in range(0, len(row), 20_000):
-            r, c = row[s : s + 20_000], copy[s : s + 20_000]
-            to = x[r]
-            if near.shape[1]:
-                which = (_mixed(seed, i[r], c, 1) % np.uint64(near.shape[1])).astype(np.int64)
-                u = (_mixed(seed, i[r], c, 2) >> np.uint64(11)).astype(float) / float(1 << 53)
-                to = to + u[:, None] * (x[near[r, which]] - to)
-            yield pd.DataFrame(to, columns=feats).assign(**{label: float(small)})
-
-    synthetic = placed.mapInPandas(synthesize, T.StructType([*schema.fields, T.StructField(label, T.DoubleType())]))
+            i = pdf["_i"].to_numpy()
+            share = (i + 1) * n_new // n - i * n_new // n
+            row = np.repeat(np.arange(len(i)), share)
+            copy = np.arange(len(row)) - np.repeat(np.cumsum(share) - share, share)
+            near, size = pdf["_near"].to_numpy(), np.array([len(x) for x in pdf["_near"]], np.int64)
+            which = (_mixed(seed, i[row], copy, 1) % size[row].astype(np.uint64)).astype(np.int64)
+            u = (_mixed(seed, i[row], copy, 2) >> np.uint64(11)).astype(float) / float(1 << 53)
+            yield pd.DataFrame({"_i": i[row], "_j": [near[r][w] for r, w in zip(row, which)], "_u": u})
+
+    draws = smote_neighbours(placed, feats, k, block_rows).mapInPandas(drawn, "_i bigint, _j bigint, _u double")
+    to = placed.select(F.col("_i").alias("_j"), *[F.col(f).alias(f"_to_{n}") for n, f in enumerate(feats)])
+    lines = draws.join(placed, "_i").join(to, "_j")
+    synthetic = lines.select(
+        *[(F.col(f) + F.col("_u") * (F.col(f"_to_{n}") - F.col(f))).alias(f) for n, f in enumerate(feats)], F.lit(float(small)).alias(label))
     return original.unionByName(synthetic)
 
 

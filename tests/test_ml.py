@@ -52,6 +52,34 @@ def test_smote_rows_lie_between_neighbours(spark):
     assert ml.smote(df, ["a", "b"], "y", k=3, seed=1).where("y = 1").count() == 101
 
 
+def test_smote_neighbours_are_the_nearest_of_all_rows(spark):
+    """3,000 rows of many dimensions: more than one block, and more than the neighbours along one projection."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 12))
+    names = [f"f{i}" for i in range(12)]
+    placed = spark.createDataFrame([(*map(float, r), i) for i, r in enumerate(x)], ", ".join(f"{f} double" for f in names) + ", _i bigint")
+    got = {r._i: list(r._near) for r in ml.smote_neighbours(placed, names, 5, 1024).collect()}
+    assert [got[i] for i in range(3000)] == ml.nearest_in_block(x, 5).tolist()
+
+
+def test_smote_draws_lines_to_nearest_rows_above_a_block(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(2500, 6))
+    names = [f"f{i}" for i in range(6)]
+    rows = [(*map(float, r), 1.0) for r in x] + [(0.0,) * 6 + (0.0,)] * 4000
+    df = spark.createDataFrame(rows, ", ".join(f"{f} double" for f in names) + ", y double")
+    res = np.array(ml.smote(df, names, "y", k=2).where("y = 1").select(*names).collect())
+    old = {tuple(r) for r in x}
+    new = np.array([r for r in res if tuple(r) not in old])
+    near = ml.nearest_in_block(x, 2)
+    a, b = np.repeat(x, 2, axis=0), x[near].reshape(-1, 6)
+    side = b - a
+    for p in new[::5]:
+        u = np.clip(((p - a) * side).sum(axis=1) / (side**2).sum(axis=1), 0, 1)
+        assert np.abs(a + u[:, None] * side - p).max(axis=1).min() < 1e-9
+    assert len(res) == 4000 and len(new) == 1500
+
+
 def test_smote_nothing_to_add_keeps_rows_and_schema(spark, matrix):
     feats = _features(matrix)
     one = matrix.where(F.col("split") == "train").where("churned = 0")
