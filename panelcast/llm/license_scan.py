@@ -89,9 +89,31 @@ def to_postfix(expression: str) -> list[str]:
     return out
 
 
+class TooManyAlternatives(Exception):
+    """A well-formed expression that is not expanded."""
+
+
+def licences(postfix: list[str]) -> frozenset[str]:
+    """All licences of a postfix expression, without expanding it."""
+    stack: list[frozenset[str]] = []
+    for tok in postfix:
+        if tok not in _RANK:
+            stack.append(frozenset([tok]))
+            continue
+        right, left = stack.pop(), stack.pop()
+        if tok == "with":
+            if len(left) != 1 or len(right) != 1:
+                raise ExpressionError("with joins one licence and one exception")
+            stack.append(frozenset([f"{next(iter(left))}-with-{next(iter(right))}"]))
+        else:
+            stack.append(left | right)
+    return stack[0]
+
+
 def alternatives(expression: str) -> list[frozenset[str]]:
     """The expression as its alternatives: each a set of licences that hold together;
-    ``x with e`` is the one licence ``x-with-e``.  Equal and wider alternatives are dropped."""
+    ``x with e`` is the one licence ``x-with-e``.  Equal and wider alternatives are dropped.
+    Raises TooManyAlternatives where an ``and`` makes over 256."""
     stack: list[list[frozenset[str]]] = []
     for tok in to_postfix(expression):
         if tok not in _RANK:
@@ -103,7 +125,7 @@ def alternatives(expression: str) -> list[frozenset[str]]:
         elif tok == "and":
             both = [a | b for a in left for b in right]
             if len(both) > 256:
-                raise ExpressionError("too many alternatives")
+                raise TooManyAlternatives
         else:
             if len(left) != 1 or len(left[0]) != 1 or len(right) != 1 or len(right[0]) != 1:
                 raise ExpressionError("with joins one licence and one exception")
@@ -164,8 +186,14 @@ class Scanner:
     def expressions(raw: bytes) -> list[tuple[str, list[frozenset[str]]]]:
         out = []
         for m in TAG_SOURCE.finditer(raw):
+            text = m[1].decode("utf-8", "replace")
             try:
-                sets = alternatives(m[1].decode("utf-8", "replace"))
+                try:
+                    sets = alternatives(text)
+                except TooManyAlternatives:  # kept in postfix form, with all its licences
+                    postfix = to_postfix(text)
+                    out.append((" ".join(postfix), [licences(postfix)]))
+                    continue
             except ExpressionError:
                 continue  # a tag without a well-formed expression adds no label
             out.append((" or ".join(" and ".join(sorted(s)) for s in sets), sets))

@@ -144,3 +144,13 @@ def test_toxicity_finds_gapped_insults_and_leaves_clean_words(spark):
     assert sorted(r.doc_id for r in T.keep_clean(df, machine).collect()) == [6, 7, 8]
     none = T.fit(docs, labels.limit(0))
     assert T.predict(df, none).agg(F.max("score")).first()[0] < 0.01 and T.predict(df.limit(0), none).count() == 0
+
+
+def test_a_license_expression_with_many_alternatives_keeps_its_labels():
+    from panelcast.llm.license_scan import Scanner
+
+    names = [(f"mit-{i}", f"bsd-{i}") for i in range(9)]
+    tag = "SPDX-License-Identifier: " + " AND ".join(f"({a} OR {b})" for a, b in names)
+    got = Scanner()(tag)
+    assert got["score"] == 1.0 and set(got["labels"].split(",")) >= {x for pair in names for x in pair}
+    assert len(got["expressions"]) == 1 and got["expressions"][0].split()[:3] == ["mit-0", "bsd-0", "or"]
