@@ -102,6 +102,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 16 leading components of all of them, whitened."""
+    from panelcast.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"), k=16, scale=64.0, shift=1_000_000)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -118,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL}
