@@ -102,6 +102,56 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 two- and three-word collocations of every language."""
+    from panelcast.llm.collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"), shortest=2, longest=3, least=10, covered=50, top=2000)
+
+
+OP11_SQL = """
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM piece
+), n AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), gram AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w WHERE len(w) >= 2
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w WHERE len(w) >= 3
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM gram GROUP BY lang, k, phrase HAVING count(*) >= 10
+), over AS (
+  SELECT lang, phrase, max(f) AS longer FROM (
+    SELECT lang, split_part(phrase, ' ', 1) || ' ' || split_part(phrase, ' ', 2) AS phrase, f FROM f WHERE k = 3
+    UNION ALL
+    SELECT lang, split_part(phrase, ' ', 2) || ' ' || split_part(phrase, ' ', 3), f FROM f WHERE k = 3
+  ) GROUP BY lang, phrase
+), cut AS (
+  SELECT f.lang, f.phrase, f.f AS a, f.k - 1 AS cuts, f.k AS words, f.phrase AS p FROM f LEFT JOIN over o ON o.lang = f.lang AND o.phrase = f.phrase
+  WHERE f.k >= 2 AND (o.longer IS NULL OR 100 * o.longer < 50 * f.f)
+), side AS (
+  SELECT lang, phrase, a, 1 AS k, split_part(p, ' ', 1) AS lp, substr(p, length(split_part(p, ' ', 1)) + 2) AS rp FROM cut
+  UNION ALL
+  SELECT lang, phrase, a, 2, split_part(p, ' ', 1) || ' ' || split_part(p, ' ', 2), split_part(p, ' ', 3) FROM cut WHERE words = 3
+), scored AS (
+  SELECT s.lang, s.phrase, s.a, s.k, l.f AS l, r.f AS r,
+         CAST((CAST(1000000 AS HUGEINT) * s.a * s.a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM side s JOIN f l ON l.lang = s.lang AND l.phrase = s.lp JOIN f r ON r.lang = s.lang AND r.phrase = s.rp
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE nth = 1
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n.n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding on the 16 leading components of all of them, whitened."""
     from panelcast.llm.whitening import whiten
@@ -125,10 +175,11 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
     "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
-ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op11_collocations": OP11_SQL}
 
 
 if corpus_pipeline.ORACLE_SQL is not None:
