@@ -31,8 +31,8 @@ CLASSES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 MASS, SLACK = 1 << 23, 2
 #: Bytes of the survivors' filter in all, and of one partition's slice at most.
 FILTER_BYTES, SLICE_BYTES = 1 << 26, 1 << 17
-#: Hashes in one row of the first shuffle.
-CHUNK = 1 << 13
+#: Hashes in one row of the first shuffle; bytes of text that a task works on at a time.
+CHUNK, STEP = 1 << 13, 1 << 23
 #: Bits of a hash that travel, below those of its partition.
 KEY_BITS = 48
 
@@ -83,7 +83,7 @@ def added_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _steps(batches: Iterator[pa.RecordBatch], longest: int):
     """For each step of texts: the words, the language of each text and the hashes of the n-grams starting at each word
     with their validity, shortest first."""
-    for batch in in_steps(batches, 1):
+    for batch in in_steps(batches, 1, STEP):
         words = words_of(batch.column(1), CLASSES, lower=True)
         lang = batch.column(0).fill_null("und").dictionary_encode()
         of = lang.indices.to_numpy(zero_copy_only=False)
@@ -125,11 +125,13 @@ def _counted(longest: int, bits: int):
 
     def run(batches):
         for _, _, _, levels in _steps(batches, longest):
-            found = np.sort(np.concatenate([g[v] for g, v in levels]))
+            found = np.concatenate([g[v] for g, v in levels])
+            levels.clear()
+            found.sort()
             at = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
             counts = np.diff(np.r_[at, len(found)])
             key = found[at]
-            del found
+            del found, at
             edges = np.searchsorted(key >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
             parts, mass, keys, many = [], [], [], []
             for p in np.flatnonzero(np.diff(edges)):
