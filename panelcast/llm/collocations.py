@@ -28,11 +28,11 @@ from panelcast.llm.words import byte_classes, hashes, mixed, words_of
 
 CLASSES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: Occurrences that one hash partition is meant to hold; capacity over mass / threshold.
-MASS, SLACK = 1 << 23, 2
+MASS, SLACK = 1 << 22, 2
 #: Bytes of the survivors' filter in all, and of one partition's slice at most.
 FILTER_BYTES, SLICE_BYTES = 1 << 26, 1 << 17
 #: Hashes in one row of the first shuffle; bytes of text that a task works on at a time.
-CHUNK, STEP = 1 << 13, 1 << 23
+CHUNK, STEP = 1 << 13, 1 << 22
 #: Bits of a hash that travel, below those of its partition.
 KEY_BITS = 48
 

@@ -31,13 +31,25 @@ LOWER = _lower()
 class Words:
     """All words of some texts in order: ``code`` into the distinct words ``vocab`` (binary), the text of each
     (``owner``), the words before each text (``first``, with the end), and whether a word and the next one lie in the
-    same piece (``joined``, one shorter than the words)."""
+    same piece (``joined``, one shorter than the words).  ``data`` holds their bytes back to back, ``ends`` where each
+    begins there (with the end)."""
 
     code: np.ndarray
     vocab: pa.Array
     owner: np.ndarray
     first: np.ndarray
     joined: np.ndarray
+    data: np.ndarray
+    ends: np.ndarray
+
+    def spaced(self) -> bytes:
+        """All words, each with a space behind it; word i begins at ``ends[i] + i``."""
+        n = len(self.code)
+        gap = np.zeros(len(self.data) + n, bool)
+        gap[self.ends[1:] + np.arange(n)] = True
+        out = np.full(len(gap), 32, np.uint8)
+        out[~gap] = self.data
+        return out.tobytes()
 
 
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +91,7 @@ def words_of(texts: pa.Array, classes: np.ndarray, lower: bool = False) -> Words
     if (classes == CUT).any() and len(begin):
         piece = np.cumsum(kind == CUT, dtype=np.int32)[begin]
         joined &= piece[1:] == piece[:-1]
-    return Words(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary, owner, first, joined)
+    return Words(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary, owner, first, joined, value, offsets)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
