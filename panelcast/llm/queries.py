@@ -152,6 +152,38 @@ SELECT ranked.lang, rank, phrase, a, l, r, n.n, score FROM ranked JOIN n ON n.la
 """
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 13-word windows that a document with a smaller id has too."""
+    from panelcast.llm.substring_dedup import dedup_substrings
+
+    return dedup_substrings(table(spark, sf_dir, "documents"), window=13)
+
+
+OP12_SQL = """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, unnest(range(1, len(w) - 11)) AS i,
+         unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS s
+  FROM w WHERE len(w) >= 13
+), low AS (
+  SELECT s, min(doc_id) AS m FROM win GROUP BY s
+), gone AS (
+  SELECT DISTINCT doc_id, k FROM (
+    SELECT win.doc_id, unnest(range(win.i, win.i + 13)) AS k FROM win JOIN low ON low.s = win.s WHERE low.m < win.doc_id
+  )
+), word AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS k, unnest(w) AS x FROM w
+), kept AS (
+  SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.k) AS kept, count(*) AS n
+  FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.k = word.k WHERE gone.k IS NULL GROUP BY word.doc_id
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding on the 16 leading components of all of them, whitened."""
     from panelcast.llm.whitening import whiten
@@ -176,10 +208,11 @@ QUERIES: dict[str, Query] = {
     "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
     "op11_collocations": op11_collocations,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
-ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op11_collocations": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op11_collocations": OP11_SQL, "op12_substring_dedup": OP12_SQL}
 
 
 if corpus_pipeline.ORACLE_SQL is not None:
