@@ -30,11 +30,11 @@ from panelcast.llm.words import byte_classes, hashes, mixed, words_of
 CLASSES = byte_classes(b" \t\n\x0b\x0c\r")
 LINES = byte_classes(b" ", b"\n")
 #: Words of a minimiser; windows meant for one bucket, and the multiple of it from which a bucket is split.
-MINIMISER, BUCKET, HOT = 2, 1 << 18, 4
+MINIMISER, BUCKET, HOT = 2, 1 << 19, 4
 #: At most so many buckets are counted (8 bytes each on the driver).
 MOST_BUCKETS = 1 << 20
 #: Bytes of text that a task works on at a time.
-STEP = 1 << 22
+STEP = 6 << 20
 #: Stands for a null id: larger than all others.
 NO_ID = np.iinfo(np.int64).max
 
@@ -162,7 +162,7 @@ def _deal(window: int, bits: int, parts: np.ndarray, base: np.ndarray):
     """Texts to packed stretches of windows for their buckets, and what the step alone can decide."""
 
     def run(batches):
-        codec = pa.Codec("zstd", compression_level=3)
+        codec = pa.Codec("zstd", compression_level=5)
         for step in in_steps(batches, 2, STEP):
             w = Windows(step, window, bits)
             if not len(w.at):
