@@ -24,6 +24,15 @@ from panelcast.llm.common import Memo, bounded_batches, in_steps, map_batches, p
 KEPT = 300_000
 
 
+def letters_ending_in_marks() -> str:
+    """All letters whose lower case in composed form (NFC) ends in something else than a letter."""
+    import sys
+    from unicodedata import category, normalize
+
+    ends = lambda c: category(normalize("NFC", normalize("NFC", c).lower())[-1])[0]
+    return "".join(c for c in map(chr, range(sys.maxunicode + 1)) if category(c)[0] == "L" and ends(c) != "L")
+
+
 class WordEncoder:
     """Ids of whole texts from a ``tokenizers`` file that drops white space, lower-cases and
     splits punctuation from letters.
@@ -43,6 +52,7 @@ class WordEncoder:
         for part, whole in same:
             if self.ids([part])[0] != [i for w in whole for i in self.ids([w])[0]]:
                 raise ValueError("the tokenizer does not treat words independently")
+        self.joined = f"[{letters_ending_in_marks()}][!-/:-@\\[-`{{-~]"
         self.kind = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
         self.seen = Memo(KEPT)
 
@@ -53,7 +63,8 @@ class WordEncoder:
     def parts(self, texts: pa.Array) -> pa.Array:
         for blank in "\n\t\r":
             texts = pc.replace_substring(texts, blank, " ")
-        special = pc.match_substring(texts, "<|")  # special strings are found before letters are lower-cased
+        # special strings are found before letters are lower-cased
+        special = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, self.joined))
         cut = pc.replace_substring_regex(pc.ascii_lower(texts), r"(\pL)([!-/:-@\[-`{-~]+) ", r"\1 \2 ")
         return pc.if_else(special, texts, cut)
 

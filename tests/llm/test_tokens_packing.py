@@ -120,3 +120,16 @@ def test_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert token_counts(df, tokenizer_path("piece_bpe_32k.model")).count() == 0
     assert P.pack(df, tokenizer_path("word_bpe_49k.json"), 2).count() == 0
+
+
+def test_ids_behind_every_letter():
+    """Punctuation behind any letter, as the library has it: some letters end in a mark once they are normalised."""
+    import sys
+    import unicodedata
+
+    enc = P.WordEncoder(tokenizer_path("word_bpe_49k.json"))
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "L"]
+    texts = [t.replace("@", c) for c in letters for t in ("@, x", "H@) b", "@\u0307. 's")] + ["\u0130. x <|endoftext|>", "a\u0130) b, c."]
+    ids, n = enc(pa.array(texts))
+    at = np.r_[0, np.cumsum(n)]
+    assert [ids[i:j].tolist() for i, j in zip(at, at[1:])] == enc.ids(texts)
