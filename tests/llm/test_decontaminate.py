@@ -80,8 +80,8 @@ def test_blocks_of_items_find_the_same(spark, planted):
     d = spark.createDataFrame(docs, "doc_id bigint, text string")
     b = spark.createDataFrame(items, "item_id bigint, text string")
     one = sorted(map(tuple, D.find_leaks(d, b).collect()))
-    assert one == sorted(map(tuple, D.find_leaks(d, b, block=7).collect()))
-    kept = {r.doc_id for r in D.keep_uncontaminated(d, b, block=7).collect()}
+    assert one == sorted(map(tuple, D.find_leaks(d, b, block=400).collect()))
+    kept = {r.doc_id for r in D.keep_uncontaminated(d, b, block=400).collect()}
     assert kept == {i for i, _ in docs} - {r[0] for r in one}
 
 
@@ -120,8 +120,10 @@ def test_fitting_distance_against_brute_force():
 
 def test_an_item_holds_its_window_at_every_shift():
     for n in range(1, 400):
-        w, stride = D.window_of(n)
-        assert w + stride - 1 <= n and w & (w - 1) == 0 and 2 * w > (n + 1) / 1.5
+        for similarity in (1.0, 0.8):
+            w, stride = D.window_of(n, similarity)
+            left = n - D.most_edits(n, similarity)
+            assert w + stride - 1 <= left and w & (w - 1) == 0 and 2 * w > (left + 1) / 1.5
     assert D.hashed_words(pa.array(["", None, " a  b ", "!"]))[1].tolist() == [0, 0, 0, 2, 2]
 
 
@@ -148,3 +150,31 @@ def test_edits_in_the_first_half_and_truncated_items():
     assert recall(first_half) >= 0.95
     assert recall(lambda item, before: before + item[int(len(item) * 0.2 + 1e-9):]) >= 0.99
     assert recall(lambda item, before: item[int(len(item) * 0.2 + 1e-9):]) == 1
+
+
+@pytest.mark.parametrize("place", ["start", "middle", "end", "alone"])
+@pytest.mark.parametrize("change", ["replaced", "deleted", "inserted", "deleted in the first half", "deleted in the second half", "cut"])
+def test_recall_with_a_fifth_of_the_words_edited(change, place):
+    rng = np.random.default_rng(17)
+    vocabulary = np.array([f"w{i}" for i in range(3000)])
+    items = [rng.choice(vocabulary, n).tolist() for n in rng.integers(12, 100, 500)]
+    match = D.Matcher(D.build_index(list(range(len(items))), [" ".join(x) for x in items]), 0.8)
+    docs = []
+    for item in items:
+        x, n, e = list(item), len(item), int(len(item) * 0.2 + 1e-9)
+        if change == "replaced":
+            for p in rng.choice(n, e, replace=False):
+                x[p] = f"x{p}"
+        elif change == "inserted":
+            for p in sorted(rng.choice(n, e, replace=False), reverse=True):
+                x.insert(p, f"x{p}")
+        elif change == "cut":
+            x = x[e:]
+        else:
+            of = {"deleted": np.arange(n), "deleted in the first half": np.arange(n // 2), "deleted in the second half": np.arange(n - n // 2, n)}[change]
+            for p in sorted(rng.choice(of, min(e, len(of)), replace=False), reverse=True):
+                del x[p]
+        before, behind = (rng.choice(vocabulary, rng.integers(20, 90)).tolist() for _ in range(2))
+        docs.append(" ".join((before if place in ("middle", "end") else []) + x + (behind if place in ("start", "middle") else [])))
+    found = {(d, i) for d, i, _, _ in match(pa.array(docs))}
+    assert sum((i, i) in found for i in range(len(items))) >= 0.9 * len(items)
