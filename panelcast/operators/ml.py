@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.functions.expressions import q, risk_tier
+from panelcast.operators import nearest
 from panelcast.operators.labels import cv_blocks
 from panelcast.operators.metrics import confusion
 
@@ -39,8 +40,7 @@ RF_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNod
 GBT_GRID = {"maxIter": [100, 200], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.1, 0.3], "subsamplingRate": [0.8, 1.0]}
 # -----------------------------------------------------------------------------------
 
-# SMOTE: rows of the smaller class that are broadcast at a time; rows of one partition of it.
-SMOTE_BLOCK = 20_000
+# SMOTE: rows of one partition of the smaller class.
 SMOTE_PARTITION_ROWS = 2_000
 
 
@@ -214,64 +214,14 @@ def _mixed(seed: int, i: np.ndarray, j: np.ndarray, salt: int) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def nearest_in_block(x: np.ndarray, k: int) -> np.ndarray:
-    """Row numbers of the min(k, rows - 1) nearest other rows of each row (ties: the smaller number)."""
-    sq = (x * x).sum(axis=1)
-    d = sq[:, None] + sq[None, :] - 2.0 * x @ x.T
-    np.fill_diagonal(d, np.inf)
-    return np.argsort(d, axis=1, kind="stable")[:, : min(k, len(x) - 1)]
-
-
-def nearest_of(x: np.ndarray, i: np.ndarray, others: np.ndarray, j: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(number in ``i``, number in ``j``, distance) of the at most k rows of ``others`` nearest to each row of ``x``, but itself."""
-    middle = others.mean(axis=0)
-    y = others - middle
-    sq, most = (y * y).sum(axis=1), min(k + 1, len(y))  # one more, for the row itself
-    out = []
-    for s in range(0, len(x), 256):
-        q, n = x[s : s + 256] - middle, i[s : s + 256]
-        near = np.argpartition(sq - 2.0 * q @ y.T, most - 1, axis=1)[:, :most]
-        d = ((q[:, None, :] - y[near]) ** 2).sum(axis=2)
-        d[j[near] == n[:, None]] = np.inf
-        order = np.lexsort((j[near], d), axis=1)[:, :k]
-        near, d = np.take_along_axis(near, order, 1), np.take_along_axis(d, order, 1)
-        ok = np.isfinite(d)
-        out.append((np.repeat(n, ok.sum(axis=1)), j[near][ok], d[ok]))
-    return tuple(np.concatenate(c) for c in zip(*out))
-
-
-def smote_neighbours(placed: DataFrame, feats: Sequence[str], k: int, block_rows: int) -> DataFrame:
-    """``_i, _near``: the numbers of the k nearest other rows of every row, nearest first.  Exact: every row is
-    compared with all rows, of which about ``block_rows`` at a time go to the driver and are broadcast."""
-    from panelcast.session import scratch_path
-
-    spark, path, feats = placed.sparkSession, scratch_path(placed.sparkSession, "smote-near"), list(feats)
-    schema, n = "_i bigint, _j bigint, _d double", placed.count()
-    for at in range(0, n, block_rows):
-        held = placed.where(F.col("_i").between(at, at + block_rows - 1)).toPandas()
-        shared = spark.sparkContext.broadcast((held[feats].to_numpy(float), held["_i"].to_numpy()))
-
-        def compare(batches, shared=shared):
-            for pdf in batches:
-                if len(pdf):
-                    i, j, d = nearest_of(pdf[feats].to_numpy(float), pdf["_i"].to_numpy(), *shared.value, k)
-                    yield pd.DataFrame({"_i": i, "_j": j, "_d": d})
-
-        placed.mapInPandas(compare, schema).write.mode("append").parquet(path)
-        shared.unpersist()
-    near = F.slice(F.array_sort(F.collect_list(F.struct("_d", "_j"))), 1, k)
-    return spark.read.schema(schema).parquet(path).groupBy("_i").agg(near.getField("_j").alias("_near"))
-
-
-def smote(df: DataFrame, features: Sequence[str], label: str = "churned", k: int = 5, seed: int = 42, block_rows: int = SMOTE_BLOCK) -> DataFrame:
+def smote(df: DataFrame, features: Sequence[str], label: str = "churned", k: int = 5, seed: int = 42, block_rows: int = nearest.BLOCK) -> DataFrame:
     """Oversample the smaller class, whichever it is, to 1:1 with SMOTE.
 
     Returns the features and the label as doubles: all rows of ``df`` and one synthetic row for
     each row that the smaller class lacks.  A row's neighbours are its k nearest of all rows of
-    the smaller class, exactly; the comparisons grow with the square of that class.  Every row
-    makes its even share of the synthetic rows, at a seeded place on the line to a seeded
-    neighbour.  About ``block_rows`` rows at a time are broadcast.  With fewer than two rows in
-    a class, or none lacking, nothing is added.
+    the smaller class, exactly, found by ``nearest.nearest_rows`` (blocks of ``block_rows`` rows).
+    Every row makes its even share of the synthetic rows, at a seeded place on the line to a
+    seeded neighbour.  With fewer than two rows in a class, or none lacking, nothing is added.
     """
     from panelcast.session import materialize
 
@@ -315,7 +265,9 @@ def smote(df: DataFrame, features: Sequence[str], label: str = "churned", k: int
             u = (_mixed(seed, i[row], copy, 2) >> np.uint64(11)).astype(float) / float(1 << 53)
             yield pd.DataFrame({"_i": i[row], "_j": [near[r][w] for r, w in zip(row, which)], "_u": u})
 
-    draws = smote_neighbours(placed, feats, k, block_rows).mapInPandas(drawn, "_i bigint, _j bigint, _u double")
+    placed = materialize(placed, "smote-placed")
+    near, _ = nearest.nearest_rows(placed, "_i", feats, k, block=block_rows)
+    draws = near.withColumnRenamed("near", "_near").mapInPandas(drawn, "_i bigint, _j bigint, _u double")
     to = placed.select(F.col("_i").alias("_j"), *[F.col(f).alias(f"_to_{n}") for n, f in enumerate(feats)])
     lines = draws.join(placed, "_i").join(to, "_j")
     synthetic = lines.select(
