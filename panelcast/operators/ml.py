@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.functions.expressions import q, risk_tier
-from panelcast.operators import nearest
+from panelcast.operators import nearest, trees
 from panelcast.operators.labels import cv_blocks
 from panelcast.operators.metrics import confusion
 
@@ -34,9 +34,8 @@ LR_DEFAULTS = {"maxIter": 1000, "C": 1.0}
 RF_DEFAULTS = {"numTrees": 100, "maxDepth": 20, "minInstancesPerNode": 1}
 GBT_DEFAULTS = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1}
 LR_GRID = {"C": [0.01, 0.1, 1.0, 10.0]}
-# unlimited depth -> Spark's maximum of 30; the minimum-samples-to-split knob has
-# no Spark analogue, so the forest grid has 12 maps instead of 24
-RF_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2]}
+# unlimited depth -> Spark's maximum of 30
+RF_GRID = {"numTrees": [100, 200], "maxDepth": [10, 20, 30], "minSamplesSplit": [2, 5], "minInstancesPerNode": [1, 2]}
 GBT_GRID = {"maxIter": [100, 200], "maxDepth": [3, 5, 7], "stepSize": [0.01, 0.1, 0.3], "subsamplingRate": [0.8, 1.0]}
 # -----------------------------------------------------------------------------------
 
@@ -157,6 +156,24 @@ def param_maps(grid: dict[str, list]) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
 
 
+#: Settings that one larger fit answers as well, and what they are called where its nodes are cut.
+DERIVED = {"rf": {"numTrees": "n_trees", "maxDepth": "max_depth", "minSamplesSplit": "min_split"}, "gbt": {"maxIter": "n_trees"}, "lr": {}}
+
+
+def fit_groups(kind: str, maps: list[dict]) -> list[tuple[dict, list[int]]]:
+    """What has to be fitted for all parameter maps: (settings of the fit, the maps that it answers).  A forest's first
+    trees are a smaller forest, its trees cut at a depth or at small nodes are those grown with that bound, and the
+    first rounds of boosting are a shorter boosting."""
+    groups: dict[tuple, list[int]] = {}
+    for i, m in enumerate(maps):
+        groups.setdefault(tuple(sorted((k, v) for k, v in m.items() if k not in DERIVED[kind])), []).append(i)
+    out = []
+    for fixed, members in groups.items():
+        largest = {k: max(maps[i][k] for i in members) for k in DERIVED[kind] if k in maps[members[0]] and k != "minSamplesSplit"}
+        out.append(({**dict(fixed), **largest}, members))
+    return out
+
+
 def grid_search(
     df: DataFrame,
     features: Sequence[str],
@@ -168,39 +185,51 @@ def grid_search(
     resample: str = "none",
     seed: int = 42,
     parallelism: int = 4,
-) -> tuple[PipelineModel, dict, DataFrame]:
-    """Forward-chaining CV by period blocks (train on blocks < f, validate on f),
-    positive-class F1, refit of the best map on all rows.
-
-    Resampling (SMOTE) is applied inside each training fold only, so synthetic
-    rows never reach a validation fold.  Returns (model, best params, scores).
+):
+    """Forward-chaining CV by period blocks (train on blocks < f, validate on f), positive-class F1, refit of the best
+    map on all rows.
+
+    Maps that differ only in the number of trees or rounds, or (forest) in depth or in the least rows of a split node,
+    share one fit in each fold (``fit_groups``): the validation rows walk its trees once, and all those maps' predictions
+    are taken on the way (``trees.staged_confusions``).  Resampling (SMOTE) is applied inside each training fold only, so
+    synthetic rows never reach a validation fold.  Returns (model, best params, scores); the scores have ``params,
+    mean_f1`` and ``n_fits``, the fits of the whole search.
     """
     from panelcast.session import materialize
 
+    kind = {"logistic": "lr", "random_forest": "rf", "xgb": "gbt", "boosting": "gbt"}.get(kind.lower(), kind.lower())
     data = materialize(cv_blocks(df, n_splits, period), "cv-blocks")
     maps = param_maps(grid)
+    groups = fit_groups(kind, maps)
+    folds = {}
+    for fold in range(1, n_splits + 1):  # balanced once a fold, not once a fit
+        train = data.where(F.col("cv_block") < fold)
+        folds[fold] = materialize(smote(train, features, label, seed=seed), "cv-train") if resample == "smote" else train
 
     def evaluate(job):
-        i, fold = job
-        train = data.where(F.col("cv_block") < fold)
+        (params, members), fold = job
         valid = data.where(F.col("cv_block") == fold)
-        if resample == "smote":
-            train = smote(train, features, label, seed=seed)
-        model = fit(train, features, kind, label, **maps[i])
-        return i, positive_f1(model.transform(valid), label)
+        model = fit(folds[fold], features, kind, label, **params)
+        if len(members) == 1 and "minSamplesSplit" not in maps[members[0]]:
+            return [(members[0], positive_f1(model.transform(valid), label))]
+        settings = [{DERIVED[kind][k]: v for k, v in maps[i].items() if k in DERIVED[kind]} for i in members]
+        counts = trees.staged_confusions(trees.ensemble(model), settings, valid, features, label)
+        return [(i, 2 * tp / (2 * tp + fp + fn) if tp + fp + fn else 0.0) for i, (tp, fp, fn) in zip(members, counts)]
 
     # independent fits run as concurrent Spark jobs (like CrossValidator's parallelism)
-    jobs = [(i, fold) for i in range(len(maps)) for fold in range(1, n_splits + 1)]
+    jobs = [(g, fold) for g in groups for fold in folds]
     scores: dict[int, list[float]] = {i: [] for i in range(len(maps))}
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        for i, f1 in pool.map(evaluate, jobs):
-            scores[i].append(f1)
-    rows = [(str(maps[i]), float(np.mean(scores[i]))) for i in range(len(maps))]
-    best_idx = int(np.argmax([r[1] for r in rows]))
-    best = maps[best_idx]
+        for found in pool.map(evaluate, jobs):
+            for i, f1 in found:
+                scores[i].append(f1)
+    rows = [(str(maps[i]), float(np.mean(scores[i])), len(jobs) + 1) for i in range(len(maps))]
+    best = maps[int(np.argmax([r[1] for r in rows]))]
     full = smote(data, features, label, seed=seed) if resample == "smote" else data
-    model = fit(full, features, kind, label, **best)
-    table = df.sparkSession.createDataFrame(rows, "params string, mean_f1 double")
+    model = fit(full, features, kind, label, **{k: v for k, v in best.items() if k != "minSamplesSplit"})
+    if best.get("minSamplesSplit", 2) > 2:
+        model = trees.TreeModel(trees.ensemble(model).pruned(min_split=best["minSamplesSplit"]), features)
+    table = df.sparkSession.createDataFrame(rows, "params string, mean_f1 double, n_fits int")
     return model, best, table
 
 

@@ -200,11 +200,12 @@ def nearest_rows(df: DataFrame, id_col: str, features: Sequence[str], k: int, pi
     points = materialize(small.groupBy("x").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("ids"))
                          .select(F.element_at("ids", 1).alias("id"), "x", "ids"), "nearest-points")
     n = points.count()
-    pairs, compared = None, 0
-    if n > 1:
+    pairs, compared, size = None, 0, max(block, -(-n // BLOCKS))
+    if 1 < n <= size:  # one block holds all rows
+        found = materialize(_meet(points.withColumn("block", F.lit(0).cast("bigint")), None, k), "nearest-found")
+    elif n > size:
         sample = np.array([r[0] for r in points.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("x").collect()], float)
         chosen = choose_pivots(sample, pivots)
-        size = max(block, -(-n // BLOCKS))
         blocks = materialize(_blocked(points.select("id", "x"), chosen, size, n), "nearest-blocks")
         edge = blocks.groupBy("block").agg(F.first("cell").alias("cell"), F.min("away").alias("low"), F.max("away").alias("high")).toPandas()
         bounds = Bounds(chosen, edge["cell"].to_numpy(), edge["low"].to_numpy(), edge["high"].to_numpy())
@@ -239,6 +240,7 @@ def nearest_rows(df: DataFrame, id_col: str, features: Sequence[str], k: int, pi
                 asked = blocks.join(_reach(found, k), "id", "left").join(first.withColumnRenamed("reach", "reach0"), "id", "left")
             asks = asked.select("id", "x", "block", "reach", "reach0").mapInArrow(targets, "block bigint, id bigint, x array<double>")
             found = found.unionByName(materialize(_meet(blocks, asks, k), "nearest-found"))
+    if n > 1:
         compared = found.agg(F.sum("compared")).first()[0] or 0
         nearest = found.groupBy("i").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "j"))), 1, k).alias("near"))
         pairs = nearest.select(F.col("i").alias("id"), F.explode("near").alias("p")).select("id", F.col("p.d").alias("d"), F.col("p.j").alias("j"))

@@ -699,6 +699,10 @@ SELECT 'before' AS stage, churned, n_rows FROM ct UNION ALL SELECT 'after', chur
 SELECT model_name, CAST(count(*) AS BIGINT) AS n_scored, CAST(sum(y) AS BIGINT) AS n_positive, CAST(0 AS BIGINT) AS n_outside,
        CAST(0 AS BIGINT) AS n_prediction_differs, CAST(0 AS BIGINT) AS n_tier_differs, CAST(0 AS BIGINT) AS n_changed_by_reload
 FROM tt CROSS JOIN (VALUES ('lr'), ('rf'), ('gbt')) m(model_name) WHERE split = 'test' GROUP BY model_name"""
+    q["tree_invariants"] = tt + """
+SELECT model_name, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_not_additive, CAST(0 AS BIGINT) AS n_score_differs,
+       CAST(0 AS BIGINT) AS n_staged_differs, CAST(0 AS BIGINT) AS n_split_under_bound
+FROM tt CROSS JOIN (VALUES ('rf'), ('gbt')) m(model_name) WHERE split = 'test' GROUP BY model_name"""
     best_head = q["threshold_f1"]
     q["sinks_roundtrip"] = SCORED_O + f"""SELECT 'predictions' AS sink, CAST(count(*) AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_columns,
   {r4('sum(prediction)')} AS total FROM scored

@@ -118,4 +118,28 @@ def test_lr_c_maps_to_reg_param():
     assert make_estimator("lr", regParam=0.3).getRegParam() == pytest.approx(0.3)
     with pytest.raises(ValueError):
         make_estimator("lr", C=1.0)
-    assert ml.param_maps(ml.RF_GRID).__len__() == 12 and len(ml.param_maps(ml.GBT_GRID)) == 36
+    assert len(ml.param_maps(ml.RF_GRID)) == 24 and len(ml.param_maps(ml.GBT_GRID)) == 36
+
+
+def test_maps_that_share_a_fit():
+    rf = ml.fit_groups("rf", ml.param_maps(ml.RF_GRID))
+    assert [(p, len(m)) for p, m in rf] == [({"minInstancesPerNode": n, "numTrees": 200, "maxDepth": 30}, 12) for n in (1, 2)]
+    gbt = ml.fit_groups("gbt", ml.param_maps(ml.GBT_GRID))
+    assert len(gbt) == 18 and all(p["maxIter"] == 200 and len(m) == 2 for p, m in gbt)
+    assert len(ml.fit_groups("lr", ml.param_maps(ml.LR_GRID))) == 4
+
+
+def test_staged_search_scores_like_separate_fits(spark, matrix):
+    """Fewer boosting rounds taken from one ensemble are what a fit of so many rounds gives."""
+    feats = _features(matrix)
+    train = matrix.where("split = 'train'")
+    grid = {"maxIter": [2, 4], "maxDepth": [2]}
+    _, best, table = ml.grid_search(train, feats, "gbt", grid, n_splits=2)
+    rows = {r.params: r for r in table.collect()}
+    assert len(rows) == 2 and {r.n_fits for r in rows.values()} == {3} and str(best) in rows
+    alone = {}
+    for n in (2, 4):
+        alone[n] = ml.grid_search(train, feats, "gbt", {"maxIter": [n], "maxDepth": [2]}, n_splits=2)[2].first().mean_f1
+    assert [rows[str({"maxIter": n, "maxDepth": 2})].mean_f1 for n in (2, 4)] == pytest.approx([alone[2], alone[4]])
+    model, best, table = ml.grid_search(train, feats, "rf", {"numTrees": [3], "maxDepth": [3], "minSamplesSplit": [2000]}, n_splits=2)
+    assert set(ml.score_model(model, train).columns) == {"account_id", "month", "churn_risk_score", "prediction", "safe_probability", "risk_tier"}
