@@ -9,6 +9,7 @@ expression of identifiers joined by ``and``, ``or`` and ``with``.
 
 from __future__ import annotations
 
+from collections import Counter
 import re
 
 import ahocorasick
@@ -110,6 +111,17 @@ def licences(postfix: list[str]) -> frozenset[str]:
     return stack[0]
 
 
+def _narrowest(sets: list[frozenset[str]]) -> list[frozenset[str]]:
+    """The sets, in order, without equal ones and those that contain another.  A set can only contain those that are
+    listed under one of its members, and each is listed under its rarest."""
+    sets = list(dict.fromkeys(sets))
+    often = Counter(x for s in sets for x in s)
+    under: dict[str, list[frozenset[str]]] = {}
+    for s in sets:
+        under.setdefault(min(s, key=lambda x: (often[x], x)), []).append(s)
+    return [s for s in sets if not any(o < s for x in s for o in under.get(x, ()))]
+
+
 def alternatives(expression: str) -> list[frozenset[str]]:
     """The expression as its alternatives: each a set of licences that hold together;
     ``x with e`` is the one licence ``x-with-e``.  Equal and wider alternatives are dropped.
@@ -121,17 +133,23 @@ def alternatives(expression: str) -> list[frozenset[str]]:
             continue
         right, left = stack.pop(), stack.pop()
         if tok == "or":
-            both = left + right
-        elif tok == "and":
-            both = [a | b for a in left for b in right]
-            if len(both) > 256:
-                raise TooManyAlternatives
+            if len(left) < len(right):
+                both = left + right
+            else:  # the common chain: the longer side grows in place
+                left.extend(right)
+                both = left
         else:
-            if len(left) != 1 or len(left[0]) != 1 or len(right) != 1 or len(right[0]) != 1:
-                raise ExpressionError("with joins one licence and one exception")
-            both = [frozenset([f"{next(iter(left[0]))}-with-{next(iter(right[0]))}"])]
-        stack.append([s for i, s in enumerate(both) if s not in both[:i] and not any(o < s for o in both)])
-    return stack[0]
+            left, right = _narrowest(left), _narrowest(right)
+            if tok == "and":
+                if len(left) * len(right) > 256:
+                    raise TooManyAlternatives
+                both = _narrowest([a | b for a in left for b in right])
+            else:
+                if len(left) != 1 or len(left[0]) != 1 or len(right) != 1 or len(right[0]) != 1:
+                    raise ExpressionError("with joins one licence and one exception")
+                both = [frozenset([f"{next(iter(left[0]))}-with-{next(iter(right[0]))}"])]
+        stack.append(both)
+    return _narrowest(stack[0])
 
 
 class Scanner:

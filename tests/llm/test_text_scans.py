@@ -154,3 +154,14 @@ def test_a_license_expression_with_many_alternatives_keeps_its_labels():
     got = Scanner()(tag)
     assert got["score"] == 1.0 and set(got["labels"].split(",")) >= {x for pair in names for x in pair}
     assert len(got["expressions"]) == 1 and got["expressions"][0].split()[:3] == ["mit-0", "bsd-0", "or"]
+
+
+def test_long_expressions():
+    """Ten thousand alternatives, and wide ones that share a licence: no step compares all with all."""
+    import time
+
+    t = time.process_time()
+    assert len(S.alternatives(" or ".join(f"l{i}" for i in range(10_000)))) == 10_000
+    assert len(S.alternatives(" or ".join(f"(a and l{i})" for i in range(5_000)) + " or l7")) == 5_000
+    assert S.alternatives("a or b and a or a") == [frozenset("a")]
+    assert time.process_time() - t < 10
