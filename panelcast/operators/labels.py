@@ -152,15 +152,16 @@ def stratified_split(
 
     In each class the accounts are ordered by a seeded hash of their key, and the first
     floor(fraction x class size) of them are train, so no account is on both sides and both
-    sides have the class shares.  The cut comes from two-level prefix counts of the hash
-    values: no class is sorted in one task.
+    sides have the class shares.  Accounts without a label are a class of their own.  The cut
+    comes from two-level prefix counts of the hash values: no class is sorted in one task.
     """
     from panelcast.operators.metrics import prefix_counts
     from panelcast.operators.spine import last_record
 
-    last = last_record(df, key, period).withColumn("_h", account_hash(key, seed).cast("double"))
-    places = prefix_counts(last, "_h", {"n": F.lit(1)}, descending=False, group=label).select(
-        label, "_h", (F.col("cum_n") <= F.floor(F.col("tot_n") * F.lit(train_fraction))).alias("_train")
+    last = last_record(df, key, period).withColumn("_h", account_hash(key, seed).cast("double")).withColumn(
+        "_class", F.coalesce(F.col(label).cast("string"), F.lit("")))
+    places = prefix_counts(last, "_h", {"n": F.lit(1)}, descending=False, group="_class").select(
+        "_class", "_h", (F.col("cum_n") <= F.floor(F.col("tot_n") * F.lit(train_fraction))).alias("_train")
     )
     split = F.when(F.col("_train"), "train").otherwise("test")
-    return last.join(places, [label, "_h"]).select(*df.columns, split.alias("split"))
+    return last.join(places, ["_class", "_h"]).select(*df.columns, split.alias("split"))

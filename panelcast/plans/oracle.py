@@ -758,7 +758,7 @@ FROM xa"""
     prof = f"""SELECT '{{fmt}}' AS format, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT account_id) AS BIGINT) AS n_accounts,
   CAST(sum(current_month_transactions) AS BIGINT) AS transactions, {r4('round(sum(current_month_revenue), 2)')} AS revenue,
   CAST(sum(churned) AS BIGINT) AS churned, max(last_touchbase_date) AS last_touch FROM panel"""
-    q["io_roundtrip"] = BASE_O + "\nUNION ALL\n".join(prof.replace("{fmt}", f) for f in ("csv", "json", "parquet", "json_array"))
+    q["io_roundtrip"] = BASE_O + "\nUNION ALL\n".join(prof.replace("{fmt}", f) for f in ("csv", "csv_shuffled", "json", "parquet", "json_array"))
     q["segment_export"] = _segments_sql() + """
 SELECT replace(lower(segment), ' ', '_') AS segment_name, CAST(count(*) AS BIGINT) AS n_rows FROM segs GROUP BY 1"""
     from panelcast.plans.dashboard_sql import dashboard_sql

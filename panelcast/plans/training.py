@@ -359,15 +359,18 @@ def q_model_roundtrip(spark, d):
 
 @query("io_roundtrip")
 def q_io_roundtrip(spark, d):
-    """Panel written as csv / json lines / parquet / json arrays and read back; per-format profile."""
+    """Panel written as csv (also with its columns in another order and one more) / json lines / parquet / json arrays and
+    read back; per-format profile."""
     p = panel_o(spark, d)
     base = f"{scratch_root(spark)}/io/{uuid.uuid4().hex}"
     parts = []
-    for name in ("csv", "json", "parquet", "json_array"):
+    for name in ("csv", "csv_shuffled", "json", "parquet", "json_array"):
         fmt = name.split("_")[0]
         path = f"{base}/{name}/panel.{fmt}"
         if name == "json_array":
             io.save_json_array(p, path)
+        elif name == "csv_shuffled":
+            io.save_table(p.select(F.lit("x").alias("note"), *reversed(p.columns)), path)
         else:
             io.save_table(p, path)
         back = io.load_panel(spark, path)

@@ -8,6 +8,7 @@ wins over the extension.  Model and metric sinks write into shared storage.
 
 from __future__ import annotations
 
+import csv
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,43 @@ def _is_json_array(spark: SparkSession, path: str) -> bool:
     return first is not None and first[0].lstrip().startswith("[")
 
 
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file or folder; ValueError where its files have different ones."""
+    files = spark.read.format("text").option("wholetext", False).load(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    first = files.where("at = 0").groupBy("file").agg(F.first("value").alias("value")).select("value").distinct().limit(2).collect()
+    if not first:
+        return []
+    if len(first) > 1:
+        raise ValueError(f"the files of {path} have different headers")
+    return [c.strip() for c in next(csv.reader([first[0][0].lstrip("\ufeff")]))]
+
+
+_REJECT = "_corrupt_row"
+
+
+def _csv_by_name(spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST") -> DataFrame:
+    names = csv_header(spark, path)
+    kinds = {f.name: f.dataType for f in schema}
+    if names and (lacking := [c for c in kinds if c not in names]):
+        raise ValueError(f"columns missing in {path}: {', '.join(lacking)}")
+    # the file's own order, with the types of the schema; columns that it does not name stay text and are pruned
+    there = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in names] or list(schema))
+    if mode == "PERMISSIVE":
+        there = there.add(_REJECT, T.StringType())
+    rows = spark.read.schema(there).option("header", True).option("enforceSchema", True).option("mode", mode).option(
+        "columnNameOfCorruptRecord", _REJECT).option("columnPruning", False).csv(path)  # a short row is only seen whole
+    return rows.select(*kinds, *([_REJECT] if mode == "PERMISSIVE" else []))
+
+
+def load_with_rejects(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects) of a CSV: rows with a malformed value, too few or too many fields are returned as ``row`` (their
+    text) and leave the good ones.  The file is read once, into the shared scratch folder."""
+    from panelcast.session import materialize
+
+    both = materialize(_csv_by_name(spark, path, schema, "PERMISSIVE"), "csv-rows")
+    return both.where(F.col(_REJECT).isNull()).drop(_REJECT), both.where(F.col(_REJECT).isNotNull()).select(F.col(_REJECT).alias("row"))
+
+
 def load_table(
     spark: SparkSession,
     path: str,
@@ -56,6 +94,8 @@ def load_table(
 ) -> DataFrame:
     """Read csv (header) / json / parquet chosen by extension; missing path -> FileNotFoundError.
 
+    CSV columns are matched to ``schema`` by the names in the header, in any order; columns beyond it are not read,
+    missing ones and malformed values raise (``load_with_rejects`` sets such rows apart).
     JSON is ``json_layout`` "lines" (splittable) or "array" (one array in a file, which Spark
     reads in one task); "auto" looks at the first non-blank character.  Malformed JSON raises."""
     fmt = (fmt or _format_of(path)).lower()
@@ -69,7 +109,9 @@ def load_table(
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        return reader.option("header", True).option("inferSchema", schema is None).csv(path)
+        if schema is not None:
+            return _csv_by_name(spark, path, schema)
+        return reader.option("header", True).option("inferSchema", True).csv(path)
     if fmt == "json":
         if json_layout not in ("auto", "lines", "array"):
             raise ValueError(f"unknown JSON layout {json_layout!r}")

@@ -103,3 +103,34 @@ def test_json_array_with_schema(spark, tmp_path):
     broken.write_text('[{"account_id": "ACC-1", ')
     with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
         io.load_panel(spark, str(broken)).collect()
+
+
+def _csv(path, text, name="part-0.csv"):
+    path.mkdir(exist_ok=True)
+    (path / name).write_text(text)
+    return str(path)
+
+
+HEAD = "note,current_month_revenue,churned,account_id,month,current_month_transactions,total_tickets,escalated_tickets,late_payments,enabled_channels,self_service_percentage,last_touchbase_date,average_resolution_time_hours"
+GOOD = 'n,99.5,1,A,2024-01-01,7,3,1,0,"web,phone",40.5,2023-12-30T10:00:00,2.5'
+
+
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    r = io.load_panel(spark, _csv(tmp_path / "p.csv", f"{HEAD}\n{GOOD}\n")).collect()
+    assert len(r) == 1 and r[0].current_month_revenue == 99.5 and r[0].current_month_transactions == 7 and r[0].churned == 1
+    assert r[0].enabled_channels == "web,phone" and list(r[0].asDict()) == [f.name for f in io.PANEL_SCHEMA]
+    with pytest.raises(ValueError, match="late_payments"):
+        io.load_panel(spark, _csv(tmp_path / "q.csv", f"{HEAD.replace('late_payments', 'late')}\n{GOOD}\n"))
+    _csv(tmp_path / "r.csv", f"{HEAD}\n{GOOD}\n")
+    with pytest.raises(ValueError, match="different headers"):
+        io.load_panel(spark, _csv(tmp_path / "r.csv", "account_id,month\nA,2024-01-01\n", "part-1.csv"))
+
+
+def test_malformed_values_raise_or_are_set_apart(spark, tmp_path):
+    bad = [GOOD.replace("99.5", "9x"), GOOD.replace("2024-01-01", "soon"), "n,1.0"]
+    path = _csv(tmp_path / "p.csv", "\n".join([HEAD, GOOD, bad[0], GOOD.replace(",A,", ",B,"), *bad[1:]]) + "\n")
+    with pytest.raises(Exception, match="(?i)malformed|parse|cannot"):
+        io.load_panel(spark, path).collect()
+    good, rejects = io.load_with_rejects(spark, path, io.PANEL_SCHEMA)
+    assert sorted(r.account_id for r in good.collect()) == ["A", "B"] and good.columns == [f.name for f in io.PANEL_SCHEMA]
+    assert sorted(r.row for r in rejects.collect()) == sorted(bad)

@@ -100,3 +100,12 @@ def test_training_weights_ignore_the_test_rows(spark):
     n, n1 = train.count(), train.where("churned_next_3mo = 1").count()
     w = labels.class_weights(train, "churned_next_3mo").where("churned_next_3mo = 1").first().class_weight
     assert w == pytest.approx(n / (2 * n1))
+
+
+def test_stratified_split_keeps_accounts_without_a_label(spark):
+    import datetime as dt
+
+    rows = [(f"A{i:03d}", dt.date(2024, 1, 1), None if i % 4 == 0 else i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "account_id string, month date, churned int")
+    out = labels.stratified_split(df, "churned", 0.8).collect()
+    assert len(out) == 40 and sum(r.split == "train" and r.churned is None for r in out) == 8
