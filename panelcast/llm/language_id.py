@@ -142,8 +142,12 @@ def sample_labelled(df: DataFrame, id_col: str, label_col: str, most: int) -> Da
     rate = {r["label"]: int(min(1.0, 3.0 * most / r["count"]) * (1 << 30)) for r in counts}
     nth = F.row_number().over(Window.partitionBy("label").orderBy("h"))
     near = narrow.withColumn(label_col, F.col("label")).where(F.col("h") < limit(rate)).withColumn("nth", nth).where(F.col("nth") <= most)
-    last = {r["label"]: r["last"] for r in near.groupBy("label").agg(F.max("h").alias("last")).collect()}
-    return df.where(h <= limit(last))
+    found = {r["label"]: r for r in near.groupBy("label").agg(F.max("h").alias("last"), F.count(F.lit(1)).alias("n")).collect()}
+    # where few ids carry a label's rows, their hashes may miss the thinned sample: then all its rows are ranked
+    last = {r["label"]: found[r["label"]]["last"] if r["label"] in found and found[r["label"]]["n"] >= min(most, r["count"]) else 1 << 30 for r in counts}
+    # rows with equal ids (or none) have one hash: of those as many as fit stay, whichever rows they are
+    order = Window.partitionBy(label_col).orderBy(h, F.xxhash64(*df.columns))
+    return df.where(h <= limit(last)).withColumn("__nth", F.row_number().over(order)).where(F.col("__nth") <= most).drop("__nth")
 
 
 def fit(train: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id",
@@ -223,7 +227,8 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_identified(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows (all columns) whose text the model does not reject."""
+    """The rows (all columns) whose text the model does not reject.  Null texts and texts without a letter are rejected;
+    ids are not looked at, repeated rows are judged alike, columns may have any names, and an empty table stays empty."""
     import pyarrow as pa
 
     shared = df.sparkSession.sparkContext.broadcast(model)

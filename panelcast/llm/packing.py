@@ -194,7 +194,8 @@ def padded_length(n, window: int = 4096):
 def sequences(pieces: DataFrame, window: int = 4096) -> DataFrame:
     """The fixed windows with their boundary records: one row for each sequence, its ids
     as one binary (little-endian unsigned 32-bit), its length and padded length, and the
-    offsets at which pieces begin.  A group holds at most ``window`` ids."""
+    offsets at which pieces begin.  A group holds at most ``window`` ids.  Only the pieces' own columns are read; pieces
+    of documents with null or repeated ids count like any other, and no pieces give no sequences."""
     parts = F.sort_array(F.collect_list(F.struct("offset", "length", "ids")))
     out = pieces.groupBy("sequence_id").agg(parts.alias("_p"), F.sum("length").alias("n_ids"))
     joined = F.aggregate("_p", F.lit(b"").cast("binary"), lambda a, p: F.concat(a, p["ids"]))

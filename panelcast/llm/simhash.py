@@ -272,7 +272,10 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, most: int = 2) -> DataFrame:
     """The documents (all columns) without near-duplicates: of each class the row with the
     smallest id stays (a null id counts as smallest; of equal ids the smaller content hash;
-    of identical rows one)."""
+    of identical rows one).  Null and blank texts have fingerprint zero and are copies of one another.
+    An empty table stays empty; column names beginning with ``__simhash_`` are the operator's own and refused."""
+    if own := [c for c in df.columns if c.startswith("__simhash_")]:
+        raise ValueError(f"reserved column names: {', '.join(own)}")
     rows = components(df, id_col, text_col, shingle, most)
     best = rows.groupBy("root").agg(F.min(F.struct(id_col, "content")).alias("k"))
     keep = best.select(F.col("k")[id_col].alias("__simhash_keep_id"), F.col("k.content").alias("__simhash_keep_content"))

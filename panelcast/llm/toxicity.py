@@ -352,7 +352,8 @@ def predict(df: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
 
 def keep_clean(df: DataFrame, machine: Machine, text_col: str = "text", most: float = 0.5) -> DataFrame:
-    """The rows (all columns) whose text scores under ``most``."""
+    """The rows (all columns) whose text scores under ``most``.  Null and empty texts score as texts without a word (and
+    stay); ids are not looked at, repeated rows are judged alike, columns may have any names, and an empty table stays empty."""
     shared = df.sparkSession.sparkContext.broadcast(machine)
     at = df.columns.index(text_col)
     bounded_batches(df.sparkSession)

@@ -165,3 +165,12 @@ def test_long_expressions():
     assert len(S.alternatives(" or ".join(f"(a and l{i})" for i in range(5_000)) + " or l7")) == 5_000
     assert S.alternatives("a or b and a or a") == [frozenset("a")]
     assert time.process_time() - t < 10
+
+
+def test_the_fitting_sample_is_bounded_with_repeated_and_null_ids(spark):
+    rows = [(None, f"text {i}", "en") for i in range(300)] + [(7, f"word {i}", "en") for i in range(300)] + [(i, f"mot {i}", "fr") for i in range(5)]
+    df = spark.createDataFrame(rows, "id bigint, text string, label string").repartition(5)
+    got = {r["label"]: r["count"] for r in L.sample_labelled(df, "id", "label", 40).groupBy("label").count().collect()}
+    assert got == {"en": 40, "fr": 5}
+    model = L.fit(df.withColumnRenamed("label", "lang").withColumnRenamed("id", "doc_id"), per_language=40)
+    assert set(L.predict(df.withColumnRenamed("id", "doc_id"), model).select("lang_pred").distinct().toPandas().lang_pred) <= {"en", "fr", "und"}
