@@ -506,6 +506,36 @@ def q_stream_scoring(spark, d):
     return spark.read.parquet(sink)
 
 
+RAW_ARRIVALS = 3
+RAW_LATE = 4  # a row arrives up to RAW_LATE - 1 periods after its month
+
+
+@query("stream_raw_scoring")
+def q_stream_raw_scoring(spark, d):
+    """Raw panel rows arrive in parts, some out of order; a streaming query with state turns them into features and
+    scores them, stopped and started again for each part."""
+    import datetime as dt
+    import uuid
+
+    from panelcast.plans.catalog import panel_o
+    from panelcast.session import scratch_root
+    from panelcast.streaming.raw_rows import punctuation, run_raw_stream
+    from panelcast.streaming.scoring import score_stream
+
+    base = f"{scratch_root(spark)}/streams/{uuid.uuid4().hex}"
+    panel = materialize(panel_o(spark, d), "raw-stream-panel")
+    idx, n = labels.period_table(panel.select("month"))
+    arrives = F.col("period_idx") + F.pmod(F.xxhash64("account_id", "month"), F.lit(RAW_LATE))
+    part = F.least(F.floor((arrives - 1) * RAW_ARRIVALS / F.lit(max(n, 1))), F.lit(RAW_ARRIVALS - 1))
+    landing = panel.join(F.broadcast(idx.select("month", "period_idx")), "month")
+    end = dt.date(2200, 1, 1)
+    for k in range(RAW_ARRIVALS + 1):
+        rows = landing.where(part == k).select(*panel.columns) if k < RAW_ARRIVALS else punctuation(spark, panel.schema, end)
+        rows.write.mode("append").parquet(f"{base}/source")
+        sink = run_raw_stream(spark, f"{base}/source", base, panel.schema, lambda f: score_stream(f, digits=SCORE_DIGITS))
+    return spark.read.parquet(sink)
+
+
 CONTACT_WITHIN_DAYS = 31
 IMPACT_PERIODS = 3
 

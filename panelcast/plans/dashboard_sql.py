@@ -260,4 +260,5 @@ SELECT feature, {r4(f'sum((pr - pt) * ln((pr + {D.PSI_EPS!r}) / (pt + {D.PSI_EPS
 FROM tm GROUP BY feature"""
     q["stream_scoring"] = SCORED_O + f"""SELECT account_id, month, {r4('churn_risk_score')} AS churn_risk_score, prediction,
   {r4('safe_probability')} AS safe_probability, risk_tier FROM scored"""
+    q["stream_raw_scoring"] = q["stream_scoring"]
     return q
