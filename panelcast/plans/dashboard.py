@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.expressions import q
 from panelcast.operators import explain, labels, metrics, scoring
+from panelcast.operators.quantiles import column_quantiles, long_values
 from panelcast.session import materialize
 from panelcast.plans.catalog import (
     EVAL_LABEL,
@@ -575,25 +576,23 @@ PSI_DECILES = [i / 10 for i in range(1, 10)]
 def q_feature_psi(spark, d):
     """Population stability index of every model feature, recent vs training periods, over training-decile bins.
 
-    Edges: exact deciles of the training rows (a row of nine numbers for each feature, broadcast);
-    bin = number of edges below the value; PSI = sum (r - t) * ln((r + eps) / (t + eps))."""
+    Edges: exact deciles of the training rows by sketch and bracket (a row of nine numbers for each feature, broadcast);
+    bin = number of edges below the value; PSI = sum (r - t) * ln((r + eps) / (t + eps)).  Rows are counted by
+    feature and bin before the shuffle."""
     s = scored_lazy(spark, d)
-    idx, _ = labels.period_table(s.select("month"))
     feats = model_feature_names()
-    x = s.join(F.broadcast(idx.select("month", "period_idx")), "month")
+    rounded = [F.round(F.round(F.col(f).cast("double"), 10), PSI_DIGITS).alias(f) for f in feats]
+    table = materialize(s.select("month", *rounded), "psi-rows")
+    idx, _ = labels.period_table(table.select("month"))
     is_train = F.col("period_idx") <= DRIFT_TRAIN_MONTHS
     is_recent = F.col("period_idx").between(DRIFT_RECENT_FROM, DRIFT_RECENT_TO)
-    part = F.when(is_train, "train").when(is_recent, "recent").alias("part")
-    long = _long(x.select(part, *feats).where(F.col("part").isNotNull()), feats, ["part"]).select(
-        "part", F.col("column").alias("feature"), F.round(F.round("value", 10), PSI_DIGITS).alias("value"))
-    # rows are combined to counts of distinct values before anything is written or joined
-    counts = materialize(long.groupBy("feature", "value").agg(
-        F.count_if(F.col("part") == "train").alias("n_train"), F.count_if(F.col("part") == "recent").alias("n_recent")), "psi-values")
-    edges = materialize(metrics.weighted_quantiles(counts.where("n_train > 0"), "value", "n_train", PSI_DECILES, group="feature")
-                        .groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("edges")), "psi-edges")
-    binned = counts.join(F.broadcast(edges), "feature").groupBy(
-        "feature", F.expr(f"size(filter(edges, e -> value > e + {PSI_SLACK!r}D))").alias("bin")).agg(
-        F.sum("n_train").alias("n_train"), F.sum("n_recent").alias("n_recent"))
+    rows = table.join(F.broadcast(idx.select("month", is_train.alias("train")).where(is_train | is_recent)), "month")
+    edges = column_quantiles(rows.where("train"), feats, PSI_DECILES)
+    flat = materialize(edges.groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("e")).selectExpr(
+        "`column`", *[f"e[{i}] + {PSI_SLACK!r}D AS _e{i}" for i in range(len(PSI_DECILES))]), "psi-edges")
+    place = "CASE " + " ".join(f"WHEN value <= _e{i} THEN {i}" for i in range(len(PSI_DECILES))) + f" ELSE {len(PSI_DECILES)} END AS bin"
+    binned = (long_values(rows, feats, ["train"]).join(F.broadcast(flat), "column").selectExpr("train", "`column` AS feature", place)
+              .groupBy("feature", "bin").agg(F.count_if("train").alias("n_train"), F.count_if(~F.col("train")).alias("n_recent")))
     wf = Window.partitionBy("feature")  # at most 10 bins per feature
     pt = F.col("n_train") / F.sum("n_train").over(wf)
     pr = F.col("n_recent") / F.sum("n_recent").over(wf)
