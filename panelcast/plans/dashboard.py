@@ -566,6 +566,28 @@ def q_intervention_impact(spark, d):
     )
 
 
+CAMPAIGN_DAYS = 7
+
+
+@query("campaign_impact")
+def q_campaign_impact(spark, d):
+    """Mean risk before and after each campaign, accounts at risk that stayed, and the return, by campaign (events panel).
+
+    The tables have no campaigns: the click events stand in for rows of a campaign table (account, name, first and last day)."""
+    from panelcast.operators.campaigns import campaign_impact, campaign_scores
+    from panelcast.operators.features import generate_features
+    from panelcast.plans.catalog import panel_e, score_table, table
+    from panelcast.sources.adapters import _keyed
+
+    k = F.pmod(F.get_json_object("props", "$.k").cast("bigint"), F.lit(6))
+    start = F.col("ts").cast("date")
+    campaigns = table(spark, d, "events").where("event_type = 'click'").select(
+        _keyed("USR-", "user_id").alias("account_id"), F.concat(F.lit("campaign "), (k % 3).cast("string")).alias("campaign"),
+        start.alias("start_date"), F.date_add(start, F.floor(k / 3).cast("int")).alias("end_date"))
+    scores = score_table(generate_features(panel_e(spark, d), check_empty=False))
+    return campaign_impact(campaign_scores(scores, campaigns, CAMPAIGN_DAYS), at_risk=0.2, value=ACCOUNT_VALUE, cost=CONTACT_COST)
+
+
 PSI_EPS = 1e-4
 PSI_DIGITS = 6  # feature values are rounded so that equal values are equal in both engines
 PSI_SLACK = 1e-8  # an interpolated edge may be a last bit off the value that it stands for

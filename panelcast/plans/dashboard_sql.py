@@ -33,6 +33,7 @@ def dashboard_sql() -> dict[str, str]:
     from panelcast.plans.oracle import (
         BASE_O,
         EVAL,
+        PANEL_E,
         FIXED_COEFFICIENTS,
         FIXED_INTERCEPT,
         SCORED_O,
@@ -40,6 +41,9 @@ def dashboard_sql() -> dict[str, str]:
         _explain_sql,
         _two_models,
         _curve,
+        features_ctes,
+        scored_ctes,
+        with_,
         model_feature_names,
         r4,
     )
@@ -260,5 +264,24 @@ SELECT feature, {r4(f'sum((pr - pt) * ln((pr + {D.PSI_EPS!r}) / (pt + {D.PSI_EPS
 FROM tm GROUP BY feature"""
     q["stream_scoring"] = SCORED_O + f"""SELECT account_id, month, {r4('churn_risk_score')} AS churn_risk_score, prediction,
   {r4('safe_probability')} AS safe_probability, risk_tier FROM scored"""
+    q["campaign_impact"] = with_(PANEL_E, features_ctes(), scored_ctes()).rstrip("\n") + f""",
+cm AS (SELECT DISTINCT 'USR-' || lpad(CAST(user_id AS VARCHAR), CAST(greatest(6, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0') AS account_id,
+              'campaign ' || CAST(k % 3 AS VARCHAR) AS campaign, start_date, start_date + CAST(k // 3 AS INTEGER) AS end_date
+       FROM (SELECT user_id, CAST(ts AS DATE) AS start_date, ((CAST(json_extract_string(props, '$.k') AS BIGINT) % 6) + 6) % 6 AS k
+             FROM events WHERE event_type = 'click')),
+bf AS (SELECT account_id, campaign, start_date, end_date, arg_max(churn_risk_score, month) AS risk_at_start,
+              avg(churn_risk_score) FILTER (WHERE CAST(month AS DATE) >= start_date - 7) AS risk_before
+       FROM cm JOIN scored USING (account_id) WHERE CAST(month AS DATE) < start_date GROUP BY ALL),
+af AS (SELECT account_id, campaign, start_date, end_date, avg(churn_risk_score) AS risk_after, max(churned) AS churned_after
+       FROM cm JOIN scored USING (account_id) WHERE CAST(month AS DATE) > end_date AND CAST(month AS DATE) <= end_date + 7 GROUP BY ALL),
+al AS (SELECT *, risk_at_start >= 0.2 AND risk_after IS NOT NULL AS risky, risk_before IS NOT NULL AND risk_after IS NOT NULL AS compared
+       FROM cm LEFT JOIN bf USING (account_id, campaign, start_date, end_date) LEFT JOIN af USING (account_id, campaign, start_date, end_date)),
+su AS (SELECT campaign, count(*) AS n_contacts, count(*) FILTER (WHERE compared) AS n_compared,
+              avg(risk_before) FILTER (WHERE compared) AS b, avg(risk_after) FILTER (WHERE compared) AS a,
+              avg(risk_after - risk_before) FILTER (WHERE compared) AS c, count(*) FILTER (WHERE risky) AS n_at_risk,
+              count(*) FILTER (WHERE risky AND coalesce(churned_after, 0) = 0) AS n_saved FROM al GROUP BY campaign)
+SELECT campaign, n_contacts, n_compared, {r4('b')} AS avg_risk_before, {r4('a')} AS avg_risk_after, {r4('c')} AS avg_change,
+  n_at_risk, n_saved, {r4('CAST(n_saved AS DOUBLE) / nullif(n_at_risk, 0)')} AS save_rate,
+  CAST(n_saved * {D.ACCOUNT_VALUE!r} - n_contacts * {D.CONTACT_COST!r} AS DOUBLE) AS roi FROM su"""
     q["stream_raw_scoring"] = q["stream_scoring"]
     return q

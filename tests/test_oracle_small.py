@@ -12,7 +12,7 @@ NAMES = [
     "panel_orders", "panel_events", "full_features", "features_events", "dq_expectations", "month_spine",
     "last_record", "stratified_split", "ab_groups", "similar_accounts", "dq_report", "feature_psi", "split_rates", "cv_folds", "tier_distribution", "roc_auc", "pr_points",
     "threshold_custom", "compare_models", "segment_summary", "explain_zscore", "cohort_rollup", "what_if",
-    "stream_scoring", "stream_raw_scoring", "io_roundtrip", "threshold_table", "feature_drift",
+    "stream_scoring", "stream_raw_scoring", "campaign_impact", "io_roundtrip", "threshold_table", "feature_drift",
 ]
 
 
