@@ -146,6 +146,37 @@ def test_toxicity_finds_gapped_insults_and_leaves_clean_words(spark):
     assert T.predict(df, none).agg(F.max("score")).first()[0] < 0.01 and T.predict(df.limit(0), none).count() == 0
 
 
+def test_an_insult_of_ordinary_words_is_learned_from_sentences(spark):
+    """Every word of the insult stands in a third of the clean texts too, but there never in one sentence."""
+    rng = np.random.default_rng(2)
+    syl = ["an", "the", "or", "in", "er", "on", "at", "re", "st", "nd", "ha", "ing"]
+    sentence = lambda extra=(): " ".join(rng.permutation([*("".join(rng.choice(syl, rng.integers(1, 4))) for _ in range(8)), *extra])) + "."
+    insult = ["nobody", "wants", "your", "kind", "around"]
+    apart = lambda: " ".join(sentence([w]) for w in rng.permutation(insult)[:2])
+    text = lambda toxic: " ".join([sentence(), sentence(insult if toxic else ()), sentence(), apart() if not toxic else "", sentence()])
+    rows = [(i, text(i % 3 == 0), int(i % 3 == 0)) for i in range(600)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    machine = T.fit(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int"))
+    assert machine.margins(insult).real.max() < 0  # none of its words is toxic by itself
+    probe = [(i, text(i < 100)) for i in range(200)]
+    probe += [(200 + i, sentence(["nobodyy", "wants", "your", "kiind", "arround"])) for i in range(20)]  # inserted characters
+    probe += [(300, None), (301, ""), (302, " .\n")]
+    got = {r.doc_id: r for r in T.predict(spark.createDataFrame(probe, "doc_id bigint, text string"), machine).collect()}
+    assert sum(got[i].predicted for i in range(100)) >= 95 and sum(got[i].predicted for i in range(100, 200)) <= 3
+    assert sum(got[i].predicted for i in range(200, 220)) >= 15
+    assert got[300].predicted == got[301].predicted == got[302].predicted == 0
+    assert max(got[i].score for i in (300, 301, 302)) <= min(got[i].score for i in range(100))
+
+
+def test_sentences_are_cut_at_stops_and_after_their_most_words():
+    texts = ["a b. c d! e", "", "w " * 60 + "x", "y? z"]
+    code, words, first, _, ends = T.tokens(texts)
+    start, of = T.sentence_starts(code, first, ends)
+    got = [[words[c] for c in code[a:b]] for a, b in zip(start, [*start[1:], len(code)])]
+    assert got == [["a", "b"], ["c", "d"], ["e"], [""], ["w"] * 24, ["w"] * 24, ["w"] * 12 + ["x"], ["y"], ["z"]]
+    assert of.tolist() == [0, 0, 0, 1, 2, 2, 2, 3, 3]
+
+
 def test_a_license_expression_with_many_alternatives_keeps_its_labels():
     from panelcast.llm.license_scan import Scanner
 
