@@ -44,6 +44,8 @@ MIN_TEXTS, MIN_RATIO = 4, 12.0
 #: Longest word of a training example in characters (all words are scored).
 LONGEST = 48
 KEPT = 300_000
+#: Words whose subsequences are held in memory at a time.
+STEP = 20_000
 NO_WORD = -9.0
 #: Words of a sentence (longer ones are cut), weight of each class of sentences, rounds that pick them anew.
 SENTENCE, SENTENCE_COST, SENTENCE_ROUNDS = 24, 200.0, 3
@@ -145,6 +147,10 @@ class Machine:
     def margins(self, words: list[str]) -> np.ndarray:
         """Each word's margin (real part) and what it adds to its sentence's (imaginary part, so that one small
         object is remembered for a word)."""
+        parts = [self._margins(words[i : i + STEP]) for i in range(0, len(words), STEP)]
+        return np.concatenate(parts) if parts else np.zeros(0, complex)
+
+    def _margins(self, words: list[str]) -> np.ndarray:
         bins, weights, own = subsequences(words)
         if not len(bins):
             return np.full(len(words), NO_WORD, complex)
@@ -169,8 +175,8 @@ class Scorer:
 
     def of_words(self, words: list[str]) -> np.ndarray:
         fresh = self.seen.unseen(set(words))
-        for a in range(0, len(fresh), 50_000):
-            part = fresh[a : a + 50_000]
+        for a in range(0, len(fresh), STEP):
+            part = fresh[a : a + STEP]
             self.seen.update(zip(part, self.machine.margins(part).tolist()))
         out = np.array([self.seen[w] for w in words])
         self.seen.forget_long(fresh)
