@@ -21,6 +21,19 @@ def tables(spark, tmp_path_factory):
     return str(base)
 
 
+def test_split_periods_come_from_the_written_panel(spark, tables, monkeypatch):
+    seen = []
+    real = training.labels.period_table
+
+    def watched(df, period="month"):
+        seen.extend(df.inputFiles())
+        return real(df, period)
+
+    monkeypatch.setattr(training.labels, "period_table", watched)
+    assert training.train_test(spark, tables).columns[:3] == ["account_id", "month", "split"]
+    assert seen and not [f for f in seen if "lineitem.parquet" in f or "orders.parquet" in f]
+
+
 def test_round_trip_writes_from_one_panel(spark, tables, monkeypatch):
     seen = []
     real = training.io.save_table
