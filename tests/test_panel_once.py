@@ -1,10 +1,11 @@
-"""Queries that read the panel in several jobs build it once."""
+"""Queries that read the panel in several jobs build it once; the panel's channels come from one aggregate."""
 
 import datetime as dt
 
 import pytest
 
 from panelcast.plans import training
+from panelcast.sources.adapters import orders_panel
 
 
 @pytest.fixture(scope="module")
@@ -41,3 +42,14 @@ def test_round_trip_writes_from_one_panel(spark, tables, monkeypatch):
     rows = training.q_io_roundtrip(spark, tables).drop("format").distinct().collect()
     assert len(rows) == 1 and rows[0]["n_accounts"] == 4
     assert seen and not [f for f in seen if "lineitem.parquet" in f or "orders.parquet" in f]
+
+
+def test_channels_of_a_month_by_one_aggregate(spark, tables):
+    panel = orders_panel(spark.read.parquet(f"{tables}/orders.parquet"), spark.read.parquet(f"{tables}/lineitem.parquet"))
+    assert "bit_or" in panel._jdf.queryExecution().optimizedPlan().toString()
+    rows = [(i % 4, dt.date(1992 + i // 48, i % 12 + 1, 1), ["web", "card", "agent", "ivr", "apple_pay"][i % 5] if i % 12 else None) for i in range(240)]
+    want = {}
+    for account, month, channel in rows:
+        want.setdefault((f"ACC-{account:06d}", month), set()).update([channel] if channel else [])
+    got = {(r.account_id, r.month): r.enabled_channels for r in panel.collect()}
+    assert got == {k: "|".join(sorted(v)) for k, v in want.items()} and "" in got.values()
