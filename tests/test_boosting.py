@@ -94,3 +94,17 @@ def test_odd_labels_and_weights_go_to_spark(spark, table, monkeypatch):
     small = df.limit(200)
     ml.fit(small.selectExpr("*", "1.0D AS w"), NAMES, "gbt", "y", weight_col="w", maxIter=1, maxDepth=2)
     ml.fit(small, NAMES, "gbt", "y", maxIter=1, maxDepth=2, minInstancesPerNode=3)
+
+
+def test_the_cuts_of_sparks_own(spark):
+    """Up to ``CUT_ROWS`` rows all of them place the cuts, in both: many values, some of them frequent."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(4000, 6)).round(3)
+    x[rng.random((4000, 6)) < [0, 0.2, 0.5, 0.8, 0.97, 0.3]] = 0.0
+    x[:, 5] = np.where(x[:, 5] == 0, 2.5, x[:, 5])
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + x[:, 3] + x[:, 5] + rng.normal(scale=0.5, size=4000) > 0.8).astype(float)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], ", ".join(f"{f} double" for f in NAMES) + ", y double").cache()
+    params = {"maxIter": 4, "maxDepth": 5}
+    own, other = trees.ensemble(ml.fit(df, NAMES, "gbt", "y", **params)), trees.ensemble(sparks_own(df, **params))
+    assert np.abs(own.probability(own.margins(x)) - other.probability(other.margins(x))).max() < 1e-6
+    assert len(own.left) == len(other.left) > 150
