@@ -100,3 +100,36 @@ def test_odd_labels_and_weights_go_to_spark(spark, table, monkeypatch):
     ml.fit(small.where("y = 1"), names, "rf", "y", numTrees=2, maxDepth=2)
     ml.fit(small.selectExpr("*", "1.0D AS w"), names, "rf", "y", weight_col="w", numTrees=2, maxDepth=2)
     ml.fit(small, names, "rf", "y", numTrees=1, maxDepth=2)
+
+
+def test_own_arrays_are_those_of_the_saved_model(spark, table):
+    """The nodes reach the attribution without Spark's model, which is loaded when asked for and has the same nodes."""
+    from pyspark.ml import PipelineModel
+
+    model = grown(table, numTrees=4, maxDepth=6, local_rows=500)
+    pipe = PipelineModel([model])
+    own = trees.ensemble(pipe)
+    assert model._loaded is None
+    read = trees.ensemble(PipelineModel([RandomForestClassificationModel._from_java(model._java_obj)]))
+    assert model._loaded is not None and model.getNumTrees == 4 and model.getMaxDepth() == 6
+    a, b = (np.concatenate(list(e.levels())) for e in (own, read))  # numbered in another order
+    for c in ("feature", "cut", "value", "rows"):
+        assert np.array_equal(getattr(own, c)[a], getattr(read, c)[b]), c
+    assert np.array_equal(own.left[a] < 0, read.left[b] < 0) and np.array_equal(own.weight, read.weight)
+
+
+def test_rows_of_a_few_trees_are_on_their_way_at_once(spark, table, monkeypatch):
+    """All trees' rows in one shuffle filled the disks; now they go in turns, whose files go with them, with the same trees."""
+    calls, real = [], forest._subtrees
+
+    def seen(rows, top, small, sent, *a):
+        calls.append(list(sent))
+        return real(rows, top, small, sent, *a)
+
+    monkeypatch.setattr(forest, "_subtrees", seen)
+    whole = grown(table, numTrees=7, maxDepth=5).ensemble()
+    monkeypatch.setattr(forest, "SENT_TREES", 3)
+    monkeypatch.setattr(forest, "SENT_ROWS", 0)
+    parts = grown(table, numTrees=7, maxDepth=5).ensemble()
+    assert calls == [list(range(7)), [0, 1, 2], [3, 4, 5], [6]]
+    assert np.array_equal(whole.cut, parts.cut) and np.array_equal(whole.left, parts.left) and np.array_equal(whole.rows, parts.rows)
