@@ -59,3 +59,31 @@ def test_bounds_never_pass_a_nearer_row():
     cell, away = d.argmin(axis=1), d.min(axis=1)
     bounds = N.Bounds(pivots, cell, away, away)  # every row a block of its own
     assert (bounds.least(x) <= N.distances(x, x) * (1 + 1e-9) + 1e-9).all()
+
+
+def test_only_near_rows_are_asked_and_written(spark, monkeypatch):
+    """Rows that met many blocks, and ten rows written for each meeting, filled the disks."""
+    x = np.random.default_rng(6).normal(size=(6000, 4)) * [1, 2, 3, 1]
+    written, real = [], N.materialize
+
+    def seen(df, name):
+        out = real(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(N, "materialize", seen)
+    got, compared = searched(spark, x, 5, block=64)
+    assert got == brute(x, 5)
+    found = [n for name, n in written if name == "nearest-found"]
+    assert len(found) == 3 and sum(found) < 3 * 5 * len(x) and compared < 0.12 * len(x) ** 2, (found, compared / len(x) ** 2)
+
+
+def test_boxes_hold_their_rows_and_parts_are_even():
+    x = np.random.default_rng(7).normal(size=(1000, 3))
+    parts = N._halves(x, 7)
+    assert sorted(np.concatenate(parts)) == list(range(1000)) and {len(p) for p in parts} <= {142, 143}
+    boxes = [(a, np.array([x[p, a].min() for p in parts]), np.array([x[p, a].max() for p in parts])) for a in range(3)]
+    bounds = N.Bounds(x[:1], np.zeros(7, int), np.zeros(7), np.full(7, 99.0), boxes)
+    least, d = bounds.least(x), N.distances(x, x)
+    assert all((least[:, i] <= d[:, p].min(axis=1) * (1 + 1e-9)).all() for i, p in enumerate(parts))
+    assert (least > 0).mean() > 0.5
