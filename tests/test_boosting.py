@@ -108,3 +108,36 @@ def test_the_cuts_of_sparks_own(spark):
     own, other = trees.ensemble(ml.fit(df, NAMES, "gbt", "y", **params)), trees.ensemble(sparks_own(df, **params))
     assert np.abs(own.probability(own.margins(x)) - other.probability(other.margins(x))).max() < 1e-6
     assert len(own.left) == len(other.left) > 150
+
+
+def test_leaves_found_by_asking_all_cuts_at_once():
+    rng = np.random.default_rng(8)
+    x, g = rng.integers(0, 32, (4, 700)).astype(np.uint8), rng.normal(size=700).round(3) * boosting.SCALE
+    slots = lambda t, wanted: np.where(np.isin(at := t.walk(x.T, np.zeros(700, np.int64)), wanted), np.searchsorted(wanted, at), -1)
+
+    def summed(t, wanted):
+        order = np.argsort(wanted)
+        slot = slots(t, wanted[order])
+        ok = slot >= 0
+        return boosting.sums(x[:, ok], np.rint(g[ok]), order[slot[ok]], len(wanted)).astype(np.int64)
+
+    for depth in (0, 1, 6):
+        t = boosting.grow(summed, depth)
+        assert t.depth.max() == depth and np.array_equal(boosting.walked(t, x), t.walk(x.T, np.zeros(700, np.int64)))
+
+
+@pytest.mark.parametrize("kind, grid, module", [("gbt", {"maxIter": [1], "maxDepth": [1, 2], "stepSize": [0.1, 0.3]}, "boosting"),
+                                                ("rf", {"numTrees": [2], "maxDepth": [2], "minInstancesPerNode": [1, 2, 3]}, "forest")])
+def test_the_fits_of_a_fold_bin_its_rows_once(spark, monkeypatch, kind, grid, module):
+    from panelcast.operators import forest
+
+    made, module = [], {"boosting": boosting, "forest": forest}[module]
+    real = module.prepared
+    monkeypatch.setattr(module, "prepared", lambda *a: made.append(1) or real(*a))
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(240, 2))
+    rows = [(f"2024-{1 + i % 4:02d}-01", float(a), float(b), float(a + b > 0)) for i, (a, b) in enumerate(x)]
+    df = spark.createDataFrame(rows, "month string, a double, b double, churned double").selectExpr("CAST(month AS DATE) AS month", "a", "b", "churned")
+    *_, table = ml.grid_search(df, ["a", "b"], kind, grid, n_splits=2)
+    n = len(ml.param_maps(grid))
+    assert {r.n_fits for r in table.collect()} == {2 * n + 1} and len(made) == 2 + 1  # one for each fold, one for the best map
