@@ -2,7 +2,8 @@
 
 Raw rows become features inside the stream.  For every account the state store keeps the last
 rows that a window can still reach, the first month, the largest number of channels, and the rows
-that wait for the watermark.  A row is released when the watermark has passed its month, in order of
+that wait for the watermark.  Accounts share a state by the hash of their key (``BUCKETS``), as every call
+on a state costs milliseconds whatever it holds.  A row is released when the watermark has passed its month, in order of
 month, with the rows before it; the window features are then expressions over that short array, so
 everything behind the state is one JVM-side projection and the sink stays exactly-once.
 
@@ -32,45 +33,79 @@ REACH = max(n for _, n, _ in WINDOWS)
 #: How far out of order rows may arrive (a Spark interval).
 DELAY = "155 days"
 
+#: States that accounts are dealt to.  It holds for the life of a checkpoint; a state is read and written as a whole, so
+#: for many more than a thousand accounts a state take more.
+BUCKETS = 1 << 13
+
 _JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 _CHANNELS = " + ".join(f"CAST(coalesce(contains(enabled_channels, '{ch}'), false) AS INT)" for ch in CHANNELS)
 
 
-def _release(key, frames, state: GroupState):
-    """New rows of one account (or its time-out) -> the rows that the watermark lets go, with what came before them."""
-    first, widest, done, waiting = json.loads(state.get[0]) if state.exists else (None, 0, [], [])
+def _advance(held: list, came, mark: int) -> list[tuple]:
+    """An account's ``held`` (first month, most channels, last rows, rows that wait) takes the rows that came and gives up those
+    that the watermark lets go: (what came before each and itself, first month, most channels so far)."""
+    first, widest, done, waiting = held
     taken, after = {r[0] for r in waiting}, done[-1][0] if done else None
-    for f in frames:
-        for at, channels, row in zip(f["_at"].tolist(), f["_channels"].tolist(), f["_row"].tolist()):
-            if at not in taken and (after is None or at > after):
-                taken.add(at)
-                waiting.append([at, channels, row])
-    mark = state.getCurrentWatermarkMs()
+    for at, channels, row in came:
+        if at not in taken and (after is None or at > after):
+            taken.add(at)
+            waiting.append([at, channels, row])
     out = []
     for at, channels, row in sorted(r for r in waiting if r[0] <= mark):
         first, widest = at if first is None else first, max(widest, channels)
         done = [*done[1 - REACH :], [at, row]]
-        out.append((key[0], "[" + ",".join(r for _, r in done) + "]", first, widest))
-    waiting = [r for r in waiting if r[0] > mark]
-    state.update((json.dumps([first, widest, done, waiting]),))
-    if waiting:
-        state.setTimeoutTimestamp(min(r[0] for r in waiting))
+        out.append(("[" + ",".join(r for _, r in done) + "]", first, widest))
+    held[:] = first, widest, done, [r for r in waiting if r[0] > mark]
+    return out
+
+
+def _release(key, frames, state: GroupState):
+    """New rows of one account (or its time-out) -> the rows that the watermark lets go, with what came before them."""
+    held = json.loads(state.get[0]) if state.exists else [None, 0, [], []]
+    came = (r for f in frames for r in zip(*(f[c].tolist() for c in ("_at", "_channels", "_row"))))
+    out = [(key[0], *r) for r in _advance(held, came, state.getCurrentWatermarkMs())]
+    state.update((json.dumps(held),))
+    if held[3]:
+        state.setTimeoutTimestamp(min(r[0] for r in held[3]))
     yield pd.DataFrame(out, columns=["_key", "_recent", "_first", "_widest"])
 
 
-def recent_rows(stream: DataFrame, key: str = "account_id", period: str = "month", delay: str = DELAY) -> DataFrame:
+def _release_shared(key, frames, state: GroupState):
+    """The same for all accounts of a shared state."""
+    accounts, came = json.loads(state.get[0]) if state.exists else {}, {}
+    for f in frames:
+        for account, *row in zip(*(f[c].tolist() for c in ("_key", "_at", "_channels", "_row"))):
+            if account is not None:
+                came.setdefault(account, []).append(row)
+    mark, out, nearest = state.getCurrentWatermarkMs(), [], None
+    for account in {**accounts, **came}:
+        held = accounts.setdefault(account, [None, 0, [], []])
+        if account in came or held[3]:
+            out += [(account, *r) for r in _advance(held, came.get(account, ()), mark)]
+        if held[3]:
+            nearest = min([r[0] for r in held[3]] + ([] if nearest is None else [nearest]))
+    state.update((json.dumps(accounts),))
+    if nearest is not None:
+        state.setTimeoutTimestamp(nearest)
+    if out:
+        yield pd.DataFrame(out, columns=["_key", "_recent", "_first", "_widest"])
+
+
+def recent_rows(stream: DataFrame, key: str = "account_id", period: str = "month", delay: str = DELAY, buckets: int | None = BUCKETS) -> DataFrame:
     """Stream of raw rows -> ``_recent`` (array of the account's last rows, the released one last), ``_first``
-    (its first month), ``_widest`` (its largest number of channels so far); one row for each released row."""
+    (its first month), ``_widest`` (its largest number of channels so far); one row for each released row.  Accounts share
+    ``buckets`` states; with None, for batches that bring few rows of few accounts, each has its own."""
     importable_on_workers(stream.sparkSession)
     at = F.col(period).cast("timestamp")
     rows = (
         stream.where(F.col(period).isNotNull())
-        .select(F.col(key).cast("string").alias("_key"), at.alias("_time"), F.unix_millis(at).alias("_at"),
+        .select(F.col(key).cast("string").alias("_key"), F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets or 1)).cast("int").alias("_bucket"),
+                at.alias("_time"), F.unix_millis(at).alias("_at"),
                 F.expr(_CHANNELS).alias("_channels"), F.to_json(F.struct(*[q(c) for c in stream.columns]), _JSON).alias("_row"))
         .withWatermark("_time", delay)
     )
-    released = rows.groupBy("_key").applyInPandasWithState(
-        _release, "_key string, _recent string, _first bigint, _widest int", "held string", "append", GroupStateTimeout.EventTimeTimeout)
+    released = rows.groupBy("_bucket" if buckets else "_key").applyInPandasWithState(
+        _release_shared if buckets else _release, "_key string, _recent string, _first bigint, _widest int", "held string", "append", GroupStateTimeout.EventTimeTimeout)
     return released.where(F.col("_key").isNotNull()).select(
         F.from_json("_recent", T.ArrayType(stream.schema), _JSON).alias("_recent"),
         F.timestamp_millis("_first").alias("_first"), "_widest")

@@ -97,3 +97,65 @@ def test_state_holds_a_bounded_number_of_rows():
     s = State()
     out = list(R._release(("A",), [pd.DataFrame({"_at": range(1000), "_channels": [2] * 1000, "_row": ["{}"] * 1000})], s))[0]
     assert len(out) == 1000 and len(json.loads(s.held[0])[2]) == R.REACH and out["_recent"].iloc[-1].count("{}") == R.REACH
+
+
+def test_accounts_of_a_shared_state_are_those_with_their_own():
+    """A call for every account cost milliseconds each; now a call serves all accounts of a state."""
+    import json
+    import random
+
+    import pandas as pd
+
+    class State:
+        def __init__(self): self.exists, self.held, self.mark, self.out = False, None, 0, None
+        def getCurrentWatermarkMs(self): return self.mark
+        def update(self, v): self.held, self.exists = v, True
+        def setTimeoutTimestamp(self, t): self.out = t
+        @property
+        def get(self): return self.held
+
+    def frame(rows):
+        return pd.DataFrame([(k, at, at % 5, json.dumps({"at": at, "n": n})) for k, at, n in rows], columns=["_key", "_at", "_channels", "_row"])
+
+    rng, shared, own, got, want = random.Random(3), State(), {}, [], []
+    for batch in range(12):
+        rows = [(rng.choice(["A", "B", "C", None]), batch * 10 + rng.randrange(1, 40), n) for n in range(rng.randrange(9))]
+        mark = batch * 10
+        shared.mark = mark
+        for f in R._release_shared((7,), [frame(rows[:4]), frame(rows[4:])], shared):
+            got += f.values.tolist()
+        for k in "ABC":
+            state = own.setdefault(k, State())
+            state.mark = mark
+            if state.exists or any(r[0] == k for r in rows):
+                want += next(R._release((k,), [frame([r for r in rows if r[0] == k])], state)).values.tolist()
+        outs = [s.out for s in own.values() if s.exists and json.loads(s.held[0])[3]]
+        assert not outs or shared.out == min(outs)
+        assert json.loads(shared.held[0]) == {k: json.loads(s.held[0]) for k, s in own.items() if s.exists}
+    assert sorted(got) == sorted(want) and len(got) >= 15
+
+
+def test_states_do_not_grow_with_the_accounts(spark):
+    import datetime as dt
+
+    rows = panel_rows(spark, [{"account_id": f"A{i:04d}", "month": dt.date(2024, 1, 1)} for i in range(300)])
+    calls = spark.sparkContext.accumulator(0)
+    real = R._release_shared
+
+    def counted(key, frames, state):
+        calls.add(1)
+        yield from real(key, frames, state)
+
+    import tempfile
+
+    base = tempfile.mkdtemp()
+    rows.write.parquet(f"{base}/src")
+    R.punctuation(spark, rows.schema, dt.date(2200, 1, 1)).write.mode("append").parquet(f"{base}/src")
+    R._release_shared = counted
+    try:
+        recent = R.recent_rows(spark.readStream.schema(rows.schema).parquet(f"{base}/src"), buckets=8)
+        q = recent.writeStream.format("memory").queryName("shared_states").option("checkpointLocation", f"{base}/c").trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        R._release_shared = real
+    assert spark.table("shared_states").count() == 300 and 0 < calls.value <= 3 * 8
